@@ -36,7 +36,20 @@ def literal_map(spark: SparkSession, pairs, key: str = "native",
     """A mapping dimension from literal (key, value) pairs."""
     schema = T.StructType([T.StructField(key, T._parse_datatype_string(key_type), True),
                            T.StructField(value, T._parse_datatype_string(value_type), True)])
-    return spark.createDataFrame(list(pairs), schema)
+    return literal_table(spark, list(pairs), schema)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Rows from code as a LocalRelation (the pandas path keeps it local, so
+    the planner knows its size and it can be broadcast safely)."""
+    import pandas as pd
+    pdf = pd.DataFrame.from_records(rows, columns=[f.name for f in schema.fields])
+    for f in schema.fields:
+        if isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            pdf[f.name] = pdf[f.name].astype("Int64")
+        elif isinstance(f.dataType, T.StringType):
+            pdf[f.name] = pdf[f.name].astype(object)
+    return spark.createDataFrame(pdf, schema)
 
 
 # J1 / J2 -------------------------------------------------------------------

@@ -158,7 +158,7 @@ def asof_lookup(targets: DataFrame, history: DataFrame, key: str, year: str, met
     j = t.join(hist, (t[key] == hist.__k) & (t["__ly"] == hist.__y) & (t[metric] == hist.__m), "left")
     return (j.groupBy(key, year, metric)
             .agg(F.min_by("__v", F.when(F.col("__v").isNotNull(), F.col("__off"))).alias(value),
-                 F.min(F.when(F.col("__v").isNotNull(), F.col("__ly"))).alias("found_year")))
+                 F.max(F.when(F.col("__v").isNotNull(), F.col("__ly"))).alias("found_year")))
 
 
 def asof_with_fallback(targets: DataFrame, history: DataFrame, key: str, year: str,

@@ -78,3 +78,11 @@ def to_local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
+
+
+def materialize(df):
+    """Cut lineage of a small derived table that feeds several branches of
+    one plan: a reliable checkpoint into the shared ``spark.checkpoint.dir``
+    (survives executor loss, unlike a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
