@@ -1 +1,182 @@
-"""Bindings (filled in as operators land)."""
+"""Incident bindings on ``events``: F12 hard key, F13 stable id, A13 merge,
+plus F14/F15/A14 domain confidence on ``pages``.
+
+Each event is read as an extracted incident record (mirrored in SQL):
+  date_incident  day of ts as text; JSON null for 'error' events
+  date_reported  day after ts
+  country        upper(first two letters of event_type)
+  city           ' User<user_id> '   (padding/case exercise lower+strip)
+  weapon         knife < 100 <= firearm < 300 <= other  (by value)
+  victim_fatal   1 when value >= 200 else 0;  victim_count = floor(value / 50)
+  description    '' when value < 20 else 'suspect k=<props.k>'
+  sources        [{url: https://<event_type>.example.org/<floor(value)>}]
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harmoniq.functions.ids import fatal_text, hard_key, incident_id, py_text
+from harmoniq.functions.urls import POLICE_PR_OUTLETS, url_domain
+from harmoniq.operators.incidents import domain_confidence, merge_hard, with_hard_key
+from harmoniq.plans import register
+from harmoniq.plans.common import table
+from harmoniq.schema import SOURCE_STRUCT
+from harmoniq.functions.ids import INCIDENT_NAMESPACE
+
+
+def event_records(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    day = F.to_date("ts").cast("string")
+    src = F.struct(
+        F.concat(F.lit("https://"), F.col("event_type"), F.lit(".example.org/"),
+                 F.floor("value").cast("bigint").cast("string")).alias("url"),
+        F.col("event_type").alias("outlet"), day.alias("published_at"),
+        F.lit(None).cast("string").alias("quote_snippet"))
+    return e.select(
+        F.col("event_id").alias("ordinal"),
+        F.when(F.col("event_type") != "error", day).alias("date_incident"),
+        (F.col("event_type") == "error").alias("date_incident_null"),
+        F.date_add(F.to_date("ts"), 1).cast("string").alias("date_reported"),
+        F.upper(F.substring("event_type", 1, 2)).alias("country"),
+        F.concat(F.lit(" User"), F.col("user_id").cast("string"), F.lit(" ")).alias("city"),
+        F.when(F.col("value") < 100, "knife").when(F.col("value") < 300, "firearm")
+         .otherwise("other").alias("weapon"),
+        F.floor(F.col("value") / 50).cast("bigint").alias("victim_count"),
+        F.when(F.col("value") >= 200, 1).otherwise(0).cast("bigint").alias("victim_fatal"),
+        F.lit(None).cast("string").alias("victim_sex_summary"),
+        F.lit(None).cast("string").alias("victim_age_summary"),
+        F.lit(1).cast("bigint").alias("suspect_count"),
+        F.when(F.col("value") < 20, F.lit("")).otherwise(
+            F.concat(F.lit("suspect k="), F.get_json_object("props", "$.k"))).alias(
+            "suspect_description_verbatim"),
+        F.lit(None).cast("string").alias("suspect_origin_as_reported"),
+        F.lit("city").alias("location_precision"),
+        F.lit(None).cast("string").alias("region"),
+        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"),
+        F.array(src).cast(f"array<{SOURCE_STRUCT.simpleString()}>").alias("sources"))
+
+
+SQL_RECORDS = """
+rec AS (
+  SELECT event_id AS ordinal,
+         CASE WHEN event_type <> 'error' THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS date_incident,
+         event_type = 'error' AS date_incident_null,
+         CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS DATE)::VARCHAR AS date_reported,
+         upper(substr(event_type, 1, 2)) AS country,
+         ' User' || CAST(user_id AS VARCHAR) || ' ' AS city,
+         CASE WHEN value < 100 THEN 'knife' WHEN value < 300 THEN 'firearm' ELSE 'other' END AS weapon,
+         CAST(floor(value / 50) AS BIGINT) AS victim_count,
+         CAST(CASE WHEN value >= 200 THEN 1 ELSE 0 END AS BIGINT) AS victim_fatal,
+         CASE WHEN value < 20 THEN '' ELSE 'suspect k=' || json_extract_string(props, '$.k') END
+           AS suspect_description_verbatim,
+         'https://' || event_type || '.example.org/' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS url
+  FROM events
+),
+keyed AS (
+  SELECT *, md5(COALESCE(NULLIF(date_incident, ''), NULLIF(date_reported, ''), '') || '|' ||
+                COALESCE(country, '') || '|' ||
+                lower(regexp_replace(COALESCE(city, ''), '^\\s+|\\s+$', '', 'g')) || '|' ||
+                COALESCE(weapon, '') || '|' || COALESCE(CAST(victim_fatal AS VARCHAR), '0')) AS hard_key
+  FROM rec
+)"""
+
+
+@register("hard_key", oracle=f"WITH {SQL_RECORDS.strip()}\nSELECT ordinal AS event_id, hard_key FROM keyed")
+def hard_key_q(spark, sf_dir):
+    r = event_records(spark, sf_dir)
+    return r.select(F.col("ordinal").alias("event_id"),
+                    hard_key("date_incident", "date_reported", "country", "city", "weapon",
+                             fatal_text("victim_fatal")).alias("hard_key"))
+
+
+_NS_HEX = INCIDENT_NAMESPACE.replace("-", "")
+
+
+@register("stable_id", oracle=f"""WITH {SQL_RECORDS.strip()},
+k AS (
+  SELECT ordinal,
+         CASE WHEN date_incident_null THEN 'None' ELSE date_incident END || '|' || country || '|' ||
+         city || '|' || weapon || '|' || CAST(victim_fatal AS VARCHAR) AS name
+  FROM rec
+),
+h AS (SELECT ordinal, sha1(unhex('{_NS_HEX}') || encode(name)) AS h FROM k)
+SELECT ordinal AS event_id,
+       substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
+       translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' ||
+       substr(h, 21, 12) AS incident_id
+FROM h""")
+def stable_id_q(spark, sf_dir):
+    r = event_records(spark, sf_dir)
+    return r.select(
+        F.col("ordinal").alias("event_id"),
+        incident_id(py_text("date_incident", F.lit(True)), py_text("country"), py_text("city"),
+                    py_text("weapon"), py_text("victim_fatal")).alias("incident_id"))
+
+
+@register("incident_merge", oracle=f"""WITH {SQL_RECORDS.strip()},
+g AS (
+  SELECT hard_key, COUNT(*) AS n_records, min(ordinal) AS ordinal,
+         max(COALESCE(victim_count, 0)) AS vc, max(COALESCE(victim_fatal, 0)) AS vf,
+         min(CASE WHEN date_reported <> '' THEN date_reported END) AS dr,
+         arg_min(suspect_description_verbatim, ordinal) FILTER (WHERE suspect_description_verbatim <> '') AS d1,
+         arg_min(victim_count, ordinal) AS vc0, arg_min(victim_fatal, ordinal) AS vf0,
+         arg_min(date_reported, ordinal) AS dr0, arg_min(suspect_description_verbatim, ordinal) AS d0
+  FROM keyed GROUP BY hard_key
+),
+u AS (SELECT hard_key, url, min(ordinal) AS o FROM keyed WHERE url <> '' GROUP BY 1, 2),
+s AS (SELECT hard_key, COUNT(*) AS n_sources, string_agg(url, ' ' ORDER BY o) AS source_urls
+      FROM u GROUP BY 1)
+SELECT g.hard_key, g.n_records, g.ordinal,
+       CASE WHEN n_records > 1 THEN vc ELSE vc0 END AS victim_count,
+       CASE WHEN n_records > 1 THEN vf ELSE vf0 END AS victim_fatal,
+       CASE WHEN n_records > 1 THEN COALESCE(dr, dr0) ELSE dr0 END AS date_reported,
+       CASE WHEN n_records > 1 AND COALESCE(d0, '') = '' THEN COALESCE(d1, d0) ELSE d0 END
+         AS suspect_description_verbatim,
+       s.n_sources, s.source_urls
+FROM g LEFT JOIN s ON s.hard_key = g.hard_key""")
+def incident_merge(spark, sf_dir):
+    merged = merge_hard(with_hard_key(event_records(spark, sf_dir).drop("date_incident_null")))
+    return merged.select(
+        "hard_key", "n_records", "ordinal", "victim_count", "victim_fatal", "date_reported",
+        "suspect_description_verbatim",
+        F.size("sources").cast("bigint").alias("n_sources"),
+        F.array_join(F.transform("sources", lambda s: s["url"]), " ").alias("source_urls"))
+
+
+# ---- pages: domains and confidence -----------------------------------------------------------
+HOST_SQL = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?([^/:?#]*)', 1))"
+BUCKET_SQL = ("regexp_extract(url, '^[^/]*//[^/]*/([a-z]+)/', 1) || '/' || "
+              "CAST(CAST(regexp_extract(url, '^[^/]*//[^/]*/[a-z]+/([0-9]+)', 1) AS INTEGER) // 100 AS VARCHAR)")
+# fixed value: one demo outlet so the HIGH branch is exercised on synthetic hosts
+DEMO_OUTLETS = (*POLICE_PR_OUTLETS, "example.org")
+
+
+@register("url_domain", oracle=f"""
+SELECT page_id, regexp_replace({HOST_SQL}, '^www\\.', '') AS domain FROM pages""")
+def url_domain_q(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", url_domain("url").alias("domain"))
+
+
+def page_bucket():
+    lang = F.regexp_extract("url", r"^[^/]*//[^/]*/([a-z]+)/", 1)
+    num = F.regexp_extract("url", r"^[^/]*//[^/]*/[a-z]+/([0-9]+)", 1).try_cast("int")
+    return F.concat(lang, F.lit("/"), F.floor(num / 100).cast("int").cast("string"))
+
+
+@register("confidence_score", oracle=f"""
+WITH d AS (SELECT DISTINCT {BUCKET_SQL} AS bucket, regexp_replace({HOST_SQL}, '^www\\.', '') AS domain
+           FROM pages),
+o(outlet) AS (VALUES {", ".join(f"('{o}')" for o in DEMO_OUTLETS)}),
+g AS (
+  SELECT bucket, COUNT(*) FILTER (WHERE domain <> '') AS n_domains,
+         max(CASE WHEN domain <> '' AND EXISTS (SELECT 1 FROM o WHERE d.domain = o.outlet
+                                                 OR ends_with(d.domain, '.' || o.outlet)) THEN 1 ELSE 0 END) AS listed
+  FROM d GROUP BY bucket
+)
+SELECT bucket, n_domains,
+       CASE WHEN listed = 1 THEN 'HIGH' WHEN n_domains >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS confidence
+FROM g""")
+def confidence_score(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select(page_bucket().alias("bucket"), "url")
+    return domain_confidence(p, "bucket", "url", DEMO_OUTLETS)
