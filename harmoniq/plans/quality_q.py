@@ -1 +1,139 @@
-"""Bindings (filled in as operators land)."""
+"""Data-quality bindings: Q1-Q5, A16, J15, U4, F3, F4."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from harmoniq.operators import quality as Q
+from harmoniq.operators.dims import with_hierarchy
+from harmoniq.plans import register
+from harmoniq.plans.common import facts, nation_code, region_dim, table
+
+# fixed values: rule set for the orders demo (name, SQL predicate that flags a violation)
+ORDER_RULES = [
+    ("status_enum", "o_orderstatus NOT IN ('F', 'O')"),
+    ("price_positive", "o_totalprice <= 0"),
+    ("priority_format", "NOT regexp_like(o_orderpriority, '^[1-5]-[A-Z ]+$')"),
+    ("date_range", "o_orderdate < TIMESTAMP '1995-01-01 00:00:00' OR o_orderdate > TIMESTAMP '2000-12-31 00:00:00'"),
+    ("custkey_not_null", "o_custkey IS NULL"),
+]
+EVENT_TYPES_ALLOWED = ("click", "view", "purchase", "signup")
+EVENT_RULES = [
+    ("value_cap", "value > 400"),
+    ("event_type_enum", "event_type NOT IN ('click', 'view', 'purchase', 'signup')"),
+    ("props_shape", "left(props, 4) <> '{\"k\"'"),
+]
+
+
+def _rules(spec):
+    return [(n, F.expr(p.replace("regexp_like", "rlike"))) for n, p in spec]
+
+
+def _duck(p: str) -> str:
+    return p.replace("regexp_like", "regexp_matches")
+
+
+@register("quality_violations", oracle=" UNION ALL ".join(
+    f"SELECT '{n}' AS rule, COUNT(*) FILTER (WHERE COALESCE({_duck(p)}, false)) AS n_violations FROM orders"
+    for n, p in ORDER_RULES))
+def quality_violations(spark, sf_dir):
+    return Q.rule_counts(table(spark, sf_dir, "orders"), _rules(ORDER_RULES))
+
+
+@register("row_rules", oracle=" UNION ALL ".join(
+    f"SELECT event_id, '{n}' AS rule FROM events WHERE COALESCE({_duck(p)}, false)"
+    for n, p in EVENT_RULES))
+def row_rules(spark, sf_dir):
+    return Q.violations(table(spark, sf_dir, "events"), _rules(EVENT_RULES), ["event_id"])
+
+
+@register("violation_samples", oracle="WITH v AS (" + " UNION ALL ".join(
+    f"SELECT event_id, '{n}' AS rule FROM events WHERE COALESCE({_duck(p)}, false)"
+    for n, p in EVENT_RULES) + """)
+SELECT rule, COUNT(*) AS n_violations,
+       list_sort(list(event_id ORDER BY event_id)[1:10]) AS sample
+FROM v GROUP BY rule""")
+def violation_samples(spark, sf_dir):
+    return Q.violation_samples(table(spark, sf_dir, "events"), _rules(EVENT_RULES), "event_id", 10)
+
+
+@register("canonical_rules")
+def canonical_rules(spark, sf_dir):
+    """Q2 on the canonical fact table: every rule must count zero."""
+    return Q.rule_counts(facts(spark, sf_dir), Q.aggregate_rules())
+
+
+@register("dup_keys", oracle="""
+WITH e AS (SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_type = 'purchase')
+SELECT event_id, COUNT(*) AS n FROM e GROUP BY event_id HAVING COUNT(*) > 1""")
+def dup_keys(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    doubled = e.unionByName(e.filter(F.col("event_type") == "purchase"))
+    return Q.duplicate_keys(doubled, ["event_id"])
+
+
+@register("domain_diff", oracle="""
+SELECT DISTINCT event_type FROM events WHERE event_type NOT IN ('click', 'view', 'purchase')""")
+def domain_diff(spark, sf_dir):
+    return Q.domain_difference(table(spark, sf_dir, "events"), "event_type",
+                               ("click", "view", "purchase"))
+
+
+ORDERS_DECLARED = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.DateType()), T.StructField("o_orderpriority", T.StringType()),
+])
+
+
+@register("schema_check", oracle="""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+       o_orderpriority FROM orders""")
+def schema_check(spark, sf_dir):
+    return Q.conform(table(spark, sf_dir, "orders"), ORDERS_DECLARED)
+
+
+# ---- F3 / F4 / J15 -----------------------------------------------------------------------
+def _customer_codes(spark, sf_dir):
+    """Level-2 codes: nation code + first letter of the market segment."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
+            .select(F.concat(nation_code("n_regionkey", "n_nationkey"),
+                             F.substring("c_mktsegment", 1, 1)).alias("code")))
+
+
+SQL_CUST_CODES = """
+cc AS (
+  SELECT 'R' || CAST(n.n_regionkey AS VARCHAR) || chr(65 + n.n_nationkey) || substr(c.c_mktsegment, 1, 1) AS code
+  FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+)"""
+
+
+@register("hierarchy_codes", oracle=f"""WITH {SQL_CUST_CODES.strip()},
+d AS (SELECT DISTINCT code FROM cc)
+SELECT code, CAST(greatest(length(code) - 2, 0) AS INTEGER) AS level,
+       CASE WHEN length(code) > 2 THEN left(code, length(code) - 1) END AS parent_code,
+       left(code, 2) AS country,
+       EXISTS (SELECT 1 FROM nation n WHERE 'R' || CAST(n.n_regionkey AS VARCHAR) || chr(65 + n.n_nationkey)
+               = left(d.code, length(d.code) - 1)) AS parent_known
+FROM d""")
+def hierarchy_codes(spark, sf_dir):
+    codes = with_hierarchy(_customer_codes(spark, sf_dir).distinct())
+    known = region_dim(spark, sf_dir).select(F.col("code").alias("__k"), F.lit(True).alias("__f"))
+    j = codes.join(known, codes.parent_code == known.__k, "left")
+    return j.select("code", "level", "parent_code", "country",
+                    F.coalesce("__f", F.lit(False)).alias("parent_known"))
+
+
+@register("unknown_codes", oracle=f"""WITH {SQL_CUST_CODES.strip()},
+allc AS (SELECT code FROM cc UNION ALL
+         SELECT 'R' || CAST(n_regionkey AS VARCHAR) || chr(65 + n_nationkey) FROM nation)
+SELECT DISTINCT code FROM allc
+WHERE code NOT IN (SELECT 'R' || CAST(n_regionkey AS VARCHAR) || chr(65 + n_nationkey) FROM nation)
+  AND code NOT IN (SELECT 'R' || CAST(r_regionkey AS VARCHAR) FROM region)""")
+def unknown_codes(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(nation_code("n_regionkey", "n_nationkey").alias("code"))
+    return Q.unknown_codes(_customer_codes(spark, sf_dir).unionByName(n), "code",
+                           region_dim(spark, sf_dir))
