@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harmoniq.functions.codes import country_of, level_of, year_end, year_start
 from harmoniq.functions.metrics import rate_per_100k
 from harmoniq.schema import CRIME_AGGREGATES
 
@@ -187,8 +188,11 @@ def with_rate(df: DataFrame, count: str = "count", pop: str = "denominator_popul
 # Declarative source spec ----------------------------------------------------
 @dataclass
 class SourceSpec:
-    """What differs between sources, as data (§2.14)."""
-    country: str
+    """What differs between sources, as data (one generic harmoniser
+    replaces per-country normalise code).  ``country=None`` derives the
+    country from the mapped region code, so one spec can cover many
+    countries in one plan (the file is read once, grouped by country)."""
+    country: str | None
     authority: str
     url: str
     category_map: list[tuple[str, str]]
@@ -206,13 +210,14 @@ class SourceSpec:
 
 def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: DataFrame,
               as_of=None, file_hash: str = "") -> DataFrame:
-    """Generic normalise: filter -> map category -> map region -> retention ->
-    sum -> population -> rate -> canonical projection."""
+    """Generic normalise: filter -> map category (J1) -> map region (J2) ->
+    retention (P11/P12, on rows, before the shuffle) -> sum + native
+    examples (A1/A2) -> population (J4) -> rate (F1) -> canonical
+    projection (P18)."""
     if spec.row_filter is not None:
         df = df.filter(spec.row_filter)
     cat = literal_map(spark, spec.category_map, "__native", "crime_category")
-    df = map_values(df, spec.native_category, cat, "__native", "crime_category",
-                    "crime_category")
+    df = map_values(df, spec.native_category, cat, "__native", "crime_category", "crime_category")
     if spec.region is not None and spec.region_map is not None:
         rm = spec.region_map
         df = map_values(df, spec.region, rm, rm.columns[0], rm.columns[1], "region_code",
@@ -227,16 +232,18 @@ def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: Dat
     agg = sum_counts(df.withColumn("__count", F.col(spec.count)),
                      ["region_code", "crime_category", "__year", *spec.group_extra],
                      count="__count", native=spec.native_category)
-    agg = attach_population(agg, regions)
-    agg = with_rate(agg)
-    from harmoniq.functions.codes import level_of, year_end, year_start
-    retrieved = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
+    agg = with_rate(attach_population(agg, regions))
+    if as_of is None:
+        retrieved = F.current_timestamp().cast("timestamp_ntz")
+    else:
+        retrieved = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    country = F.lit(spec.country) if spec.country is not None else country_of("region_code")
     return canonicalise(
         agg,
-        source_country=spec.country, source_authority=spec.authority, source_url=spec.url,
-        source_file_hash=file_hash, retrieved_at=retrieved if isinstance(retrieved, Column) else F.lit(retrieved),
+        source_country=country, source_authority=spec.authority, source_url=spec.url,
+        source_file_hash=file_hash, retrieved_at=retrieved,
         period_start=year_start("__year"), period_end=year_end("__year"), period_type="year",
-        region_level=level_of("region_code"), suspect_dim=F.coalesce(
-            F.col("suspect_dim") if "suspect_dim" in agg.columns else F.lit(None), F.lit("total")),
+        region_level=level_of("region_code"),
+        suspect_dim=F.col("suspect_dim") if "suspect_dim" in agg.columns else F.lit("total"),
         denominator_source=F.when(F.col("denominator_population").isNotNull(), F.lit("region_dimension")),
     )

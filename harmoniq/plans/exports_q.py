@@ -1 +1,196 @@
-"""Bindings (filled in as operators land)."""
+"""Intake/export bindings: S11/S12 JSON Lines envelopes (null vs absent
+identity), S13/S14 feed records, S15/F19 content manifest, S16/J11/F16
+geocode cache with schema evolution, S19/S20 GeoJSON exports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harmoniq.functions.ids import INCIDENT_NAMESPACE, content_hash, incident_id, py_text
+from harmoniq.operators.incidents import geocode_join, location_precision
+from harmoniq.plans import register
+from harmoniq.plans.common import nation_code, region_dim, table
+from harmoniq.plans.readers_q import write_region_geojson
+from harmoniq.session import scratch_path
+from harmoniq.sources import exports as X
+from harmoniq.sources import files as S
+
+_NS_HEX = INCIDENT_NAMESPACE.replace("-", "")
+
+
+def _uuid_sql(name: str) -> str:
+    h = f"sha1(unhex('{_NS_HEX}') || encode({name}))"
+    return (f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || "
+            f"translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr({h}, 18, 3) || '-' || "
+            f"substr({h}, 21, 12)")
+
+
+# ---- S11 S12 P21 F18 F13: JSON Lines envelopes ---------------------------------------------------
+FATAL_TEXT_SQL = ("CASE event_type WHEN 'click' THEN '' WHEN 'view' THEN 'None' "
+                  "ELSE CASE WHEN value >= 200 THEN '1' ELSE '0' END END")
+NAME_SQL = ("CAST(CAST(ts AS DATE) AS VARCHAR) || '|' || upper(substr(event_type, 1, 2)) || '|' || "
+            "'User' || CAST(user_id AS VARCHAR) || '|' || "
+            "CASE WHEN value < 100 THEN 'knife' WHEN value < 300 THEN 'firearm' ELSE 'other' END || '|' || "
+            f"({FATAL_TEXT_SQL})")
+
+
+@register("jsonl_roundtrip", oracle=f"""
+SELECT event_id, {FATAL_TEXT_SQL} AS victim_fatal_text, {_uuid_sql(f"({NAME_SQL})")} AS incident_id
+FROM events WHERE event_type <> 'error'""")
+def jsonl_roundtrip(spark, sf_dir):
+    """Envelopes written as JSON Lines: 'click' incidents lack victim_fatal,
+    'view' incidents carry it as JSON null, 'error' envelopes are not
+    extracted, 'purchase' lines are followed by a blank line.  Read back as
+    VARIANT, the absent and the null field give different stable ids."""
+    e = table(spark, sf_dir, "events")
+    fatal = F.when(F.col("event_type").isin("click", "view"), F.lit(None)).otherwise(
+        F.when(F.col("value") >= 200, 1).otherwise(0))
+    inc = F.to_json(F.struct(
+        F.col("event_id").alias("ordinal"), F.to_date("ts").cast("string").alias("date_incident"),
+        F.upper(F.substring("event_type", 1, 2)).alias("country"),
+        F.concat(F.lit("User"), F.col("user_id").cast("string")).alias("city"),
+        F.when(F.col("value") < 100, "knife").when(F.col("value") < 300, "firearm").otherwise("other").alias("weapon"),
+        fatal.alias("victim_fatal")))
+    inc = F.when(F.col("event_type") == "view", F.regexp_replace(inc, r"^\{", '{"victim_fatal":null,')).otherwise(inc)
+    line = F.concat(F.lit('{"extracted":'),
+                    F.when(F.col("event_type") == "error", F.lit("false")).otherwise(F.lit("true")),
+                    F.lit(',"skip_reason":null,"incident":'), inc, F.lit("}"))
+    lines = e.select(F.explode(F.when(F.col("event_type") == "purchase", F.array(line, F.lit("")))
+                               .otherwise(F.array(line))).alias("value"))
+    path = scratch_path(spark, "outbox")
+    lines.write.text(path)
+    env = S.read_jsonl_variant(spark, path)
+    inc_v = F.try_variant_get("v", "$.incident", "variant")
+    env = env.filter(F.coalesce(F.try_variant_get("v", "$.extracted", "boolean"), F.lit(False))
+                     & inc_v.isNotNull() & ~F.to_json(inc_v).isin("null", "{}"))         # P21
+    fields = {k: S.variant_field("v", f"$.incident.{k}") for k in
+              ("date_incident", "country", "city", "weapon", "victim_fatal")}
+    texts = {k: py_text(val, present) for k, (val, present) in fields.items()}
+    return env.select(
+        F.try_variant_get("v", "$.incident.ordinal", "bigint").alias("event_id"),
+        texts["victim_fatal"].alias("victim_fatal_text"),
+        incident_id(texts["date_incident"], texts["country"], texts["city"], texts["weapon"],
+                    texts["victim_fatal"]).alias("incident_id"))
+
+
+# ---- S13 F10: article-list payloads -> article records ----------------------------------------
+LANG_NAMES = {"en": "English", "fr": "French", "de": "German", "es": "Spanish"}
+LANG_SQL = "regexp_extract(url, '^[^/]*//[^/]*/([a-z]+)/', 1)"
+HOST_SQL = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)', 1))"
+TITLE_SQL = "regexp_extract(html, '<title>(.*?)</title>', 1)"
+
+
+@register("feed_records", oracle=f"""
+SELECT url, {HOST_SQL} AS outlet,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + page_id * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S+00:00') AS published_at,
+       lower(CASE {LANG_SQL} {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANG_NAMES.items())} END) AS language,
+       {TITLE_SQL} AS title, '' AS lead, 'gdelt' AS source, upper({LANG_SQL}) AS country
+FROM pages""")
+def feed_records(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    lang = F.regexp_extract("url", r"^[^/]*//[^/]*/([a-z]+)/", 1)
+    names = F.create_map(*[x for k, v in LANG_NAMES.items() for x in (F.lit(k), F.lit(v))])
+    seen = F.timestamp_add("HOUR", F.col("page_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    art = F.struct(F.col("url"), F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
+                   F.date_format(seen, "yyyyMMdd'T'HHmmss'Z'").alias("seendate"),
+                   F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)", 1)).alias("domain"),
+                   F.element_at(names, lang).alias("language"), F.upper(lang).alias("sourcecountry"))
+    docs = (p.groupBy(F.upper(lang).alias("country"), art["domain"].alias("host"))
+            .agg(F.collect_list(art).alias("articles")))
+    path = scratch_path(spark, "gdelt")
+    docs.write.partitionBy("country").json(path)
+    landed = spark.read.schema(X.GDELT_DOC).json(path)        # partition column 'country' is discovered
+    return X.gdelt_articles(landed, F.col("country"))
+
+
+@register("rss_records", oracle=f"""
+SELECT url, {HOST_SQL} AS outlet,
+       CASE WHEN position('#' IN url) > 0 THEN '2024-02-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')
+            ELSE '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') END AS published_at,
+       'en' AS language, {TITLE_SQL} AS title,
+       left(regexp_replace(regexp_replace(CASE WHEN starts_with(url, 'https://') THEN html ELSE '<p>' || url || '</p>' END,
+                                          '<[^>]+>', ' ', 'g'), '^ +| +$', '', 'g'), 1500) AS lead,
+       'rss' AS source, upper({LANG_SQL}) AS country
+FROM pages WHERE position('spam-farm' IN url) = 0""")
+def rss_records(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    day = F.lpad(((F.col("page_id") % 28) + 1).cast("string"), 2, "0")
+    entries = p.select(
+        F.when(~F.col("url").contains("spam-farm"), F.col("url")).alias("link"),
+        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
+        F.when(F.col("url").startswith("https://"), F.col("html")).alias("summary"),
+        F.concat(F.lit("<p>"), F.col("url"), F.lit("</p>")).alias("description"),
+        F.when(~F.col("url").contains("#"), F.concat(F.lit("2024-01-"), day)).alias("published"),
+        F.concat(F.lit("2024-02-"), day).alias("updated"),
+        F.upper(F.regexp_extract("url", r"^[^/]*//[^/]*/([a-z]+)/", 1)).alias("country"),
+        F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)", 1)).alias("outlet"))
+    return X.rss_articles(entries, "en", 1500)
+
+
+# ---- S15 F19: content hashes against a manifest ----------------------------------------------
+@register("content_manifest", oracle="""
+SELECT doc_id, sha256(text) AS sha256 FROM documents
+WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE lang = 'en')""")
+def content_manifest(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", content_hash("text").alias("sha256"))
+    manifest = d.filter(F.col("lang") == "en").select("sha256")
+    return S.new_content(d.drop("lang"), manifest).select("doc_id", "sha256")
+
+
+# ---- S16 J11 F16 F17: geocode cache with an old part lacking region_hint ----------------------
+@register("geocode_join", oracle="""
+SELECT o.o_orderkey,
+       CASE WHEN c.c_mktsegment <> 'MACHINERY' THEN c.c_acctbal / 100 END AS lat,
+       CASE WHEN c.c_mktsegment <> 'MACHINERY' THEN CAST(c.c_nationkey AS DOUBLE) END AS lon,
+       CASE WHEN c.c_mktsegment <> 'MACHINERY'
+            THEN 'R' || CAST(n.n_regionkey AS VARCHAR) || chr(65 + n.n_nationkey) END AS region_code,
+       CASE WHEN c.c_mktsegment <> 'MACHINERY' AND o.o_orderstatus = 'F' THEN 'exact' ELSE 'city' END
+         AS location_precision
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey""")
+def geocode_join_q(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    cn = c.join(n, c.c_nationkey == n.n_nationkey)
+    base = cn.select(F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("country"),
+                     F.col("c_name").alias("city"), F.lower("c_mktsegment").alias("region_hint"),
+                     (F.col("c_acctbal") / 100).cast("string").alias("lat"),
+                     F.col("c_nationkey").cast("double").cast("string").alias("lon"),
+                     nation_code("n_regionkey", "n_nationkey").alias("nuts_code"), "c_mktsegment")
+    root = scratch_path(spark, "geocode_cache")
+    old_cols = ["country", "city", "lat", "lon", "nuts_code"]
+    new_cols = ["country", "city", "region_hint", "lat", "lon", "nuts_code"]
+    base.filter(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")).select(*old_cols) \
+        .write.option("header", True).csv(f"{root}/old")
+    base.filter(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD")).select(*new_cols) \
+        .write.option("header", True).csv(f"{root}/new")
+    cache = S.read_evolving_csv(spark, [(f"{root}/old", old_cols), (f"{root}/new", new_cols)])
+    o = table(spark, sf_dir, "orders")
+    recs = (o.join(cn, o.o_custkey == cn.c_custkey)
+            .select("o_orderkey",
+                    F.lower(F.concat(F.lit("r"), F.col("n_regionkey").cast("string"))).alias("country"),
+                    F.concat(F.lit("  "), F.col("c_name")).alias("city"),
+                    F.when(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD"),
+                           F.concat(F.upper("c_mktsegment"), F.lit(" "))).alias("region"),
+                    F.when(F.col("o_orderstatus") == "F", "exact").otherwise("city").alias("given")))
+    g = geocode_join(recs, cache)
+    return g.select("o_orderkey", F.col("geo_lat").alias("lat"), F.col("geo_lon").alias("lon"),
+                    F.col("geo_nuts").alias("region_code"),
+                    location_precision("given", "city", "geo_lat", "geo_lon").alias("location_precision"))
+
+
+# ---- S19 S20: GeoJSON exports (JSON text; checked structurally in tests) ------------------------
+@register("points_export")
+def points_export(spark, sf_dir):
+    d = region_dim(spark, sf_dir)
+    feats = X.point_features(d, "centroid_lon", "centroid_lat", ["code", "name_en", "population_latest"])
+    return feats
+
+
+@register("geojson_export")
+def geojson_export(spark, sf_dir):
+    path = write_region_geojson(spark, sf_dir)
+    f = S.read_geojson(spark, f"{path}/*")
+    slim = f.select(F.col("properties")["NUTS_ID"].alias("code"),
+                    F.col("properties")["CNTR_CODE"].alias("country"), "geometry")
+    return X.feature_collections(X.polygon_features(slim, "geometry", ["code"]).withColumn(
+        "country", F.get_json_object("feature", "$.properties.code").substr(1, 2)), "country")
