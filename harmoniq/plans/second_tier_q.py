@@ -1 +1,121 @@
-"""Bindings (filled in as operators land)."""
+"""Second-tier views the reference's documents promise (N1, N3, N4, N5,
+N7, N8).  N2 (pairwise soft dedupe) and N6 (point-in-polygon) are not
+built; see the README."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from harmoniq.operators.incidents import domain_confidence
+from harmoniq.plans import register
+from harmoniq.plans.common import SQL_FACTS, facts, table, with_ctes
+from harmoniq.plans.facts_q import summary
+from harmoniq.plans.incidents_q import BUCKET_SQL, DEMO_OUTLETS, HOST_SQL, page_bucket
+from harmoniq.plans.views_q import _summary_cte
+from harmoniq.schema import CRIME_CATEGORIES
+from harmoniq.session import scratch_path
+
+
+# ---- N1: year-over-year change -------------------------------------------------------------
+@register("yoy_delta", oracle=with_ctes(SQL_FACTS, """
+, y AS (SELECT region_code, crime_category, CAST(year(period_end) AS INTEGER) AS year, count FROM facts
+        WHERE suspect_dim = 'total'),
+l AS (SELECT *, lag(year) OVER (PARTITION BY region_code, crime_category ORDER BY year) AS py,
+             lag(count) OVER (PARTITION BY region_code, crime_category ORDER BY year) AS pc FROM y)
+SELECT region_code, crime_category, year, count,
+       CASE WHEN py = year - 1 THEN pc END AS prev_count,
+       CASE WHEN py = year - 1 THEN count - pc END AS delta
+FROM l""".lstrip()))
+def yoy_delta(spark, sf_dir):
+    """Lag within (region, category) ordered by year; a gap year yields no
+    delta.  Window partitions hold one series (years), not a country."""
+    f = facts(spark, sf_dir).filter(F.col("suspect_dim") == "total").select(
+        "region_code", "crime_category", F.year("period_end").cast("int").alias("year"), "count")
+    w = Window.partitionBy("region_code", "crime_category").orderBy("year")
+    py, pc = F.lag("year").over(w), F.lag("count").over(w)
+    ok = py == F.col("year") - 1
+    return f.select("region_code", "crime_category", "year", "count",
+                    F.when(ok, pc).alias("prev_count"), F.when(ok, F.col("count") - pc).alias("delta"))
+
+
+# ---- N3: visibility gate ---------------------------------------------------------------------
+@register("visibility", oracle=f"""
+WITH d AS (SELECT DISTINCT {BUCKET_SQL} AS bucket, regexp_replace({HOST_SQL}, '^www\\.', '') AS domain
+           FROM pages),
+o(outlet) AS (VALUES {", ".join(f"('{o}')" for o in DEMO_OUTLETS)}),
+g AS (
+  SELECT bucket, COUNT(*) FILTER (WHERE domain <> '') AS n_domains,
+         max(CASE WHEN domain <> '' AND EXISTS (SELECT 1 FROM o WHERE d.domain = o.outlet
+                                                 OR ends_with(d.domain, '.' || o.outlet)) THEN 1 ELSE 0 END) AS listed
+  FROM d GROUP BY bucket
+),
+c AS (SELECT bucket, CASE WHEN listed = 1 THEN 'HIGH' WHEN n_domains >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS confidence
+      FROM g)
+SELECT bucket, confidence FROM c WHERE confidence IN ('HIGH', 'MEDIUM')""")
+def visibility(spark, sf_dir, levels=("HIGH", "MEDIUM")):
+    p = table(spark, sf_dir, "pages").select(page_bucket().alias("bucket"), "url")
+    c = domain_confidence(p, "bucket", "url", DEMO_OUTLETS)
+    return c.filter(F.col("confidence").isin(*levels)).select("bucket", "confidence")
+
+
+# ---- N4: stale sources --------------------------------------------------------------------------
+STALE_AS_OF = "2002-04-15"
+
+
+@register("stale_flag", oracle=f"""
+WITH l AS (SELECT c.c_nationkey, CAST(max(o.o_orderdate) AS DATE) AS latest
+           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY 1)
+SELECT c_nationkey, latest, CAST(latest + INTERVAL 9 MONTH AS DATE) < DATE '{STALE_AS_OF}' AS stale FROM l""")
+def stale_flag(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    latest = (o.join(c, o.o_custkey == c.c_custkey).groupBy("c_nationkey")
+              .agg(F.to_date(F.max("o_orderdate")).alias("latest")))
+    return latest.withColumn("stale", F.add_months("latest", 9) < F.to_date(F.lit(STALE_AS_OF)))
+
+
+# ---- N5: weapon mix per country ---------------------------------------------------------------
+WEAPON_SQL = "CASE WHEN value < 100 THEN 'knife' WHEN value < 300 THEN 'firearm' ELSE 'other' END"
+
+
+@register("weapon_mix", oracle=f"""
+WITH g AS (SELECT upper(substr(event_type, 1, 2)) AS country, {WEAPON_SQL} AS weapon, COUNT(*) AS n
+           FROM events GROUP BY 1, 2)
+SELECT country, weapon, n, round(100.0 * n / sum(n) OVER (PARTITION BY country), 1) AS share_pct FROM g""")
+def weapon_mix(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    g = e.groupBy(F.upper(F.substring("event_type", 1, 2)).alias("country"),
+                  F.expr(WEAPON_SQL).alias("weapon")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("country")      # after aggregation: a few rows per country
+    return g.withColumn("share_pct", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(w), 1))
+
+
+# ---- N7: 'not published' tags ---------------------------------------------------------------------
+@register("not_published", oracle=with_ctes(SQL_FACTS, f"""
+, c AS (SELECT DISTINCT source_country FROM facts),
+k(crime_category) AS (VALUES {", ".join(f"('{x}')" for x in CRIME_CATEGORIES)}),
+have AS (SELECT source_country, crime_category, COUNT(*) AS n FROM facts GROUP BY 1, 2)
+SELECT c.source_country, k.crime_category,
+       CASE WHEN h.n IS NULL THEN 'not published' ELSE 'published' END AS status
+FROM c CROSS JOIN k LEFT JOIN have h ON h.source_country = c.source_country AND h.crime_category = k.crime_category
+""".lstrip()))
+def not_published(spark, sf_dir):
+    f = facts(spark, sf_dir)
+    grid = f.select("source_country").distinct().select(
+        "source_country", F.explode(F.array(*[F.lit(x) for x in CRIME_CATEGORIES])).alias("crime_category"))
+    have = f.groupBy("source_country", "crime_category").agg(F.count(F.lit(1)).alias("n"))
+    j = grid.join(have, ["source_country", "crime_category"], "left")
+    return j.select("source_country", "crime_category",
+                    F.when(F.col("n").isNull(), "not published").otherwise("published").alias("status"))
+
+
+# ---- N8: pre-aggregated overview, written partitioned by country --------------------------------
+@register("overview", oracle=with_ctes(_summary_cte(), """
+SELECT region_code, region_level, homicide_count, homicide_rate, population, source_country FROM summary"""))
+def overview(spark, sf_dir):
+    s = summary(spark, sf_dir).select("region_code", "region_level", "homicide_count", "homicide_rate",
+                                      "population", "source_country")
+    path = scratch_path(spark, "overview")
+    s.write.partitionBy("source_country").parquet(path)
+    return spark.read.parquet(path)

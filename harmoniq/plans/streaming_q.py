@@ -1 +1,62 @@
-"""Bindings (filled in as operators land)."""
+"""Streaming bindings (T1, T2, T4): each runs a Structured Streaming query
+with ``trigger(availableNow=True)`` over files derived from the driver
+tables, then returns the batch read of its sink.  T1 and T2 equal their
+batch forms, which is what the oracle SQL states."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harmoniq.plans import register
+from harmoniq.plans.common import table
+from harmoniq.session import scratch_path
+from harmoniq.streaming import intake as I
+
+
+@register("stream_dedupe", oracle="SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedupe(spark, sf_dir):
+    """Events as a file stream; first arrival per (user, type) inside a
+    40-day watermark (the data spans 30 days, so the result equals the
+    batch distinct)."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    d = I.dedupe_stream(stream, ["user_id", "event_type"], "ts", "40 days")
+    sink, ckpt = scratch_path(spark, "dedupe_sink"), scratch_path(spark, "dedupe_ckpt")
+    I.run_available(d.select("user_id", "event_type", "ts"), sink, ckpt)
+    return spark.read.parquet(sink).select("user_id", "event_type")
+
+
+@register("stream_upsert", oracle="""
+SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey,
+       max(o_orderdate) AS o_orderdate
+FROM orders GROUP BY o_custkey""")
+def stream_upsert(spark, sf_dir):
+    """Orders land as several files; every micro-batch merges into the
+    versioned customer -> latest-order table (newer order wins)."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    landing = scratch_path(spark, "orders_landing")
+    o.repartition(6, F.year("o_orderdate")).write.parquet(landing)
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    root, ckpt = scratch_path(spark, "latest_order"), scratch_path(spark, "latest_order_ckpt")
+    I.upsert_batches(spark, stream, root, ckpt, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    allv = spark.read.parquet(root)
+    return allv.filter(F.col("version") == allv.select(F.max("version")).scalar()).drop("version")
+
+
+@register("manifest_stream")
+def manifest_stream(spark, sf_dir):
+    """T4: documents land as one text file per source; the hash manifest
+    gains one row per distinct file content.  A second pass over the same
+    files (fresh checkpoint) adds nothing."""
+    d = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    landing = scratch_path(spark, "docs_landing")
+    (d.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text")
+     .write.partitionBy("source").text(landing))
+    manifest = scratch_path(spark, "manifest")
+    for _ in range(2):
+        stream = (spark.readStream.format("binaryFile").schema(I.BINARY_FILE)
+                  .option("recursiveFileLookup", True)
+                  .option("pathGlobFilter", "*.txt").load(landing))
+        I.manifest_batches(spark, stream, manifest, scratch_path(spark, "manifest_ckpt"))
+    return spark.read.schema(I.MANIFEST).parquet(manifest)
