@@ -2,9 +2,11 @@
 totals, as-of lookups with hierarchical fallback, ranks and top-k.
 
 All functions take canonical-shaped DataFrames and return lazy DataFrames.
-"Latest" is always computed per country with a grouped max joined back
-(partial aggregation, one row per country), never with a window spanning a
-whole country, so a country holding a third of all rows is not one task.
+"Latest" over raw rows is a grouped max joined back (partial aggregation,
+one row per group), so a group holding a third of all rows is never one
+task; over the aggregated fact table a window max is used instead (its
+per-country partition is bounded by regions x categories x periods) so the
+fact plan is evaluated once.
 """
 
 from __future__ import annotations
@@ -32,9 +34,19 @@ def _c(x) -> Column:
 
 # W4 / J9 ---------------------------------------------------------------------
 def latest_per_group(df: DataFrame, group: list[str], period: str = "period_end",
-                     out: str = "latest_period") -> DataFrame:
-    """Rows whose period equals the group's max period.  The per-group max
-    is a partial aggregate (one row per group) joined back on equality."""
+                     out: str = "latest_period", method: str = "join") -> DataFrame:
+    """Rows whose period equals the group's max period.
+
+    ``method='join'`` (raw rows): the per-group max is a partial aggregate
+    (one row per group, broadcast by AQE) joined back on equality, so a hot
+    group is never one task.  ``method='window'`` (already aggregated input
+    such as the canonical fact table, whose per-country partition is bounded
+    by regions x categories x periods): one pass, no second evaluation of the
+    input plan."""
+    if method == "window":
+        from pyspark.sql import Window
+        w = Window.partitionBy(*group)
+        return df.withColumn(out, F.max(period).over(w)).filter(F.col(period) == F.col(out))
     latest = df.groupBy(*group).agg(F.max(period).alias(out))
     return df.join(latest, [*group], "inner").filter(F.col(period) == F.col(out))
 
@@ -46,7 +58,7 @@ def latest_summary(facts: DataFrame, regions: DataFrame,
     count/rate per category, population and period, region name attached,
     ordered by homicide rate descending, NULLs last."""
     base = facts.filter(F.col("suspect_dim") == "total")
-    cur = latest_per_group(base, ["source_country"], "period_end", "__pe")
+    cur = latest_per_group(base, ["source_country"], "period_end", "__pe", method="window")
     aggs = []
     for cat, name in categories:
         aggs.append(F.max(F.when(F.col("crime_category") == cat, F.col("count"))).alias(f"{name}_count"))
@@ -66,7 +78,7 @@ def dimension_split(facts: DataFrame, dims=("total", "national", "foreign")) ->
     """Per country's latest period: total/national/foreign counts side by
     side, only where a foreign count exists (HAVING), with the foreign share."""
     base = facts.filter(F.col("suspect_dim").isin(*dims))
-    cur = latest_per_group(base, ["source_country"], "period_end", "__pe")
+    cur = latest_per_group(base, ["source_country"], "period_end", "__pe", method="window")
     wide = (cur.groupBy("source_country", "region_code", "crime_category")
             .agg(*[F.max(F.when(F.col("suspect_dim") == d, F.col("count"))).alias(d) for d in dims],
                  F.max("period_end").alias("period_end"))

@@ -38,6 +38,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "harmoniq", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("HARMONIQ_DRIVER_MEMORY", "16g")))
     for k, v in {**CLUSTER_DEFAULTS, **(extra or {})}.items():
