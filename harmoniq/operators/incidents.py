@@ -169,3 +169,34 @@ def domain_confidence(df: DataFrame, group: str, url: str, outlets=POLICE_PR_OUT
                     F.when(F.col("__listed") == 1, F.lit("HIGH"))
                     .when(F.col("n_domains") >= 2, F.lit("MEDIUM"))
                     .otherwise(F.lit("LOW")).alias("confidence"))
+
+
+# S11 + P21: envelopes -> incident records ---------------------------------------------
+_TEXT_FIELDS = ("date_incident", "date_reported", "country", "city", "weapon", "victim_sex_summary",
+                "victim_age_summary", "suspect_description_verbatim", "suspect_origin_as_reported",
+                "location_precision", "region")
+_INT_FIELDS = ("victim_count", "victim_fatal", "suspect_count")
+_ID_FIELDS = ("date_incident", "country", "city", "weapon", "victim_fatal")
+
+
+def envelope_records(env: DataFrame) -> DataFrame:
+    """Envelopes read as VARIANT (``file``, ``block``, ``line_no``, ``v``) -> records.
+    Keeps envelopes that are extracted and carry a non-empty incident;
+    ``<f>_present`` flags tell an absent id field from a JSON null one;
+    ``ordinal`` = (file, line) orders first-wins merges."""
+    inc = F.try_variant_get("v", "$.incident", "variant")
+    keep = (F.coalesce(F.try_variant_get("v", "$.extracted", "boolean"), F.lit(False))
+            & inc.isNotNull() & ~F.to_json(inc).isin("null", "{}"))
+    e = env.filter(keep)
+    cols = [F.struct(F.col("file"), F.col("block"), F.col("line_no")).alias("ordinal")]
+    for f in _TEXT_FIELDS:
+        cols.append(F.try_variant_get("v", f"$.incident.{f}", "string").alias(f))
+    for f in _INT_FIELDS:
+        cols.append(F.try_variant_get("v", f"$.incident.{f}", "bigint").alias(f))
+    for f in ("lat", "lon"):
+        cols.append(F.try_variant_get("v", f"$.incident.{f}", "double").alias(f))
+    cols.append(F.try_variant_get("v", "$.incident.sources", f"array<{SOURCE_STRUCT.simpleString()}>")
+                .alias("sources"))
+    for f in _ID_FIELDS:
+        cols.append(F.try_variant_get("v", f"$.incident.{f}", "variant").isNotNull().alias(f"{f}_present"))
+    return e.select(*cols)

@@ -40,7 +40,7 @@ def read_sections(spark: SparkSession, path: str, section_prefix: str = "Section
     year header row ('<TAB>YYYY<TAB>YYYY...') is searched in the first
     ``header_scan_lines`` lines.  Returns (file, section, label, year,
     raw_value).  A file is parsed inside one partition (ordered lines)."""
-    t = spark.read.option("wholetext", True).text(path).select(
+    t = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), "value")
     lines = t.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "line"))
     is_years = F.col("line").rlike(r"^\s*\t?[0-9]{4}(\t[0-9]{4})+\s*$")
