@@ -107,10 +107,16 @@ def geocode_join(df: DataFrame, cache: DataFrame) -> DataFrame:
         F.nullif(F.col("nuts_code"), F.lit("")).alias("geo_nuts"))
     hint = F.lower(F.trim(F.coalesce(F.col("region"), F.lit(""))))
     city_ok = F.coalesce(F.col("city"), F.lit("")) != ""
-    j = df.join(c, (F.upper(F.coalesce(F.col("country"), F.lit(""))) == F.col("__gc"))
-                & (F.lower(F.trim(F.col("city"))) == F.col("__gcity"))
-                & (hint == F.col("__gh")) & city_ok, "left")
-    return j.drop("__gc", "__gcity", "__gh")
+    # records without a city never match; keeping them out of the join
+    # stops them from forming one hot join key
+    with_city, no_city = df.filter(city_ok), df.filter(~city_ok)
+    j = with_city.join(c, (F.upper(F.coalesce(F.col("country"), F.lit(""))) == F.col("__gc"))
+                       & (F.lower(F.trim(F.col("city"))) == F.col("__gcity"))
+                       & (hint == F.col("__gh")), "left")
+    j = j.drop("__gc", "__gcity", "__gh")
+    return j.unionByName(no_city.select("*", *[F.lit(None).cast(t).alias(n) for n, t in
+                                               (("geo_lat", "double"), ("geo_lon", "double"),
+                                                ("geo_nuts", "string"))]))
 
 
 def location_precision(given, city, geo_lat, geo_lon) -> Column:

@@ -2,8 +2,8 @@
 referential and domain checks.
 
 Rules are evaluated in one pass: every row yields the array of rule names
-it breaks; counts come from one aggregate, samples from a per-rule
-window limited to n rows (never a collect of all violations).
+it breaks; counts come from one aggregate, samples from a salted two-phase
+top-n (never a collect of all violations, never one task per rule).
 """
 
 from __future__ import annotations
@@ -72,18 +72,22 @@ def violations(df: DataFrame, rules: list[tuple[str, Column]], key: list[str]) -
     return (df.select(*key, F.explode(broken_rules(rules)).alias("rule")))
 
 
-def violation_samples(df: DataFrame, rules, key: str, n: int = 10) -> DataFrame:
+def violation_samples(df: DataFrame, rules, key: str, n: int = 10, salt_buckets: int = 64) -> DataFrame:
     """Per rule: count and the first ``n`` offending keys (ascending).
-    Counts are a partial aggregate; samples take the n smallest distinct
-    keys per rule by a sort-based window (spills, never collects a rule's
-    whole violation list)."""
+
+    Counts are a partial aggregate.  Samples are a two-phase top-n: first
+    the n smallest keys per (rule, hash bucket of the key), then the n
+    smallest of those <= n x buckets survivors per rule, so a rule broken
+    by a third of all rows is never sorted inside one task."""
     from pyspark.sql import Window
-    v = violations(df, rules, [key])
-    counts = v.groupBy("rule").agg(F.count(F.lit(1)).alias("n_violations"))
-    w = Window.partitionBy("rule").orderBy(key)
-    samples = (v.distinct().withColumn("__rn", F.row_number().over(w))
-               .filter(F.col("__rn") <= n).groupBy("rule")
-               .agg(F.array_sort(F.collect_list(key)).alias("sample")))
+    v = violations(df, rules, [key]).distinct()
+    counts = violations(df, rules, [key]).groupBy("rule").agg(F.count(F.lit(1)).alias("n_violations"))
+    salted = v.withColumn("__b", F.abs(F.xxhash64(key)) % salt_buckets)
+    w1 = Window.partitionBy("rule", "__b").orderBy(key)
+    first = salted.withColumn("__rn", F.row_number().over(w1)).filter(F.col("__rn") <= n)
+    w2 = Window.partitionBy("rule").orderBy(key)
+    top = first.drop("__rn").withColumn("__rn", F.row_number().over(w2)).filter(F.col("__rn") <= n)
+    samples = top.groupBy("rule").agg(F.array_sort(F.collect_list(key)).alias("sample"))
     return counts.join(samples, "rule", "left")
 
 

@@ -72,3 +72,22 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str],
     overwrite): a country re-run rewrites that country's folder only."""
     (df.write.mode("overwrite").option("compression", compression)
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+
+
+def upsert_partitions(spark, path: str, incoming: DataFrame, keys: list[str], partition_by: list[str],
+                      order: str | None = None, staging: str | None = None) -> DataFrame:
+    """J6 scoped to the partitions the batch touches: only partitions whose
+    values occur in ``incoming`` are read (a semi-join on the partition
+    columns, pruned at runtime by dynamic partition pruning), merged, and
+    rewritten with dynamic partition overwrite; every other partition of a
+    large table is left untouched.  The merged partitions are staged first
+    (``staging``, default ``path + '_staging'``) so the overwrite never
+    reads the files it replaces."""
+    existing = spark.read.parquet(path)
+    touched = incoming.select(*partition_by).distinct()
+    scoped = existing.join(touched, partition_by, "left_semi")
+    merged = upsert(scoped, incoming.select(*existing.columns), keys, order)
+    stage = staging or path.rstrip("/") + "_staging"
+    merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
+    write_partitions(spark.read.parquet(stage).select(*existing.columns), path, partition_by)
+    return spark.read.parquet(path)

@@ -35,26 +35,53 @@ AUTHORITY = "TPCH-DERIVED"
 # -------------------------------------------------------------------------------
 
 
-_SCHEMAS: dict[str, object] = {}
+# declared schemas of the driver tables (S1: read with a schema, no inference job)
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+_SPLITS: dict[str, int] = {}
 _MEMO: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table scan.  The footer-inferred schema is remembered per path
-    so later scans skip inference (planning cost, not data cost)."""
+    """Driver table scan with its declared schema (no inference job)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    ddl = DRIVER_SCHEMAS.get(name)
+    df = spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
+    return spread(df, path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rebalance an under-split scan: a file with a single row group is one
+    task however many cores there are.  When the scan yields fewer splits
+    than the session's parallelism it is round-robined once; on
+    cluster-sized inputs (thousands of splits) this is a no-op."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    n = _SPLITS[key]
+    return df.repartition(par) if n < par and n < 4 else df
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """One lazy DataFrame per (session, key): the same subtree used twice in
     a plan lets Spark reuse its exchange instead of recomputing it."""
-    k = (id(spark._jsparkSession), *key)
+    k = (spark.sparkContext.applicationId, *key)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]

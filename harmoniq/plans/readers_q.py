@@ -246,7 +246,7 @@ def mapping_scan(spark, sf_dir):
     header = tags.select("tag", F.lit(0).alias("o"), F.lit("native_code,native_name,nuts_code,notes").alias("line"))
     comment = tags.select("tag", F.lit(1).alias("o"), F.lit("# generated from the nation table").alias("line"))
     path = scratch_path(spark, "region_maps")
-    (header.unionByName(comment).unionByName(data).repartition(1)
+    (header.unionByName(comment).unionByName(data).repartition("tag")
      .sortWithinPartitions("tag", "o", "line").select("tag", "line").write.partitionBy("tag").text(path))
     m = S.read_mapping(spark, f"{path}/*").withColumn("__f", F.col("_metadata.file_path"))
     m = m.filter(F.col("notes").isin("ok"))                                        # P1

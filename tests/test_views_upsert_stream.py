@@ -149,3 +149,17 @@ def test_stream_equals_batch(spark, scratch):
     latest = allv.filter(F.col("version") == allv.select(F.max("version")).scalar()).drop("version")
     batch = df.groupBy("k").agg(F.max_by("v", F.struct("ts", "v")).alias("v"))
     assert sorted((r["k"], r["v"]) for r in latest.collect()) == sorted((r["k"], r["v"]) for r in batch.collect())
+
+
+def test_upsert_partitions_rewrites_touched_only(spark, scratch):
+    from harmoniq.operators.upsert import upsert_partitions
+    path = scratch("facts")
+    base = spark.createDataFrame([("FR", "a", 1), ("FR", "b", 2), ("DE", "a", 3)], "country string, k string, v long")
+    base.write.partitionBy("country").parquet(path)
+    import glob
+    de_files = sorted(glob.glob(to_local_path(path) + "/country=DE/*.parquet"))
+    inc = spark.createDataFrame([("FR", "a", 10), ("FR", "c", 30)], "country string, k string, v long")
+    out = upsert_partitions(spark, path, inc, ["country", "k"], ["country"])
+    assert sorted((r["country"], r["k"], r["v"]) for r in out.collect()) == \
+        [("DE", "a", 3), ("FR", "a", 10), ("FR", "b", 2), ("FR", "c", 30)]
+    assert sorted(glob.glob(to_local_path(path) + "/country=DE/*.parquet")) == de_files
