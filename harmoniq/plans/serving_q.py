@@ -9,12 +9,13 @@ from pyspark.sql import types as T
 
 from harmoniq.functions.codes import month_window
 from harmoniq.operators import views as V
-from harmoniq.operators.harmonise import SourceSpec, harmonise, literal_table
+from harmoniq.operators.harmonise import SourceSpec, harmonise, literal_table, run_sources
 from harmoniq.plans import register
 from harmoniq.plans.common import (AS_OF, CATEGORY_PAIRS, SQL_FACTS, SQL_REGION_DIM, facts, region_dim,
                                    region_map, table, with_ctes)
 from harmoniq.plans.facts_q import summary
 from harmoniq.plans.views_q import _summary_cte
+from harmoniq.session import scratch_path
 from harmoniq.sql import register_views, run_sql
 
 
@@ -118,7 +119,7 @@ def month_window_q(spark, sf_dir):
 
 
 # ---- X1-X5: one declarative spec drives the generic harmoniser -----------------------------------
-@register("adapter_family", oracle=with_ctes(SQL_REGION_DIM + """,
+ORACLE_FAMILY = with_ctes(SQL_REGION_DIM + """,
 cat(native_label, crime_category) AS (VALUES """ + ", ".join(f"('{k}', '{v}')" for k, v in CATEGORY_PAIRS) + """),
 rmap AS (SELECT n_nationkey AS native_code,
                 'R' || CAST(n_regionkey AS VARCHAR) || chr(65 + n_nationkey) AS nuts_code
@@ -142,7 +143,11 @@ SELECT left(a.region_code, 2) AS source_country, 'family' AS source_authority, '
        CASE WHEN d.population_latest IS NOT NULL THEN 'region_dimension' END AS denominator_source,
        CAST(a.count AS DOUBLE) / CAST(NULLIF(d.population_latest, 0) AS DOUBLE) * 100000.0 AS rate_per_100k,
        CAST(NULL AS VARCHAR) AS notes
-FROM a LEFT JOIN rdim d ON d.code = a.region_code"""))
+FROM a LEFT JOIN rdim d ON d.code = a.region_code""")
+_CANON_COLS = [f.name for f in __import__("harmoniq.schema", fromlist=["x"]).CRIME_AGGREGATES.fields]
+
+
+@register("adapter_family", oracle=ORACLE_FAMILY)
 def adapter_family(spark, sf_dir):
     """All regions in one plan: the spec's row source is the joined line
     items; country comes from the mapped region code (X3 reads once)."""
@@ -156,3 +161,33 @@ def adapter_family(spark, sf_dir):
                       region="s_nationkey", region_map=region_map(spark, sf_dir),
                       retention="recent", keep_years=3)
     return harmonise(spark, x, spec, region_dim(spark, sf_dir), as_of=AS_OF)
+
+
+def _family_input(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    return (li.join(s, li.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
+            .select("s_nationkey", "n_regionkey", F.concat_ws("|", "l_returnflag", "l_linestatus").alias("native"),
+                    F.col("l_quantity").cast("bigint").alias("qty"), F.year("l_shipdate").alias("yr")))
+
+
+def _family_spec(spark, sf_dir, row_filter=None):
+    return SourceSpec(country=None, authority="family", url="tpch://lineitem",
+                      category_map=CATEGORY_PAIRS, native_category="native", count="qty", year="yr",
+                      region="s_nationkey", region_map=region_map(spark, sf_dir),
+                      retention="recent", keep_years=3, row_filter=row_filter)
+
+
+@register("source_registry", oracle=ORACLE_FAMILY)
+def source_registry(spark, sf_dir):
+    """One source per region run in order into the canonical table
+    (merge on the natural key, partition-scoped); a source whose input is
+    broken is recorded as failed and the others still land."""
+    x = _family_input(spark, sf_dir)
+    sources = [(f"region-{r}", x, _family_spec(spark, sf_dir, F.col("n_regionkey") == r)) for r in range(5)]
+    sources.append(("broken", x, SourceSpec(country="ZZ", authority="x", url="x", category_map=CATEGORY_PAIRS,
+                                            native_category="no_such_column", count="qty", year="yr")))
+    path = scratch_path(spark, "crime_aggregates")
+    run_sources(spark, sources, region_dim(spark, sf_dir), path, as_of=AS_OF)
+    return spark.read.parquet(path).select(*_CANON_COLS)
