@@ -18,6 +18,23 @@ def all_strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+# fixed values: the eight code points where ISO-8859-15 differs from ISO-8859-1
+LATIN1_CHARS = "\u00a4\u00a6\u00a8\u00b4\u00b8\u00bc\u00bd\u00be"
+LATIN9_CHARS = "\u20ac\u0160\u0161\u017d\u017e\u0152\u0153\u0178"
+
+
+def decode_text(content, fallback: str = "ISO-8859-15"):
+    """Bytes -> text: UTF-8 when the bytes are valid UTF-8, else the
+    fallback single-byte charset (ISO-8859-15 = Latin-1 plus eight
+    replaced code points, applied with ``translate``)."""
+    c = F.col(content) if isinstance(content, str) else content
+    utf8 = F.decode(c, "UTF-8")
+    single = F.decode(c, "ISO-8859-1")
+    if fallback.upper() in ("ISO-8859-15", "LATIN-9", "LATIN9"):
+        single = F.translate(single, LATIN1_CHARS, LATIN9_CHARS)
+    return F.when(F.is_valid_utf8(c.cast("string")), utf8).otherwise(single)
+
+
 # S1 --------------------------------------------------------------------------------
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     r = spark.read

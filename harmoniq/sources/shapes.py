@@ -34,15 +34,18 @@ def unfold_cube(cube: DataFrame, dims: list[str], value: str = "value",
 
 # S7 -------------------------------------------------------------------------------------
 def read_sections(spark: SparkSession, path: str, section_prefix: str = "Section\t",
-                  header_scan_lines: int = 30) -> DataFrame:
+                  header_scan_lines: int = 30, fallback_encoding: str = "ISO-8859-15") -> DataFrame:
     """Sectioned text: a line starting with ``section_prefix`` opens a
     section; indented lines are its data rows 'label<TAB>v1<TAB>v2...'; the
     year header row ('<TAB>YYYY<TAB>YYYY...') is searched in the first
     ``header_scan_lines`` lines.  Returns (file, section, label, year,
-    raw_value).  A file is parsed inside one partition (ordered lines)."""
-    t = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), "value")
-    lines = t.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "line"))
+    raw_value).  Bytes are decoded as UTF-8, or as ``fallback_encoding``
+    when they are not valid UTF-8.  A file is parsed inside one partition
+    (ordered lines; these are per-release files)."""
+    from harmoniq.sources.files import decode_text
+    t = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+         .select(F.col("path").alias("file"), decode_text("content", fallback_encoding).alias("value")))
+    lines = t.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
     is_years = F.col("line").rlike(r"^\s*\t?[0-9]{4}(\t[0-9]{4})+\s*$")
     years = (lines.filter(is_years & (F.col("pos") < header_scan_lines))
              .groupBy("file").agg(F.min_by("line", "pos").alias("__yl"))

@@ -49,9 +49,40 @@ def newer_wins(existing: DataFrame, incoming: DataFrame, keys: list[str], order:
 
 
 def upsert_batches(spark: SparkSession, stream: DataFrame, table_root: str, checkpoint: str,
-                   keys: list[str], order: list[str], max_files: int | None = None) -> None:
-    """Each micro-batch merges into the versioned table at
-    ``table_root/version=N`` (N = batch id + 1)."""
+                   keys: list[str], order: list[str], partition_by: list[str] | None = None) -> None:
+    """Each micro-batch merges into the table at ``table_root``.
+
+    Without ``partition_by`` the merged table is written as version
+    ``batch_id + 1`` (small tables).  With ``partition_by`` (large tables;
+    the partition columns must be functions of the key) only the
+    partitions the batch touches are merged and rewritten in place; the
+    merge is idempotent, so a retried batch changes nothing."""
+    if partition_by:
+        from harmoniq.operators.upsert import write_partitions
+
+        def merge_scoped(batch: DataFrame, batch_id: int) -> None:
+            cols = batch.columns
+            # newer row per key inside the batch, then newer-wins against the table
+            b = newer_wins(batch.limit(0), batch, keys, order)
+            try:
+                existing = spark.read.parquet(table_root)
+            except Exception as e:  # noqa: BLE001  first batch creates the table
+                if "PATH_NOT_FOUND" not in str(e) and "Unable to infer schema" not in str(e):
+                    raise
+                b.write.partitionBy(*partition_by).parquet(table_root)
+                return
+            touched = b.select(*partition_by).distinct()
+            scoped = existing.join(touched, partition_by, "left_semi").select(*cols)
+            merged = newer_wins(scoped, b, keys, order)
+            stage = f"{table_root.rstrip('/')}_staging/batch={batch_id}"
+            merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
+            write_partitions(spark.read.parquet(stage).select(*cols), table_root, partition_by)
+
+        q = (stream.writeStream.foreachBatch(merge_scoped).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         target = f"{table_root}/version={batch_id + 1}"
         try:

@@ -163,3 +163,34 @@ def test_upsert_partitions_rewrites_touched_only(spark, scratch):
     assert sorted((r["country"], r["k"], r["v"]) for r in out.collect()) == \
         [("DE", "a", 3), ("FR", "a", 10), ("FR", "b", 2), ("FR", "c", 30)]
     assert sorted(glob.glob(to_local_path(path) + "/country=DE/*.parquet")) == de_files
+
+
+def test_sections_with_latin9_fallback(spark, scratch):
+    from harmoniq.sources.shapes import read_sections, section_counts
+    root = to_local_path(scratch("sections"))
+    os.makedirs(root, exist_ok=True)
+    body = ("Infracciones penales\n\n\t2023\t2024\nSection\tÁlava\n    Homicidios\t1.234\t-\n"
+            "    Robos con violencia\t.\t56\nSection\tCastellón €\n    Homicidios\t7\t8\n")
+    with open(os.path.join(root, "utf8.txt"), "w", encoding="utf-8") as f:
+        f.write(body)
+    with open(os.path.join(root, "latin9.txt"), "w", encoding="iso-8859-15") as f:
+        f.write(body)
+    got = sorted((r["file"].rsplit("/", 1)[-1], r["section"], r["label"], r["year"], r["count"])
+                 for r in section_counts(read_sections(spark, root)).collect())
+    expect = [("Castellón €", "Homicidios", 2023, 7), ("Castellón €", "Homicidios", 2024, 8),
+              ("Álava", "Homicidios", 2023, 1234), ("Álava", "Robos con violencia", 2024, 56)]
+    assert got == sorted([("latin9.txt", *e) for e in expect] + [("utf8.txt", *e) for e in expect])
+
+
+def test_stream_upsert_partition_scoped(spark, scratch):
+    land = scratch("land2")
+    rows = [(i % 9, (i % 9) % 3, f"2024-01-{1 + i % 28:02d} 00:00:00", i) for i in range(80)]
+    df = spark.createDataFrame(rows, "k long, p long, ts string, v long").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz"))
+    df.repartition(5).write.parquet(land)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(land)
+    root, ck = scratch("scoped"), scratch("ck3")
+    I.upsert_batches(spark, stream, root, ck, ["k"], ["ts", "v"], partition_by=["p"])
+    got = sorted((r["k"], r["v"]) for r in spark.read.parquet(root).collect())
+    batch = df.groupBy("k").agg(F.max_by("v", F.struct("ts", "v")).alias("v"))
+    assert got == sorted((r["k"], r["v"]) for r in batch.collect())
