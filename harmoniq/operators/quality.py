@@ -31,23 +31,28 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFra
                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
+def _sql_list(vals) -> str:
+    return ", ".join(f"'{v}'" for v in vals)
+
+
+# Q2 rules of crime_aggregates: (name, SQL predicate true when violated)
+AGGREGATE_RULES_SQL = [
+    ("source_country_len", "length(source_country) <> 2"),
+    ("period_type_enum", f"period_type NOT IN ({_sql_list(PERIOD_TYPES)})"),
+    ("region_level_range", "NOT (region_level BETWEEN 0 AND 3)"),
+    ("crime_category_enum", f"crime_category NOT IN ({_sql_list(CRIME_CATEGORIES)})"),
+    ("suspect_dim_enum", f"suspect_dim NOT IN ({_sql_list(SUSPECT_DIMS)})"),
+    ("count_non_negative", "count < 0"),
+    ("period_order", "period_end < period_start"),
+] + [(f"{c}_not_null", f"{c} IS NULL") for c in (
+    "source_country", "source_authority", "source_url", "source_file_hash", "retrieved_at", "period_start",
+    "period_end", "period_type", "region_code", "region_level", "crime_category", "crime_category_native",
+    "suspect_dim", "count")]
+
+
 def aggregate_rules() -> list[tuple[str, Column]]:
-    """Q2 rules of crime_aggregates as (name, violated-when) pairs."""
-    c = F.col
-    rules = [
-        ("source_country_len", F.length(c("source_country")) != 2),
-        ("period_type_enum", ~c("period_type").isin(*PERIOD_TYPES)),
-        ("region_level_range", ~c("region_level").between(0, 3)),
-        ("crime_category_enum", ~c("crime_category").isin(*CRIME_CATEGORIES)),
-        ("suspect_dim_enum", ~c("suspect_dim").isin(*SUSPECT_DIMS)),
-        ("count_non_negative", c("count") < 0),
-        ("period_order", c("period_end") < c("period_start")),
-    ]
-    for f in ("source_country", "source_authority", "source_url", "source_file_hash",
-              "retrieved_at", "period_start", "period_end", "period_type", "region_code",
-              "region_level", "crime_category", "crime_category_native", "suspect_dim", "count"):
-        rules.append((f"{f}_not_null", c(f).isNull()))
-    return rules
+    """Q2 rules of crime_aggregates as (name, violated-when) Columns."""
+    return [(n, F.expr(p)) for n, p in AGGREGATE_RULES_SQL]
 
 
 def broken_rules(rules: list[tuple[str, Column]]) -> Column:

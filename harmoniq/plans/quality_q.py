@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from harmoniq.operators import quality as Q
 from harmoniq.operators.dims import with_hierarchy
 from harmoniq.plans import register
-from harmoniq.plans.common import facts, nation_code, region_dim, table
+from harmoniq.plans.common import SQL_FACTS, facts, nation_code, region_dim, table, with_ctes
 
 # fixed values: rule set for the orders demo (name, SQL predicate that flags a violation)
 ORDER_RULES = [
@@ -58,7 +58,9 @@ def violation_samples(spark, sf_dir):
     return Q.violation_samples(table(spark, sf_dir, "events"), _rules(EVENT_RULES), "event_id", 10)
 
 
-@register("canonical_rules")
+@register("canonical_rules", oracle=with_ctes(SQL_FACTS, " UNION ALL ".join(
+    f"SELECT '{n}' AS rule, COUNT(*) FILTER (WHERE COALESCE({p}, false)) AS n_violations FROM facts"
+    for n, p in Q.AGGREGATE_RULES_SQL)))
 def canonical_rules(spark, sf_dir):
     """Q2 on the canonical fact table: every rule must count zero."""
     return Q.rule_counts(facts(spark, sf_dir), Q.aggregate_rules())

@@ -194,3 +194,15 @@ def test_stream_upsert_partition_scoped(spark, scratch):
     got = sorted((r["k"], r["v"]) for r in spark.read.parquet(root).collect())
     batch = df.groupBy("k").agg(F.max_by("v", F.struct("ts", "v")).alias("v"))
     assert got == sorted((r["k"], r["v"]) for r in batch.collect())
+
+
+def test_point_in_polygon_holes_and_multipolygons(spark):
+    from harmoniq.operators.spatial import assign_regions
+    regions = spark.createDataFrame([
+        ("A", '{"type":"Polygon","coordinates":[[[0,0],[4,0],[4,4],[0,4],[0,0]],[[1,1],[2,1],[2,2],[1,2],[1,1]]]}'),
+        ("B", '{"type":"MultiPolygon","coordinates":[[[[10,10],[11,10],[11,11],[10,10]]],[[[20,0],[22,0],[22,2],[20,2],[20,0]]]]}'),
+    ], "code string, geometry string")
+    pts = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 1.5), (3, 21.0, 1.0), (4, 10.8, 10.2), (5, 10.2, 10.8),
+                                 (6, 50.0, 50.0)], "id long, lon double, lat double")
+    got = {r["id"]: r["region_code"] for r in assign_regions(pts, regions, "id", cell=1.0).collect()}
+    assert got == {1: "A", 2: None, 3: "B", 4: "B", 5: None, 6: None}
