@@ -97,4 +97,4 @@ def html_strip_cap(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     full = F.regexp_replace(F.regexp_replace("html", r"<[^>]+>", " "), r"^\s+|\s+$", "")
     return p.select("page_id", F.left(full, F.lit(1500)).alias("lead"),
-                    F.length(full).alias("full_chars"))
+                    F.length(full).cast("bigint").alias("full_chars"))

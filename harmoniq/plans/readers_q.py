@@ -294,8 +294,8 @@ def write_region_geojson(spark, sf_dir):
 SELECT 'R' || CAST(n_regionkey AS VARCHAR) || chr(65 + n_nationkey) AS code,
        CASE WHEN n_nationkey >= 20 THEN lower(n_name) ELSE n_name END AS name,
        1 AS level, 'R' || CAST(n_regionkey AS VARCHAR) AS country,
-       n_nationkey * 2.0 + CASE WHEN n_regionkey IN (1, 3) THEN 5.5 ELSE 0.5 END AS centroid_lon,
-       n_regionkey * 3.0 + CASE WHEN n_regionkey IN (1, 3) THEN 5.5 ELSE 0.5 END AS centroid_lat
+       CAST(n_nationkey * 2.0 + CASE WHEN n_regionkey IN (1, 3) THEN 5.5 ELSE 0.5 END AS DOUBLE) AS centroid_lon,
+       CAST(n_regionkey * 3.0 + CASE WHEN n_regionkey IN (1, 3) THEN 5.5 ELSE 0.5 END AS DOUBLE) AS centroid_lat
 FROM nation WHERE n_regionkey IN (0, 1, 2, 3)""")
 def geojson_centroid(spark, sf_dir):
     path = write_region_geojson(spark, sf_dir)

@@ -121,9 +121,9 @@ def overview(spark, sf_dir):
 
 
 # ---- N6: point-in-polygon over the nation squares written as GeoJSON --------------------------
-PIP_LON_SQL = ("n_nationkey * 2.0 + CASE WHEN c_mktsegment = 'MACHINERY' THEN 1.5 "
-               "ELSE ((c_custkey % 97) + 1) / 100.0 END")
-PIP_LAT_SQL = "n_regionkey * 3.0 + ((c_custkey % 89) + 1) / 100.0"
+PIP_LON_SQL = ("CAST(n_nationkey * 2.0 + CASE WHEN c_mktsegment = 'MACHINERY' THEN 1.5 "
+               "ELSE ((c_custkey % 97) + 1) / 100.0 END AS DOUBLE)")
+PIP_LAT_SQL = "CAST(n_regionkey * 3.0 + ((c_custkey % 89) + 1) / 100.0 AS DOUBLE)"
 
 
 @register("point_in_polygon", oracle=f"""

@@ -249,8 +249,8 @@ def _summary_cte() -> str:
 
 @register("sibling_rank", oracle=with_ctes(_summary_cte(), """
 SELECT region_code, source_country, region_level, homicide_rate,
-       row_number() OVER (PARTITION BY source_country, region_level
-                          ORDER BY homicide_rate DESC, region_code) AS rank,
+       CAST(row_number() OVER (PARTITION BY source_country, region_level
+                               ORDER BY homicide_rate DESC, region_code) AS INTEGER) AS rank,
        COUNT(*) OVER (PARTITION BY source_country, region_level) AS of_n
 FROM summary WHERE homicide_rate IS NOT NULL"""))
 def sibling_rank(spark, sf_dir):
