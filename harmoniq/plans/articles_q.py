@@ -7,7 +7,6 @@ import re
 
 from pyspark.sql import functions as F
 
-from harmoniq.functions.text import strip_html
 from harmoniq.functions.urls import lang_key
 from harmoniq.operators.articles import (article_text, dedupe_by_url, keyword_filter,
                                          normalize_url)

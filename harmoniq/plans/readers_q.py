@@ -5,7 +5,6 @@ query.  The derived files grow with the tables (no row caps)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -9,7 +9,7 @@ from harmoniq.operators import views as V
 from harmoniq.operators.harmonise import attach_population, canonicalise, map_values, with_rate
 from harmoniq.plans import register
 from harmoniq.session import materialize
-from harmoniq.plans.common import (AS_OF, AUTHORITY, CATEGORY_PAIRS, SQL_FACTS, SQL_REGION_DIM,
+from harmoniq.plans.common import (AS_OF, AUTHORITY, CATEGORY_PAIRS, SQL_FACTS,
                                    facts, region_dim, region_map, table, with_ctes)
 from harmoniq.plans.facts_q import SQL_SUMMARY_BODY, summary
 
