@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from harmoniq.operators import quality as Q
 from harmoniq.operators.dims import with_hierarchy
 from harmoniq.plans import register
-from harmoniq.plans.common import SQL_FACTS, facts, nation_code, region_dim, table, with_ctes
+from harmoniq.plans.common import SQL_FACTS, facts_table, nation_code, region_dim, table, with_ctes
 
 # fixed values: rule set for the orders demo (name, SQL predicate that flags a violation)
 ORDER_RULES = [
@@ -63,7 +63,7 @@ def violation_samples(spark, sf_dir):
     for n, p in Q.AGGREGATE_RULES_SQL)))
 def canonical_rules(spark, sf_dir):
     """Q2 on the canonical fact table: every rule must count zero."""
-    return Q.rule_counts(facts(spark, sf_dir), Q.aggregate_rules())
+    return Q.rule_counts(facts_table(spark, sf_dir), Q.aggregate_rules())
 
 
 @register("dup_keys", oracle="""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from harmoniq.operators.incidents import domain_confidence
 from harmoniq.plans import register
-from harmoniq.plans.common import SQL_FACTS, facts, table, with_ctes
+from harmoniq.plans.common import SQL_FACTS, facts_table, table, with_ctes
 from harmoniq.plans.facts_q import summary
 from harmoniq.plans.incidents_q import BUCKET_SQL, DEMO_OUTLETS, HOST_SQL, page_bucket
 from harmoniq.plans.views_q import _summary_cte
@@ -29,7 +29,7 @@ FROM l""".lstrip()))
 def yoy_delta(spark, sf_dir):
     """Lag within (region, category) ordered by year; a gap year yields no
     delta.  Window partitions hold one series (years), not a country."""
-    f = facts(spark, sf_dir).filter(F.col("suspect_dim") == "total").select(
+    f = facts_table(spark, sf_dir).filter(F.col("suspect_dim") == "total").select(
         "region_code", "crime_category", F.year("period_end").cast("int").alias("year"), "count")
     w = Window.partitionBy("region_code", "crime_category").orderBy("year")
     py, pc = F.lag("year").over(w), F.lag("count").over(w)
@@ -100,7 +100,7 @@ SELECT c.source_country, k.crime_category,
 FROM c CROSS JOIN k LEFT JOIN have h ON h.source_country = c.source_country AND h.crime_category = k.crime_category
 """.lstrip()))
 def not_published(spark, sf_dir):
-    f = facts(spark, sf_dir)
+    f = facts_table(spark, sf_dir)
     grid = f.select("source_country").distinct().select(
         "source_country", F.explode(F.array(*[F.lit(x) for x in CRIME_CATEGORIES])).alias("crime_category"))
     have = f.groupBy("source_country", "crime_category").agg(F.count(F.lit(1)).alias("n"))

@@ -11,7 +11,7 @@ from harmoniq.functions.codes import month_window
 from harmoniq.operators import views as V
 from harmoniq.operators.harmonise import SourceSpec, harmonise, literal_table, run_sources
 from harmoniq.plans import register
-from harmoniq.plans.common import (AS_OF, CATEGORY_PAIRS, SQL_FACTS, SQL_REGION_DIM, facts, region_dim,
+from harmoniq.plans.common import (AS_OF, CATEGORY_PAIRS, SQL_FACTS, SQL_REGION_DIM, facts_table, region_dim,
                                    region_map, table, with_ctes)
 from harmoniq.plans.facts_q import summary
 from harmoniq.plans.views_q import _summary_cte
@@ -25,7 +25,7 @@ SELECT min(period_start) AS min_period, max(period_end) AS max_period, COUNT(*)
        COUNT(DISTINCT region_code) AS n_regions, TIMESTAMP '{AS_OF:%Y-%m-%d %H:%M:%S}' AS finished_at
 FROM facts"""))
 def run_stats(spark, sf_dir):
-    f = facts(spark, sf_dir)
+    f = facts_table(spark, sf_dir)
     return f.agg(F.min("period_start").alias("min_period"), F.max("period_end").alias("max_period"),
                  F.count(F.lit(1)).alias("n_rows"), F.count_distinct("region_code").alias("n_regions"),
                  F.lit(AS_OF).cast("timestamp_ntz").alias("finished_at"))
@@ -54,7 +54,7 @@ lst(iso) AS (VALUES {", ".join(f"('{c}')" for c in STATUS_LIST)})
 SELECT l.iso, m.latest_period_end, m.n_rows FROM lst l LEFT JOIN meta m ON m.country = l.iso
 ORDER BY l.iso""".lstrip()))
 def status_list(spark, sf_dir):
-    meta = V.freshness(facts(spark, sf_dir)).select("country", "latest_period_end", "n_rows")
+    meta = V.freshness(facts_table(spark, sf_dir)).select("country", "latest_period_end", "n_rows")
     lst = literal_table(spark, [(c,) for c in STATUS_LIST], T.StructType([T.StructField("iso", T.StringType())]))
     return (lst.join(meta, lst.iso == meta.country, "left")
             .select("iso", "latest_period_end", "n_rows").orderBy("iso"))
@@ -68,7 +68,7 @@ FROM summary s LEFT JOIN meta m ON m.country = left(s.region_code, 2)
 WHERE s.region_level > 0 OR s.source_country IN ('R0')""".lstrip()))
 def detail_lookup(spark, sf_dir):
     s = summary(spark, sf_dir).filter((F.col("region_level") > 0) | F.col("source_country").isin("R0"))  # P25
-    meta = V.freshness(facts(spark, sf_dir)).select("country", "latest_period_end", "n_rows")
+    meta = V.freshness(facts_table(spark, sf_dir)).select("country", "latest_period_end", "n_rows")
     j = s.join(meta, F.left(s.region_code, F.lit(2)) == meta.country, "left")
     return j.select("region_code", "region_level", "homicide_rate", "latest_period_end", "n_rows")
 
@@ -91,7 +91,7 @@ ORDER BY rate_per_100k DESC, region_code, year LIMIT 10"""
 @register("sql_top10", oracle=with_ctes(SQL_FACTS, SQL_TOP10.replace("crime_aggregates", "facts")
                                         .replace("AS INT)", "AS INTEGER)")))
 def sql_top10(spark, sf_dir):
-    register_views({"crime_aggregates": facts(spark, sf_dir)})
+    register_views({"crime_aggregates": facts_table(spark, sf_dir)})
     return run_sql(spark, SQL_TOP10, cap=1000)
 
 

@@ -10,7 +10,7 @@ from harmoniq.operators.harmonise import attach_population, canonicalise, map_va
 from harmoniq.plans import register
 from harmoniq.session import materialize
 from harmoniq.plans.common import (AS_OF, AUTHORITY, CATEGORY_PAIRS, SQL_FACTS,
-                                   facts, region_dim, region_map, table, with_ctes)
+                                   facts_table, region_dim, region_map, table, with_ctes)
 from harmoniq.plans.facts_q import SQL_SUMMARY_BODY, summary
 
 
@@ -97,26 +97,26 @@ SELECT source_country AS country, max(period_end) AS latest_period_end,
        COUNT(DISTINCT region_code) AS n_regions, max(source_authority) AS authority
 FROM facts GROUP BY source_country"""))
 def freshness_meta(spark, sf_dir):
-    return V.freshness(facts(spark, sf_dir))
+    return V.freshness(facts_table(spark, sf_dir))
 
 
 @register("country_list", oracle=with_ctes(SQL_FACTS, """
 SELECT DISTINCT source_country FROM facts ORDER BY source_country"""))
 def country_list(spark, sf_dir):
-    return V.distinct_sorted(facts(spark, sf_dir), "source_country")
+    return V.distinct_sorted(facts_table(spark, sf_dir), "source_country")
 
 
 @register("year_span", oracle=with_ctes(SQL_FACTS, """
 SELECT min(year(period_end)) AS min_year, max(year(period_end)) AS max_year FROM facts"""))
 def year_span(spark, sf_dir):
-    return V.year_span(facts(spark, sf_dir))
+    return V.year_span(facts_table(spark, sf_dir))
 
 
 # ---- A11: history + derived umbrella ----------------------------------------------------------
 def history_with_rollup(spark, sf_dir):
     """History rows for nations plus region-level rows that carry the
     umbrella category directly (so those are never derived)."""
-    f = facts(spark, sf_dir)
+    f = facts_table(spark, sf_dir)
     hist = V.history_rows(f)
     region_rows = (hist.groupBy(country_of("region_code").alias("region_code"), "yr")
                    .agg(F.sum("count").alias("count")))
@@ -264,7 +264,7 @@ SELECT region_code, CAST(year(period_end) AS INTEGER) AS year, crime_category,
 FROM facts WHERE count > 0 AND rate_per_100k IS NOT NULL
 ORDER BY rate_per_100k DESC, region_code, period_end, crime_category LIMIT 10"""))
 def top_k(spark, sf_dir):
-    f = facts(spark, sf_dir).filter((F.col("count") > 0) & F.col("rate_per_100k").isNotNull())
+    f = facts_table(spark, sf_dir).filter((F.col("count") > 0) & F.col("rate_per_100k").isNotNull())
     top = V.top_k(f, [F.desc("rate_per_100k"), "region_code", "period_end", "crime_category"], 10)
     return top.select("region_code", F.year("period_end").cast("int").alias("year"),
                       "crime_category", F.round("rate_per_100k", 2).alias("rate"))
