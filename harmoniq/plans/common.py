@@ -55,7 +55,6 @@ DRIVER_SCHEMAS = {
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 _SPLITS: dict[str, int] = {}
-_MEMO: dict[tuple, DataFrame] = {}
 
 
 # tables whose size grows with the scale factor (dimensions like region and
@@ -84,12 +83,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """One lazy DataFrame per (session, key): the same subtree used twice in
-    a plan lets Spark reuse its exchange instead of recomputing it."""
-    k = (spark.sparkContext.applicationId, *key)
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
+    """One DataFrame per (session, key), kept on the session object itself:
+    the same subtree used twice in a plan lets Spark reuse its exchange, and
+    another session never receives a frame bound to this one."""
+    memo = spark.__dict__.setdefault("_harmoniq_memo", {})
+    if key not in memo:
+        memo[key] = build()
+    return memo[key]
 
 
 def nation_code(regionkey, nationkey):
