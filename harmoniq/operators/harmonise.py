@@ -211,9 +211,8 @@ class SourceSpec:
 def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: DataFrame,
               as_of=None, file_hash: str = "") -> DataFrame:
     """Generic normalise: filter -> map category (J1) -> map region (J2) ->
-    retention (P11/P12, on rows, before the shuffle) -> sum + native
-    examples (A1/A2) -> population (J4) -> rate (F1) -> canonical
-    projection (P18)."""
+    sum + native examples (A1/A2) -> retention on the aggregate (P11/P12)
+    -> population (J4) -> rate (F1) -> canonical projection (P18)."""
     if spec.row_filter is not None:
         df = df.filter(spec.row_filter)
     cat = literal_map(spark, spec.category_map, "__native", "crime_category")
@@ -225,13 +224,17 @@ def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: Dat
     else:
         df = df.withColumn("region_code", F.lit(spec.country))
     df = df.withColumn("__year", F.col(spec.year).cast("int"))
-    if spec.retention == "recent":
-        df = keep_recent(df, "__year", spec.keep_years)
-    elif spec.retention == "latest":
-        df = keep_latest(df, "__year")
     agg = sum_counts(df.withColumn("__count", F.col(spec.count)),
                      ["region_code", "crime_category", "__year", *spec.group_extra],
                      count="__count", native=spec.native_category)
+    if spec.retention in ("recent", "latest"):
+        # the year is a group key, so cutting after the sum equals cutting
+        # before it; the small aggregate is checkpointed so the max-year
+        # subquery does not re-read and re-join the source rows
+        from harmoniq.session import materialize
+        agg = materialize(agg)
+        agg = keep_recent(agg, "__year", spec.keep_years) if spec.retention == "recent" \
+            else keep_latest(agg, "__year")
     agg = with_rate(attach_population(agg, regions))
     if as_of is None:
         retrieved = F.current_timestamp().cast("timestamp_ntz")

@@ -168,3 +168,26 @@ def test_complete_years_and_unit_preference(spark):
     u = spark.createDataFrame([("i1", "Victime"), ("i1", "Infraction"), ("i2", "Infraction")], "ind string, unit string")
     got = sorted((r["ind"], r["unit"]) for r in H.prefer_unit(u, "ind", "unit", "Victime", "Infraction").collect())
     assert got == [("i1", "Victime"), ("i2", "Infraction")]
+
+
+def test_run_sources_order_and_isolation(spark, scratch):
+    """Later sources replace earlier rows on the natural key (NULL == ''),
+    a broken source is recorded and skipped, others still land."""
+    rows = spark.createDataFrame([("A", "DE1", 2024, 5), ("A", "DE2", 2024, 7), ("B", "DE1", 2023, 1)],
+                                 "label string, area string, year int, n long")
+    dims = spark.createDataFrame([("DE1", 1000), ("DE2", 2000)], REGIONS)
+    areas = H.literal_map(spark, [("DE1", "DE1"), ("DE2", "DE2")], "native", "code")
+    base = dict(country="DE", url="u", category_map=[("A", "homicide"), ("B", "robbery_violent")],
+                native_category="label", count="n", year="year", region="area", region_map=areas, retention="all")
+    supplement = rows.filter(F.col("area") == "DE1").withColumn("n", F.col("n") * 10)
+    sources = [("native", rows, H.SourceSpec(authority="native", **base)),
+               ("broken", rows, H.SourceSpec(authority="x", **{**base, "count": "missing_col"})),
+               ("supplement", supplement, H.SourceSpec(authority="supplement", **base))]
+    path = scratch("canon")
+    runs = {r["source"]: r for r in H.run_sources(spark, sources, dims, path, as_of="2025-01-01 00:00:00").collect()}
+    assert runs["native"]["status"] == "ok" and runs["native"]["n_rows"] == 3
+    assert runs["broken"]["status"] == "failed" and runs["broken"]["error"]
+    out = {(r["region_code"], r["crime_category"], r["period_start"].year): (r["count"], r["source_authority"])
+           for r in spark.read.parquet(path).collect()}
+    assert out == {("DE1", "homicide", 2024): (50, "supplement"), ("DE2", "homicide", 2024): (7, "native"),
+                   ("DE1", "robbery_violent", 2023): (10, "supplement")}
