@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from harmoniq.functions.codes import label_by_rules, period_code_year
 from harmoniq.functions.metrics import bbox_centre
 from harmoniq.functions.text import first_non_empty
-from harmoniq.operators.harmonise import literal_table
+from harmoniq.operators.harmonise import keep_latest, literal_table
 from harmoniq.plans import register
 from harmoniq.plans.common import nation_code, table
 from harmoniq.session import scratch_path
@@ -326,3 +326,22 @@ def release_pick(spark, sf_dir):
     o.withColumn("release", name).write.partitionBy("release").parquet(path)
     landed = spark.read.parquet(path).withColumn("name", F.col("_metadata.file_path"))
     return H.pick_release(landed, AS_OF, 6).select("o_orderkey", "o_orderdate")
+
+
+# ---- P9 P10 P8 P12: a sheet whose years are columns ------------------------------------------------
+@register("year_columns_scan", oracle="""
+WITH c AS (SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS value
+           FROM orders GROUP BY 1, 2)
+SELECT o_orderpriority, year, value FROM c WHERE year = (SELECT max(year) FROM c)""")
+def year_columns_scan(spark, sf_dir):
+    """Counts per priority with one column per year (headers padded with
+    stray spaces, as spreadsheets deliver them) -> cleaned names -> year
+    columns found by shape -> unpivot -> latest year only."""
+    o = table(spark, sf_dir, "orders")
+    wide = (o.withColumn("y", F.concat(F.lit(" "), F.year("o_orderdate").cast("string"), F.lit("  ")))
+            .groupBy("o_orderpriority").pivot("y").agg(F.count(F.lit(1))))
+    path = scratch_path(spark, "year_columns")
+    wide.write.parquet(path)
+    tidy = H.clean_columns(spark.read.parquet(path))
+    long = H.unpivot_years(tidy, ["o_orderpriority"]).filter(F.col("value").isNotNull())
+    return keep_latest(long, "year")

@@ -119,3 +119,24 @@ def pick_release(landed: DataFrame, as_of, n: int = 6, name_col: str = "name") -
     hit = files.filter(F.array_contains(release_candidates(as_of, n), F.col("release_end")))
     newest = hit.select(F.max("release_end")).scalar()
     return hit.filter(F.col("release_end") == newest)
+
+
+# P9 / P10 ------------------------------------------------------------------------------------
+def clean_columns(df: DataFrame) -> DataFrame:
+    """P10: column names with whitespace runs collapsed and trimmed (a
+    metadata-only rename)."""
+    import re
+    return df.toDF(*[re.sub(r"\s+", " ", c).strip() for c in df.columns])
+
+
+def year_columns(df: DataFrame) -> list[str]:
+    """The columns whose (cleaned) name is a 4-digit year, in order."""
+    import re
+    return [c for c in df.columns if re.fullmatch(r"[0-9]{4}", c)]
+
+
+def unpivot_years(df: DataFrame, ids: list[str], value: str = "value") -> DataFrame:
+    """Wide year columns -> (ids..., year, value) rows (P8 on P9's columns)."""
+    years = year_columns(df)
+    long = df.unpivot(ids, years, "year", value)
+    return long.withColumn("year", F.col("year").cast("int"))

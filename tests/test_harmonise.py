@@ -191,3 +191,17 @@ def test_run_sources_order_and_isolation(spark, scratch):
            for r in spark.read.parquet(path).collect()}
     assert out == {("DE1", "homicide", 2024): (50, "supplement"), ("DE2", "homicide", 2024): (7, "native"),
                    ("DE1", "robbery_violent", 2023): (10, "supplement")}
+
+
+def test_conform_strict_schema(spark):
+    import pytest
+    from harmoniq.schema import CRIME_AGGREGATES
+    df = spark.createDataFrame([("FR", "x")], "source_country string, extra string")
+    with pytest.raises(Q.SchemaMismatch):
+        Q.conform(df, CRIME_AGGREGATES)
+    loose = Q.conform(df.drop("extra"), CRIME_AGGREGATES, strict=False)
+    assert loose.schema.names == CRIME_AGGREGATES.names
+    bad = spark.createDataFrame([("FR", "notanumber")], "source_country string, count string")
+    typed = Q.conform(bad, T.StructType([T.StructField("source_country", T.StringType()),
+                                         T.StructField("count", T.LongType())]))
+    assert typed.first()["count"] is None
