@@ -239,7 +239,7 @@ def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: Dat
     if as_of is None:
         retrieved = F.current_timestamp().cast("timestamp_ntz")
     else:
-        retrieved = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+        retrieved = as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("timestamp_ntz")
     country = F.lit(spec.country) if spec.country is not None else country_of("region_code")
     return canonicalise(
         agg,

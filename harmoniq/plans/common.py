@@ -59,7 +59,8 @@ _SPLITS: dict[str, int] = {}
 
 # tables whose size grows with the scale factor (dimensions like region and
 # nation stay a few rows and are never rebalanced)
-GROWING = {"lineitem", "orders", "customer", "part", "events", "documents", "pages", "conversations"}
+GROWING = {"lineitem", "orders", "customer", "supplier", "part", "events", "documents", "pages",
+           "conversations"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -179,7 +180,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_authority=AUTHORITY,
         source_url=F.concat(F.lit("tpch://lineitem/"), F.col("year").cast("string")),
         source_file_hash="",
-        retrieved_at=F.lit(AS_OF).cast("timestamp_ntz"),
+        retrieved_at=F.lit(str(AS_OF)).cast("timestamp_ntz"),
         period_start=year_start("year"), period_end=year_end("year"),
         period_type="year", region_level=level_of("region_code"),
         suspect_dim="total",

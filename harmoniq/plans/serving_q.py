@@ -28,7 +28,7 @@ def run_stats(spark, sf_dir):
     f = facts_table(spark, sf_dir)
     return f.agg(F.min("period_start").alias("min_period"), F.max("period_end").alias("max_period"),
                  F.count(F.lit(1)).alias("n_rows"), F.count_distinct("region_code").alias("n_regions"),
-                 F.lit(AS_OF).cast("timestamp_ntz").alias("finished_at"))
+                 F.lit(str(AS_OF)).cast("timestamp_ntz").alias("finished_at"))
 
 
 @register("parse_stats", oracle="""

@@ -38,7 +38,7 @@ def split_facts(spark, sf_dir):
            .agg(F.sum("qty").alias("count")))
     return canonicalise(agg, source_country=country_of("region_code"), source_authority=AUTHORITY,
                         source_url="tpch://lineitem", source_file_hash="",
-                        retrieved_at=F.lit(AS_OF).cast("timestamp_ntz"),
+                        retrieved_at=F.lit(str(AS_OF)).cast("timestamp_ntz"),
                         period_start=F.make_date("year", F.lit(1), F.lit(1)),
                         period_end=year_end("year"), period_type="year",
                         region_level=F.lit(1), crime_category_native=F.col("crime_category"))
