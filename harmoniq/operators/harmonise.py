@@ -24,11 +24,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def lookup_side(df: DataFrame) -> DataFrame:
-    """Broadcast a lookup only when its size is proven small: a local
-    relation (literal rows from code).  Anything read from storage is left to
-    AQE's runtime size check."""
-    return F.broadcast(df) if df.isLocal() else df
+def is_literal(df: DataFrame) -> bool:
+    """True for tables built from rows written in code (bounded by code)."""
+    return bool(getattr(df, "_harmoniq_literal", False)) or df.isLocal()
+
+
+def lookup_side(df: DataFrame, literal: bool | None = None) -> DataFrame:
+    """Broadcast a lookup only when its size is proven small: literal rows
+    from code.  Anything read from storage is left to AQE's runtime size
+    check (broadcast below the threshold, sort-merge above)."""
+    small = is_literal(df) if literal is None else literal
+    return F.broadcast(df) if small else df
 
 
 def literal_map(spark: SparkSession, pairs, key: str = "native",
@@ -50,7 +56,9 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType)
             pdf[f.name] = pdf[f.name].astype("Int64")
         elif isinstance(f.dataType, T.StringType):
             pdf[f.name] = pdf[f.name].astype(object)
-    return spark.createDataFrame(pdf, schema)
+    df = spark.createDataFrame(pdf, schema)
+    df._harmoniq_literal = True
+    return df
 
 
 # J1 / J2 -------------------------------------------------------------------
@@ -60,7 +68,7 @@ def map_values(df: DataFrame, native: str | Column, mapping: DataFrame,
     never defaulted.  ``key_fn`` normalises both sides (e.g. lower/trim)."""
     key_fn = key_fn or (lambda c: c)
     m = mapping.select(key_fn(F.col(map_key)).alias("__mk"), F.col(map_value).alias(out))
-    joined = df.join(lookup_side(m), key_fn(_c(native)) == F.col("__mk"), "inner")
+    joined = df.join(lookup_side(m, is_literal(mapping)), key_fn(_c(native)) == F.col("__mk"), "inner")
     return joined.drop("__mk")
 
 
@@ -77,8 +85,8 @@ def two_pass_lookup(df: DataFrame, name: str, direct: DataFrame, aliases: DataFr
                        F.col(aliases.columns[1]).alias("__c2"))
     k = key_fn(F.col(name))
     res = (df.withColumn("__k", k)
-           .join(lookup_side(d), F.col("__k") == F.col("__k1"), "left")
-           .join(lookup_side(a), F.col("__k") == F.col("__k2"), "left"))
+           .join(lookup_side(d, is_literal(direct)), F.col("__k") == F.col("__k1"), "left")
+           .join(lookup_side(a, is_literal(aliases)), F.col("__k") == F.col("__k2"), "left"))
     return res.withColumn(out, F.coalesce("__c1", "__c2")).drop("__k", "__k1", "__c1", "__k2", "__c2")
 
 
@@ -88,7 +96,7 @@ def attach_population(df: DataFrame, regions: DataFrame, code_col: str = "region
                       out: str = "denominator_population") -> DataFrame:
     """Left join of the region dimension's population (NULL when missing)."""
     dim = regions.select(F.col(dim_code).alias("__code"), F.col(dim_pop).cast("bigint").alias(out))
-    return (df.join(lookup_side(dim), F.col(code_col) == F.col("__code"), "left")
+    return (df.join(lookup_side(dim, is_literal(regions)), F.col(code_col) == F.col("__code"), "left")
             .drop("__code"))
 
 
