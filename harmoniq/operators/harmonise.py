@@ -41,8 +41,7 @@ def literal_map(spark: SparkSession, pairs, key: str = "native",
                 value: str = "mapped", key_type: str = "string",
                 value_type: str = "string") -> DataFrame:
     """A mapping dimension from literal (key, value) pairs."""
-    schema = T.StructType([T.StructField(key, T._parse_datatype_string(key_type), True),
-                           T.StructField(value, T._parse_datatype_string(value_type), True)])
+    schema = T.StructType.fromDDL(f"`{key}` {key_type}, `{value}` {value_type}")
     return literal_table(spark, list(pairs), schema)
 
 
