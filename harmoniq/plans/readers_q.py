@@ -165,7 +165,7 @@ def section_scan(spark, sf_dir):
     nations = rows.select("n_regionkey", "n_name").distinct()
     heads = nations.select("n_regionkey", F.lit(2).alias("o1"), "n_name", F.lit(0).alias("o2"),
                            F.lit("").alias("l_returnflag"),
-                           F.concat(F.lit("Section\t"), F.col("n_name")).alias("line"))
+                           F.concat(F.col("n_name"), F.lit("\t")).alias("line"))
     regions = nations.select("n_regionkey").distinct()
     title = regions.select("n_regionkey", F.lit(0).alias("o1"), F.lit("").alias("n_name"), F.lit(0).alias("o2"),
                            F.lit("").alias("l_returnflag"), F.lit("Quantities by nation and flag").alias("line"))

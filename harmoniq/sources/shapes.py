@@ -33,33 +33,39 @@ def unfold_cube(cube: DataFrame, dims: list[str], value: str = "value",
 
 
 # S7 -------------------------------------------------------------------------------------
-def read_sections(spark: SparkSession, path: str, section_prefix: str = "Section\t",
-                  header_scan_lines: int = 30, fallback_encoding: str = "ISO-8859-15") -> DataFrame:
-    """Sectioned text: a line starting with ``section_prefix`` opens a
-    section; indented lines are its data rows 'label<TAB>v1<TAB>v2...'; the
-    year header row ('<TAB>YYYY<TAB>YYYY...') is searched in the first
-    ``header_scan_lines`` lines.  Returns (file, section, label, year,
-    raw_value).  Bytes are decoded as UTF-8, or as ``fallback_encoding``
-    when they are not valid UTF-8.  A file is parsed inside one partition
-    (ordered lines; these are per-release files)."""
+def read_sections(spark: SparkSession, path: str, header_scan_lines: int = 30,
+                  fallback_encoding: str = "ISO-8859-15") -> DataFrame:
+    """Sectioned text.  The year header is the first of the first
+    ``header_scan_lines`` lines with a 4-digit tab field (its 4-digit fields
+    are the years); after it, a non-blank line without leading whitespace
+    opens a section (its name is the line without trailing tabs), and an
+    indented line 'label<TAB>v1<TAB>v2...' is a data row of that section;
+    values beyond the year columns are ignored.  Returns (file, section,
+    label, year, raw_value).  Bytes are decoded as UTF-8, or as
+    ``fallback_encoding`` when they are not valid UTF-8.  A file is parsed
+    inside one partition (ordered lines; these are per-release files)."""
     from harmoniq.sources.files import decode_text
     t = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
          .select(F.col("path").alias("file"), decode_text("content", fallback_encoding).alias("value")))
     lines = t.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
-    is_years = F.col("line").rlike(r"^\s*\t?[0-9]{4}(\t[0-9]{4})+\s*$")
-    years = (lines.filter(is_years & (F.col("pos") < header_scan_lines))
-             .groupBy("file").agg(F.min_by("line", "pos").alias("__yl"))
-             .select("file", F.filter(F.split(F.trim("__yl"), "\t"), lambda s: s != "").alias("years")))
-    sect = F.when(F.col("line").startswith(section_prefix),
-                  F.trim(F.substring(F.col("line"), len(section_prefix) + 1, 1 << 20)))
+    fields = F.transform(F.split(F.col("line"), "\t"), lambda p: F.trim(p))
+    year_fields = F.filter(fields, lambda p: p.rlike("^[0-9]{4}$"))
+    years = (lines.filter((F.col("pos") < header_scan_lines) & (F.size(year_fields) > 0))
+             .groupBy("file").agg(F.min_by(year_fields, F.col("pos")).alias("years"),
+                                  F.min("pos").alias("__ypos")))
+    body = lines.join(years, "file").filter(F.col("pos") > F.col("__ypos"))
+    indented = F.col("line").startswith(" ") | F.col("line").startswith("\t")
+    header = F.when((F.trim(F.col("line")) != "") & ~indented,
+                    F.trim(F.regexp_replace(F.col("line"), "\t+$", "")))
     w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = lines.withColumn("section", F.last(sect, ignorenulls=True).over(w))
-    data = tagged.filter(F.col("line").rlike(r"^\s+\S") & F.col("section").isNotNull())
+    tagged = body.withColumn("section", F.last(header, ignorenulls=True).over(w))
     parts = F.split(F.col("line"), "\t")
-    rows = data.select("file", "section", F.trim(F.element_at(parts, 1)).alias("label"),
-                       F.slice(parts, 2, 1 << 16).alias("vals"))
-    z = rows.join(years, "file").select(
-        "file", "section", "label", F.explode(F.arrays_zip("years", "vals")).alias("z"))
+    rows = (tagged.filter(indented).select(
+        "file", F.coalesce(F.col("section"), F.lit("")).alias("section"),
+        F.trim(F.element_at(parts, 1)).alias("label"), F.slice(parts, 2, 1 << 16).alias("vals"), "years")
+        .filter(F.col("label") != ""))
+    z = rows.select("file", "section", "label", F.explode(F.arrays_zip("years", "vals")).alias("z"))
+    z = z.filter(F.col("z.years").isNotNull())
     return z.select("file", "section", "label", F.col("z.years").cast("int").alias("year"),
                     F.col("z.vals").alias("raw_value"))
 

@@ -169,8 +169,8 @@ def test_sections_with_latin9_fallback(spark, scratch):
     from harmoniq.sources.shapes import read_sections, section_counts
     root = to_local_path(scratch("sections"))
     os.makedirs(root, exist_ok=True)
-    body = ("Infracciones penales\n\n\t2023\t2024\nSection\tÁlava\n    Homicidios\t1.234\t-\n"
-            "    Robos con violencia\t.\t56\nSection\tCastellón €\n    Homicidios\t7\t8\n")
+    body = ("Infracciones penales\nBalance 2024\n\n\t2023\t2024\nÁlava\t\n    Homicidios\t1.234\t-\t99\n"
+            "    Robos con violencia\t.\t56\n\tTotal\t\t\nCastellón €\t\n    Homicidios\t7\t8\n")
     with open(os.path.join(root, "utf8.txt"), "w", encoding="utf-8") as f:
         f.write(body)
     with open(os.path.join(root, "latin9.txt"), "w", encoding="iso-8859-15") as f:
