@@ -50,6 +50,23 @@ AGGREGATE_RULES_SQL = [
     "suspect_dim", "count")]
 
 
+# Q5 rules of the incidents table
+INCIDENT_RULES_SQL = [
+    ("incident_id_not_null", "incident_id IS NULL"),
+    ("incident_id_format", "NOT regexp_like(incident_id, '^[0-9a-f]{8}-[0-9a-f]{4}-5[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$')"),
+    ("confidence_enum", "confidence NOT IN ('HIGH', 'MEDIUM', 'LOW')"),
+    ("location_precision_enum", "location_precision NOT IN ('exact', 'city', 'region')"),
+    ("lat_range", "lat < -90 OR lat > 90"),
+    ("lon_range", "lon < -180 OR lon > 180"),
+    ("victim_count_non_negative", "victim_count < 0"),
+    ("review_status_not_null", "review_status IS NULL"),
+]
+
+
+def incident_rules() -> list[tuple[str, Column]]:
+    return [(n, F.expr(p.replace("regexp_like", "rlike"))) for n, p in INCIDENT_RULES_SQL]
+
+
 def aggregate_rules() -> list[tuple[str, Column]]:
     """Q2 rules of crime_aggregates as (name, violated-when) Columns."""
     return [(n, F.expr(p)) for n, p in AGGREGATE_RULES_SQL]

@@ -55,6 +55,21 @@ def feature_collections(features: DataFrame, group: str) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list("feature")), ","), F.lit("]}")).alias("document"))
 
 
+def group_documents(df: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """One JSON array document per group (e.g. the regions of one
+    country, ordered); a document holds one group's rows only."""
+    rows = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order],
+                                                 F.struct(*[F.col(c) for c in df.columns]).alias("__row"))))
+    return df.groupBy(group).agg(F.to_json(F.transform(rows, lambda r: r["__row"])).alias("document"))
+
+
+def flatten_documents(docs: DataFrame, schema) -> DataFrame:
+    """A10: per-group arrays back to one row per element (the elements carry
+    the group column themselves)."""
+    arr = F.from_json("document", T.ArrayType(schema))
+    return docs.select(F.explode(arr).alias("r")).select("r.*")
+
+
 # S21 -------------------------------------------------------------------------------------
 def typed_empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)

@@ -58,6 +58,8 @@ def test_finalize_end_to_end(spark, scratch):
         ["https://www.leics.police.uk/news/1", "https://news.example/a"]
     assert (lei["lat"], lei["region_code"], lei["location_precision"]) == (52.6362, "UKF21", "exact")
     assert den["lat"] is None and den["location_precision"] == "city"
+    from harmoniq.operators import quality as Q
+    assert all(r["n_violations"] == 0 for r in Q.rule_counts(out, Q.incident_rules()).collect())   # Q5
     # second run of the same batch leaves two incidents
     again = upsert(out, finalize(recs, _cache(spark), "2026-06-02T00:00:00+00:00"), ["incident_id"])
     assert again.count() == 2

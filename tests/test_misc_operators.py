@@ -78,3 +78,14 @@ def test_pick_release(spark):
                                     ("crime_year_ending_june_2026.xlsx",), ("readme.txt",)], "name string")
     got = [r["name"] for r in pick_release(landed, "2026-05-10").collect()]
     assert got == ["crime_year_ending_march_2026.xlsx"]        # June 2026 is not yet a candidate
+
+
+def test_group_documents_round_trip(spark):
+    df = spark.createDataFrame([("R1", "R1A", 2.0), ("R1", "R1B", None), ("R2", "R2C", 1.5)],
+                               "country string, region_code string, rate double")
+    docs = X.group_documents(df, "country", ["region_code"])
+    d = {r["country"]: json.loads(r["document"]) for r in docs.collect()}
+    assert [x["region_code"] for x in d["R1"]] == ["R1A", "R1B"]
+    back = X.flatten_documents(docs, df.schema)
+    assert sorted(tuple(r) for r in back.select("country", "region_code", "rate").collect()) == \
+        sorted(tuple(r) for r in df.collect())
