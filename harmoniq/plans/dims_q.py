@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harmoniq.operators.dims import patch_attributes, replace_rows, unknown_patch_codes
+from harmoniq.operators.harmonise import literal_table
 from harmoniq.plans import register
 from harmoniq.plans.common import SQL_REGION_DIM, nation_code, region_dim, table, with_ctes
 
@@ -27,9 +29,10 @@ def _patch(spark, sf_dir):
         F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("code"),
         F.lit(None).cast("bigint").alias("population_latest"), F.lit(None).cast("double").alias("area_km2"),
         F.lit(2.5).alias("centroid_lat"), F.lit(3.5).alias("centroid_lon"))
-    unknown = table(spark, sf_dir, "region").agg(F.count(F.lit(1)).alias("k")).select(
-        F.lit(UNKNOWN_PATCH_CODE).alias("code"), (F.col("k") * 0).cast("bigint").alias("population_latest"),
-        F.lit(1.0).alias("area_km2"), F.lit(9.0).alias("centroid_lat"), F.lit(9.0).alias("centroid_lon"))
+    unknown = literal_table(spark, [(UNKNOWN_PATCH_CODE, 0, 1.0, 9.0, 9.0)], T.StructType([
+        T.StructField("code", T.StringType()), T.StructField("population_latest", T.LongType()),
+        T.StructField("area_km2", T.DoubleType()), T.StructField("centroid_lat", T.DoubleType()),
+        T.StructField("centroid_lon", T.DoubleType())]))
     return p.unionByName(regions).unionByName(unknown)
 
 

@@ -61,3 +61,13 @@ def test_query_matches_oracle(spark, duck, name):
     s = sorted((tuple(_norm(r[c]) for c in order) for r in rows), key=repr)
     o = sorted((tuple(_norm(r[ocols.index(c)]) for c in order) for r in cur.fetchall()), key=repr)
     assert s == o
+
+
+def test_no_nested_loop_or_cartesian_plans(spark):
+    """Every registered query plans equi-joins only (no pair explosion)."""
+    bad = []
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        if "NestedLoopJoin" in plan or "CartesianProduct" in plan:
+            bad.append(name)
+    assert bad == []
