@@ -60,3 +60,30 @@ def manifest_stream(spark, sf_dir):
                   .option("pathGlobFilter", "*.txt").load(landing))
         I.manifest_batches(spark, stream, manifest, scratch_path(spark, "manifest_ckpt"))
     return spark.read.schema(I.MANIFEST).parquet(manifest)
+
+
+@register("stream_article_dedupe", oracle="""
+SELECT DISTINCT trim(url) AS url FROM (
+  SELECT url FROM pages UNION ALL SELECT url FROM pages WHERE starts_with(url, 'https://'))""")
+def stream_article_dedupe(spark, sf_dir):
+    """T1 on article records: pages land as two overlapping JSON Lines
+    pulls (the second repeats the https pages); some records have no
+    published_at.  The stream keeps one record per URL."""
+    from harmoniq.schema import ARTICLE
+    p = table(spark, sf_dir, "pages")
+    rec = p.select(F.col("url"), F.lit("outlet").alias("outlet"),
+                   F.when(F.col("url").contains("#"), F.lit(None))
+                   .otherwise(F.date_format(F.timestamp_add("HOUR", F.col("page_id"),
+                                                            F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
+                                            "yyyy-MM-dd'T'HH:mm:ss")).alias("published_at"),
+                   F.lit("en").alias("language"), F.lit("").alias("title"), F.lit("").alias("lead"),
+                   F.lit("rss").alias("source"), F.lit("UK").alias("country"))
+    inbox = scratch_path(spark, "inbox")
+    rec.write.json(f"{inbox}/pull=1")
+    rec.filter(F.col("url").startswith("https://")).write.json(f"{inbox}/pull=2")
+    stream = (spark.readStream.schema(ARTICLE).option("maxFilesPerTrigger", 4)
+              .option("recursiveFileLookup", True).json(inbox))
+    d = I.article_stream_dedupe(stream, fallback_time=F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    sink, ckpt = scratch_path(spark, "articles_sink"), scratch_path(spark, "articles_ckpt")
+    I.run_available(d.drop("__event_time"), sink, ckpt)
+    return spark.read.schema(ARTICLE).parquet(sink).select(F.trim("url").alias("url"))

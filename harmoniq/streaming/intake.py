@@ -127,3 +127,17 @@ def manifest_batches(spark: SparkSession, stream: DataFrame, manifest_root: str,
     q = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def article_stream_dedupe(stream: DataFrame, url: str = "url", published: str = "published_at",
+                          fallback_time=None, delay: str = "40 days") -> DataFrame:
+    """T1 for article intake: overlapping monthly pulls land the same URL
+    again; the first arrival per trimmed URL inside the watermark is kept.
+    Records without a parseable ``published_at`` take ``fallback_time``
+    (default: processing time) as their event time; URL-less records are
+    dropped (P22)."""
+    fb = fallback_time if fallback_time is not None else F.current_timestamp()
+    ev = F.coalesce(F.try_to_timestamp(F.col(published)), fb).cast("timestamp")
+    s = (stream.filter(F.trim(F.coalesce(F.col(url), F.lit(""))) != "")
+         .withColumn("__url", F.trim(F.col(url))).withColumn("__event_time", ev))
+    return s.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark(["__url"]).drop("__url")
