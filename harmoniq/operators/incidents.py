@@ -206,3 +206,15 @@ def envelope_records(env: DataFrame) -> DataFrame:
     for f in _ID_FIELDS:
         cols.append(F.try_variant_get("v", f"$.incident.{f}", "variant").isNotNull().alias(f"{f}_present"))
     return e.select(*cols)
+
+
+def upsert_incidents(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """J7 on incident_id.  Two hard-key groups can share one stable id (the
+    hard key falls back to date_reported, the id does not), so duplicate ids
+    inside the batch are collapsed first: the record with more source text,
+    then the later extraction, wins."""
+    from harmoniq.operators.upsert import upsert
+    ranked = incoming.withColumn("__src_len", F.length(F.coalesce(F.col("sources_json"), F.lit(""))))
+    out = upsert(existing.withColumn("__src_len", F.lit(0)), ranked, ["incident_id"],
+                 order=["__src_len", "extracted_at", "sources_json"])
+    return out.drop("__src_len")

@@ -19,20 +19,21 @@ def null_safe_key(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def collapse_batch(incoming: DataFrame, keys: list[str], order: str | None) -> DataFrame:
+def collapse_batch(incoming: DataFrame, keys: list[str], order) -> DataFrame:
     """Reject duplicate keys inside one incoming batch: the row with the
-    greatest ``order`` wins (grouped max_by, partial-aggregated)."""
+    greatest ``order`` (a column name or a list of them, compared in turn)
+    wins (grouped max_by, partial-aggregated)."""
     if order is None:
         return incoming
     cols = incoming.columns
+    by = F.struct(*[F.col(c) for c in ([order] if isinstance(order, str) else order)])
     nk = [null_safe_key(k).alias(f"__nk{i}") for i, k in enumerate(keys)]
-    g = (incoming.groupBy(*nk)
-         .agg(F.max_by(F.struct(*cols), F.col(order)).alias("__row")))
+    g = incoming.groupBy(*nk).agg(F.max_by(F.struct(*cols), by).alias("__row"))
     return g.select("__row.*")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
-           order: str | None = None) -> DataFrame:
+           order=None) -> DataFrame:
     """Last writer wins on ``keys`` (NULL == '')."""
     inc = collapse_batch(incoming, keys, order)
     inc_keys = inc.select(*[null_safe_key(k).alias(f"__ik{i}") for i, k in enumerate(keys)])

@@ -84,3 +84,20 @@ def test_dedupe_by_url_first_seen(spark):
     assert got == [0, 1, 5]
     got = sorted(r["id"] for r in dedupe_by_url(df, "url", ["rank", "id"], key=normalize_url("url")).collect())
     assert got == [0, 1]
+
+
+def test_upsert_incidents_collapses_shared_ids(spark):
+    from harmoniq.operators.incidents import upsert_incidents
+    from harmoniq.schema import INCIDENT_COLUMNS
+    cols = list(INCIDENT_COLUMNS)
+    def row(iid, src, at):
+        r = {c: None for c in cols}
+        r.update(incident_id=iid, sources_json=src, extracted_at=at, review_status="unreviewed")
+        return tuple(r[c] for c in cols)
+    schema = ", ".join(f"{c} string" if c not in ("lat", "lon") and c not in (
+        "victim_count", "victim_fatal", "suspect_count") else (f"{c} double" if c in ("lat", "lon") else f"{c} long")
+        for c in cols)
+    existing = spark.createDataFrame([row("a", "[]", "t0"), row("b", "[]", "t0")], schema)
+    batch = spark.createDataFrame([row("a", '[{"url":"x"}]', "t1"), row("a", "[]", "t2")], schema)
+    out = {r["incident_id"]: r for r in upsert_incidents(existing, batch).collect()}
+    assert set(out) == {"a", "b"} and out["a"]["sources_json"] == '[{"url":"x"}]'
