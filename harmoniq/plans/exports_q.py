@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from harmoniq.functions.ids import INCIDENT_NAMESPACE, content_hash, incident_id, py_text
 from harmoniq.operators.incidents import geocode_join, location_precision
 from harmoniq.plans import register
-from harmoniq.plans.common import nation_code, region_dim, table
+from harmoniq.plans.common import SQL_REGION_DIM, nation_code, region_dim, table, with_ctes
 from harmoniq.plans.readers_q import write_region_geojson
 from harmoniq.session import scratch_path
 from harmoniq.sources import exports as X
@@ -194,3 +194,35 @@ def geojson_export(spark, sf_dir):
                     F.col("properties")["CNTR_CODE"].alias("country"), "geometry")
     return X.feature_collections(X.polygon_features(slim, "geometry", ["code"]).withColumn(
         "country", F.get_json_object("feature", "$.properties.code").substr(1, 2)), "country")
+
+
+# ---- S19 / S20 checked by parsing the produced GeoJSON back ----------------------------------
+POINT_FEATURE = "struct<type:string, properties:struct<code:string, name_en:string, population_latest:bigint>, " \
+                "geometry:struct<type:string, coordinates:array<double>>>"
+
+
+@register("points_export_parsed", oracle=with_ctes(SQL_REGION_DIM, """
+SELECT code, name_en, population_latest, 'Point' AS geometry_type,
+       CAST(centroid_lon AS DOUBLE) AS lon, CAST(centroid_lat AS DOUBLE) AS lat
+FROM rdim WHERE centroid_lat IS NOT NULL AND centroid_lon IS NOT NULL"""))
+def points_export_parsed(spark, sf_dir):
+    f = points_export(spark, sf_dir).select(F.from_json("feature", POINT_FEATURE).alias("f"))
+    return f.select(F.col("f.properties.code").alias("code"), F.col("f.properties.name_en").alias("name_en"),
+                    F.col("f.properties.population_latest").alias("population_latest"),
+                    F.col("f.geometry.type").alias("geometry_type"),
+                    F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.geometry.coordinates")[1].alias("lat"))
+
+
+COLLECTION = "struct<type:string, features:array<struct<type:string, properties:struct<code:string>, geometry:string>>>"
+
+
+@register("geojson_export_parsed", oracle="""
+SELECT 'R' || CAST(n_regionkey AS VARCHAR) AS country,
+       'R' || CAST(n_regionkey AS VARCHAR) || chr(65 + n_nationkey) AS code,
+       CASE WHEN n_regionkey IN (1, 3) THEN 'MultiPolygon' ELSE 'Polygon' END AS geometry_type
+FROM nation""")
+def geojson_export_parsed(spark, sf_dir):
+    docs = geojson_export(spark, sf_dir).select("country", F.from_json("document", COLLECTION).alias("d"))
+    f = docs.select("country", F.explode("d.features").alias("f"))
+    return f.select("country", F.col("f.properties.code").alias("code"),
+                    F.get_json_object("f.geometry", "$.type").alias("geometry_type"))
