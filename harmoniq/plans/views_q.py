@@ -321,3 +321,16 @@ def summary_documents(spark, sf_dir):
                                       "homicide_rate", "population")
     docs = group_documents(s, "source_country", ["region_code"])
     return flatten_documents(docs, s.schema)
+
+
+@register("history_map_parsed", oracle=with_ctes(SQL_HISTORY, """
+SELECT region_code, yr, crime_category, count, rate FROM hist_d"""))
+def history_map_parsed(spark, sf_dir):
+    """The nested {region: {year: {category: {count, rate}}}} documents
+    parsed back into rows."""
+    docs = history_map(spark, sf_dir)
+    m = F.from_json("history_json", "map<string, map<string, struct<count:bigint, rate:double>>>")
+    y = docs.select("region_code", F.explode(m).alias("yr", "cats"))
+    c = y.select("region_code", F.col("yr").cast("bigint").alias("yr"), F.explode("cats").alias("crime_category", "v"))
+    return c.select("region_code", "yr", "crime_category", F.col("v.count").alias("count"),
+                    F.col("v.rate").alias("rate"))
