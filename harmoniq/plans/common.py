@@ -76,9 +76,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     task however many cores there are.  When the scan yields fewer splits
     than the session's parallelism it is round-robined once; on
     cluster-sized inputs (thousands of splits) this is a no-op."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        if key not in _SPLITS:
+            _SPLITS[key] = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (Spark Connect: no RDD view; leave the scan as is)
+        return df
     n = _SPLITS[key]
     return df.repartition(par) if n < par and n < 4 else df
 

@@ -56,13 +56,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only where it is unset (local tests) do we create one.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext            # not available on Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="harmoniq-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(conf_dir)
     return conf_dir
 
 
