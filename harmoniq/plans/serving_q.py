@@ -15,6 +15,7 @@ from harmoniq.plans.common import (AS_OF, CATEGORY_PAIRS, SQL_FACTS, SQL_REGION_
                                    region_map, table, with_ctes)
 from harmoniq.plans.facts_q import summary
 from harmoniq.plans.views_q import _summary_cte
+from harmoniq.schema import CRIME_AGGREGATES
 from harmoniq.session import scratch_path
 from harmoniq.sql import register_views, run_sql
 
@@ -144,7 +145,7 @@ SELECT left(a.region_code, 2) AS source_country, 'family' AS source_authority, '
        CAST(a.count AS DOUBLE) / CAST(NULLIF(d.population_latest, 0) AS DOUBLE) * 100000.0 AS rate_per_100k,
        CAST(NULL AS VARCHAR) AS notes
 FROM a LEFT JOIN rdim d ON d.code = a.region_code""")
-_CANON_COLS = [f.name for f in __import__("harmoniq.schema", fromlist=["x"]).CRIME_AGGREGATES.fields]
+_CANON_COLS = CRIME_AGGREGATES.names
 
 
 @register("adapter_family", oracle=ORACLE_FAMILY)
