@@ -13,9 +13,7 @@ from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-SAMPLE = ["harmonise_counts", "latest_summary_pivot", "dimension_split_share", "asof_hierarchy",
-          "upsert_natural_key", "incident_merge", "stable_id", "keyword_filter", "section_scan",
-          "sheet_scan", "jsonl_roundtrip", "geocode_join", "stream_dedupe", "cluster_grid"]
+SAMPLE = sorted(E.oracle_sql())          # every oracle-backed query, on the smallest tables
 
 
 def test_entry_smoke(spark):
