@@ -106,7 +106,11 @@ def region_code(regionkey):
 
 
 def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("region_dim", sf_dir), lambda: _region_dim(spark, sf_dir))
+    """The region dimension as a stored table: derived once per session and
+    cut with a reliable checkpoint (dimension-sized), like the reference's
+    nuts_regions table that every adapter and view reads."""
+    from harmoniq.session import materialize
+    return _memo(spark, ("region_dim", sf_dir), lambda: materialize(_region_dim(spark, sf_dir)))
 
 
 def _region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
