@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harmoniq.functions.codes import label_by_rules, period_code_year
+from harmoniq.functions.codes import label_by_rules, period_code_year, release_from_name, rolling_12m
 from harmoniq.functions.metrics import bbox_centre
 from harmoniq.functions.text import first_non_empty
 from harmoniq.operators.harmonise import keep_latest, literal_table
@@ -316,7 +316,8 @@ AS_OF = "2001-08-01"
 
 
 @register("release_pick", oracle="""
-SELECT o_orderkey, o_orderdate FROM orders
+SELECT o_orderkey, o_orderdate, DATE '2000-07-01' AS period_start, DATE '2001-06-30' AS period_end
+FROM orders
 WHERE o_orderdate >= TIMESTAMP '2001-04-01' AND o_orderdate < TIMESTAMP '2001-07-01'""")
 def release_pick(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -325,7 +326,10 @@ def release_pick(spark, sf_dir):
     path = scratch_path(spark, "releases")
     o.withColumn("release", name).write.partitionBy("release").parquet(path)
     landed = spark.read.parquet(path).withColumn("name", F.col("_metadata.file_path"))
-    return H.pick_release(landed, AS_OF, 6).select("o_orderkey", "o_orderdate")
+    picked = H.pick_release(landed, AS_OF, 6)
+    month, year = release_from_name(F.col("name"))
+    start, end = rolling_12m(month, year)              # P15: the release covers 12 months to its month
+    return picked.select("o_orderkey", "o_orderdate", start.alias("period_start"), end.alias("period_end"))
 
 
 # ---- P9 P10 P8 P12: a sheet whose years are columns ------------------------------------------------
