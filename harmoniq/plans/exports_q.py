@@ -226,3 +226,43 @@ def geojson_export_parsed(spark, sf_dir):
     f = docs.select("country", F.explode("d.features").alias("f"))
     return f.select("country", F.col("f.properties.code").alias("code"),
                     F.get_json_object("f.geometry", "$.type").alias("geometry_type"))
+
+
+# ---- P19 + P20 with the language-name map on feed records -------------------------------------
+# fixed values: feed language names -> keyword-list codes; demo keywords over invented titles
+LANGUAGE_NAMES = {"english": "en", "french": "fr", "german": "de", "spanish": "es"}
+TITLE_KEYWORDS = {"en": (["the", "ble"], ["thhewh"]), "fr": (["eaux"], ["zzz"]),
+                  "de": (["en"], ["zzz"]), "es": (["ón"], ["zzz"])}
+
+
+def _title_filter_sql():
+    import re
+    cases = " ".join(
+        f"WHEN lk = '{lg}' THEN NOT regexp_matches(title, '{'|'.join(re.escape(w) for w in neg)}', 'i') "
+        f"AND regexp_matches(title, '{'|'.join(re.escape(w) for w in pos)}', 'i')"
+        for lg, (pos, neg) in TITLE_KEYWORDS.items())
+    names = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANGUAGE_NAMES.items())
+    return names, cases
+
+
+@register("feed_keyword_filter", oracle=f"""
+WITH a AS (
+  SELECT url, {TITLE_SQL} AS title,
+         lower(CASE {LANG_SQL} {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANG_NAMES.items())} END) AS language
+  FROM pages
+),
+k AS (
+  SELECT url, title,
+         COALESCE(CASE split_part(COALESCE(NULLIF(language, ''), 'en'), '-', 1) {_title_filter_sql()[0]} END,
+                  split_part(COALESCE(NULLIF(language, ''), 'en'), '-', 1)) AS lk
+  FROM a
+)
+SELECT url, lk AS lang FROM k WHERE CASE {_title_filter_sql()[1]} ELSE false END""")
+def feed_keyword_filter(spark, sf_dir):
+    """Feed records name their language ('english'); the map turns names
+    into keyword-list codes before the filter (without it every such record
+    would be rejected as an unknown language)."""
+    from harmoniq.functions.urls import lang_key
+    from harmoniq.operators.articles import keyword_filter
+    art = feed_records(spark, sf_dir).select("url", "title", lang_key("language", LANGUAGE_NAMES).alias("lang"))
+    return keyword_filter(art, "title", "lang", TITLE_KEYWORDS).select("url", "lang")
