@@ -119,6 +119,18 @@ def geocode_join(df: DataFrame, cache: DataFrame) -> DataFrame:
                                                 ("geo_nuts", "string"))]))
 
 
+def geocode_misses(df: DataFrame, cache: DataFrame) -> DataFrame:
+    """J11 work list: distinct normalised (country, city, hint) keys of
+    records with a city that the cache cannot answer (anti join)."""
+    keys = df.filter(F.coalesce(F.col("city"), F.lit("")) != "").select(
+        F.upper(F.coalesce(F.col("country"), F.lit(""))).alias("country"),
+        F.lower(F.trim(F.col("city"))).alias("city"),
+        F.lower(F.trim(F.coalesce(F.col("region"), F.lit("")))).alias("region_hint")).distinct()
+    have = cache.select(F.upper(F.col("country")).alias("country"), F.lower(F.trim(F.col("city"))).alias("city"),
+                        F.lower(F.trim(F.coalesce(F.col("region_hint"), F.lit("")))).alias("region_hint"))
+    return keys.join(have, ["country", "city", "region_hint"], "left_anti")
+
+
 def location_precision(given, city, geo_lat, geo_lon) -> Column:
     """F16: 'exact' only if the geocoder found the place and the record says
     exact; else 'city' if a city is named; else 'region'."""

@@ -148,6 +148,24 @@ SELECT o.o_orderkey,
          AS location_precision
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey""")
 def geocode_join_q(spark, sf_dir):
+    cache, recs = _geocode_inputs(spark, sf_dir)
+    g = geocode_join(recs, cache)
+    return g.select("o_orderkey", F.col("geo_lat").alias("lat"), F.col("geo_lon").alias("lon"),
+                    F.col("geo_nuts").alias("region_code"),
+                    location_precision("given", "city", "geo_lat", "geo_lon").alias("location_precision"))
+
+
+@register("geocode_misses", oracle="""
+SELECT DISTINCT 'R' || CAST(n.n_regionkey AS VARCHAR) AS country, lower(c.c_name) AS city, '' AS region_hint
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+WHERE c.c_mktsegment = 'MACHINERY'""")
+def geocode_misses_q(spark, sf_dir):
+    from harmoniq.operators.incidents import geocode_misses
+    cache, recs = _geocode_inputs(spark, sf_dir)
+    return geocode_misses(recs, cache)
+
+
+def _geocode_inputs(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     cn = c.join(n, c.c_nationkey == n.n_nationkey)
@@ -172,10 +190,7 @@ def geocode_join_q(spark, sf_dir):
                     F.when(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD"),
                            F.concat(F.upper("c_mktsegment"), F.lit(" "))).alias("region"),
                     F.when(F.col("o_orderstatus") == "F", "exact").otherwise("city").alias("given")))
-    g = geocode_join(recs, cache)
-    return g.select("o_orderkey", F.col("geo_lat").alias("lat"), F.col("geo_lon").alias("lon"),
-                    F.col("geo_nuts").alias("region_code"),
-                    location_precision("given", "city", "geo_lat", "geo_lon").alias("location_precision"))
+    return cache, recs
 
 
 # ---- S19 S20: GeoJSON exports (JSON text; checked structurally in tests) ------------------------
