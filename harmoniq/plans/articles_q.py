@@ -97,3 +97,30 @@ def html_strip_cap(spark, sf_dir):
     full = F.regexp_replace(F.regexp_replace("html", r"<[^>]+>", " "), r"^\s+|\s+$", "")
     return p.select("page_id", F.left(full, F.lit(1500)).alias("lead"),
                     F.length(full).cast("bigint").alias("full_chars"))
+
+
+@register("dedupe_url_per_country", oracle="""
+WITH f AS (
+  SELECT page_id, url, upper(regexp_extract(url, '^[^/]*//[^/]*/([a-z]+)/', 1)) AS country, 0 AS source_rank
+  FROM pages
+  UNION ALL
+  SELECT page_id, url, 'ZZ', 1 FROM pages WHERE starts_with(url, 'https://')
+  UNION ALL
+  SELECT page_id + 1000000, url, 'ZZ', 2 FROM pages WHERE starts_with(url, 'https://')
+)
+SELECT country, arg_min(page_id, (source_rank, page_id)) AS page_id, trim(url) AS url
+FROM f WHERE trim(COALESCE(url, '')) <> '' GROUP BY country, trim(url)""")
+def dedupe_url_per_country(spark, sf_dir):
+    """W3 scoped per country: every page is pulled for its own country and
+    the https ones a second (and third, overlapping) time for another
+    country; first seen per (country, URL)."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    home = p.select("page_id", "url", F.upper(F.regexp_extract("url", r"^[^/]*//[^/]*/([a-z]+)/", 1))
+                    .alias("country"), F.lit(0).alias("source_rank"))
+    https = p.filter(F.col("url").startswith("https://"))
+    other = https.select("page_id", "url", F.lit("ZZ").alias("country"), F.lit(1).alias("source_rank"))
+    again = https.select((F.col("page_id") + 1000000).alias("page_id"), "url", F.lit("ZZ").alias("country"),
+                         F.lit(2).alias("source_rank"))
+    kept = dedupe_by_url(home.unionByName(other).unionByName(again), "url", ["source_rank", "page_id"],
+                         scope=["country"])
+    return kept.select("country", "page_id", F.trim("url").alias("url"))
