@@ -101,3 +101,25 @@ def test_upsert_incidents_collapses_shared_ids(spark):
     batch = spark.createDataFrame([row("a", '[{"url":"x"}]', "t1"), row("a", "[]", "t2")], schema)
     out = {r["incident_id"]: r for r in upsert_incidents(existing, batch).collect()}
     assert set(out) == {"a", "b"} and out["a"]["sources_json"] == '[{"url":"x"}]'
+
+
+def test_jsonl_ordinals_follow_file_order_across_splits(spark, scratch):
+    """(file, split start, in-split row id) orders lines as in the file even
+    when one file is read as many splits."""
+    path = scratch("split_jsonl")
+    os.makedirs(to_local_path(path), exist_ok=True)
+    with open(os.path.join(to_local_path(path), "big.jsonl"), "w") as f:
+        for i in range(3000):
+            f.write(json.dumps({"i": i, "pad": "x" * 40}) + "\n")
+            if i % 97 == 0:
+                f.write("\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        env = read_jsonl_variant(spark, path)
+        assert env.rdd.getNumPartitions() > 4
+        rows = env.select("block", "line_no", F.variant_get("v", "$.i", "int").alias("i")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    ordered = [r["i"] for r in sorted(rows, key=lambda r: (r["block"], r["line_no"]))]
+    assert ordered == list(range(3000))
