@@ -111,7 +111,10 @@ def denominator_fallback(dim_pop, src_pop, dim_label: str, src_label: str) -> tu
 
 # A1 / A2 / A3 / A5 / A6 --------------------------------------------------------
 def native_examples(label, n: int = 3) -> Column:
-    """A2: first ``n`` of the sorted distinct labels, joined by ', '."""
+    """A2: first ``n`` of the sorted distinct labels, joined by ', '.  The
+    labels reaching it have passed the inner join with the category map, so
+    the set per group is bounded by that map's keys (partial sets are merged
+    map-side)."""
     return F.array_join(F.slice(F.array_sort(F.collect_set(_c(label))), 1, n), ", ")
 
 
