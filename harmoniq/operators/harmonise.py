@@ -229,8 +229,11 @@ def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: Dat
     df = map_values(df, spec.native_category, cat, "__native", "crime_category", "crime_category")
     if spec.region is not None and spec.region_map is not None:
         rm = spec.region_map
-        df = map_values(df, spec.region, rm, rm.columns[0], rm.columns[1], "region_code",
-                        key_fn=spec.region_key_fn)
+        # mapping files carry (native_code, native_name, nuts_code, notes);
+        # two-column maps are (native, code)
+        key = "native_code" if "native_code" in rm.columns else rm.columns[0]
+        value = "nuts_code" if "nuts_code" in rm.columns else rm.columns[1]
+        df = map_values(df, spec.region, rm, key, value, "region_code", key_fn=spec.region_key_fn)
     else:
         df = df.withColumn("region_code", F.lit(spec.country))
     df = df.withColumn("__year", F.col(spec.year).cast("int"))

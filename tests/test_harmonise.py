@@ -205,3 +205,21 @@ def test_conform_strict_schema(spark):
     typed = Q.conform(bad, T.StructType([T.StructField("source_country", T.StringType()),
                                          T.StructField("count", T.LongType())]))
     assert typed.first()["count"] is None
+
+
+def test_harmonise_with_mapping_file(spark, scratch):
+    """A region map read from a mapping CSV ('#' comments, four columns) maps
+    native codes to the nuts_code column, not to the name."""
+    path = to_local_path(scratch("maps"))
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "region_map.csv"), "w") as f:
+        f.write("native_code,native_name,nuts_code,notes\n# comment line\n01,Ain,FRK21,\n13,Bouches,FRL04,\n")
+    rm = S.read_mapping(spark, path)
+    rows = spark.createDataFrame([("A", "01", 2024, 5), ("A", "13", 2024, 7), ("A", "99", 2024, 1)],
+                                 "label string, dep string, year int, n long")
+    dims = spark.createDataFrame([("FRK21", 650000), ("FRL04", 2000000)], REGIONS)
+    spec = H.SourceSpec(country="FR", authority="a", url="u", category_map=[("A", "homicide")],
+                        native_category="label", count="n", year="year", region="dep", region_map=rm,
+                        retention="all")
+    got = {r["region_code"]: r["count"] for r in H.harmonise(spark, rows, spec, dims).collect()}
+    assert got == {"FRK21": 5, "FRL04": 7}
