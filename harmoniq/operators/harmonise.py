@@ -278,12 +278,18 @@ def run_sources(spark: SparkSession, sources: list[tuple[str, DataFrame, SourceS
     from harmoniq.operators.upsert import upsert_partitions
     from harmoniq.schema import AGGREGATE_KEY
     records = []
-    exists = False
+    try:                                    # an existing table is merged into, never replaced
+        spark.read.parquet(table_path).schema
+        exists = True
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e) and "Unable to infer schema" not in str(e):
+            raise
+        exists = False
     for name, df, spec in sources:
         try:
             rows = harmonise(spark, df, spec, regions, as_of=as_of)
             if not exists:
-                rows.write.mode("overwrite").partitionBy("source_country").parquet(table_path)
+                rows.write.mode("errorifexists").partitionBy("source_country").parquet(table_path)
                 exists = True
             else:
                 upsert_partitions(spark, table_path, rows, list(AGGREGATE_KEY), ["source_country"],

@@ -223,3 +223,18 @@ def test_harmonise_with_mapping_file(spark, scratch):
                         retention="all")
     got = {r["region_code"]: r["count"] for r in H.harmonise(spark, rows, spec, dims).collect()}
     assert got == {"FRK21": 5, "FRL04": 7}
+
+
+def test_run_sources_merges_into_existing_table(spark, scratch):
+    rows = spark.createDataFrame([("A", "DE1", 2024, 5)], "label string, area string, year int, n long")
+    dims = spark.createDataFrame([("DE1", 1000)], REGIONS)
+    areas = H.literal_map(spark, [("DE1", "DE1")], "native", "code")
+    base = dict(url="u", category_map=[("A", "homicide")], native_category="label", count="n", year="year",
+                region="area", region_map=areas, retention="all")
+    path = scratch("canon2")
+    H.run_sources(spark, [("de", rows, H.SourceSpec(country="DE", authority="de", **base))], dims, path,
+                  as_of="2025-01-01 00:00:00")
+    H.run_sources(spark, [("at", rows, H.SourceSpec(country="AT", authority="at", **base))], dims, path,
+                  as_of="2025-01-01 00:00:00")
+    got = sorted((r["source_country"], r["count"]) for r in spark.read.parquet(path).collect())
+    assert got == [("AT", 5), ("DE", 5)]                    # the second run did not replace the table
