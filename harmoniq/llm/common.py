@@ -33,7 +33,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write once into the shared folder and read back: cuts the lineage and
     survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -72,11 +72,11 @@ def match_rule(host: str, path: str, rules: Sequence[tuple[str, str, str]]) -> C
     return best
 
 
-def level_strength(children: DataFrame, parents: DataFrame, key: str) -> float:
-    """Strength of the beta prior of a level: the intra-class correlation by
-    moments, rho; strength = (1 - rho) / rho within STRENGTH_RANGE."""
-    p = parents.select(F.col(key), F.col("n").alias("pn"), F.col("k").alias("pk"))
-    x = children.filter("n > 0").join(p, key).withColumn("m", F.col("pk") / F.col("pn")) \
+def level_strength(children: DataFrame) -> float:
+    """Strength of the beta prior of a level, from rows (n, k, pn, pk) of
+    children and their parents: the intra-class correlation by moments, rho;
+    strength = (1 - rho) / rho within STRENGTH_RANGE."""
+    x = children.filter("n > 0").withColumn("m", F.col("pk") / F.col("pn")) \
         .withColumn("v", F.col("m") * (1 - F.col("m")) * (1 - F.col("n") / F.col("pn")))
     r = x.agg(F.sum(F.col("n") * F.pow(F.col("k") / F.col("n") - F.col("m"), F.lit(2.0))).alias("s"),
               F.sum("v").alias("a"), F.sum(F.col("v") * (F.col("n") - 1)).alias("b")).first()
@@ -87,11 +87,9 @@ def level_strength(children: DataFrame, parents: DataFrame, key: str) -> float:
     return hi if rho <= 0 else min(hi, max(lo, (1 - rho) / rho)) if rho < 1 else lo
 
 
-def shrink(counts: DataFrame, parent: DataFrame, key: str, strength: float) -> DataFrame:
-    """Posterior mean of each row of ``counts`` under its parent's mean."""
-    up = parent.select(key, F.col("mean").alias("__up"))
-    return counts.join(up, key).withColumn(
-        "mean", (F.col("k") + F.lit(strength) * F.col("__up")) / (F.col("n") + F.lit(strength)))
+def shrunk(strength: float, up: Column) -> Column:
+    """Posterior mean of counts (n, k) under the parent's mean."""
+    return (F.col("k") + F.lit(strength) * up) / (F.col("n") + F.lit(strength))
 
 
 def host_reputation(outcomes: DataFrame, z: float = Z, threshold: float = THRESHOLD) -> DataFrame:
@@ -102,16 +100,17 @@ def host_reputation(outcomes: DataFrame, z: float = Z, threshold: float = THRESH
              .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
     hosts = store(hosts, "host-counts")
     total = lambda df, *key: df.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    under = lambda df: df.select(*df.columns[:-2], F.col("n").alias("pn"), F.col("k").alias("pk"))
     domains = total(hosts, "domain", "suffix")
-    suffixes = total(domains, "suffix").withColumn("top", F.lit(1))
-    top = total(suffixes, "top")
-    s_host = level_strength(hosts, domains, "domain")
-    s_domain = level_strength(domains, suffixes, "suffix")
-    s_suffix = level_strength(suffixes, top, "top")
-    top = top.withColumn("mean", (F.col("k") + F.lit(0.5)) / (F.col("n") + F.lit(1.0)))
-    by_suffix = shrink(suffixes, top, "top", s_suffix).select("suffix", "mean")
-    by_domain = shrink(domains, by_suffix, "suffix", s_domain).select("domain", "mean")
-    by_host = shrink(hosts, by_domain, "domain", s_host)
+    suffixes = total(domains, "suffix")
+    top = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
+    s_host = level_strength(hosts.join(under(total(hosts, "domain")), "domain"))
+    s_domain = level_strength(domains.join(under(suffixes), "suffix"))
+    s_suffix = level_strength(suffixes.withColumn("pn", F.lit(top["n"])).withColumn("pk", F.lit(top["k"])))
+    mean = F.lit((top["k"] + 0.5) / (top["n"] + 1.0))
+    by_suffix = suffixes.select("suffix", shrunk(s_suffix, mean).alias("up"))
+    by_domain = domains.join(by_suffix, "suffix").select("domain", shrunk(s_domain, F.col("up")).alias("up"))
+    by_host = hosts.join(by_domain, "domain").withColumn("mean", shrunk(s_host, F.col("up")))
     spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.lit(s_host + 1.0)))
     return (by_host.withColumn("bound", F.col("mean") - F.lit(z) * spread)
             .select("host", "n", "k", "mean", "bound",

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harmoniq.llm import chosen_path, hosts, langmix, mixing, postings, sharding
+from harmoniq.llm import (chosen_path, hosts, knn_quality, langmix, line_crf, log_bilinear, mixing, postings, sharding,
+                          suffix_repeats)
 from harmoniq.llm.common import is_held_out, read_table, record_batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(docs.withColumn("law", F.lit("key")), [1.0] * SHARDS)
     return sharding.with_slots(placed, ["doc_id", "text_crc32", "size"]).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query("op4_knn_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = knn_quality.fit(docs.filter(~is_held_out("doc_id", 4)).join(labels, "doc_id"))
+    return knn_quality.score(docs, model, keep=["doc_id", is_held_out("doc_id", 4).alias("held_out")])
+
+
+@query("op6_line_crf")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_crf.judge(docs, line_crf.fit(docs), keep=["doc_id"])
+
+
+@query("op8_log_bilinear")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return log_bilinear.score(docs, is_held_out("doc_id", 7)).withColumnRenamed("id", "doc_id")
+
+
+@query("op9_suffix_repeats")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                        F.sha2("kept", 256).alias("kept_sha256"))
