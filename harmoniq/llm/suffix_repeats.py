@@ -11,10 +11,11 @@ multiplicity, and the segments of an anchor come together in one task.
 There the segments' text is suffix-sorted in two stages: only suffixes smaller than
 their successors are sorted directly; the others are induced from them by
 scanning the buckets of the first byte in order.  Common prefixes of
-neighbours then tell which windows repeat.  Anchors with more than
-``group_limit`` different segments are not brought together: their windows are
-counted by a 128-bit hash over the whole cluster, which is exact for every
-size of group.
+neighbours then tell which windows repeat.  An anchor with more than
+``group_limit`` different segments is split before it is brought together: its
+windows are dealt by their offset to the anchor and by a hash of the bytes
+that all windows of that offset range share, range by range down to single
+offsets, where equal windows are one row.
 
 Results: texts are UTF-8 bytes; null and empty texts have no bytes; texts
 shorter than the span keep all bytes; matches never cross documents; rows equal in
@@ -65,11 +66,11 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, off: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(doc, first, last, hash): runs of window starts [first, last] that share
-    the leftmost least-hashed gram, with that gram's hash."""
+    """(doc, first, last, hash, place): runs of window starts [first, last] that
+    share the leftmost least-hashed gram, with that gram's hash and place."""
     empty = np.zeros(0, np.int64)
     if len(data) < span:
-        return empty, empty, empty, np.zeros(0, np.uint64)
+        return empty, empty, empty, np.zeros(0, np.uint64), empty
     h = gram_hashes(data, gram)
     width = span - gram + 1
     m = (h & ~np.uint64(0xFFFFFFFF)) | np.arange(len(h), dtype=np.uint64)
@@ -87,7 +88,7 @@ def segments(data: np.ndarray, off: np.ndarray, span: int, gram: int) -> tuple[n
     stop = inside.copy()
     stop[:-1] &= ~inside[1:] | (anchor[1:] != anchor[:-1]) | (doc[1:len(anchor)] != doc[:len(anchor) - 1])
     first, last = np.flatnonzero(start), np.flatnonzero(stop)
-    return doc[first].astype(np.int64), first, last, h[anchor[first]]
+    return doc[first].astype(np.int64), first, last, h[anchor[first]], anchor[first]
 
 
 # ---- two-stage suffix sorting ----------------------------------------------------------------
@@ -209,6 +210,11 @@ def repeated_windows(text: np.ndarray, wanted: np.ndarray, span: int) -> np.ndar
 
 
 # ---- distributed operator ------------------------------------------------------------------------
+SEGMENT = "key bigint, sub bigint, n bigint, rel int, windows int, bytes binary"
+SEGMENT_COLUMNS = [c.split()[0] for c in SEGMENT.split(", ")]
+SEGMENT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+
+
 def packed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, doc, text): doc is a 64-bit hash of id and text.  Two documents under
     one hash only share candidates; the last step checks every segment."""
@@ -217,14 +223,15 @@ def packed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def cut_segments(b: pa.RecordBatch, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """doc index, first, windows, anchor, skey and the bytes of a batch's segments."""
+    """doc index, first, windows, anchor, skey, the anchor's place in the segment and
+    the bytes of a batch's segments."""
     import xxhash
     data, off = utf8(b.column("text"))
-    doc, first, last, h = segments(data, off, span, gram)
+    doc, first, last, h, place = segments(data, off, span, gram)
     raw = data.tobytes()
     cut = [raw[a:z] for a, z in zip(first.tolist(), (last + span).tolist())]
     skey = np.fromiter(map(xxhash.xxh3_64_intdigest, cut), np.uint64, len(cut))
-    return doc, first - off[doc], (last - first + 1).astype(np.int32), h, skey, cut
+    return doc, first - off[doc], (last - first + 1).astype(np.int32), h, skey, (place - first).astype(np.int32), cut
 
 
 def anchor_counts(rows: DataFrame, span: int, gram: int) -> DataFrame:
@@ -240,12 +247,13 @@ def occurrences(rows: DataFrame, span: int, gram: int) -> DataFrame:
     """(anchor, skey, doc, at, windows) of every window run whose anchor occurs twice."""
     def run(batches: Iterator[pa.RecordBatch]):
         for b in bounded(batches, "text", CHUNK):
-            doc, at, windows, h, skey, _ = cut_segments(b, span, gram)
+            doc, at, windows, h, skey, _, _ = cut_segments(b, span, gram)
             yield record_batch(["anchor", "skey", "doc", "at", "windows"], [
                 h.view(np.int64), skey.view(np.int64), b.column("doc").to_numpy()[doc], at.astype(np.int32), windows])
     found = rows.select("doc", "text").mapInArrow(run, "anchor bigint, skey bigint, doc bigint, at int, windows int")
     twice = anchor_counts(rows, span, gram).groupBy("anchor").agg(F.sum("n").alias("seen")).filter("seen >= 2")
-    return found.join(twice.select("anchor"), "anchor")
+    # stored, so that the join's two sides are plain shuffles which Spark can split at hot anchors
+    return found.join(store(twice.select("anchor"), "anchors"), "anchor")
 
 
 def squeezed(rows: DataFrame) -> DataFrame:
@@ -260,8 +268,8 @@ def squeezed(rows: DataFrame) -> DataFrame:
 
 
 def representatives(rows: DataFrame, distinct: DataFrame, span: int, gram: int) -> DataFrame:
-    """(anchor, skey, n, windows, bytes): each distinct segment, cut from the text of
-    one document that holds it."""
+    """(key, sub, n, rel, windows, bytes): each distinct segment (key: its anchor,
+    sub: its hash, rel: the anchor's place), cut from one document that holds it."""
     wanted = distinct.groupBy("doc").agg(F.collect_list(F.struct("anchor", "skey", "n")).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -273,18 +281,17 @@ def representatives(rows: DataFrame, distinct: DataFrame, span: int, gram: int)
                 text = pa.array([unpack(t) for t in part.column("packed").to_pylist()], pa.binary()).cast(pa.string())
                 for b in bounded(iter([part.append_column("text", text)]), "text", CHUNK):
                     lists = [{(w["anchor"], w["skey"]): w["n"] for w in x} for x in b.column("wanted").to_pylist()]
-                    doc, _, windows, h, skey, cut = cut_segments(b, span, gram)
+                    doc, _, windows, h, skey, rel, cut = cut_segments(b, span, gram)
                     out = []
                     for i, (d, a, k) in enumerate(zip(doc.tolist(), h.view(np.int64).tolist(),
                                                       skey.view(np.int64).tolist())):
                         n = lists[d].pop((a, k), None)
                         if n is not None:
-                            out.append((a, k, n, windows[i], cut[i]))
-                    yield record_batch(["anchor", "skey", "n", "windows", "bytes"], [
-                        pa.array([o[j] for o in out], t) for j, t in enumerate(
-                            (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))])
+                            out.append((a, k, n, int(rel[i]), int(windows[i]), cut[i]))
+                    yield record_batch(SEGMENT_COLUMNS, [pa.array([o[j] for o in out], t)
+                                                         for j, t in enumerate(SEGMENT_TYPES)])
     texts = squeezed(rows).select("doc", "packed").join(wanted, "doc").select("packed", "wanted")
-    return texts.mapInArrow(run, "anchor bigint, skey bigint, n bigint, windows int, bytes binary")
+    return texts.mapInArrow(run, SEGMENT)
 
 
 def runs_of(mask: np.ndarray, span: int) -> list[dict]:
@@ -301,8 +308,8 @@ _RANGES = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
 
 
 def judge_segments(distinct: DataFrame, span: int) -> DataFrame:
-    """(anchor, skey, ranges): the repeated parts of each distinct segment, by
-    suffix-sorting the segments of the anchors of a pack."""
+    """(key, sub, ranges): the repeated parts of each distinct segment, by
+    suffix-sorting the segments of the keys of a pack."""
     def run(table: pa.Table):
         raw = table["bytes"].combine_chunks()
         data = np.frombuffer(raw.buffers()[2], np.uint8) if raw.buffers()[2] else np.zeros(0, np.uint8)
@@ -320,32 +327,55 @@ def judge_segments(distinct: DataFrame, span: int) -> DataFrame:
         for a, w, m in zip(off[:-1].tolist(), windows.tolist(), many.tolist()):
             ranges.append([{"from": 0, "to": w - 1 + span}] if m else runs_of(hit[a:a + w], span))
         some = np.array([bool(r) for r in ranges], bool)
-        out = table.select(["anchor", "skey"]).append_column("ranges", pa.array(ranges, _RANGES))
+        out = table.select(["key", "sub"]).append_column("ranges", pa.array(ranges, _RANGES))
         yield from out.filter(pa.array(some)).combine_chunks().to_batches()
-    return by_group(distinct.select("anchor", "skey", "bytes", "windows", "n"), ["anchor"], ["skey"], run,
-                    f"anchor bigint, skey bigint, ranges {RANGES}", rows=6_000)
+    return by_group(distinct.select(*SEGMENT_COLUMNS), ["key"], ["sub"], run, f"key bigint, sub bigint, ranges {RANGES}",
+                    rows=6_000)
 
 
-def judge_large_groups(distinct: DataFrame, span: int) -> DataFrame:
-    """The same for anchors with too many different segments for one task: windows
-    are counted by a 128-bit hash, pre-aggregated per task; nothing is brought together by anchor."""
-    def cut(batches: Iterator[pa.RecordBatch]):
+def split_segments(large: DataFrame, span: int, width: int) -> DataFrame:
+    """The segments of large keys, split by ranges of ``width`` offsets to the
+    anchor: (key, sub) of the parent, ``start`` in it, and the part, whose key
+    hashes the bytes that every window of the range holds."""
+    def run(batches: Iterator[pa.RecordBatch]):
         import xxhash
+        digest = xxhash.xxh3_64_intdigest
+        signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x                # noqa: E731
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                rows = [(i, j, xxhash.xxh3_128_digest(t[j:j + span])) for i, (t, w) in enumerate(
-                    zip(part.column("bytes").to_pylist(), part.column("windows").to_pylist())) for j in range(w)]
-                at = pa.array([r[0] for r in rows], pa.int64())
-                yield record_batch(["anchor", "skey", "n", "j", "window"], [
-                    part.column("anchor").take(at), part.column("skey").take(at), part.column("n").take(at),
-                    pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())])
-    windows = distinct.select("anchor", "skey", "bytes", "windows", "n").mapInArrow(
-        cut, "anchor bigint, skey bigint, n bigint, j int, window binary")
-    twice = windows.groupBy("window").agg(F.sum("n").alias("__n")).filter("__n >= 2").select("window")
-    hits = windows.join(twice, "window").groupBy("anchor", "skey").agg(F.collect_set("j").alias("at"))
-    one = F.transform(F.array_sort("at"), lambda j: F.struct(j.alias("from"), (j + span).cast("int").alias("to")))
-    return hits.select("anchor", "skey", one.alias("ranges"))
+            out = []
+            for key, sub, n, rel, windows, text in zip(*(b.column(c).to_pylist() for c in SEGMENT_COLUMNS)):
+                for q in range(max(0, rel - windows + 1) // width, rel // width + 1):
+                    lo, hi = max(0, rel - (q + 1) * width + 1), min(windows - 1, rel - q * width)
+                    core = text[max(0, rel - q * width):rel - (q + 1) * width + 1 + span]
+                    part = text[lo:hi + span]
+                    out.append((key, sub, lo, signed(digest(core, seed=(key + q * 2654435761) % (1 << 64))),
+                                signed(digest(part)), n, rel - lo, hi - lo + 1, part))
+            types = (pa.int64(), pa.int64(), pa.int32(), *SEGMENT_TYPES)
+            yield record_batch(["up_key", "up_sub", "start", *SEGMENT_COLUMNS],
+                               [pa.array([o[j] for o in out], t) for j, t in enumerate(types)])
+    return large.select(*SEGMENT_COLUMNS).mapInArrow(run, f"up_key bigint, up_sub bigint, start int, {SEGMENT}")
+
+
+def judge_all(distinct: DataFrame, span: int, width: int, limit: int) -> DataFrame:
+    """judge_segments for keys of at most ``limit`` segments; larger keys are
+    split by offset, a quarter of the range at a time, and judged part by part.
+    At single offsets all windows of a key are equal and one row."""
+    sizes = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("__k"))
+    large_keys = store(sizes.filter(F.col("__k") > limit).select("key"), "large-anchors")
+    if width == 1 or large_keys.isEmpty():
+        return judge_segments(distinct, span)
+    width = -(-width // 4)
+    parts = store(split_segments(distinct.join(large_keys, "key", "left_semi"), span, width), "anchor-parts")
+    counted = parts.groupBy("key").agg(F.sum("n").alias("__n")).filter("__n >= 2").select("key")
+    below = store(parts.join(counted, "key", "left_semi").groupBy("key", "sub", "rel", "windows", "bytes")
+                  .agg(F.sum("n").alias("n")).select(*SEGMENT_COLUMNS), "part-segments")
+    judged = judge_all(below, span, width, limit).withColumnRenamed("ranges", "__r")
+    up = parts.select("up_key", "up_sub", "start", "key", "sub").join(judged, ["key", "sub"]).select(
+        F.col("up_key").alias("key"), F.col("up_sub").alias("sub"),
+        F.transform("__r", lambda r: F.struct((r["from"] + F.col("start")).cast("int").alias("from"),
+                                              (r["to"] + F.col("start")).cast("int").alias("to"))).alias("ranges"))
+    up = up.groupBy("key", "sub").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))       # parts of one segment
+    return judge_segments(distinct.join(large_keys, "key", "left_anti"), span).unionByName(up)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM,
@@ -355,10 +385,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = store(occurrences(rows, span, gram), "occurrences")
     distinct = store(found.groupBy("anchor", "skey").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc")),
                      "distinct-segments")
-    large = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("__k")).filter(F.col("__k") > group_limit).select("anchor")
     texts = store(representatives(rows, distinct, span, gram), "representatives")
-    judged = judge_segments(texts.join(large, "anchor", "left_anti"), span) \
-        .unionByName(judge_large_groups(texts.join(large, "anchor", "left_semi"), span))
+    judged = judge_all(texts, span, span - gram + 1, group_limit).select(
+        F.col("key").alias("anchor"), F.col("sub").alias("skey"), "ranges")
     cover = found.join(judged, ["anchor", "skey"]).groupBy("doc").agg(
         F.collect_set(F.struct("at", "skey", "windows", "ranges")).alias("cover"))    # bounded by the document's length
     joined = squeezed(rows).join(cover, "doc", "left").select("id", "packed", "cover")
