@@ -130,6 +130,8 @@ def chosen_buckets(sets: DataFrame, runs: int, tokens: int, depth: int, limit: i
     rows, done = path_rows(sets, runs, tokens, depth), []
     for d in range(depth + 1):
         sizes = rows.groupBy(f"p{d}").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+        if d == 0:          # stored, so that Spark can split the join at hot nodes
+            sizes = store(sizes, "path-sizes")
         shared = rows.drop("n").join(sizes, f"p{d}")
         if d == 0:
             shared = store(shared, "paths")
