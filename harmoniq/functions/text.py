@@ -57,7 +57,7 @@ def clean_header(col) -> Column:
     return collapse_ws(drop_note_tag(collapse_ws(col)))
 
 
-def strip_html(col, cap: int | None = 1500) -> Column:
+def strip_html(col, cap: int | None = None) -> Column:
     """tags to spaces, trim, optional length cap on the result."""
     out = F.trim(F.regexp_replace(_c(col), r"<[^>]+>", " "))
     return F.left(out, F.lit(cap)) if cap else out
@@ -84,7 +84,7 @@ def digits_only_long(col) -> Column:
     """Strip '.' and ',' thousands separators; '', '-', '.' and any
     non-digit leftovers are missing (NULL)."""
     s = F.regexp_replace(F.trim(_c(col)), r"[.,]", "")
-    return F.when(s.rlike(r"^[0-9]+$"), s.cast("bigint"))
+    return F.when(s.rlike(r"^[0-9]+$"), s.try_cast("bigint"))
 
 
 def decimal_comma(col) -> Column:

@@ -13,13 +13,18 @@ POLICE_PR_OUTLETS = (
 )
 
 
+AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 def url_domain(url) -> Column:
-    """lower-cased host without one leading 'www.'; bad URL -> ''."""
-    host = F.lower(F.coalesce(F.try_parse_url(_c(url), F.lit("HOST")), F.lit("")))
+    """lower-cased host without one leading 'www.'; no authority -> ''.
+    The authority is cut out by its delimiters (user info and port dropped),
+    so characters that a strict parser refuses elsewhere do not lose it."""
+    host = F.lower(F.coalesce(F.regexp_extract(F.ltrim(_c(url)), AUTHORITY, 1), F.lit("")))
     return F.regexp_replace(host, r"^www\.", "")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from harmoniq.functions.codes import country_of, level_of, year_end, year_start
 from harmoniq.functions.metrics import rate_per_100k
+from harmoniq.functions.text import lenient_long
 from harmoniq.schema import CRIME_AGGREGATES
 
 
@@ -26,7 +27,7 @@ def _c(x) -> Column:
 
 def is_literal(df: DataFrame) -> bool:
     """True for tables built from rows written in code (bounded by code)."""
-    return bool(getattr(df, "_harmoniq_literal", False)) or df.isLocal()
+    return bool(getattr(df, "_harmoniq_literal", False))
 
 
 def lookup_side(df: DataFrame, literal: bool | None = None) -> DataFrame:
@@ -121,8 +122,9 @@ def native_examples(label, n: int = 3) -> Column:
 def sum_counts(df: DataFrame, keys: list[str], count: str = "count",
                native: str | None = None, extra_aggs: list[Column] | None = None) -> DataFrame:
     """A1 (+A2): sum of counts per key; partial aggregation happens map-side
-    so hot keys are pre-reduced before the shuffle."""
-    aggs = [F.sum(F.col(count).cast("bigint")).alias("count")]
+    so hot keys are pre-reduced before the shuffle.  A count that is not a
+    number is missing, not an error (P6)."""
+    aggs = [F.sum(lenient_long(count, missing="null")).alias("count")]
     if native:
         aggs.append(native_examples(native).alias("crime_category_native"))
     aggs += extra_aggs or []
@@ -236,7 +238,7 @@ def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: Dat
         df = map_values(df, spec.region, rm, key, value, "region_code", key_fn=spec.region_key_fn)
     else:
         df = df.withColumn("region_code", F.lit(spec.country))
-    df = df.withColumn("__year", F.col(spec.year).cast("int"))
+    df = df.withColumn("__year", F.col(spec.year).try_cast("int"))
     agg = sum_counts(df.withColumn("__count", F.col(spec.count)),
                      ["region_code", "crime_category", "__year", *spec.group_extra],
                      count="__count", native=spec.native_category)
@@ -277,6 +279,7 @@ def run_sources(spark: SparkSession, sources: list[tuple[str, DataFrame, SourceS
     min_period, max_period, n_regions, error)."""
     from harmoniq.operators.upsert import upsert_partitions
     from harmoniq.schema import AGGREGATE_KEY
+    from harmoniq.session import materialize
     records = []
     try:                                    # an existing table is merged into, never replaced
         spark.read.parquet(table_path).schema
@@ -287,18 +290,20 @@ def run_sources(spark: SparkSession, sources: list[tuple[str, DataFrame, SourceS
         exists = False
     for name, df, spec in sources:
         try:
-            rows = harmonise(spark, df, spec, regions, as_of=as_of)
-            if not exists:
+            rows = materialize(harmonise(spark, df, spec, regions, as_of=as_of))
+            stats = rows.agg(F.count(F.lit(1)).alias("n"), F.min("period_start").alias("lo"),
+                             F.max("period_end").alias("hi"), F.count_distinct("region_code").alias("r")).first()
+            if not stats["n"]:              # a source without rows is a run with nothing to write
+                pass
+            elif not exists:
                 rows.write.mode("errorifexists").partitionBy("source_country").parquet(table_path)
                 exists = True
             else:
                 upsert_partitions(spark, table_path, rows, list(AGGREGATE_KEY), ["source_country"],
-                                  staging=f"{table_path.rstrip('/')}_staging_{len(records)}")
-            stats = rows.agg(F.count(F.lit(1)).alias("n"), F.min("period_start").alias("lo"),
-                             F.max("period_end").alias("hi"), F.count_distinct("region_code").alias("r")).first()
+                                  staging=f"{table_path.rstrip('/')}_staging")
             records.append((name, "ok", stats["n"], stats["lo"], stats["hi"], stats["r"], None))
         except Exception as e:  # noqa: BLE001  isolate one source's failure
-            records.append((name, "failed", 0, None, None, 0, str(e)[:500]))
+            records.append((name, "failed", 0, None, None, 0, str(e)))
     schema = T.StructType([
         T.StructField("source", T.StringType()), T.StructField("status", T.StringType()),
         T.StructField("n_rows", T.LongType()), T.StructField("min_period", T.DateType()),

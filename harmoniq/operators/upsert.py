@@ -9,6 +9,7 @@ of IS NULL tests would degrade it to a nested loop).
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,11 +63,20 @@ def read_version(spark, root: str, version: int | None = None) -> DataFrame:
     """Read one version (default: the newest) of a versioned table."""
     allv = spark.read.parquet(root)
     if version is None:
-        latest = allv.select(F.max("version")).scalar()
-        return allv.filter(F.col("version") == latest).drop("version")
+        version = newest_version(spark, root)
     return allv.filter(F.col("version") == int(version)).drop("version")
 
 
+def newest_version(spark, root: str) -> int | None:
+    """Highest ``version=N`` folder under ``root`` by listing it (no scan)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return max((int(n[8:]) for n in names if n.startswith("version=") and n[8:].isdigit()), default=None)
+
+
 def write_partitions(df: DataFrame, path: str, partition_by: list[str],
                      compression: str = "zstd") -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition
@@ -75,20 +85,26 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str],
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
+def fresh_stage(base: str) -> str:
+    """A staging folder that no earlier call has written to."""
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def upsert_partitions(spark, path: str, incoming: DataFrame, keys: list[str], partition_by: list[str],
                       order: str | None = None, staging: str | None = None) -> DataFrame:
     """J6 scoped to the partitions the batch touches: only partitions whose
     values occur in ``incoming`` are read (a semi-join on the partition
     columns, pruned at runtime by dynamic partition pruning), merged, and
     rewritten with dynamic partition overwrite; every other partition of a
-    large table is left untouched.  The merged partitions are staged first
-    (``staging``, default ``path + '_staging'``) so the overwrite never
-    reads the files it replaces."""
+    large table is left untouched.  The merged partitions are staged first,
+    in a folder of their own per call under ``staging`` (default ``path +
+    '_staging'``), so the overwrite neither reads the files it replaces nor
+    sees what an earlier call staged."""
     existing = spark.read.parquet(path)
     touched = incoming.select(*partition_by).distinct()
     scoped = existing.join(touched, partition_by, "left_semi")
     merged = upsert(scoped, incoming.select(*existing.columns), keys, order)
-    stage = staging or path.rstrip("/") + "_staging"
-    merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
-    write_partitions(spark.read.parquet(stage).select(*existing.columns), path, partition_by)
+    stage = fresh_stage(staging or path.rstrip("/") + "_staging")
+    merged.write.mode("errorifexists").partitionBy(*partition_by).parquet(stage)
+    write_partitions(spark.read.schema(existing.schema).parquet(stage).select(*existing.columns), path, partition_by)
     return spark.read.parquet(path)

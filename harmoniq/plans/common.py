@@ -54,36 +54,13 @@ DRIVER_SCHEMAS = {
     "benchmark": "item_id bigint, text string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
-_SPLITS: dict[str, int] = {}
-
-
-# tables whose size grows with the scale factor (dimensions like region and
-# nation stay a few rows and are never rebalanced)
-GROWING = {"lineitem", "orders", "customer", "supplier", "part", "events", "documents", "pages",
-           "conversations"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table scan with its declared schema (no inference job)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     ddl = DRIVER_SCHEMAS.get(name)
-    df = spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
-    return spread(df, path) if name in GROWING else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rebalance an under-split scan: a file with a single row group is one
-    task however many cores there are.  When the scan yields fewer splits
-    than the session's parallelism it is round-robined once; on
-    cluster-sized inputs (thousands of splits) this is a no-op."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        if key not in _SPLITS:
-            _SPLITS[key] = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (Spark Connect: no RDD view; leave the scan as is)
-        return df
-    n = _SPLITS[key]
-    return df.repartition(par) if n < par and n < 4 else df
+    return spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:

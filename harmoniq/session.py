@@ -63,6 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="harmoniq-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is not None and sc.getCheckpointDir() is None:

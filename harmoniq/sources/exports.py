@@ -94,7 +94,7 @@ def gdelt_articles(docs: DataFrame, country) -> DataFrame:
     """Landed article-list payloads -> article records: renamed fields,
     'YYYYMMDDTHHMMSSZ' -> ISO-8601 UTC, language lower-cased, empty lead."""
     a = docs.select(F.explode("articles").alias("a"), _c(country).alias("country"))
-    ts = F.to_timestamp(F.col("a.seendate"), "yyyyMMdd'T'HHmmss'Z'")
+    ts = F.try_to_timestamp(F.col("a.seendate"), F.lit("yyyyMMdd'T'HHmmss'Z'"))
     return a.select(F.col("a.url").alias("url"), F.col("a.domain").alias("outlet"),
                     F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("published_at"),
                     F.lower(F.col("a.language")).alias("language"),
@@ -102,7 +102,7 @@ def gdelt_articles(docs: DataFrame, country) -> DataFrame:
                     F.lit("gdelt").alias("source"), "country")
 
 
-def rss_articles(entries: DataFrame, language: str = "en", lead_cap: int = 1500) -> DataFrame:
+def rss_articles(entries: DataFrame, language: str = "en", lead_cap: int | None = None) -> DataFrame:
     """Feed entries -> article records; entries without a link are
     skipped; lead = first non-empty of summary/description with tags
     stripped and capped; published else updated."""

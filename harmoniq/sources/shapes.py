@@ -33,11 +33,11 @@ def unfold_cube(cube: DataFrame, dims: list[str], value: str = "value",
 
 
 # S7 -------------------------------------------------------------------------------------
-def read_sections(spark: SparkSession, path: str, header_scan_lines: int = 30,
+def read_sections(spark: SparkSession, path: str,
                   fallback_encoding: str = "ISO-8859-15") -> DataFrame:
-    """Sectioned text.  The year header is the first of the first
-    ``header_scan_lines`` lines with a 4-digit tab field (its 4-digit fields
-    are the years); after it, a non-blank line without leading whitespace
+    """Sectioned text.  The year header is the first line
+    with a 4-digit tab field (its 4-digit fields are the years; a file
+    without one is an error); after it, a non-blank line without leading whitespace
     opens a section (its name is the line without trailing tabs), and an
     indented line 'label<TAB>v1<TAB>v2...' is a data row of that section;
     values beyond the year columns are ignored.  Returns (file, section,
@@ -50,10 +50,11 @@ def read_sections(spark: SparkSession, path: str, header_scan_lines: int = 30,
     lines = t.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
     fields = F.transform(F.split(F.col("line"), "\t"), lambda p: F.trim(p))
     year_fields = F.filter(fields, lambda p: p.rlike("^[0-9]{4}$"))
-    years = (lines.filter((F.col("pos") < header_scan_lines) & (F.size(year_fields) > 0))
+    years = (lines.filter(F.size(year_fields) > 0)
              .groupBy("file").agg(F.min_by(year_fields, F.col("pos")).alias("years"),
                                   F.min("pos").alias("__ypos")))
-    body = lines.join(years, "file").filter(F.col("pos") > F.col("__ypos"))
+    found = F.coalesce(F.col("__ypos"), F.raise_error(F.concat(F.lit("no year header in "), F.col("file"))).cast("int"))
+    body = lines.join(years, "file", "left").filter(F.col("pos") > found)
     indented = F.col("line").startswith(" ") | F.col("line").startswith("\t")
     header = F.when((F.trim(F.col("line")) != "") & ~indented,
                     F.trim(F.regexp_replace(F.col("line"), "\t+$", "")))
@@ -62,7 +63,7 @@ def read_sections(spark: SparkSession, path: str, header_scan_lines: int = 30,
     parts = F.split(F.col("line"), "\t")
     rows = (tagged.filter(indented).select(
         "file", F.coalesce(F.col("section"), F.lit("")).alias("section"),
-        F.trim(F.element_at(parts, 1)).alias("label"), F.slice(parts, 2, 1 << 16).alias("vals"), "years")
+        F.trim(F.element_at(parts, 1)).alias("label"), F.slice(parts, 2, F.size(parts)).alias("vals"), "years")
         .filter(F.col("label") != ""))
     z = rows.select("file", "section", "label", F.explode(F.arrays_zip("years", "vals")).alias("z"))
     z = z.filter(F.col("z.years").isNotNull())

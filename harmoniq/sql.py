@@ -15,7 +15,7 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def run_sql(spark: SparkSession, text: str, cap: int | None = 1000) -> DataFrame:
+def run_sql(spark: SparkSession, text: str, cap: int | None = None) -> DataFrame:
     """Run one SELECT and cap the result.  The statement is wrapped as a
     subquery (a statement already ending in LIMIT keeps its own limit),
     never concatenated with ' LIMIT n'."""

@@ -52,13 +52,13 @@ def upsert_batches(spark: SparkSession, stream: DataFrame, table_root: str, chec
                    keys: list[str], order: list[str], partition_by: list[str] | None = None) -> None:
     """Each micro-batch merges into the table at ``table_root``.
 
-    Without ``partition_by`` the merged table is written as version
-    ``batch_id + 1`` (small tables).  With ``partition_by`` (large tables;
+    Without ``partition_by`` the merged table is written as the version after
+    the newest one (small tables), whichever checkpoint the batch comes from.  With ``partition_by`` (large tables;
     the partition columns must be functions of the key) only the
     partitions the batch touches are merged and rewritten in place; the
     merge is idempotent, so a retried batch changes nothing."""
     if partition_by:
-        from harmoniq.operators.upsert import write_partitions
+        from harmoniq.operators.upsert import fresh_stage, write_partitions
 
         def merge_scoped(batch: DataFrame, batch_id: int) -> None:
             cols = batch.columns
@@ -74,8 +74,8 @@ def upsert_batches(spark: SparkSession, stream: DataFrame, table_root: str, chec
             touched = b.select(*partition_by).distinct()
             scoped = existing.join(touched, partition_by, "left_semi").select(*cols)
             merged = newer_wins(scoped, b, keys, order)
-            stage = f"{table_root.rstrip('/')}_staging/batch={batch_id}"
-            merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
+            stage = fresh_stage(f"{table_root.rstrip('/')}_staging")
+            merged.write.mode("errorifexists").partitionBy(*partition_by).parquet(stage)
             write_partitions(spark.read.parquet(stage).select(*cols), table_root, partition_by)
 
         q = (stream.writeStream.foreachBatch(merge_scoped).option("checkpointLocation", checkpoint)
@@ -83,19 +83,13 @@ def upsert_batches(spark: SparkSession, stream: DataFrame, table_root: str, chec
         q.awaitTermination()
         return
 
+    from harmoniq.operators.upsert import newest_version
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        target = f"{table_root}/version={batch_id + 1}"
-        try:
-            prev = spark.read.parquet(table_root)
-            prev_v = prev.filter(F.col("version") < batch_id + 1)
-            latest = prev_v.select(F.max("version")).first()[0]
-            existing = prev_v.filter(F.col("version") == latest).drop("version") if latest is not None else None
-        except Exception as e:  # noqa: BLE001  (first batch: no table yet)
-            if "PATH_NOT_FOUND" not in str(e) and "Unable to infer schema" not in str(e):
-                raise
-            existing = None
-        merged = batch if existing is None else newer_wins(existing, batch, keys, order)
-        merged.write.mode("overwrite").parquet(target)
+        latest = newest_version(spark, table_root)
+        merged = batch if latest is None else newer_wins(
+            spark.read.parquet(f"{table_root}/version={latest}"), batch, keys, order)
+        merged.write.mode("errorifexists").parquet(f"{table_root}/version={(latest or 0) + 1}")
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
