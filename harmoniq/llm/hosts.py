@@ -76,8 +76,8 @@ def level_strength(children: DataFrame) -> float:
     """Strength of the beta prior of a level, from rows (n, k, pn, pk) of
     children and their parents: the intra-class correlation by moments, rho;
     strength = (1 - rho) / rho within STRENGTH_RANGE."""
-    x = children.filter("n > 0").withColumn("m", F.col("pk") / F.col("pn")) \
-        .withColumn("v", F.col("m") * (1 - F.col("m")) * (1 - F.col("n") / F.col("pn")))
+    x = children.filter("n > 0").withColumn("m", F.try_divide("pk", "pn")) \
+        .withColumn("v", F.col("m") * (1 - F.col("m")) * (1 - F.try_divide("n", "pn")))
     r = x.agg(F.sum(F.col("n") * F.pow(F.col("k") / F.col("n") - F.col("m"), F.lit(2.0))).alias("s"),
               F.sum("v").alias("a"), F.sum(F.col("v") * (F.col("n") - 1)).alias("b")).first()
     lo, hi = STRENGTH_RANGE

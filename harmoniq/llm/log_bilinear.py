@@ -39,7 +39,8 @@ TOP = SYMBOLS - CLASSES - 1
 END = SYMBOLS - 1                       # the end of a text, and what stands before its first word
 DIM = 32
 NOISE_RATIO = 25.0
-STEPS, RATE = 300, 0.05
+STEPS, RATE = 100, 0.05
+PRIOR = 100.0
 BLOCK_BYTES = 8 << 20
 BLOCK = ("block bigint, ids array<bigint>, held array<boolean>, sizes binary, tokens binary, words binary, "
          "classes binary, train binary")
@@ -155,14 +156,18 @@ def pair_counts(blocks: DataFrame, top: np.ndarray) -> np.ndarray:
 
 
 # ---- the model ---------------------------------------------------------------------------------
-def train(pairs: np.ndarray, dim: int = DIM, ratio: float = NOISE_RATIO, steps: int = STEPS, rate: float = RATE) -> dict:
+def train(pairs: np.ndarray, dim: int = DIM, ratio: float = NOISE_RATIO, steps: int = STEPS, rate: float = RATE,
+          prior: float = PRIOR) -> dict:
     """Noise-contrastive estimation of s(c, w) = (r_c M) . q_w + b_w against the
     symbol frequencies: ascent (Adam) on
-    sum n(c, w) ln sig(d) + ratio * sum n(c) p(w) ln (1 - sig(d)), d = s - ln(ratio p(w))."""
+    sum n(c, w) ln sig(d) + ratio * sum n(c) p(w) ln (1 - sig(d)), d = s - ln(ratio p(w)).
+    Each context's counts hold ``prior`` draws of the symbol frequencies besides
+    its own, so rare contexts stay near them."""
     size = len(pairs)
     rng = np.random.default_rng(0)
     freq = pairs.sum(axis=0) + 0.5
     noise = freq / freq.sum()
+    pairs = pairs + prior * noise
     of_context = pairs.sum(axis=1, keepdims=True)
     scale = 1.0 / max(pairs.sum(), 1.0)
     par = {"r": rng.normal(0, 0.1, (size, dim)), "m": np.eye(dim) + rng.normal(0, 0.01, (dim, dim)),
