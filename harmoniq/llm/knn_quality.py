@@ -9,7 +9,7 @@ labels of the nearest vote with their similarity as weight.
 
 Bounds (documented parameters): at most ``max_labelled`` labelled rows are
 fitted on and broadcast, half of each label where there are enough, chosen by
-the hash of the text; the vote is weighted back to the labels' shares
+the hash of the text (equal texts of one label are one row); the vote is weighted back to the labels' shares
 over all labelled training rows.  Every document is scored over its whole text.
 
 Results: null and empty texts, and any text without features, score the share of
@@ -88,22 +88,34 @@ def batch_features(b: pa.RecordBatch, column: str) -> np.ndarray:
 
 
 # ---- fitting ---------------------------------------------------------------------------
-def labelled_sample(train: DataFrame, label_col: str, text_col: str, max_labelled: int) -> tuple[DataFrame, dict]:
-    """At most ``max_labelled`` (text, label) rows and the label shares."""
-    rows = train.filter(F.col(label_col).isin(0, 1)).select(
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("label"))
-    share = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+def labelled_sample(train: DataFrame, labels: DataFrame | None, label_col: str, text_col: str, id_col: str,
+                    max_labelled: int) -> tuple[DataFrame, dict]:
+    """At most ``max_labelled`` (text, label) rows and the label shares.  The
+    sample is drawn on hashes; only the drawn texts are brought together."""
+    rows = train.select(*([F.col(id_col).alias("id")] if labels is not None else [F.col(label_col).alias("label")]),
+                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("h", text_hash("text"))
+    keyed = rows.select("h", "label") if labels is None else \
+        rows.select("id", "h").join(labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")), "id")
+    keyed = keyed.filter(F.col("label").isin(0, 1)).select("h", F.col("label").cast("int").alias("label"))
+    share = {r["label"]: r["count"] for r in keyed.groupBy("label").count().collect()}
     least = min(share.values(), default=0)
-    take = {k: min(v, max(max_labelled // 2, max_labelled - least)) for k, v in share.items()}
-    parts = [rows.filter(F.col("label") == k).orderBy(text_hash("text"), "text").limit(take[k]) for k in sorted(share)]
-    return (parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0] if parts else rows.limit(0)), share
+    drawn = rows.sparkSession.createDataFrame([], "h bigint, label int")
+    for k, n in sorted(share.items()):
+        take = min(n, max(max_labelled // 2, max_labelled - least))
+        drawn = drawn.unionByName(keyed.filter(F.col("label") == k).distinct().orderBy("h").limit(take))
+    # at most max_labelled rows of two numbers
+    texts = rows.select("h", "text").join(F.broadcast(drawn), "h")
+    return texts.groupBy("h", "label").agg(F.any_value("text").alias("text")), share
 
 
 def fit(train: DataFrame, label_col: str = "quality", text_col: str = "text", max_labelled: int = MAX_LABELLED,
-        rank: int = RANK, max_bytes: int = MAX_LABELLED_BYTES) -> dict:
-    """Latent space and labelled vectors.  The sample's feature rows are made in
+        rank: int = RANK, max_bytes: int = MAX_LABELLED_BYTES, labels: DataFrame | None = None,
+        id_col: str = "doc_id") -> dict:
+    """Latent space and labelled vectors, from rows with a label column or from
+    rows and ``labels`` (id, label).  The sample's feature rows are made in
     the tasks, so long texts do not reach the driver."""
-    sample, share = labelled_sample(train, label_col, text_col, max_labelled)
+    sample, share = labelled_sample(train, labels, label_col, text_col, id_col, max_labelled)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in bounded(batches, "text", 1 << 20, 256):
@@ -112,7 +124,7 @@ def fit(train: DataFrame, label_col: str = "quality", text_col: str = "text", ma
             yield record_batch(["label", "slot", "n"], [
                 b.column("label"), pa.array([s.astype(np.int32) for s in sparse], pa.list_(pa.int32())),
                 pa.array([r[s] for r, s in zip(x, sparse)], pa.list_(pa.float32()))])
-    got = sample.mapInArrow(run, "label int, slot array<int>, n array<float>").toArrow()
+    got = sample.select("label", "text").mapInArrow(run, "label int, slot array<int>, n array<float>").toArrow()
     if got.nbytes > max_bytes * 2:
         raise ValueError(f"the labelled sample takes {got.nbytes} bytes; lower max_labelled")
     x = np.zeros((got.num_rows, FEATURES), np.float32)

@@ -86,7 +86,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    model = knn_quality.fit(docs.filter(~is_held_out("doc_id", 4)).join(labels, "doc_id"))
+    model = knn_quality.fit(docs.filter(~is_held_out("doc_id", 4)), labels=labels)
     return knn_quality.score(docs, model, keep=["doc_id", is_held_out("doc_id", 4).alias("held_out")])
 
 
