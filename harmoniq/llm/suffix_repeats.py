@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -294,17 +295,20 @@ def representatives(rows: DataFrame, distinct: DataFrame, span: int, gram: int)
     return texts.mapInArrow(run, SEGMENT)
 
 
-def runs_of(mask: np.ndarray, span: int) -> list[dict]:
-    """Covered byte ranges of the window starts in ``mask``."""
-    at = np.flatnonzero(mask)
-    if not len(at):
-        return []
-    new = np.flatnonzero(np.append(True, np.diff(at) > span))
-    return [{"from": int(a), "to": int(z) + span} for a, z in zip(at[new], at[np.append(new[1:], len(at)) - 1])]
+def ranges_of(hit: np.ndarray, off: np.ndarray, span: int) -> pa.Array:
+    """Per segment, the covered byte ranges of its window starts in ``hit``."""
+    at = np.flatnonzero(hit)
+    of = np.searchsorted(off, at, "right") - 1
+    new = np.append(True, (np.diff(at) > span) | (of[1:] != of[:-1]))[:len(at)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at))[:len(first)] - 1
+    lo, hi = at[first] - off[of[first]], at[last] - off[of[first]] + span
+    place = np.searchsorted(of[first], np.arange(len(off)))
+    values = pa.StructArray.from_arrays([pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], ["from", "to"])
+    return pa.ListArray.from_arrays(pa.array(place.astype(np.int32)), values)
 
 
 RANGES = "array<struct<from: int, to: int>>"
-_RANGES = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
 
 
 def judge_segments(distinct: DataFrame, span: int) -> DataFrame:
@@ -322,12 +326,10 @@ def judge_segments(distinct: DataFrame, span: int) -> DataFrame:
         np.add.at(edge, off[:-1] + windows, -1)
         wanted = np.cumsum(edge[:-1]) > 0
         hit = repeated_windows(text, wanted, span)
-        many = table["n"].to_numpy() > 1
-        ranges = []
-        for a, w, m in zip(off[:-1].tolist(), windows.tolist(), many.tolist()):
-            ranges.append([{"from": 0, "to": w - 1 + span}] if m else runs_of(hit[a:a + w], span))
-        some = np.array([bool(r) for r in ranges], bool)
-        out = table.select(["key", "sub"]).append_column("ranges", pa.array(ranges, _RANGES))
+        several = np.repeat(table["n"].to_numpy() > 1, np.diff(off))
+        ranges = ranges_of(hit | (wanted & several), off, span)
+        some = np.diff(ranges.offsets.to_numpy()) > 0
+        out = table.select(["key", "sub"]).append_column("ranges", ranges)
         yield from out.filter(pa.array(some)).combine_chunks().to_batches()
     return by_group(distinct.select(*SEGMENT_COLUMNS), ["key"], ["sub"], run, f"key bigint, sub bigint, ranges {RANGES}",
                     rows=6_000)
@@ -393,28 +395,48 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = squeezed(rows).join(cover, "doc", "left").select("id", "packed", "cover")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        import xxhash
         import zstandard
         unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             for lo in range(0, b.num_rows, 200):
                 part = b.slice(lo, 200)
-                out = [strip(b"" if p is None else unpack(p), c, span, xxhash.xxh3_64_intdigest)
-                       for p, c in zip(part.column("packed").to_pylist(), part.column("cover").to_pylist())]
-                yield record_batch(["id", "n_bytes", "n_removed", "n_spans", "kept"], [part.column("id")] + [
-                    pa.array([o[j] for o in out], pa.binary() if j == 3 else pa.int64()) for j in range(4)])
+                texts = [b"" if p is None else unpack(p) for p in part.column("packed").to_pylist()]
+                off = np.cumsum([0] + [len(t) for t in texts])
+                text = b"".join(texts)
+                gone = covered(text, off, part.column("cover"), span)
+                total = np.append(0, np.cumsum(gone))
+                first = gone.copy()
+                first[1:] &= ~gone[:-1] | np.isin(np.arange(1, len(gone)), off)
+                spans = np.append(0, np.cumsum(first))
+                x = np.frombuffer(text, np.uint8)
+                kept = [t if total[z] == total[a] else x[a:z][~gone[a:z]].tobytes()
+                        for t, a, z in zip(texts, off[:-1], off[1:])]
+                yield record_batch(["id", "n_bytes", "n_removed", "n_spans", "kept"], [
+                    part.column("id"), np.diff(off), np.diff(total[off]), np.diff(spans[off]), pa.array(kept, pa.binary())])
     return joined.mapInArrow(run, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
-def strip(text: bytes, cover: list | None, span: int, digest) -> tuple[int, int, int, bytes]:
-    """(bytes, removed, spans, kept) of a text under its covered segments."""
-    own = [c for c in cover or []
-           if digest(text[c["at"]:c["at"] + c["windows"] - 1 + span]) == c["skey"] % (1 << 64)]
-    if not own:
-        return len(text), 0, 0, text
-    edge = np.zeros(len(text) + 1, np.int32)
-    np.add.at(edge, [c["at"] + r["from"] for c in own for r in c["ranges"]], 1)
-    np.add.at(edge, [c["at"] + r["to"] for c in own for r in c["ranges"]], -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-    return len(text), int(gone.sum()), int((gone[1:] & ~gone[:-1]).sum() + gone[0]), kept
+def covered(text: bytes, off: np.ndarray, cover: pa.Array, span: int) -> np.ndarray:
+    """Mask of the bytes that the texts' covers remove; a listed segment counts
+    only where the text holds it."""
+    import xxhash
+    digest = xxhash.xxh3_64_intdigest
+    size = np.diff(off)
+    rows = np.repeat(np.arange(len(cover)), np.nan_to_num(pc.list_value_length(cover).to_numpy(zero_copy_only=False))
+                     .astype(np.int64))
+    flat = cover.flatten()
+    at, windows = flat.field("at").to_numpy().astype(np.int64), flat.field("windows").to_numpy().astype(np.int64)
+    start = off[rows] + at
+    end = start + windows - 1 + span
+    skey = flat.field("skey").to_numpy().view(np.uint64).tolist()
+    real = np.fromiter((digest(text[a:z]) == k for a, z, k in zip(start.tolist(), end.tolist(), skey)), bool, len(skey))
+    real &= at + windows - 1 + span <= size[rows]
+    ranges = flat.field("ranges")
+    which = np.repeat(np.arange(len(flat)), np.diff(ranges.offsets.to_numpy()))
+    inner = ranges.values.slice(ranges.offsets[0].as_py(), len(which)) if len(flat) else ranges.values
+    ok = real[which]
+    edge = np.zeros(len(text) + 1, np.int64)
+    if ok.any():
+        np.add.at(edge, start[which][ok] + inner.field("from").to_numpy()[ok], 1)
+        np.add.at(edge, start[which][ok] + inner.field("to").to_numpy()[ok], -1)
+    return np.cumsum(edge[:-1]) > 0
