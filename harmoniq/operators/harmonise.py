@@ -123,8 +123,8 @@ def sum_counts(df: DataFrame, keys: list[str], count: str = "count",
                native: str | None = None, extra_aggs: list[Column] | None = None) -> DataFrame:
     """A1 (+A2): sum of counts per key; partial aggregation happens map-side
     so hot keys are pre-reduced before the shuffle.  A count that is not a
-    number is missing, not an error (P6)."""
-    aggs = [F.sum(lenient_long(count, missing="null")).alias("count")]
+    number counts as zero, not as an error (P6)."""
+    aggs = [F.sum(lenient_long(count)).alias("count")]
     if native:
         aggs.append(native_examples(native).alias("crime_category_native"))
     aggs += extra_aggs or []
@@ -224,7 +224,8 @@ def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: Dat
               as_of=None, file_hash: str = "") -> DataFrame:
     """Generic normalise: filter -> map category (J1) -> map region (J2) ->
     sum + native examples (A1/A2) -> retention on the aggregate (P11/P12)
-    -> population (J4) -> rate (F1) -> canonical projection (P18)."""
+    -> population (J4) -> rate (F1) -> canonical projection (P18).  A row
+    whose year is not a number belongs to no period and goes."""
     if spec.row_filter is not None:
         df = df.filter(spec.row_filter)
     cat = literal_map(spark, spec.category_map, "__native", "crime_category")
@@ -238,7 +239,7 @@ def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: Dat
         df = map_values(df, spec.region, rm, key, value, "region_code", key_fn=spec.region_key_fn)
     else:
         df = df.withColumn("region_code", F.lit(spec.country))
-    df = df.withColumn("__year", F.col(spec.year).try_cast("int"))
+    df = df.withColumn("__year", F.col(spec.year).try_cast("int")).filter("__year is not null")
     agg = sum_counts(df.withColumn("__count", F.col(spec.count)),
                      ["region_code", "crime_category", "__year", *spec.group_extra],
                      count="__count", native=spec.native_category)
@@ -274,9 +275,13 @@ def run_sources(spark: SparkSession, sources: list[tuple[str, DataFrame, SourceS
     (partitioned by ``source_country``).  Each source's rows are merged on
     the natural key with NULL == '' (last writer wins, so supplements listed
     last replace native totals), touching only the partitions it writes.
-    A failing source is recorded and skipped; the others still run.
+    Before the write every row is checked against the schema, the rules and
+    the uniqueness of the natural key; a source with any violation is refused
+    as a whole, and its record lists all of them.  A failing source is
+    recorded and skipped; the others still run.
     Returns one run record per source: (source, status, n_rows,
     min_period, max_period, n_regions, error)."""
+    from harmoniq.operators.quality import aggregate_rules, conform, refuse_invalid
     from harmoniq.operators.upsert import upsert_partitions
     from harmoniq.schema import AGGREGATE_KEY
     from harmoniq.session import materialize
@@ -290,7 +295,8 @@ def run_sources(spark: SparkSession, sources: list[tuple[str, DataFrame, SourceS
         exists = False
     for name, df, spec in sources:
         try:
-            rows = materialize(harmonise(spark, df, spec, regions, as_of=as_of))
+            rows = materialize(conform(harmonise(spark, df, spec, regions, as_of=as_of), CRIME_AGGREGATES))
+            refuse_invalid(rows, aggregate_rules(), list(AGGREGATE_KEY))
             stats = rows.agg(F.count(F.lit(1)).alias("n"), F.min("period_start").alias("lo"),
                              F.max("period_end").alias("hi"), F.count_distinct("region_code").alias("r")).first()
             if not stats["n"]:              # a source without rows is a run with nothing to write

@@ -19,6 +19,8 @@ from harmoniq.functions.urls import POLICE_PR_OUTLETS, confidence, distinct_doma
 from harmoniq.schema import INCIDENT_COLUMNS, SOURCE_STRUCT
 
 DEFAULT_EXTRACTOR = "manual@prompt-v1"
+# optional record fields that a finished incident keeps when supplied
+SUPPLIED = ("region_code", "extracted_at", "extractor_version", "review_status", "last_reviewed_at")
 
 
 def _c(x) -> Column:
@@ -96,6 +98,12 @@ def merge_sources(df: DataFrame, key: str = "hard_key", ordinal: str = "ordinal"
             .select(key, F.transform("__l", lambda x: x["__src"]).alias("__sources")))
 
 
+def region_hint(df: DataFrame) -> Column:
+    """Normalised hint: the record's region, else its state, else ''."""
+    given = [F.nullif(F.col(c), F.lit("")) for c in ("region", "state") if c in df.columns]
+    return F.lower(F.trim(F.coalesce(*given, F.lit(""))))
+
+
 def geocode_join(df: DataFrame, cache: DataFrame) -> DataFrame:
     """Left join to the geocode cache on (upper country, lower-trim
     city, lower-trim hint); a miss or an empty city gives NULLs."""
@@ -105,7 +113,7 @@ def geocode_join(df: DataFrame, cache: DataFrame) -> DataFrame:
         F.lower(F.trim(F.coalesce(F.col("region_hint"), F.lit("")))).alias("__gh"),
         F.col("lat").cast("double").alias("geo_lat"), F.col("lon").cast("double").alias("geo_lon"),
         F.nullif(F.col("nuts_code"), F.lit("")).alias("geo_nuts"))
-    hint = F.lower(F.trim(F.coalesce(F.col("region"), F.lit(""))))
+    hint = region_hint(df)
     city_ok = F.coalesce(F.col("city"), F.lit("")) != ""
     # records without a city never match; keeping them out of the join
     # stops them from forming one hot join key
@@ -125,7 +133,7 @@ def geocode_misses(df: DataFrame, cache: DataFrame) -> DataFrame:
     keys = df.filter(F.coalesce(F.col("city"), F.lit("")) != "").select(
         F.upper(F.coalesce(F.col("country"), F.lit(""))).alias("country"),
         F.lower(F.trim(F.col("city"))).alias("city"),
-        F.lower(F.trim(F.coalesce(F.col("region"), F.lit("")))).alias("region_hint")).distinct()
+        region_hint(df).alias("region_hint")).distinct()
     have = cache.select(F.upper(F.col("country")).alias("country"), F.lower(F.trim(F.col("city"))).alias("city"),
                         F.lower(F.trim(F.coalesce(F.col("region_hint"), F.lit("")))).alias("region_hint"))
     return keys.join(have, ["country", "city", "region_hint"], "left_anti")
@@ -140,12 +148,23 @@ def location_precision(given, city, geo_lat, geo_lon) -> Column:
             .otherwise(F.lit("region")))
 
 
-def finalize(records: DataFrame, cache: DataFrame, extracted_at, outlets=POLICE_PR_OUTLETS) -> DataFrame:
+def finalize(records: DataFrame, cache: DataFrame, extracted_at, outlets=POLICE_PR_OUTLETS,
+             extractor: str = DEFAULT_EXTRACTOR) -> DataFrame:
     """dedupe -> geocode -> precision -> confidence -> id -> defaults ->
-    23 canonical columns (sources as JSON text only at this edge)."""
+    23 canonical columns (sources as JSON text only at this edge).
+
+    What a record supplies wins: the defaults fill only absent or empty review
+    fields, the geocoder only absent places.  A latitude given as JSON null
+    asks for the geocoder's latitude, longitude and region together."""
     merged = merge_hard(with_hard_key(records))
     g = geocode_join(merged, cache)
-    use_geo = F.col("lat").isNull() & F.col("geo_lat").isNotNull()
+    given = {c: F.col(f"{c}_present") if f"{c}_present" in g.columns else
+             (F.col(c).isNotNull() if c in g.columns else F.lit(False)) for c in ("lat", "lon", "region_code")}
+    place = {c: F.col(c) if c in g.columns else F.lit(None) for c in given}
+    asked = given["lat"] & F.col("lat").isNull() & F.col("geo_lat").isNotNull()
+    located = {c: F.when(given[c] & ~asked, place[c]).otherwise(F.col(geo))
+               for c, geo in (("lat", "geo_lat"), ("lon", "geo_lon"), ("region_code", "geo_nuts"))}
+    supplied = {c: F.nullif(F.col(c), F.lit("")) if c in g.columns else F.lit(None).cast("string") for c in SUPPLIED}
     urls = F.transform(F.coalesce(F.col("sources"), F.array()), lambda s: s["url"])
     present = {c: F.col(f"{c}_present") if f"{c}_present" in g.columns else None
                for c in ("date_incident", "country", "city", "weapon", "victim_fatal")}
@@ -155,20 +174,18 @@ def finalize(records: DataFrame, cache: DataFrame, extracted_at, outlets=POLICE_
                     py_text("weapon", present["weapon"]),
                     py_text("victim_fatal", present["victim_fatal"])).alias("incident_id"),
         "date_incident", "date_reported", "country",
-        F.when(use_geo, F.col("geo_nuts")).otherwise(
-            F.col("region_code") if "region_code" in g.columns else F.col("geo_nuts")).alias("region_code"),
-        "city",
-        F.when(use_geo, F.col("geo_lat")).otherwise(F.col("lat")).alias("lat"),
-        F.when(use_geo, F.col("geo_lon")).otherwise(F.col("lon")).alias("lon"),
+        located["region_code"].cast("string").alias("region_code"),
+        "city", located["lat"].alias("lat"), located["lon"].alias("lon"),
         location_precision("location_precision", "city", "geo_lat", "geo_lon").alias("location_precision"),
         "weapon", "victim_count", "victim_fatal", "victim_sex_summary", "victim_age_summary",
         "suspect_count", "suspect_description_verbatim", "suspect_origin_as_reported",
         F.to_json(F.coalesce(F.col("sources"), F.array())).alias("sources_json"),
         confidence(distinct_domains(urls), outlets).alias("confidence"),
-        F.lit(extracted_at).cast("string").alias("extracted_at"),
-        F.lit(DEFAULT_EXTRACTOR).alias("extractor_version"),
-        F.lit(None).cast("string").alias("last_reviewed_at"),
-        F.lit("unreviewed").alias("review_status"),
+        F.coalesce(supplied["extracted_at"], F.lit(extracted_at).cast("string")).alias("extracted_at"),
+        F.coalesce(supplied["extractor_version"], F.lit(extractor)).alias("extractor_version"),
+        (F.col("last_reviewed_at") if "last_reviewed_at" in g.columns else F.lit(None).cast("string"))
+        .alias("last_reviewed_at"),
+        F.coalesce(supplied["review_status"], F.lit("unreviewed")).alias("review_status"),
     )
     return out.select(*INCIDENT_COLUMNS)
 
@@ -192,15 +209,15 @@ def domain_confidence(df: DataFrame, group: str, url: str, outlets=POLICE_PR_OUT
 # S11 + P21: envelopes -> incident records ---------------------------------------------
 _TEXT_FIELDS = ("date_incident", "date_reported", "country", "city", "weapon", "victim_sex_summary",
                 "victim_age_summary", "suspect_description_verbatim", "suspect_origin_as_reported",
-                "location_precision", "region")
+                "location_precision", "region", "state", *SUPPLIED)
 _INT_FIELDS = ("victim_count", "victim_fatal", "suspect_count")
-_ID_FIELDS = ("date_incident", "country", "city", "weapon", "victim_fatal")
+_FLAGGED = ("date_incident", "country", "city", "weapon", "victim_fatal", "lat", "lon", "region_code")
 
 
 def envelope_records(env: DataFrame) -> DataFrame:
     """Envelopes read as VARIANT (``file``, ``block``, ``line_no``, ``v``) -> records.
     Keeps envelopes that are extracted and carry a non-empty incident;
-    ``<f>_present`` flags tell an absent id field from a JSON null one;
+    ``<f>_present`` flags tell an absent id or place field from a JSON null one;
     ``ordinal`` = (file, line) orders first-wins merges."""
     inc = F.try_variant_get("v", "$.incident", "variant")
     keep = (F.coalesce(F.try_variant_get("v", "$.extracted", "boolean"), F.lit(False))
@@ -215,7 +232,7 @@ def envelope_records(env: DataFrame) -> DataFrame:
         cols.append(F.try_variant_get("v", f"$.incident.{f}", "double").alias(f))
     cols.append(F.try_variant_get("v", "$.incident.sources", f"array<{SOURCE_STRUCT.simpleString()}>")
                 .alias("sources"))
-    for f in _ID_FIELDS:
+    for f in _FLAGGED:
         cols.append(F.try_variant_get("v", f"$.incident.{f}", "variant").isNotNull().alias(f"{f}_present"))
     return e.select(*cols)
 

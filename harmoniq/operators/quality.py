@@ -113,9 +113,28 @@ def violation_samples(df: DataFrame, rules, key: str, n: int = 10, salt_buckets:
     return counts.join(samples, "rule", "left")
 
 
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys occurring more than once (NULL groups with NULL)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+def duplicate_keys(df: DataFrame, keys: list[str], blank_is_null: bool = False) -> DataFrame:
+    """Keys occurring more than once (NULL groups with NULL, and
+    with '' when ``blank_is_null``, as the natural key has it)."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    by = [F.nullif(F.col(k), F.lit("")).alias(k) if blank_is_null and k in text else F.col(k) for k in keys]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+class InvalidRows(ValueError):
+    pass
+
+
+def refuse_invalid(df: DataFrame, rules: list[tuple[str, Column]], keys: list[str]) -> None:
+    """Q1-Q3 before a write: count every broken rule and every repeated key
+    over all rows; raise with all of them.  One row per rule reaches the driver."""
+    broken = [f"{r['rule']}: {r['n_violations']} rows"
+              for r in rule_counts(df, rules).filter("n_violations > 0").orderBy("rule").collect()]
+    repeated = duplicate_keys(df, keys, blank_is_null=True).count()
+    if repeated:
+        broken.append(f"repeated keys: {repeated}")
+    if broken:
+        raise InvalidRows("; ".join(broken))
 
 
 def unknown_codes(df: DataFrame, code: str, dim: DataFrame, dim_code: str = "code") -> DataFrame:

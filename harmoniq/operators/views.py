@@ -11,6 +11,8 @@ fact plan is evaluated once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,22 +122,24 @@ def history_rows(facts: DataFrame) -> DataFrame:
                  F.max_by("rate_per_100k", pick).alias("rate")))
 
 
-def with_derived_total(history: DataFrame, parts=DERIVED_PARTS, umbrella: str = "violent_total",
-                       rate_digits: int | None = 6) -> DataFrame:
+def with_derived_total(history: DataFrame, parts=DERIVED_PARTS, umbrella: str = "violent_total") -> DataFrame:
     """Where a (region, year) lacks the umbrella category, add it as the sum
     of the parts present; count NULL when no part had a count, same for the
-    rate; flagged ``derived``.  SQL SUM ignoring NULLs gives the rule."""
+    rate; flagged ``derived``.  A part occurs once per region and year, so its
+    maximum is its value, and adding the parts in their fixed order makes the
+    rate independent of the order of rows."""
     is_part = F.col("crime_category").isin(*parts)
+    rates = [F.max(F.when(F.col("crime_category") == p, F.col("rate"))) for p in parts]
+    summed = reduce(lambda a, b: a + b, [F.coalesce(r, F.lit(0.0)) for r in rates])
     g = (history.groupBy("region_code", "yr")
          .agg(F.max((F.col("crime_category") == umbrella).cast("int")).alias("__has"),
               F.sum(F.when(is_part, F.col("count"))).alias("count"),
-              F.sum(F.when(is_part, F.col("rate"))).alias("rate"),
+              F.when(F.coalesce(*rates).isNotNull(), summed).alias("rate"),
               F.max(is_part.cast("int")).alias("__any")))
-    rate = F.round("rate", rate_digits) if rate_digits is not None else F.col("rate")
     derived = (g.filter((F.col("__has") == 0) & (F.col("__any") == 1)
                         & (F.col("count").isNotNull() | F.col("rate").isNotNull()))
                .select("region_code", "yr", F.lit(umbrella).alias("crime_category"),
-                       F.col("count").cast("bigint").alias("count"), rate.alias("rate"),
+                       F.col("count").cast("bigint").alias("count"), "rate",
                        F.lit(True).alias("derived")))
     return history.withColumn("derived", F.lit(False)).unionByName(derived)
 
@@ -143,15 +147,19 @@ def with_derived_total(history: DataFrame, parts=DERIVED_PARTS, umbrella: str =
 # A12 / S18 --------------------------------------------------------------------------
 def nested_history(history: DataFrame) -> DataFrame:
     """{region: {year: {category: {count, rate}}}} as one JSON document per
-    region (map_from_entries of collected structs; a region's entries are
-    bounded by years x categories)."""
-    per_year = (history.groupBy("region_code", "yr")
-                .agg(F.map_from_entries(F.collect_list(F.struct(
-                    "crime_category", F.struct("count", "rate")))).alias("cats")))
-    per_region = (per_year.groupBy("region_code")
-                  .agg(F.map_from_entries(F.collect_list(F.struct(
-                      F.col("yr").cast("string"), "cats"))).alias("years")))
-    return per_region.select("region_code", F.to_json("years").alias("history_json"))
+    region, years and categories in order, nulls kept; derived entries carry
+    ``derived: true`` (a region's entries are bounded by years x categories)."""
+    keep = {"ignoreNullFields": "false"}
+    flag = F.col("derived") if "derived" in history.columns else F.lit(False)
+    entry = F.when(flag, F.to_json(F.struct("count", "rate", F.lit(True).alias("derived")), keep)) \
+             .otherwise(F.to_json(F.struct("count", "rate"), keep))
+    members = lambda key, value: F.concat(F.lit("{"), F.array_join(F.transform(     # noqa: E731
+        F.array_sort(F.collect_list(F.struct(F.to_json(F.array(key)).alias("k"), value.alias("v")))),
+        lambda m: F.concat(m["k"].substr(F.lit(2), F.length(m["k"]) - 2), F.lit(":"), m["v"])), ","), F.lit("}"))
+    per_year = history.withColumn("__e", entry).groupBy("region_code", "yr").agg(
+        members(F.col("crime_category"), F.col("__e")).alias("cats"))
+    return per_year.groupBy("region_code").agg(
+        members(F.col("yr").cast("string"), F.col("cats")).alias("history_json"))
 
 
 # J12 / J13 / W5 ------------------------------------------------------------------------

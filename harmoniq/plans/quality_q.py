@@ -9,6 +9,7 @@ from harmoniq.operators import quality as Q
 from harmoniq.operators.dims import with_hierarchy
 from harmoniq.plans import register
 from harmoniq.plans.common import SQL_FACTS, facts_table, nation_code, region_dim, table, with_ctes
+from harmoniq.schema import AGGREGATE_KEY
 
 # fixed values: rule set for the orders demo (name, SQL predicate that flags a violation)
 ORDER_RULES = [
@@ -66,6 +67,47 @@ def canonical_rules(spark, sf_dir):
     return Q.rule_counts(facts_table(spark, sf_dir), Q.aggregate_rules())
 
 
+def planted_facts(spark, sf_dir):
+    """The fact table and faulty copies of two categories' rows."""
+    f = facts_table(spark, sf_dir)
+    one = f.filter("crime_category = 'homicide'").withColumns({
+        "count": -F.col("count"), "period_type": F.lit("week"), "region_level": F.lit(7)})
+    two = f.filter("crime_category = 'robbery_violent'").withColumns({
+        "source_country": F.lit("XYZ"), "source_url": F.lit(None).cast("string"), "crime_category": F.lit("theft"),
+        "suspect_dim": F.lit("other"), "period_end": F.date_sub("period_start", 1)})
+    again = f.filter("crime_category = 'sexual_assault'").withColumn("suspect_dim_value", F.lit(""))
+    return f.unionByName(one).unionByName(two).unionByName(again)
+
+
+SQL_PLANTED = f"""{SQL_FACTS},
+planted AS (
+  SELECT * FROM facts
+  UNION ALL SELECT * REPLACE (-count AS count, 'week' AS period_type, 7 AS region_level)
+  FROM facts WHERE crime_category = 'homicide'
+  UNION ALL SELECT * REPLACE ('XYZ' AS source_country, NULL AS source_url, 'theft' AS crime_category,
+                              'other' AS suspect_dim, CAST(period_start - INTERVAL 1 DAY AS DATE) AS period_end)
+  FROM facts WHERE crime_category = 'robbery_violent'
+  UNION ALL SELECT * REPLACE ('' AS suspect_dim_value) FROM facts WHERE crime_category = 'sexual_assault'
+)"""
+
+
+@register("canonical_rules_planted", oracle=with_ctes(SQL_PLANTED, " UNION ALL ".join(
+    f"SELECT '{n}' AS rule, COUNT(*) FILTER (WHERE COALESCE({p}, false)) AS n_violations FROM planted"
+    for n, p in Q.AGGREGATE_RULES_SQL)))
+def canonical_rules_planted(spark, sf_dir):
+    """Q2 on facts with planted faults: the broken rules fire."""
+    return Q.rule_counts(planted_facts(spark, sf_dir), Q.aggregate_rules())
+
+
+@register("dup_natural_keys", oracle=with_ctes(SQL_PLANTED, """
+SELECT source_country, period_start, region_code, crime_category, suspect_dim,
+       NULLIF(suspect_dim_value, '') AS suspect_dim_value, COUNT(*) AS n
+FROM planted GROUP BY ALL HAVING COUNT(*) > 1"""))
+def dup_natural_keys(spark, sf_dir):
+    """Q3 on the natural key, where NULL and '' are one value."""
+    return Q.duplicate_keys(planted_facts(spark, sf_dir), list(AGGREGATE_KEY), blank_is_null=True)
+
+
 @register("dup_keys", oracle="""
 WITH e AS (SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_type = 'purchase')
 SELECT event_id, COUNT(*) AS n FROM e GROUP BY event_id HAVING COUNT(*) > 1""")

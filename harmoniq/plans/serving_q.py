@@ -185,7 +185,9 @@ def source_registry(spark, sf_dir):
     """One source per region run in order into the canonical table
     (merge on the natural key, partition-scoped); a source whose input is
     broken is recorded as failed and the others still land."""
-    x = _family_input(spark, sf_dir)
+    landed = scratch_path(spark, "family_input")     # joined once; each source reads its own folder of it
+    _family_input(spark, sf_dir).write.partitionBy("n_regionkey").parquet(landed)
+    x = spark.read.parquet(landed)
     sources = [(f"region-{r}", x, _family_spec(spark, sf_dir, F.col("n_regionkey") == r)) for r in range(5)]
     sources.append(("broken", x, SourceSpec(country="ZZ", authority="x", url="x", category_map=CATEGORY_PAIRS,
                                             native_category="no_such_column", count="qty", year="yr")))

@@ -12,6 +12,7 @@ from harmoniq.session import materialize
 from harmoniq.plans.common import (AS_OF, AUTHORITY, CATEGORY_PAIRS, SQL_FACTS,
                                    facts_table, region_dim, region_map, table, with_ctes)
 from harmoniq.plans.facts_q import SQL_SUMMARY_BODY, summary
+from harmoniq.schema import DERIVED_PARTS
 
 
 # ---- J9 A8 F2: total / national / foreign split ------------------------------------------
@@ -109,6 +110,9 @@ def history_with_rollup(spark, sf_dir):
     return hist.unionByName(region_rows)
 
 
+_RATES = [f"max(rate) FILTER (crime_category = '{p}')" for p in DERIVED_PARTS]
+SQL_RATE_SUM = (f"CASE WHEN coalesce({', '.join(_RATES)}) IS NOT NULL THEN "
+                + " + ".join(f"coalesce({r}, 0.0)" for r in _RATES) + " END")
 SQL_HISTORY = f"""{SQL_FACTS},
 hist0 AS (
   SELECT region_code, CAST(year(period_end) AS BIGINT) AS yr, crime_category,
@@ -134,14 +138,13 @@ g AS (
                                           'sexual_assault', 'robbery_violent') THEN 1 ELSE 0 END) AS any_p,
          SUM(CASE WHEN crime_category IN ('homicide', 'attempted_homicide', 'assault_serious',
                                           'sexual_assault', 'robbery_violent') THEN count END) AS c,
-         SUM(CASE WHEN crime_category IN ('homicide', 'attempted_homicide', 'assault_serious',
-                                          'sexual_assault', 'robbery_violent') THEN rate END) AS r
+         {SQL_RATE_SUM} AS r
   FROM hist GROUP BY 1, 2
 ),
 hist_d AS (
   SELECT *, false AS derived FROM hist
   UNION ALL
-  SELECT region_code, yr, 'violent_total', CAST(c AS BIGINT), round(r, 6), true
+  SELECT region_code, yr, 'violent_total', CAST(c AS BIGINT), r, true
   FROM g WHERE has_u = 0 AND any_p = 1 AND (c IS NOT NULL OR r IS NOT NULL)
 )"""
 
@@ -158,7 +161,7 @@ def derived_total(spark, sf_dir):
 @register("history_map")
 def history_map(spark, sf_dir):
     """A12 + S18: nested {region: {year: {category: {count, rate}}}} JSON."""
-    return V.nested_history(derived_history(spark, sf_dir).drop("derived"))
+    return V.nested_history(derived_history(spark, sf_dir))
 
 
 # ---- J12 / J13 / W5 ------------------------------------------------------------------------

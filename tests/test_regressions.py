@@ -69,3 +69,58 @@ def test_section_file_without_a_year_header_fails(spark, scratch):
     spark.createDataFrame([("Title\n row\t1\t2\n",)], "value string").write.text(path)
     with pytest.raises(Exception, match="no year header"):
         read_sections(spark, f"{path}/*.txt").collect()
+
+
+def test_invalid_source_is_refused_as_a_whole(spark, scratch):
+    dims = spark.createDataFrame([("FR", 1000)], "code string, population_latest long")
+    cols = "cat string, n long, year int, unit string"
+    good = spark.createDataFrame([("A", 7, 2020, "x")], cols)
+    bad = spark.createDataFrame([("A", -1, 2019, "x"), ("B", 4, 2019, "x"), ("A", 5, 2020, "x"), ("A", 5, 2020, "y")], cols)
+    base = dict(country="FR", authority="a", url="u", native_category="cat", count="n", year="year", retention="all")
+    sources = [("good", good, H.SourceSpec(category_map=[("A", "homicide")], **base)),
+               ("bad", bad, H.SourceSpec(category_map=[("A", "homicide"), ("B", "theft")], group_extra=["unit"], **base))]
+    path = scratch("refused")
+    runs = {r["source"]: r for r in H.run_sources(spark, sources, dims, path, as_of=dt.datetime(2026, 1, 1)).collect()}
+    assert (runs["good"]["status"], runs["bad"]["status"], runs["bad"]["n_rows"]) == ("ok", "failed", 0)
+    assert runs["bad"]["error"] == "count_non_negative: 1 rows; crime_category_enum: 1 rows; repeated keys: 1"
+    assert [(r["count"], r["crime_category"]) for r in spark.read.parquet(path).collect()] == [(7, "homicide")]
+
+
+def test_blank_and_null_are_one_key_value(spark):
+    from harmoniq.operators.quality import duplicate_keys
+    df = spark.createDataFrame([("a", ""), ("a", None), ("b", ""), ("c", "x")], "k string, v string")
+    assert [tuple(r) for r in duplicate_keys(df, ["k", "v"], blank_is_null=True).collect()] == [("a", None, 2)]
+    assert duplicate_keys(df, ["k", "v"]).count() == 0
+
+
+def test_finalize_keeps_what_a_record_supplies(spark, scratch):
+    import json
+    from harmoniq.operators.incidents import envelope_records, finalize
+    from harmoniq.sources.files import read_jsonl_variant
+    base = {"country": "DE", "city": "Ulm", "weapon": "knife", "state": "BW", "victim_fatal": 0}
+    given = [dict(base, date_incident="2026-01-01", region_code="DE1", review_status="reviewed", extractor_version="own@2",
+                  extracted_at="2025-12-31", last_reviewed_at="2026-01-02"),
+             dict(base, date_incident="2026-01-02", region_code="DE1", lat=None),
+             dict(base, date_incident="2026-01-03", lat=1.0, lon=None)]
+    path = scratch("supplied")
+    spark.createDataFrame([(json.dumps({"extracted": True, "incident": g}),) for g in given], "value string") \
+        .coalesce(1).write.text(path)
+    cache = spark.createDataFrame([("DE", "Ulm", "BW", 48.4, 10.0, "DE144")],
+                                  "country string, city string, region_hint string, lat double, lon double, nuts_code string")
+    rows = sorted(finalize(envelope_records(read_jsonl_variant(spark, path)), cache, "now").collect(),
+                  key=lambda r: r["date_incident"])
+    assert [(r["lat"], r["lon"], r["region_code"]) for r in rows] == [
+        (48.4, 10.0, "DE1"), (48.4, 10.0, "DE144"), (1.0, None, "DE144")]
+    assert [(r["review_status"], r["extractor_version"], r["extracted_at"], r["last_reviewed_at"]) for r in rows] == [
+        ("reviewed", "own@2", "2025-12-31", "2026-01-02"), *[("unreviewed", "manual@prompt-v1", "now", None)] * 2]
+
+
+def test_history_documents_are_ordered_and_keep_nulls(spark):
+    from harmoniq.operators.views import nested_history, with_derived_total
+    h = spark.createDataFrame([("R1", 2021, "robbery_violent", None, 2.0), ("R1", 2021, "homicide", 5, 1.5),
+                               ("R1", 2020, "violent_total", 1, None)],
+                              "region_code string, yr int, crime_category string, count long, rate double")
+    assert nested_history(with_derived_total(h)).first()["history_json"] == (
+        '{"2020":{"violent_total":{"count":1,"rate":null}},'
+        '"2021":{"homicide":{"count":5,"rate":1.5},"robbery_violent":{"count":null,"rate":2.0},'
+        '"violent_total":{"count":5,"rate":3.5,"derived":true}}}')
