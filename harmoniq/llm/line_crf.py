@@ -6,7 +6,7 @@ a two-label chain; Viterbi decoding labels a text's lines and the content
 share of its words decides whether it is kept.
 
 The chain is trained here, on a bounded sample of documents (``max_docs``, a
-documented parameter, chosen by text hash), by gradient ascent on the
+documented parameter, chosen by text hash, equal texts once), by gradient ascent on the
 conditional likelihood.  Its training labels are weak: a line is
 boilerplate where symbols, separators, capitals, repetition or non-words
 dominate it, and takes part in runs.  Every document is then decoded whole.
@@ -177,10 +177,14 @@ def content_share(text: bytes, model: dict) -> float:
 
 # ---- operators -------------------------------------------------------------------------------------
 def fit(docs: DataFrame, text_col: str = "text", max_docs: int = MAX_DOCS, max_lines: int = 400) -> dict:
-    """Train the chain on at most ``max_docs`` documents, of longer ones on the
-    ``max_lines`` lines in their middle; lines become feature rows in the tasks."""
-    sample = docs.select(F.col(text_col).cast("string").alias("text")).filter("text is not null") \
-        .orderBy(text_hash("text"), "text").limit(max_docs)
+    """Train the chain on at most ``max_docs`` different texts, of longer ones on
+    the ``max_lines`` lines in their middle; lines become feature rows in the
+    tasks.  The sample is drawn on hashes of texts, copies being one, so a
+    large group of copies cannot fill it; only drawn texts are shuffled."""
+    rows = docs.select(F.col(text_col).cast("string").alias("text")).filter("text is not null") \
+        .withColumn("h", text_hash("text"))
+    drawn = F.broadcast(rows.select("h").distinct().orderBy("h").limit(max_docs))     # max_docs numbers at most
+    sample = rows.join(drawn, "h").groupBy("h").agg(F.any_value("text").alias("text")).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in bounded(batches, "text", 4 << 20):

@@ -230,6 +230,15 @@ def test_viterbi_and_gradient_against_enumeration():
                                        / weight.sum())
 
 
+def test_copies_do_not_fill_the_training_sample(spark):
+    texts = [f"Line {i} of a plain text with words.\n| {i} | # | menu |" for i in range(40)]
+    once = spark.createDataFrame([(t,) for t in texts], "text string")
+    many = once.unionByName(once.filter(F.xxhash64("text") == once.select(F.min(F.xxhash64("text"))).first()[0])
+                            .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("k"))
+    a, b = line_crf.fit(once, max_docs=20), line_crf.fit(many, max_docs=20)
+    assert np.array_equal(a["w"], b["w"]) and np.array_equal(a["trans"], b["trans"]) and a["w"].any()
+
+
 # ---- 7 ---------------------------------------------------------------------------------
 def brute_links(texts):
     sets = {}
