@@ -61,20 +61,25 @@ def write_version(df: DataFrame, root: str, version: int, compression: str = "zs
 
 def read_version(spark, root: str, version: int | None = None) -> DataFrame:
     """Read one version (default: the newest) of a versioned table."""
-    allv = spark.read.parquet(root)
     if version is None:
         version = newest_version(spark, root)
-    return allv.filter(F.col("version") == int(version)).drop("version")
+        if version is None:
+            raise FileNotFoundError(f"no complete version under {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/version={int(version)}")
 
 
-def newest_version(spark, root: str) -> int | None:
-    """Highest ``version=N`` folder under ``root`` by listing it (no scan)."""
+def newest_version(spark, root: str, complete: bool = True) -> int | None:
+    """Highest ``version=N`` folder under ``root`` by listing it (no scan).
+    A write that was cut off leaves a folder without its success mark; it
+    counts only with ``complete=False`` (to choose a free number)."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(folder):
         return None
     names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return max((int(n[8:]) for n in names if n.startswith("version=") and n[8:].isdigit()), default=None)
+    found = sorted((int(n[8:]) for n in names if n.startswith("version=") and n[8:].isdigit()), reverse=True)
+    mark = lambda n: spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/version={n}/_SUCCESS")
+    return next((n for n in found if not complete or fs.exists(mark(n))), None)
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: list[str],

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harmoniq.operators.upsert import read_version
 from harmoniq.plans import register
 from harmoniq.plans.common import table
 from harmoniq.session import scratch_path
@@ -40,26 +41,35 @@ def stream_upsert(spark, sf_dir):
     stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 2).parquet(landing)
     root, ckpt = scratch_path(spark, "latest_order"), scratch_path(spark, "latest_order_ckpt")
     I.upsert_batches(spark, stream, root, ckpt, ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    allv = spark.read.parquet(root)
-    return allv.filter(F.col("version") == allv.select(F.max("version")).scalar()).drop("version")
+    return read_version(spark, root)
 
 
-@register("manifest_stream")
+LANDED_DOCS = 64            # documents of a landed file
+
+
+@register("manifest_stream", oracle=f"""
+WITH files AS (
+  SELECT CAST(doc_id // {LANDED_DOCS} AS VARCHAR) AS chunk,
+         sha256(string_agg(COALESCE(text, '') || chr(10), '' ORDER BY doc_id)) AS sha256
+  FROM documents GROUP BY doc_id // {LANDED_DOCS})
+SELECT min(chunk) AS chunk, sha256 FROM files GROUP BY sha256""")
 def manifest_stream(spark, sf_dir):
-    """T4: documents land as one text file per source; the hash manifest
-    gains one row per distinct file content.  A second pass over the same
-    files (fresh checkpoint) adds nothing."""
-    d = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    """T4: documents land as text files of a bounded number of documents; the
+    hash manifest gains one row per distinct file content.  A second pass over
+    the same files (fresh checkpoint) adds nothing."""
+    d = table(spark, sf_dir, "documents").select(
+        F.floor(F.col("doc_id") / LANDED_DOCS).cast("string").alias("chunk"), "doc_id", "text")
     landing = scratch_path(spark, "docs_landing")
-    (d.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text")
-     .write.partitionBy("source").text(landing))
+    (d.repartition("chunk").sortWithinPartitions("chunk", "doc_id").select("chunk", "text")
+     .write.partitionBy("chunk").text(landing))
     manifest = scratch_path(spark, "manifest")
     for _ in range(2):
         stream = (spark.readStream.format("binaryFile").schema(I.BINARY_FILE)
                   .option("recursiveFileLookup", True)
                   .option("pathGlobFilter", "*.txt").load(landing))
         I.manifest_batches(spark, stream, manifest, scratch_path(spark, "manifest_ckpt"))
-    return spark.read.schema(I.MANIFEST).parquet(manifest)
+    return spark.read.schema(I.MANIFEST).parquet(manifest).select(
+        F.regexp_extract("path", r"chunk=(\d+)", 1).alias("chunk"), "sha256")
 
 
 @register("stream_article_dedupe", oracle="""

@@ -2,9 +2,9 @@
 
 * T1 overlapping pulls deduplicated by key inside an event-time watermark
   (state is bounded by the watermark, not by history);
-* T2 idempotent upsert per micro-batch through ``foreachBatch``: batch
-  ``b`` writes table version ``b + 1``, so a retried batch rewrites the
-  same version instead of applying twice;
+* T2 idempotent upsert per micro-batch through ``foreachBatch``: each batch
+  merges into the newest complete version and writes the next free one; the
+  merge is newer-wins, so a retried batch changes nothing;
 * T4 unchanged files skipped by content hash against a manifest.
 
 Checkpoints and outputs live under the shared ``spark.checkpoint.dir``, so
@@ -53,9 +53,10 @@ def upsert_batches(spark: SparkSession, stream: DataFrame, table_root: str, chec
     """Each micro-batch merges into the table at ``table_root``.
 
     Without ``partition_by`` the merged table is written as the version after
-    the newest one (small tables), whichever checkpoint the batch comes from.  With ``partition_by`` (large tables;
-    the partition columns must be functions of the key) only the
-    partitions the batch touches are merged and rewritten in place; the
+    the newest one (small tables), whichever checkpoint the batch comes from;
+    a version whose write was cut off is never read.  With ``partition_by``
+    (large tables; the partition columns must be functions of the key) only
+    the partitions the batch touches are merged and rewritten in place; the
     merge is idempotent, so a retried batch changes nothing."""
     if partition_by:
         from harmoniq.operators.upsert import fresh_stage, write_partitions
@@ -89,7 +90,8 @@ def upsert_batches(spark: SparkSession, stream: DataFrame, table_root: str, chec
         latest = newest_version(spark, table_root)
         merged = batch if latest is None else newer_wins(
             spark.read.parquet(f"{table_root}/version={latest}"), batch, keys, order)
-        merged.write.mode("errorifexists").parquet(f"{table_root}/version={(latest or 0) + 1}")
+        free = (newest_version(spark, table_root, complete=False) or 0) + 1
+        merged.write.mode("errorifexists").parquet(f"{table_root}/version={free}")
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

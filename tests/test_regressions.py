@@ -124,3 +124,18 @@ def test_history_documents_are_ordered_and_keep_nulls(spark):
         '{"2020":{"violent_total":{"count":1,"rate":null}},'
         '"2021":{"homicide":{"count":5,"rate":1.5},"robbery_violent":{"count":null,"rate":2.0},'
         '"violent_total":{"count":5,"rate":3.5,"derived":true}}}')
+
+
+def test_a_version_whose_write_was_cut_off_is_not_read(spark, scratch):
+    from harmoniq.operators.upsert import newest_version, read_version, write_version
+    root = scratch("cut")
+    write_version(spark.createDataFrame([("a", 1, 1), ("b", 2, 1)], "id string, v int, seq int"), root, 1)
+    spark.createDataFrame([("a", 7, 2)], "id string, v int, seq int").write \
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/version=2")
+    assert newest_version(spark, root) == 1 and newest_version(spark, root, complete=False) == 2
+    land = scratch("cut_land")
+    spark.createDataFrame([("a", 9, 3)], "id string, v int, seq int").write.parquet(land)
+    upsert_batches(spark, spark.readStream.schema("id string, v int, seq int").parquet(land), root, scratch("cut_ckpt"),
+                   ["id"], ["seq"])
+    assert newest_version(spark, root) == 3
+    assert sorted((r["id"], r["v"]) for r in read_version(spark, root).collect()) == [("a", 9), ("b", 2)]
