@@ -2,8 +2,9 @@
 
 A document's letter trigrams are a mixture of language profiles.
 Expectation-maximisation estimates the proportions; the language set is the
-one with the best likelihood less a penalty per language.  Profiles are counts
-over all labelled training documents.
+one with the best likelihood less a penalty per language, of any size up to
+the number of learned languages.  Profiles are counts over all labelled
+training documents.
 
 Results: ``lang_pred`` is the largest language of the chosen set (ties: the
 first in code-point order) and ``score`` its proportion; a null or empty text,
@@ -27,7 +28,6 @@ from harmoniq.llm.common import bounded, record_batch, utf8, without
 
 BITS = 12
 MAX_LANGUAGES = 512
-MAX_SET = 3
 EM_STEPS = 10
 OVERLAP = 3.0               # each letter lies in three trigrams
 PENALTY = 4.0               # times ln(letters) / 2 for each further language
@@ -108,11 +108,12 @@ def em(h: np.ndarray, p: np.ndarray, pi: np.ndarray, steps: int) -> np.ndarray:
     return pi
 
 
-def infer(h: np.ndarray, p: np.ndarray, max_set: int = MAX_SET, steps: int = EM_STEPS,
-          penalty: float = PENALTY) -> np.ndarray:
+def infer(h: np.ndarray, p: np.ndarray, steps: int = EM_STEPS, penalty: float = PENALTY) -> np.ndarray:
     """Proportions (texts x languages) of the chosen language sets.  The nested
     sets of the largest 1, 2, .. languages of the full mixture are compared
-    by log-likelihood / OVERLAP - penalty / 2 * size * ln(letters)."""
+    by log-likelihood / OVERLAP - penalty / 2 * size * ln(letters).  A text's
+    sets grow until no larger one can win: no mixture's log-likelihood is above
+    that of the full one + trigrams * ln(largest EM factor) (Jensen)."""
     n_docs, n_lang = len(h), len(p)
     full = em(h, p, np.full((n_docs, n_lang), 1.0 / n_lang, np.float32), steps)
     # the single language of the best likelihood leads; the others follow by proportion
@@ -121,20 +122,30 @@ def infer(h: np.ndarray, p: np.ndarray, max_set: int = MAX_SET, steps: int = EM_
     rank = full.copy()
     rank[np.arange(n_docs), lead] = 2
     order = np.argsort(-rank, axis=1, kind="stable")
-    n = np.maximum(h.sum(axis=1) / OVERLAP, 2)
+    total = h.sum(axis=1)
+    n = np.maximum(total / OVERLAP, 2)
     best = np.zeros_like(full)
     best[np.arange(n_docs), lead] = 1
     value = single[np.arange(n_docs), lead] / OVERLAP - penalty / 2 * np.log(n)
-    for size in range(2, min(max_set, n_lang) + 1):
-        pi = np.zeros_like(full)
-        at = order[:, :size]
-        pi[np.arange(n_docs)[:, None], at] = np.maximum(np.take_along_axis(full, at, 1), 0.01)
+    mixed = np.maximum(full @ p, 1e-30)
+    factor = ((h / mixed) @ p.T).max(axis=1) / np.maximum(total, 1)
+    top = (np.einsum("ij,ij->i", h, np.log(mixed)) + total * np.log(np.maximum(factor, 1))) / OVERLAP
+    top += 1e-4 * np.abs(top)                        # float32 sums
+    for size in range(2, n_lang + 1):
+        live = np.flatnonzero(top - penalty / 2 * size * np.log(n) > value)
+        if not len(live):
+            break
+        pi = np.zeros((len(live), n_lang), np.float32)
+        at = order[live, :size]
+        np.put_along_axis(pi, at, np.maximum(np.take_along_axis(full[live], at, 1), 0.01), 1)
         pi /= pi.sum(axis=1, keepdims=True)
-        pi = em(h, p, pi, steps // 2)
-        fit = np.einsum("ij,ij->i", h, np.log(np.maximum(pi @ p, 1e-30))) / OVERLAP - penalty / 2 * size * np.log(n)
-        better = fit > value
-        best[better], value[better] = pi[better], fit[better]
-    best[h.sum(axis=1) == 0] = 1.0 / n_lang          # letters, but no trigram: nothing to tell by
+        some = h[live]
+        pi = em(some, p, pi, steps // 2)
+        fit = np.einsum("ij,ij->i", some, np.log(np.maximum(pi @ p, 1e-30))) / OVERLAP \
+            - penalty / 2 * size * np.log(n[live])
+        better = fit > value[live]
+        best[live[better]], value[live[better]] = pi[better], fit[better]
+    best[total == 0] = 1.0 / n_lang                  # letters, but no trigram: nothing to tell by
     return best
 
 

@@ -66,6 +66,21 @@ def test_language_mixture_of_two_halves(spark):
     assert langmix.identify(d.limit(0), prof).count() == 0
 
 
+def test_texts_of_four_and_five_languages():
+    rng = np.random.default_rng(3)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(40)] for _ in range(6)]
+
+    def counts(*parts):                              # (language, number of words)
+        text = " ".join(w for k, n in parts for w in rng.choice(words[k], n)).encode()
+        return langmix.trigram_counts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+    p = langmix.likelihoods({str(k): counts((k, 4000)) for k in range(6)})
+    h = np.stack([counts(*[(k, 200) for k in range(4)]), counts(*[(k, 200) for k in range(5)]),
+                  counts((0, 400), (1, 200), (2, 200), (3, 200)), counts((5, 300))])
+    got = langmix.infer(h, p)
+    assert [np.flatnonzero(r > 0).tolist() for r in got] == [[0, 1, 2, 3], [0, 1, 2, 3, 4], [0, 1, 2, 3], [5]]
+    assert got.max(axis=1) == pytest.approx([0.25, 0.2, 0.4, 1], abs=0.03)
+
+
 # ---- 2 ---------------------------------------------------------------------------------
 def test_flow_meets_quotas_with_overlap():
     flow = mixing.min_cost_flow([100, 50, 30], [[0], [0, 1], [1]], [90, 120], 3)
