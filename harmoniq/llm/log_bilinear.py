@@ -1,19 +1,26 @@
 """Language-model scoring with a log-bilinear model trained in numpy.
 
-Counts of every word over all training documents give the base score and the
-model's symbols: the most frequent words, classes of the other words (by their
-last two bytes) and the end of a text.  A log-bilinear model of symbol pairs
-(context vector times a matrix, dotted with the output vector, plus a bias)
-is trained by noise-contrastive estimation on the pair counts of all training
-documents; the noise expectation is taken exactly instead of by samples, so
-training is deterministic.  One batched matrix product then gives normalised
-log-probabilities of every symbol after every context; a word outside the
-frequent ones further pays its share of its class.
+Counts of every word over all training documents give the base score.  The
+model has a core of SYMBOLS symbols: the most frequent words, classes of the
+other words (by their last two bytes) and the end of a text.  The core's
+log-bilinear model (context vector times a matrix, dotted with the output
+vector, plus a bias) is trained by noise-contrastive estimation on the pair
+counts of all training documents; the noise expectation is taken exactly
+instead of by samples, so training is deterministic.
+
+Every other distinct training word has vectors of its own, as context and as
+output.  They are learned by the same estimation from the word's sparse counts
+(symbols before it, symbols after it), gathered over all training documents and
+fitted word by word in the partitions they are shuffled to.
+P(w | c) = P(symbol of w | c) P(w | its class, symbol of c): the first factor
+uses the own vector of c, the second that of w, and both are normalised
+exactly.  Two words outside the core thus meet through one's class; counts of
+pairs of such words are not gathered.
 
 The corpus is stored once as blocks (a bounded run of documents with its own
-vocabulary).  Block vocabularies meet the global counts in a join on the
-word's hash and return to their block, so no vocabulary is ever broadcast; the
-driver sees only the symbols (SYMBOLS of them) and their pair counts.
+vocabulary).  Words return to their blocks with count and vectors, rounded to 8
+bits before they are normalised, so no vocabulary is ever broadcast; the driver
+sees only the core, its pair counts and one normaliser per class and symbol.
 
 Results: null and empty texts have one token, the end; words are separated by ASCII
 white space, A-Z lower-cased; words of equal frequency are ranked by hash;
@@ -32,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harmoniq.llm.common import as_bytes, bounded, record_batch, store
+from harmoniq.llm.common import as_bytes, bounded, by_group, group_starts, record_batch, store
 
 SYMBOLS, CLASSES = 512, 64
 TOP = SYMBOLS - CLASSES - 1
@@ -41,6 +48,10 @@ DIM = 32
 NOISE_RATIO = 25.0
 STEPS, RATE = 100, 0.05
 PRIOR = 100.0
+WORD_PRIOR = 20.0
+FIT_ROUNDS, FIT_SCALES = 2, (1.0, 0.3)
+FIT_WORDS = 4096
+SCORE_TOKENS = 1 << 16
 BLOCK_BYTES = 8 << 20
 BLOCK = ("block bigint, ids array<bigint>, held array<boolean>, sizes binary, tokens binary, words binary, "
          "classes binary, train binary")
@@ -194,6 +205,208 @@ def log_table(par: dict) -> np.ndarray:
     return (s - np.log(np.exp(s).sum(axis=1, keepdims=True))) / np.log(10)
 
 
+# ---- vectors of the words outside the core ---------------------------------------------------------
+def binary_rows(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """values[bounds[i]:bounds[i + 1]] as the i-th binary."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def from_binary(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(values of all rows, number of values per row)."""
+    arr = pa.concat_arrays(column.chunks).cast(pa.large_binary())
+    off = np.frombuffer(arr.buffers()[1], np.int64)[arr.offset:arr.offset + len(arr) + 1]
+    data = np.frombuffer(arr.buffers()[2], np.uint8)[off[0]:off[-1]] if off[-1] > off[0] else np.zeros(0, np.uint8)
+    return data.view(kind), np.diff(off) // np.dtype(kind).itemsize
+
+
+def word_contexts(blocks: DataFrame, top: np.ndarray) -> DataFrame:
+    """Sparse counts of each word outside the core in each block: slot s for
+    symbol s before it, slot SYMBOLS + s for symbol s after it."""
+    shared = blocks.sparkSession.sparkContext.broadcast(top)
+
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                sizes, held = np.frombuffer(r["sizes"], np.int32).astype(np.int64), np.array(r["held"], bool)
+                own, classes = np.frombuffer(r["words"], np.int64), np.frombuffer(r["classes"], np.uint8)
+                tokens = np.frombuffer(r["tokens"], np.int32)
+                sym = symbols_of(own, classes, shared.value)
+                prev, cur = with_ends(sizes, sym[tokens])
+                place = np.full(len(cur), -1, np.int64)
+                body = np.ones(len(cur), bool)
+                body[np.cumsum(sizes + 1) - 1] = False
+                place[body] = tokens
+                at = np.flatnonzero(np.repeat(~held, sizes + 1) & body & (cur >= TOP))
+                key, n = np.unique(np.concatenate([place[at] * 2 * SYMBOLS + prev[at],
+                                                   (place[at] * 2 + 1) * SYMBOLS + cur[at + 1]]), return_counts=True)
+                rare = np.flatnonzero(sym >= TOP)
+                bounds = np.append(np.searchsorted(key, rare * 2 * SYMBOLS), len(key))
+                yield record_batch(["word", "class", "block", "n", "slots", "counts"], [
+                    own[rare], classes[rare].astype(np.int32), np.full(len(rare), r["block"]),
+                    np.frombuffer(r["train"], np.int32)[rare],
+                    binary_rows((key % (2 * SYMBOLS)).astype(np.uint16), bounds), binary_rows(n.astype(np.int32), bounds)])
+    return blocks.mapInArrow(run, "word bigint, class int, block bigint, n int, slots binary, counts binary")
+
+
+def side(basis: np.ndarray, offset: np.ndarray, noise: np.ndarray, start: np.ndarray) -> dict:
+    """What the words of every class share in fit(): the symbols' vectors, and
+    per class the scores, noise and model shares of the symbols without an own
+    vector, and the inverse information of the estimate there."""
+    keep = 1 - 1 / (1 + NOISE_RATIO * np.exp(-offset))
+    info = np.einsum("ks,si,sj->kij", start * keep, basis, basis)
+    dim = basis.shape[1]
+    info += np.eye(dim) * (0.01 * np.trace(info, axis1=1, axis2=2) / dim + 1e-6)[:, None, None]
+    return {k: np.asarray(v, np.float32) for k, v in (
+        ("basis", basis), ("offset", offset), ("noise", noise), ("start", start), ("inverse", np.linalg.inv(info)))}
+
+
+def sides(par: dict, pairs: np.ndarray) -> dict:
+    hidden, table = par["r"] @ par["m"], log_table(par) * np.log(10)
+    before = pairs[:, TOP:END].T + pairs.sum(axis=1) / max(pairs.sum(), 1.0) + 1e-6
+    before /= before.sum(axis=1, keepdims=True)          # symbols before a class
+    noise = pairs.sum(axis=0) + 0.5
+    noise /= noise.sum()
+    raw = hidden[TOP:END] @ par["q"].T + par["b"]
+    return {"out": side(np.hstack([hidden, np.ones((SYMBOLS, 1))]), np.zeros_like(before), before, before),
+            "context": side(par["q"], raw - np.log(noise), np.broadcast_to(noise, raw.shape), np.exp(table[TOP:END]))}
+
+
+def fit(counts: np.ndarray, classes: np.ndarray, s: dict, prior: float = WORD_PRIOR) -> np.ndarray:
+    """Own vectors x (words x dim) from counts (words x symbols): ascent on
+    sum n ln sig(d) + ratio * sum e ln (1 - sig(d)), d = offset + x . basis - ln(ratio),
+    where e are the noise's counts and n holds ``prior`` draws of the class
+    besides the word's own.  Steps are along the inverse information of the
+    class, as long as the objective rises."""
+    total = (counts.sum(axis=1, keepdims=True) + prior).astype(np.float32)
+    n = counts.astype(np.float32) + np.float32(prior) * s["start"][classes]
+    e = total * s["noise"][classes] * np.float32(NOISE_RATIO)
+    offset, inverse = s["offset"][classes], s["inverse"][classes]
+
+    def log_ratio(x):
+        return np.clip(offset + x @ s["basis"].T, -30, 30) - np.float32(np.log(NOISE_RATIO))
+
+    def value(d, t):
+        return (n * d - (n + e) * np.log1p(t)).sum(axis=1, dtype=np.float64)
+    x = np.zeros((len(counts), s["basis"].shape[1]), np.float32)
+    d = log_ratio(x)
+    t = np.exp(d)
+    best = value(d, t)
+    for _ in range(FIT_ROUNDS):
+        sig = t / (1 + t)
+        step = np.einsum("wi,wij->wj", (n * (1 - sig) - e * sig) @ s["basis"], inverse) / total
+        here = x.copy()
+        for scale in FIT_SCALES:
+            tried = here + np.float32(scale) * step
+            d = log_ratio(tried)
+            r = np.exp(d)
+            v = value(d, r)
+            up = v > best
+            x[up], best[up], t[up] = tried[up], v[up], r[up]
+    return x
+
+
+def to_bytes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scale, rounded values) of each row."""
+    scale = (np.abs(x).max(axis=1) / 127).astype(np.float32)
+    return scale, np.rint(x / np.maximum(scale, 1e-30)[:, None]).astype(np.int8)
+
+
+VECTORS = np.dtype([("out_scale", "<f4"), ("context_scale", "<f4"), ("log_z", "<f4"), ("out", "i1", DIM + 1),
+                    ("context", "i1", DIM)])
+
+
+def own_vectors(counts: np.ndarray, classes: np.ndarray, core: dict) -> np.ndarray:
+    """VECTORS of each word; log_z normalises the word as context."""
+    made = np.zeros(len(counts), VECTORS)
+    for name, part in (("out", counts[:, :SYMBOLS]), ("context", counts[:, SYMBOLS:])):
+        made[f"{name}_scale"], made[name] = to_bytes(fit(part, classes, core[name]))
+    made["log_z"] = log_sum(hidden_of(made, classes, core) @ core["q"].T + core["b"])
+    return made
+
+
+def log_sum(u: np.ndarray) -> np.ndarray:
+    high = u.max(axis=1, keepdims=True)
+    return (high + np.log(np.exp(u - high).sum(axis=1, keepdims=True)))[:, 0]
+
+
+def hidden_of(v: np.ndarray, classes: np.ndarray, core: dict) -> np.ndarray:
+    return core["hidden"][TOP + classes] + v["context"] * v["context_scale"][:, None]
+
+
+def word_vectors(contexts: DataFrame, core: dict) -> DataFrame:
+    """(word, class, block, c, lead, vectors): count and vectors of each training
+    word for each of its blocks; ``lead`` marks one row a word.  A word's group
+    has a row per block."""
+    shared = contexts.sparkSession.sparkContext.broadcast(core)
+    names = ["word", "class", "block", "c", "lead", "vectors"]
+
+    def run(table: pa.Table):
+        starts = group_starts(table, ["word"])
+        n_rows = np.diff(np.append(starts, table.num_rows))
+        c = np.add.reduceat(table["n"].to_numpy().astype(np.int64), starts)
+        classes = table["class"].to_numpy()[starts].astype(np.int64)
+        slot, size = from_binary(table["slots"], np.uint16)
+        n, _ = from_binary(table["counts"], np.int32)
+        of = np.repeat(np.repeat(np.arange(len(starts)), n_rows), size)
+        edge = np.searchsorted(of, np.arange(0, len(starts) + FIT_WORDS, FIT_WORDS))
+        made = np.zeros(len(starts), VECTORS)
+        for k, at in enumerate(range(0, len(starts), FIT_WORDS)):
+            to, some = min(at + FIT_WORDS, len(starts)), slice(edge[k], edge[k + 1])
+            counts = np.bincount((of[some] - at) * 2 * SYMBOLS + slot[some], n[some], (to - at) * 2 * SYMBOLS)
+            learned = c[at:to] > 0
+            made[at:to][learned] = own_vectors(counts.reshape(to - at, -1)[learned], classes[at:to][learned], shared.value)
+        group = np.repeat(np.arange(len(starts)), n_rows)
+        rows = np.flatnonzero(c[group] > 0)
+        lead = np.zeros(table.num_rows, bool)
+        lead[starts] = True
+        group = group[rows]
+        yield record_batch(names, [table["word"].to_numpy()[rows], classes[group].astype(np.int32),
+                                   table["block"].to_numpy()[rows], c[group], lead[rows],
+                                   binary_rows(made[group], np.arange(len(rows) + 1))])
+    return store(by_group(contexts, ["word"], [], run, "word bigint, class int, block bigint, c bigint, lead boolean, "
+                          "vectors binary", 8000), "lm-vectors")
+
+
+def normalisers(vectors: DataFrame, core: dict, class_size: np.ndarray) -> np.ndarray:
+    """ln Z (CLASSES x SYMBOLS): a class's words and one unseen word, by the
+    symbol before them."""
+    shared = vectors.sparkSession.sparkContext.broadcast((core["before"], class_size))
+
+    def run(batches):
+        before, sizes = shared.value
+        total = np.zeros((CLASSES, SYMBOLS))
+        for b in batches:
+            table = pa.Table.from_batches([b])
+            if not table.num_rows:
+                continue
+            v, k = from_binary(table["vectors"], VECTORS)[0], table["class"].to_numpy().astype(np.int64)
+            share = (table["c"].to_numpy() + 1) / sizes[k]
+            for at in range(0, len(k), FIT_WORDS):
+                some = slice(at, at + FIT_WORDS)
+                u = (v["out"][some] * v["out_scale"][some, None]) @ before.T
+                order = np.argsort(k[some], kind="stable")
+                kinds, first = np.unique(k[some][order], return_index=True)
+                total[kinds] += np.add.reduceat((np.exp(u) * share[some, None])[order], first)
+        yield from sums({k: row for k, row in enumerate(total) if row.any()})
+
+    def sums(total):
+        yield record_batch(["class", "z"], [pa.array(list(total), pa.int32()),
+                                            pa.array([x.tobytes() for x in total.values()], pa.binary())])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, x in zip(b.column("class").to_pylist(), b.column("z").to_pylist()):
+                total[k] = total.get(k, 0) + np.frombuffer(x)
+        yield from sums(total)
+    z = np.repeat(1 / class_size[:, None], SYMBOLS, axis=1)
+    parts = vectors.filter("lead").select("class", "c", "vectors").mapInArrow(run, "class int, z binary")
+    for r in parts.repartition("class").mapInArrow(add, "class int, z binary").collect():
+        z[r["class"]] += np.frombuffer(r["z"])
+    return np.log(z)
+
+
 # ---- the operator ----------------------------------------------------------------------------------
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -215,36 +428,65 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     for r in frequent:
         rest_c[r["class"]] -= r["c"]
         rest_v[r["class"]] -= 1
-    model = {"top": top, "table": log_table(train(pair_counts(blocks, top))),
-             "class_log": np.log10(rest_c + rest_v + 1), "texts": int(texts), "n": int(n_tokens),
-             "base_log": float(np.log10(n_tokens + n_words + 1))}
+    pairs = pair_counts(blocks, top)
+    par = train(pairs)
+    core = {"hidden": par["r"] @ par["m"], "q": par["q"], "b": par["b"]}
+    core = {k: v.astype(np.float32) for k, v in core.items()} | sides(par, pairs)
+    core["before"] = core["out"]["basis"]
+    vectors = word_vectors(word_contexts(blocks, top), core)
+    model = {"top": top, "top_c": np.array([r["c"] for r in frequent], np.int64), "core": core, "table": log_table(par),
+             "class_log": np.log10(rest_c + rest_v + 1), "log_z": normalisers(vectors, core, rest_c + rest_v + 1),
+             "texts": int(texts), "n": int(n_tokens), "base_log": float(np.log10(n_tokens + n_words + 1))}
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    known = vocabulary.select("word", "block").join(counts.select("word", "c"), "word").select("block", "word", "c")
+    known = vectors.select("block", "word", "c", "vectors")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         m = shared.value
         word, c = right["word"].to_numpy(), right["c"].to_numpy()
+        own = from_binary(right["vectors"], VECTORS)[0] if right.num_rows else np.zeros(0, VECTORS)
         order = np.argsort(word, kind="stable")
-        word, c = word[order], c[order]
+        word, c, own = word[order], c[order], own[order]
         out = []
         for r in left.to_pylist():
-            out.append(score_block(r, word, c, m))
+            out.append(score_block(r, word, c, own, m))
         return pa.Table.from_batches(out)
     return (blocks.drop("train").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         run, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
              "base_score double, score double"))
 
 
-def score_block(r: dict, word: np.ndarray, c: np.ndarray, m: dict) -> pa.RecordBatch:
+def own_terms(model: np.ndarray, prev: np.ndarray, cur: np.ndarray, place: np.ndarray, learned: np.ndarray,
+              v: np.ndarray, classes: np.ndarray, m: dict) -> None:
+    """Put what the words' own vectors say into the tokens' log10 probabilities;
+    ``place`` is a token's local word, -1 for an end."""
+    core = m["core"]
+    inside = np.append(learned, False)                   # of an end: the last one
+    rare = np.flatnonzero((place >= 0) & (cur >= TOP))
+    for at in range(0, len(rare), SCORE_TOKENS):
+        t = rare[at:at + SCORE_TOKENS]
+        w = place[t]
+        u = np.einsum("ij,ij->i", core["before"][prev[t]], v["out"][w] * v["out_scale"][w, None])
+        model[t] += (u - m["log_z"][classes[w], prev[t]]) / np.log(10)
+    after = np.flatnonzero(inside[place[:-1]]) + 1
+    for at in range(0, len(after), SCORE_TOKENS):
+        t = after[at:at + SCORE_TOKENS]
+        c = place[t - 1]
+        u = np.einsum("ij,ij->i", hidden_of(v[c], classes[c], core), core["q"][cur[t]]) + core["b"][cur[t]]
+        model[t] += (u - v["log_z"][c]) / np.log(10) - m["table"][prev[t], cur[t]]
+
+
+def score_block(r: dict, word: np.ndarray, c: np.ndarray, vectors: np.ndarray, m: dict) -> pa.RecordBatch:
     sizes = np.frombuffer(r["sizes"], np.int32).astype(np.int64)
     own = np.frombuffer(r["words"], np.int64)
     classes = np.frombuffer(r["classes"], np.uint8)
-    seen = np.zeros(len(own), np.int64)
+    seen, v = np.zeros(len(own), np.int64), np.zeros(len(own), VECTORS)
+    sym = symbols_of(own, classes, m["top"])
+    seen[sym < TOP] = m["top_c"][sym[sym < TOP]]
+    learned = np.zeros(len(own), bool)
     if len(word) and len(own):
         at = np.minimum(np.searchsorted(word, own), len(word) - 1)
-        hit = word[at] == own
-        seen[hit] = c[at[hit]]
-    sym = symbols_of(own, classes, m["top"])
+        learned = (word[at] == own) & (sym >= TOP)
+        seen[learned], v[learned] = c[at[learned]], vectors[at[learned]]
     log_c = np.log10(seen + 1.0)
     rare = np.where(sym < TOP, 0.0, log_c - m["class_log"][classes]) if len(own) else np.zeros(0)
     tokens = np.frombuffer(r["tokens"], np.int32)
@@ -256,6 +498,9 @@ def score_block(r: dict, word: np.ndarray, c: np.ndarray, m: dict) -> pa.RecordB
     base[body] = log_c[tokens]
     model = m["table"][prev, cur]
     model[body] += rare[tokens]
+    place = np.full(len(cur), -1, np.int64)
+    place[body] = tokens
+    own_terms(model, prev, cur, place, learned, v, classes.astype(np.int64), m)
     known = np.full(len(cur), int(m["texts"] > 0), np.int64)
     known[body] = seen[tokens] > 0
     starts = ends - sizes

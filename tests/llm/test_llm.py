@@ -344,6 +344,46 @@ def test_language_model_odd_rows(spark, odd):
     assert log_bilinear.score(odd.limit(0), F.lit(False)).count() == 0
 
 
+def rare_word_docs():
+    """Words outside the core: equal counts and class, other neighbours."""
+    common = [f"c{k:03d}" for k in range(log_bilinear.TOP + 5)]
+    texts = [" ".join(common[k:] + common[:k]) for k in range(0, len(common), 7)]
+    texts += ["c001 rarexx c002", "c003 seldomxx c004"] * 20
+    return texts, ["c001 rarexx", "c001 seldomxx", "rarexx c002", "seldomxx c002"]
+
+
+def test_words_outside_the_core_learn(spark):
+    train, held = rare_word_docs()
+    rows = [(k, t, k >= len(train)) for k, t in enumerate(train + held)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    got = {r["id"]: r["score"] for r in log_bilinear.score(docs, F.col("held")).collect()}
+    a, b, c, d = (got[len(train) + k] for k in range(4))
+    assert a > b + 0.1 and c > d + 0.1
+
+
+def test_classes_and_contexts_are_normalised(spark):
+    rng = np.random.default_rng(1)
+    pairs = rng.integers(0, 5, (512, 512)).astype(float)
+    par = log_bilinear.train(pairs, steps=5)
+    core = {"hidden": (par["r"] @ par["m"]).astype("f4"), "q": par["q"].astype("f4"), "b": par["b"].astype("f4")}
+    core |= log_bilinear.sides(par, pairs)
+    core["before"] = core["out"]["basis"]
+    counts = rng.poisson(0.05, (300, 1024))
+    counts[:, 512:] = counts[:, :512]
+    cls, c = np.arange(300) % 64, counts[:, :512].sum(axis=1)
+    v = log_bilinear.own_vectors(counts, cls, core)
+    size = np.bincount(cls, c + 1.0, 64) + 1
+    rows = [(int(k), int(n), True, bytearray(x.tobytes())) for k, n, x in zip(cls, c, v)]
+    z = log_bilinear.normalisers(spark.createDataFrame(rows, "class int, c bigint, lead boolean, vectors binary"), core, size)
+    u = (v["out"] * v["out_scale"][:, None]) @ core["before"].T - z[cls]
+    p = np.exp(u) * ((c + 1) / size[cls])[:, None]
+    total = np.exp(-z) / size[:, None]                   # the unseen word
+    np.add.at(total, cls, p)
+    assert np.allclose(total, 1, atol=1e-4)
+    after = np.exp(log_bilinear.hidden_of(v, cls, core) @ core["q"].T + core["b"] - v["log_z"][:, None])
+    assert np.allclose(after.sum(axis=1), 1, atol=1e-4)
+
+
 # ---- 9 ---------------------------------------------------------------------------------
 def brute_repeats(raw):
     seen = Counter(t[k:k + 200] for t in raw for k in range(len(t) - 199))
