@@ -16,7 +16,8 @@ covered spans are merged per document.  A segment holds at most
 
 Results: null and empty texts, and items without a word, have no words and
 match nothing; a repeated document row is judged by itself; a repeated item id
-counts once; items of fewer words than a phrase are one phrase; an empty table
+counts once; items with a null id cover words as others do and add no id to the
+list; items of fewer words than a phrase are one phrase; an empty table
 on either side gives no hits; other columns are ignored.  Whole texts are
 indexed whatever their length.
 """
@@ -54,7 +55,7 @@ def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, n: int, bl
     """(phrases, items): lists of word tuples and of item ids, block by block."""
     phrases, items, held, any_block = [], [], 0, False
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
-    for r in rows.filter("item is not null and text is not null").toLocalIterator():
+    for r in rows.filter("text is not null").toLocalIterator():
         w = words_of(r["text"].encode("utf-8"))
         if not w:
             continue
@@ -72,7 +73,7 @@ def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, n: int, bl
 def compile_phrases(phrases: list[tuple], items: list[str], vocabulary: dict[bytes, int]) -> dict:
     """Distinct phrases as padded term-id rows, and which items hold them."""
     at: dict[tuple, int] = {}
-    pairs = sorted({(at.setdefault(p, len(at)), i) for p, i in zip(phrases, items)})
+    pairs = sorted(x for x in {(at.setdefault(p, len(at)), i) for p, i in zip(phrases, items)} if x[1] is not None)
     width = max(map(len, at), default=1)
     terms = np.full((len(at), width), -1, np.int64)
     for p, k in at.items():

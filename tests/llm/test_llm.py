@@ -311,6 +311,15 @@ def test_runs_reach_the_recall():
     assert (1 - 0.8 ** 3) ** runs <= 0.001 < (1 - 0.8 ** 3) ** (runs - 1)
 
 
+def test_items_without_an_id_hit(spark):
+    passage = " ".join(f"w{k}" for k in range(12))
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "free of it")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, passage), ("a", "other words " * 6)], "item_id string, text string")
+    got = {r["id"]: r for r in postings.find_contamination(docs, bench).collect()}
+    assert [tuple(x) for x in got[1]["spans"]] == [(1, 13)] and got[1]["items"] == [] and got[2]["spans"] == []
+    assert [r["doc_id"] for r in postings.drop_contaminated(docs, bench).collect()] == [2]
+
+
 # ---- 8 ---------------------------------------------------------------------------------
 def test_language_model_base_score_and_gain(spark, corpus):
     count = Counter()
