@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harmoniq.session import scratch_path
@@ -49,6 +49,31 @@ def text_hash(col: str = "text") -> Column:
     return F.when(F.col(col).isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.col(col)))
 
 
+def numbered(df: DataFrame, name: str, group: str | None = None, order: list[str] | None = None,
+             pos: str = "pos", total: str | None = None) -> DataFrame:
+    """Stored rows with gapless ``pos`` from 0 (within ``group``, if any) and
+    the group's number of rows in ``total``.  Rows are dealt out by ranges of
+    (group, order), so a group that holds most rows lies over many partitions,
+    and so do equal rows (the row's place before the shuffle ends every tie).
+    Only row counts by partition and group are summed up."""
+    keys = ([group] if group else []) + (order or [])
+    rows = df.withColumn("__tie", F.monotonically_increasing_id())
+    if keys:
+        rows = rows.repartitionByRange(*keys, "__tie").sortWithinPartitions(*keys, "__tie")
+    rows = store(rows.drop("__tie").withColumn("__at", F.monotonically_increasing_id())
+                 .withColumn("__part", F.shiftright("__at", 33)), name)
+    by = [group] if group else []
+    sizes = rows.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    # one row per partition and group: the windows hold counts, never rows
+    of = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    sizes = sizes.withColumn("__before", F.sum("__n").over(of.orderBy("__part")) - F.col("__n"))
+    if total:
+        sizes = sizes.withColumn(total, F.sum("__n").over(of))
+    out = rows.join(sizes.drop("__n"), by + ["__part"])
+    return out.select(*df.columns, (F.col("__before") + F.col("__at") - F.col("__first")).alias(pos),
+                      *([total] if total else []))
+
+
 # ---- Arrow access -------------------------------------------------------------------
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts one after the other, offsets of length n + 1); null

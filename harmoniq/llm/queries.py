@@ -9,9 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harmoniq.llm import (chosen_path, hosts, knn_quality, langmix, line_crf, log_bilinear, mixing, postings, sharding,
-                          suffix_repeats)
+from harmoniq.llm import (chosen_path, hosts, knn_quality, langmix, line_crf, log_bilinear, merkle, mixing, postings,
+                          sharding, suffix_repeats)
 from harmoniq.llm.common import is_held_out, read_table, record_batch
+from harmoniq.llm.oracles import merkle_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -107,3 +108,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_merkle_manifest", merkle_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    cols = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampers = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    changed = [F.when(tampers, c + 1).otherwise(c) if i == 3 else c for i, c in enumerate(cols)]
+    m = merkle.manifest(docs, "lang", "doc_id", merkle.leaf_digest(*cols),
+                        ["doc_id", merkle.leaf_digest(*cols).alias("leaf"),
+                         F.when(tampers, merkle.leaf_digest(*changed)).alias("tampered")])
+    arity = m.tree.arity
+    top = merkle.fold(merkle.fold(F.coalesce("tampered", "leaf"), F.col("pos"), F.col("path"), arity),
+                      F.col("run_pos"), F.col("run_path"), arity)
+    siblings = F.array_join(F.flatten(F.concat("path", "run_path")), "")
+    return merkle.proofs(m).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
+        top.alias("folded_root"), (top == F.col("root")).alias("verified"))
