@@ -64,3 +64,13 @@ SELECT l.doc_id, l.node AS leaf, s.node AS subroot, r.node AS root,
 FROM leaves l JOIN subroots s ON s.lang_run = l.run JOIN (SELECT node FROM over WHERE total = 1) r ON true
      JOIN fold f ON f.rid = l.rid AND f.done = f.h0 + f.h1
 """
+
+
+def warc_sql() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+g AS (SELECT body, max(page_id) AS first FROM p WHERE strlen(body) >= 1000 GROUP BY body)
+SELECT p.page_id, strlen(p.body) AS payload_bytes, sha1(p.body) AS payload_digest,
+       CASE WHEN g.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.first <> p.page_id THEN g.first END AS refers_to
+FROM p LEFT JOIN g ON g.body = p.body"""

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harmoniq.llm import (chosen_path, hosts, knn_quality, langmix, line_crf, log_bilinear, merkle, mixing, postings,
-                          sharding, suffix_repeats)
+                          sharding, suffix_repeats, warc_zip, whitening)
 from harmoniq.llm.common import is_held_out, read_table, record_batch
-from harmoniq.llm.oracles import merkle_sql
+from harmoniq.llm.oracles import merkle_sql, warc_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +126,24 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(m).select(
         "doc_id", "leaf", "subroot", "root", F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
         top.alias("folded_root"), (top == F.col("root")).alias("verified"))
+
+
+@query("op12_block_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").filter(whitening.usable("embedding")).select(
+        "vec_id", whitening.grid("embedding", 64, 1_000_000).alias("x"))
+    w = whitening.fit(rows, 16)
+    share = F.array(*[F.lit(float(e)) for e in w.explained]).cast("array<double>")
+    return whitening.project(rows, w).select("vec_id", "deviation", F.posexplode("whitened")).select(
+        "vec_id", (F.col("pos") + 1).alias("component"), F.lit(w.n).cast("bigint").alias("n"), "deviation",
+        F.col("col").alias("whitened"), share[F.col("pos")].alias("explained"),
+        F.lit(w.identity_error).cast("double").alias("identity_error"))
+
+
+@query("op11_warc_packages", warc_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    packages = warc_zip.write_packages(warc_zip.mark_revisits(pages, "page_id", "url", F.col("html")))
+    return warc_zip.resolve_revisits(warc_zip.read_records(packages)).select(
+        F.col("key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), F.col("refers_to").cast("bigint").alias("refers_to"))

@@ -1,13 +1,17 @@
-"""Merkle manifest against a plain in-memory tree, and its edge cases."""
+"""Packages, whitening and manifest against plain in-memory forms, and edge cases."""
 
 from __future__ import annotations
 
 import hashlib
+import json
+import zipfile
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from harmoniq.llm import merkle
+from harmoniq.llm import merkle, warc_zip, whitening
 
 ROW = "doc_id long, text string, lang string, pos long, node string, run string"
 
@@ -92,3 +96,152 @@ def test_long_texts_and_separators(spark):
     df = spark.createDataFrame([(1, long, "en", 0, "", ""), (2, "1:2", "en", 0, "", ""), (21, ":2", "en", 0, "", "")], ROW)
     got = [r[0] for r in df.select(merkle.leaf_digest(F.col("doc_id"), F.col("text"))).collect()]
     assert got[0] == sha(f"1:1{len(long.encode())}:{long}") and len(set(got)) == 3
+
+
+# ---- 11 --------------------------------------------------------------------------------
+PAGE = "page_id long, url string, html string, digest string, size long, path string, key string"
+
+
+def package_dir(tmp_path, name, build, **limits):
+    """A package made by the standard library's writer."""
+    path = str(tmp_path / name)
+    with pytest.MonkeyPatch.context() as p:
+        for k, v in limits.items():
+            p.setattr(zipfile, k, v)
+        with zipfile.ZipFile(path, "w") as z:
+            build(z)
+    return path
+
+
+def standard(z, records, method=zipfile.ZIP_STORED, index_method=zipfile.ZIP_DEFLATED, count=0,
+             comment=b"a comment"):
+    data, lines = b"", []
+    for payload in records:
+        block = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + payload
+        packed = warc_zip.gzip_member(warc_zip.warc_record([("WARC-Type", "response"), ("WARC-Record-ID", "<u:1>"),
+                                                           ("Content-Type", "application/http")], block))
+        lines.append(f"k 1 {json.dumps({'filename': 'd.warc.gz', 'offset': len(data), 'length': len(packed)})}")
+        data += packed
+    z.writestr("readme ä.txt", "x" * 70)
+    z.writestr("archive/d.warc.gz", data, method)
+    z.writestr("indexes/i.cdxj", "\n".join(lines), index_method)
+    for i in range(count):
+        z.writestr(f"extra/{i}", "")
+    z.comment = comment
+
+
+def paths_of(spark, *paths):
+    return spark.createDataFrame([(p,) for p in paths], "path string")
+
+
+def test_directories_of_other_writers(spark, tmp_path):
+    """Plain, ZIP64 sizes and counts, many entries, something before the package."""
+    bodies = [b"one", b"", b"three" * 50_000]
+    plain = package_dir(tmp_path, "a.wacz", lambda z: standard(z, bodies))
+    wide = package_dir(tmp_path, "b.wacz", lambda z: standard(z, bodies), ZIP64_LIMIT=50)
+    many = package_dir(tmp_path, "c.wacz", lambda z: standard(z, bodies, count=70_000))
+    shifted = str(tmp_path / "d.wacz")
+    with open(shifted, "wb") as out, open(wide, "rb") as f:
+        out.write(b"#!/bin/sh\n" * 9 + f.read())
+    assert b"PK\x06\x06" in open(wide, "rb").read() and b"PK\x06\x06" in open(many, "rb").read()
+    odd = package_dir(tmp_path, "o.wacz", lambda z: standard(z, bodies, comment=b"PK\x05\x06 signature in a comment"))
+    for path in (plain, wide, many, shifted, odd):
+        got = warc_zip.read_records(paths_of(spark, path), run_bytes=100).collect()
+        assert sorted(r["payload"] for r in got) == sorted(map(bytearray, bodies))
+        if path == odd:                                # the standard reader stops at this comment
+            continue
+        listed = {r["name"]: r for r in warc_zip.package_members(paths_of(spark, path)).collect()}
+        with zipfile.ZipFile(path) as z:
+            assert {i.filename: (i.compress_type, i.compress_size, i.file_size) for i in z.infolist()} == {
+                n: (r["method"], r["packed"], r["size"]) for n, r in listed.items()}
+            with open(path, "rb") as f:
+                f.seek(listed["archive/d.warc.gz"]["start"])
+                assert f.read(listed["archive/d.warc.gz"]["size"]) == z.read("archive/d.warc.gz")
+
+
+def test_packages_that_cannot_be_read(spark, tmp_path):
+    deflated = package_dir(tmp_path, "a.wacz", lambda z: standard(z, [b"x" * 99], zipfile.ZIP_DEFLATED))
+    good = package_dir(tmp_path, "b.wacz", lambda z: standard(z, [b"x" * 99]))
+    data = open(good, "rb").read()
+    torn, empty, broken = (str(tmp_path / n) for n in ("t.wacz", "e.wacz", "x.wacz"))
+    open(torn, "wb").write(data[:-40])
+    open(empty, "wb").write(b"")
+    at = data.index(b"\x1f\x8b") + 30
+    open(broken, "wb").write(data[:at] + bytes([data[at] ^ 255]) + data[at + 1:])
+    for path, what in ((deflated, "not stored"), (torn, "end of central directory"), (empty, "not a ZIP"),
+                       (broken, "record at")):
+        with pytest.raises(Exception, match=what):
+            warc_zip.read_records(paths_of(spark, path)).collect()
+    assert warc_zip.read_records(paths_of(spark, good).limit(0)).count() == 0
+
+
+def test_pages_through_packages(spark):
+    """Nulls, empty, repeated, long and odd rows; many small packages."""
+    big = "é" * 600
+    rows = [(1, "http://a.b/c d\r\nX: y", big, "x", 1, "p", "k"), (5, None, big, None, None, None, None),
+            (5, None, big, None, None, None, None), (None, "u", big, "x", 1, "p", "k"), (7, "", None, "", 0, "", ""),
+            (8, "http://[::1/", "", "", 0, "", ""), (9, "h", "short", "", 0, "", ""), (10, "h", "short", "", 0, "", ""),
+            (11, "h", "long " * 500_000, "", 0, "", ""), (12, "h", "y" * 999, "", 0, "", ""), (13, "h", "y" * 999, "", 0, "", "")]
+    df = spark.createDataFrame(rows * 1, PAGE)
+    packages = warc_zip.write_packages(warc_zip.mark_revisits(df, "page_id", "url", F.col("html")), max_bytes=200)
+    assert packages.agg(F.sum("records")).first()[0] == len(rows) and packages.count() >= 3
+    records = warc_zip.read_records(packages)
+    got = Counter((r["key"] and int(r["key"]), r["payload_bytes"], r["payload_digest"], r["type"],
+                   r["refers_to"] and int(r["refers_to"])) for r in warc_zip.resolve_revisits(records).collect())
+
+    def body(x):
+        return (x or "").encode()
+    want = Counter()
+    first = [5]                                        # one of the two equal rows is the response
+    for key, _, html, *_ in rows:
+        revisit = html == big and not (key in first and not first.remove(key))
+        want[(key, len(body(html)), hashlib.sha1(body(html)).hexdigest(), "revisit" if revisit else "response",
+              5 if revisit else None)] += 1
+    assert got == want
+    back = {r["key"]: r for r in records.collect()}
+    assert back["1"]["uri"] == "http://a.b/c d%0D%0AX: y" and back["5"]["uri"] is None and back["1"]["payload"] is None
+    assert bytes(back["11"]["payload"]).decode() == "long " * 500_000
+    none = warc_zip.write_packages(warc_zip.mark_revisits(df.limit(0), "page_id", "url", F.col("html")))
+    assert none.count() == 0 and warc_zip.resolve_revisits(warc_zip.read_records(none)).count() == 0
+
+
+# ---- 12 --------------------------------------------------------------------------------
+def test_whitening_equals_numpy(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(300, 6)) @ rng.normal(size=(6, 6))
+    rows = [(i, [float(c) for c in v], "w") for i, v in enumerate(base)]
+    rows += [(900 + i, rows[0][1], "w") for i in range(150)]           # a third are copies
+    rows += [(1, None, "w"), (2, [1.0, None, 0.0, 0.0, 0.0, 0.0], "w"), (3, [float("nan")] * 6, "w"),
+             (4, [float("inf")] * 6, "w"), (None, rows[7][1], None), (5, [], "w"), (6, [1.0, 2.0], "w")]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>, whitened string")
+    x = df.filter(whitening.usable("v")).select("vec_id", "whitened", whitening.grid("v", 64, 1_000_000).alias("x"))
+    w = whitening.fit(x, 4, rows_per_block=32)
+    fit = np.unique(np.floor(64 * base).astype(np.int64) + 1_000_000, axis=0)
+    n, s = len(fit), fit.sum(0)
+    assert (w.n, w.sums) == (n, s.tolist())
+    centred = (n * fit - s) / n
+    v = centred.T @ centred / n
+    e, u = np.linalg.eigh(v)
+    assert np.allclose(w.variances, e[::-1][:4], rtol=1e-12) and np.allclose(w.explained, e[::-1][:4] / e.sum())
+    assert w.identity_error < 1e-9
+    got = whitening.project(x, w).collect()
+    assert len(got) == 300 + 150 + 1
+    for r in got:
+        d = n * np.array(r["x"]) - s
+        assert r["deviation"] == int((d.astype(object) ** 2).sum())
+        want = (d / n) @ w.components / np.sqrt(w.variances)
+        assert np.allclose(r["whitened"], want, rtol=1e-9, atol=1e-9)
+    for k in range(4):                                                 # unit eigenvectors, either sign
+        assert abs(abs(w.components[:, k] @ u[:, -1 - k]) - 1) < 1e-9
+
+
+def test_whitening_without_variance(spark):
+    df = spark.createDataFrame([(1, [3, 4]), (2, [3, 4]), (3, None)], "vec_id long, x array<bigint>")
+    for rows, n in ((df, 1), (df.limit(0), 0), (df.filter("x is null"), 0)):
+        w = whitening.fit(rows, 16)
+        assert w.n == n and whitening.project(rows, w).count() == 0
+    flat = spark.createDataFrame([(i, [i, 7, 2 * i]) for i in range(9)], "vec_id long, x array<bigint>")
+    w = whitening.fit(flat, 16)                                        # one direction only
+    assert len(w.variances) == 1 and w.identity_error < 1e-9
+    with pytest.raises(ValueError, match="entries"):
+        whitening.fit(spark.range(2).select(F.sequence(F.lit(1), F.lit(3000)).cast("array<bigint>").alias("x")), 2)
