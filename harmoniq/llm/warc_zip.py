@@ -49,6 +49,8 @@ ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PACKAGE_BYTES = 64 << 20
 RUN_BYTES = 8 << 20
 PIECE = 1 << 20
+# what a task reads from packages, and the most tasks
+TASK_BYTES, MAX_TASKS = 32 << 20, 100_000
 # fixed values of the ZIP format: signatures and record layouts
 END, END64, LOCATOR64 = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
 ENTRY, LOCAL = b"PK\x01\x02", b"PK\x03\x04"
@@ -314,7 +316,10 @@ def package_members(packages: DataFrame) -> DataFrame:
 
 
 def _one_each(packages: DataFrame) -> DataFrame:
-    return packages.select("path").filter("path is not null").distinct().repartition("path")
+    """Names are few bytes but each stands for a package: a number of
+    partitions is given, so that Spark does not join them by size."""
+    paths = packages.select("path").filter("path is not null").distinct()
+    return paths.repartition(max(1, min(paths.count(), MAX_TASKS)), "path")
 
 
 def _opened(batches):
@@ -439,8 +444,12 @@ def read_records(packages: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
             types = [pa.string(), pa.int64(), *[pa.string()] * (len(FIELDS) + 1), pa.large_binary()]
             columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
             yield record_batch(names, [*columns[:-1], columns[-1].cast(pa.binary())])
+    # dealt out by what is to be read, not by the size of these rows
+    located = store(locate_records(packages), "warc-located")
+    total = located.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, min(-(-total // TASK_BYTES), MAX_TASKS))
     stretch = F.floor(F.col("start") / run_bytes)
-    dealt = locate_records(packages).repartition("path", stretch).sortWithinPartitions("path", "start")
+    dealt = located.repartition(tasks, "path", stretch).sortWithinPartitions("path", "start")
     return dealt.mapInArrow(read, RECORD)
 
 
