@@ -228,3 +228,16 @@ def step_classes(df: DataFrame, value: str, stops: list[float], out: str = "clas
     outputs = list(range(2, len(stops) + 2))
     cls = step_bucket(value, stops, outputs, 1)
     return df.withColumn(out, F.when(F.col(value).isNull(), F.lit(0)).otherwise(cls))
+
+
+def top_of_group(df: DataFrame, group: list[str], measure: Column, tie: str, n: int) -> DataFrame:
+    """The ``n`` rows of each group with the greatest ``measure`` (ties: least
+    ``tie``, which is unique in a group), with their ``place`` from 1.  Rows are
+    first reduced to n per group and salt, so no group is sorted in one task."""
+    salted = df.withColumn("__m", measure).withColumn("__salt", F.pmod(F.xxhash64(tie), F.lit(64)))
+    by = [F.desc("__m"), F.asc(tie)]
+    first = Window.partitionBy(*group, "__salt").orderBy(*by)
+    few = salted.withColumn("__n", F.row_number().over(first)).filter(F.col("__n") <= n)
+    last = Window.partitionBy(*group).orderBy(*by)
+    return (few.withColumn("place", F.row_number().over(last)).filter(F.col("place") <= n)
+            .drop("__m", "__salt", "__n"))

@@ -1,5 +1,4 @@
-"""Second-tier views the reference's documents promise (N1, N3, N4, N5,
-N6, N7, N8).  N2 (pairwise soft dedupe) is not built; see the README."""
+"""Second-tier views the reference's documents promise."""
 
 from __future__ import annotations
 
@@ -38,6 +37,63 @@ def yoy_delta(spark, sf_dir):
                     F.when(ok, pc).alias("prev_count"), F.when(ok, F.col("count") - pc).alias("delta"))
 
 
+TOP_MOVERS = 5
+
+
+@register("top_movers", oracle=with_ctes(SQL_FACTS, f"""
+, y AS (SELECT region_code, crime_category, CAST(year(period_end) AS INTEGER) AS year, count FROM facts
+        WHERE suspect_dim = 'total'),
+l AS (SELECT *, lag(year) OVER (PARTITION BY region_code, crime_category ORDER BY year) AS py,
+             lag(count) OVER (PARTITION BY region_code, crime_category ORDER BY year) AS pc FROM y),
+d AS (SELECT crime_category, region_code, year, count, count - pc AS delta FROM l WHERE py = year - 1),
+n AS (SELECT *, row_number() OVER (PARTITION BY crime_category, year ORDER BY abs(delta) DESC, region_code) AS place
+      FROM d)
+SELECT crime_category, year, CAST(place AS INTEGER) AS place, region_code, count, delta
+FROM n WHERE place <= {TOP_MOVERS}""".lstrip()))
+def top_movers(spark, sf_dir, n=TOP_MOVERS):
+    """Per category and year the regions whose count changed most against
+    the year before, by two rounds of ranks (per group and salt, then per
+    group), so that no group is sorted whole in one task."""
+    from harmoniq.operators.views import top_of_group
+    d = yoy_delta(spark, sf_dir).filter("delta is not null")
+    return top_of_group(d, ["crime_category", "year"], F.abs("delta"), "region_code", n).select(
+        "crime_category", "year", "place", "region_code", "count", "delta")
+
+
+# ---- N2: soft dedupe of vectors inside a block ---------------------------------------------
+SOFT_COSINE, OUTLETS = 0.9, 4
+# outlet k reports the same event with a summary vector of its own
+REPORT_SQL = """
+reports AS (
+  SELECT vec_id * 4 + k AS id, label,
+         list_transform(range(1, len(embedding) + 1), lambda i: CAST(embedding[i] AS DOUBLE)
+           + k * CAST(0.2 AS DOUBLE) * CAST(embedding[len(embedding) + 1 - i] AS DOUBLE)) AS v
+  FROM embeddings, range(4) AS t(k))"""
+
+
+@register("soft_dedupe", oracle=f"""
+WITH RECURSIVE {REPORT_SQL},
+links AS (
+  SELECT a.id AS a, b.id AS b FROM reports a JOIN reports b ON a.label = b.label AND a.id <> b.id
+  WHERE list_cosine_similarity(a.v, b.v) >= {SOFT_COSINE}),
+reach AS (SELECT id, id AS other FROM reports UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT r.id, min(r.other) AS class_id, (SELECT count(*) FROM links l WHERE l.a = r.id) AS n_links
+FROM reach r GROUP BY r.id""")
+def soft_dedupe(spark, sf_dir):
+    """Reports of one country (here: the label) whose summary vectors have
+    a cosine of at least 0.9 are one event; each report gets its class and the
+    number of reports it matches.  The reports are the table's vectors as four
+    outlets would give them."""
+    from harmoniq.operators.soft_dedupe import soft_classes
+    e = table(spark, sf_dir, "embeddings")
+    own = F.transform("embedding", lambda c: c.cast("double"))
+    reports = e.select("label", F.col("vec_id"), own.alias("own"), F.reverse(own).alias("other"),
+                       F.explode(F.sequence(F.lit(0), F.lit(OUTLETS - 1))).alias("k")).select(
+        (F.col("vec_id") * OUTLETS + F.col("k")).alias("id"), "label",
+        F.zip_with("own", "other", lambda a, b: a + F.col("k") * F.lit(0.2) * b).alias("vector"))
+    return soft_classes(reports, "id", "vector", ["label"], SOFT_COSINE, 64)
+
+
 # ---- N3: visibility gate ---------------------------------------------------------------------
 @register("visibility", oracle=f"""
 WITH d AS (SELECT DISTINCT {BUCKET_SQL} AS bucket, regexp_replace({HOST_SQL}, '^www\\.', '') AS domain
