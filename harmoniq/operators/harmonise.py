@@ -215,10 +215,14 @@ class SourceSpec:
     region_map: DataFrame | None = None  # (native, code)
     region_key_fn: object = None
     group_extra: list[str] = field(default_factory=list)
-    retention: str = "recent"            # "recent" | "latest" | "all"
-    keep_years: int = 10
+    retention: str | None = None         # "recent" | "latest" | "all": must be stated
+    keep_years: int | None = None        # with "recent"
     row_filter: Column | None = None
 
+    def __post_init__(self):
+        if self.retention not in ("recent", "latest", "all") or (self.retention == "recent") != (self.keep_years is not None):
+            raise ValueError("state the retention: recent (with keep_years), latest or all")
+
 
 def harmonise(spark: SparkSession, df: DataFrame, spec: SourceSpec, regions: DataFrame,
               as_of=None, file_hash: str = "") -> DataFrame:

@@ -190,7 +190,8 @@ def source_registry(spark, sf_dir):
     x = spark.read.parquet(landed)
     sources = [(f"region-{r}", x, _family_spec(spark, sf_dir, F.col("n_regionkey") == r)) for r in range(5)]
     sources.append(("broken", x, SourceSpec(country="ZZ", authority="x", url="x", category_map=CATEGORY_PAIRS,
-                                            native_category="no_such_column", count="qty", year="yr")))
+                                            native_category="no_such_column", count="qty", year="yr",
+                                            retention="all")))
     path = scratch_path(spark, "crime_aggregates")
     run_sources(spark, sources, region_dim(spark, sf_dir), path, as_of=AS_OF)
     return spark.read.parquet(path).select(*_CANON_COLS)

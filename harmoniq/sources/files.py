@@ -23,16 +23,20 @@ LATIN1_CHARS = "\u00a4\u00a6\u00a8\u00b4\u00b8\u00bc\u00bd\u00be"
 LATIN9_CHARS = "\u20ac\u0160\u0161\u017d\u017e\u0152\u0153\u0178"
 
 
+def single_byte_text(content, charset: str = "ISO-8859-15"):
+    """Bytes of a single-byte charset -> text (ISO-8859-15 = Latin-1 plus
+    eight replaced code points, applied with ``translate``)."""
+    single = F.decode(F.col(content) if isinstance(content, str) else content, "ISO-8859-1")
+    if charset.upper() in ("ISO-8859-15", "LATIN-9", "LATIN9"):
+        single = F.translate(single, LATIN1_CHARS, LATIN9_CHARS)
+    return single
+
+
 def decode_text(content, fallback: str = "ISO-8859-15"):
     """Bytes -> text: UTF-8 when the bytes are valid UTF-8, else the
-    fallback single-byte charset (ISO-8859-15 = Latin-1 plus eight
-    replaced code points, applied with ``translate``)."""
+    fallback single-byte charset."""
     c = F.col(content) if isinstance(content, str) else content
-    utf8 = F.decode(c, "UTF-8")
-    single = F.decode(c, "ISO-8859-1")
-    if fallback.upper() in ("ISO-8859-15", "LATIN-9", "LATIN9"):
-        single = F.translate(single, LATIN1_CHARS, LATIN9_CHARS)
-    return F.when(F.is_valid_utf8(c.cast("string")), utf8).otherwise(single)
+    return F.when(F.is_valid_utf8(c.cast("string")), F.decode(c, "UTF-8")).otherwise(single_byte_text(c, fallback))
 
 
 # S1 --------------------------------------------------------------------------------

@@ -33,6 +33,15 @@ def unfold_cube(cube: DataFrame, dims: list[str], value: str = "value",
 
 
 # S7 -------------------------------------------------------------------------------------
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, split, id, value) of every line: (split, id) ascends in file
+    order, because a task reads a split from its start to its end.  ``value``
+    holds the line's bytes as they are (no decoding)."""
+    t = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    return t.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                    F.monotonically_increasing_id().alias("id"), "value")
+
+
 def read_sections(spark: SparkSession, path: str,
                   fallback_encoding: str = "ISO-8859-15") -> DataFrame:
     """Sectioned text.  The year header is the first line
@@ -41,30 +50,46 @@ def read_sections(spark: SparkSession, path: str,
     opens a section (its name is the line without trailing tabs), and an
     indented line 'label<TAB>v1<TAB>v2...' is a data row of that section;
     values beyond the year columns are ignored.  Returns (file, section,
-    label, year, raw_value).  Bytes are decoded as UTF-8, or as
-    ``fallback_encoding`` when they are not valid UTF-8.  A file is parsed
-    inside one partition (ordered lines; these are per-release files)."""
-    from harmoniq.sources.files import decode_text
-    t = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-         .select(F.col("path").alias("file"), decode_text("content", fallback_encoding).alias("value")))
-    lines = t.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
-    fields = F.transform(F.split(F.col("line"), "\t"), lambda p: F.trim(p))
+    label, year, raw_value).  A file's bytes are decoded as UTF-8, or as
+    ``fallback_encoding`` when any of its lines is not valid UTF-8.
+
+    Files are read in splits, of which any task holds one: the open section is
+    carried across by a small table of each split's last header line, filled
+    over the splits of a file, and then filled down inside each split."""
+    from harmoniq.sources.files import single_byte_text
+    t = text_lines(spark, path)
+    ascii_text = F.decode(F.col("value").cast("binary"), "ISO-8859-1")   # year fields are plain digits
+    fields = F.transform(F.split(F.regexp_replace(ascii_text, "\r$", ""), "\t"), lambda p: F.trim(p))
     year_fields = F.filter(fields, lambda p: p.rlike("^[0-9]{4}$"))
-    years = (lines.filter(F.size(year_fields) > 0)
-             .groupBy("file").agg(F.min_by(year_fields, F.col("pos")).alias("years"),
-                                  F.min("pos").alias("__ypos")))
-    found = F.coalesce(F.col("__ypos"), F.raise_error(F.concat(F.lit("no year header in "), F.col("file"))).cast("int"))
-    body = lines.join(years, "file", "left").filter(F.col("pos") > found)
-    indented = F.col("line").startswith(" ") | F.col("line").startswith("\t")
-    header = F.when((F.trim(F.col("line")) != "") & ~indented,
-                    F.trim(F.regexp_replace(F.col("line"), "\t+$", "")))
-    w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = body.withColumn("section", F.last(header, ignorenulls=True).over(w))
-    parts = F.split(F.col("line"), "\t")
-    rows = (tagged.filter(indented).select(
-        "file", F.coalesce(F.col("section"), F.lit("")).alias("section"),
-        F.trim(F.element_at(parts, 1)).alias("label"), F.slice(parts, 2, F.size(parts)).alias("vals"), "years")
-        .filter(F.col("label") != ""))
+    years = (t.select("file", "split", "id", year_fields.alias("years")).filter(F.size("years") > 0)
+             .groupBy("file").agg(F.min(F.struct("split", "id", "years")).alias("found")))
+    encoding = t.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    files = encoding.join(years, "file", "left").select("file", "utf8", "found.years", F.coalesce(
+        F.struct("found.split", "found.id"),
+        F.when(F.col("found").isNull(), F.raise_error(F.concat(F.lit("no year header in "), F.col("file"))))
+        .cast("struct<split:bigint,id:bigint>")).alias("after"))
+    text = F.when(F.col("utf8"), F.col("value")).otherwise(
+        single_byte_text(F.col("value").cast("binary"), fallback_encoding))
+    line = F.col("line")
+    indented = line.startswith(" ") | line.startswith("\t")
+    opens = F.when((F.trim(line) != "") & ~indented, F.trim(F.regexp_replace(line, "\t+$", "")))
+    body = (t.join(files, "file").filter(F.struct("split", "id") > F.col("after"))
+            .select("file", "split", "id", "years", F.regexp_replace(text, "\r$", "").alias("line"))
+            .withColumn("opens", opens).withColumn("indented", indented))
+
+    last = body.filter("opens is not null").groupBy("file", "split").agg(F.max_by("opens", "id").alias("last"))
+    splits = body.select("file", "split").distinct().join(last, ["file", "split"], "left")
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = splits.select("file", "split", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+
+    down = Window.partitionBy("file", "split").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    tagged = (body.withColumn("own", F.last("opens", ignorenulls=True).over(down)).filter("indented")
+              .join(carried, ["file", "split"], "left"))
+    parts = F.split(line, "\t")
+    rows = tagged.select(
+        "file", F.coalesce("own", "carried", F.lit("")).alias("section"),
+        F.trim(F.element_at(parts, 1)).alias("label"), F.slice(parts, 2, F.size(parts)).alias("vals"),
+        "years").filter(F.col("label") != "")
     z = rows.select("file", "section", "label", F.explode(F.arrays_zip("years", "vals")).alias("z"))
     z = z.filter(F.col("z.years").isNotNull())
     return z.select("file", "section", "label", F.col("z.years").cast("int").alias("year"),
@@ -120,12 +145,18 @@ def release_candidates(as_of, n: int = 6) -> Column:
 
 
 def pick_release(landed: DataFrame, as_of, n: int = 6, name_col: str = "name") -> DataFrame:
-    """Landed files whose name encodes the newest candidate release."""
+    """Landed files whose name encodes the newest candidate release.  Releases
+    that have landed but are none of the ``n`` candidates are an error that
+    lists their dates; nothing landed gives no rows."""
     month, year = release_from_name(F.col(name_col))
     files = landed.select("*", F.last_day(F.make_date(year, month, F.lit(1))).alias("release_end"))
-    hit = files.filter(F.array_contains(release_candidates(as_of, n), F.col("release_end")))
-    newest = hit.select(F.max("release_end")).scalar()
-    return hit.filter(F.col("release_end") == newest)
+    known = files.filter("release_end is not null")
+    hit = F.array_contains(release_candidates(as_of, n), F.col("release_end"))
+    newest = known.select(F.max(F.when(hit, F.col("release_end")))).scalar()
+    landed_ends = known.select(F.array_join(F.transform(F.array_sort(F.collect_set("release_end")),
+                                                        lambda d: d.cast("string")), ", ")).scalar()
+    wanted = F.coalesce(newest, F.raise_error(F.concat(F.lit(f"none of the last {n} releases has landed, only: "), landed_ends)).cast("date"))
+    return known.filter(F.col("release_end") == wanted)
 
 
 # P9 / P10 ------------------------------------------------------------------------------------
