@@ -28,6 +28,6 @@ def register(name: str, oracle: str | None = None, headline: bool = False):
 
 def load_all() -> None:
     """Import every binding module so its queries register."""
-    from harmoniq.plans import (articles_q, dims_q, exports_q, facts_q, incidents_q,  # noqa: F401
+    from harmoniq.plans import (adapters_q, articles_q, dims_q, exports_q, facts_q, incidents_q,  # noqa: F401
                                 cleaning_q, quality_q, readers_q, second_tier_q, serving_q, streaming_q,
                                 upsert_q, views_q)

@@ -97,3 +97,93 @@ def stream_article_dedupe(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "articles_sink"), scratch_path(spark, "articles_ckpt")
     I.run_available(d.drop("__event_time"), sink, ckpt)
     return spark.read.schema(ARTICLE).parquet(sink).select(F.trim("url").alias("url"))
+
+
+@register("stream_upsert_snapshots", oracle="""
+SELECT o_custkey, o_custkey % 8 AS part, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey,
+       max(o_orderdate) AS o_orderdate
+FROM orders GROUP BY o_custkey""")
+def stream_upsert_snapshots(spark, sf_dir):
+    """T2 for large tables: every micro-batch is a snapshot commit of the partitions
+    that it touches; the result is read through the last pointer."""
+    from harmoniq.operators.snapshots import read_snapshot
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.pmod("o_custkey", F.lit(8)).alias("part"), "o_orderkey",
+                                              "o_orderdate")
+    landing = scratch_path(spark, "orders_landing")
+    o.repartition(6, F.year("o_orderdate")).write.parquet(landing)
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    root = scratch_path(spark, "latest_order_snapshots")
+    I.snapshot_batches(spark, stream, root, scratch_path(spark, "snapshots_ckpt"), ["o_custkey"],
+                       ["o_orderdate", "o_orderkey"], ["part"])
+    return read_snapshot(spark, root, o.schema)
+
+
+LATE_BATCHES, LATE_DELAY = 5, 6
+# events arrive in slices of six days; every tenth comes two slices late
+SLICE_SQL = """
+slices AS (
+  SELECT *, least(4, CAST(floor(date_diff('hour', (SELECT date_trunc('day', min(ts)) FROM events), ts) / 144) AS INTEGER)
+                     + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END) AS b
+  FROM events)"""
+
+
+def _late_sql() -> str:
+    """One step per batch: watermark, late rows, first of each key, keys still held."""
+    steps = [SLICE_SQL]
+    for b in range(LATE_BATCHES):
+        mark = f"(SELECT max(ts) - INTERVAL {LATE_DELAY} DAY FROM slices WHERE b < {b})"
+        held = " UNION ALL ".join(f"SELECT user_id, event_type, ts FROM k{c}" for c in range(b)) or \
+            "SELECT user_id, event_type, ts FROM events WHERE false"
+        steps.append(f"""
+l{b} AS (SELECT * FROM slices WHERE b = {b} AND ts < {mark}),
+o{b} AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM slices
+        WHERE b = {b} AND coalesce(ts >= {mark}, true)),
+h{b} AS (SELECT * FROM ({held}) WHERE coalesce(ts >= {mark} - INTERVAL {LATE_DELAY} DAY, true)),
+k{b} AS (SELECT * FROM o{b} WHERE rn = 1 AND NOT EXISTS (
+           SELECT 1 FROM h{b} WHERE h{b}.user_id = o{b}.user_id AND h{b}.event_type = o{b}.event_type))""")
+    return "WITH " + ", ".join(steps)
+
+
+LATE_ROWS_SQL = " UNION ALL ".join(
+    f"SELECT event_id, 'kept' AS fate, CAST({b} AS BIGINT) AS batch FROM k{b} "
+    f"UNION ALL SELECT event_id, 'late', {b} FROM l{b}" for b in range(LATE_BATCHES))
+LATE_COUNTS_SQL = " UNION ALL ".join(
+    f"SELECT CAST({b} AS BIGINT) AS batch, (SELECT count(*) FROM slices WHERE b = {b}) AS rows_in, "
+    f"(SELECT count(*) FROM l{b}) AS late, (SELECT count(*) FROM k{b}) AS kept, "
+    f"(SELECT count(*) FROM o{b}) - (SELECT count(*) FROM k{b}) AS duplicates" for b in range(LATE_BATCHES))
+
+
+def _late_run(spark, sf_dir):
+    """Five batches, one file each; the stream stops after two and goes on
+    from its checkpoint.  Returns the folder of the outputs."""
+    e = table(spark, sf_dir, "events")
+    start = e.select(F.date_trunc("day", F.min("ts").cast("timestamp")).cast("timestamp_ntz")).scalar()
+    hours = F.floor(F.timestamp_diff("HOUR", start, F.col("ts")) / 144).cast("int")
+    sliced = e.select("event_id", "user_id", "event_type", "ts", F.least(
+        F.lit(LATE_BATCHES - 1), hours + F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)).alias("b"))
+    landing, root, ckpt = (scratch_path(spark, n) for n in ("late_landing", "late_out", "late_ckpt"))
+    schema = sliced.drop("b").schema
+    for batches in (range(2), range(2, LATE_BATCHES)):
+        for b in batches:                                # one file per batch, in the order of arrival
+            sliced.filter(F.col("b") == b).drop("b").coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        I.dedupe_with_late(spark, stream, root, ckpt, ["user_id", "event_type"], "ts", "event_id", LATE_DELAY)
+    return root
+
+
+@register("stream_late_rows", oracle=f"{_late_sql()} {LATE_ROWS_SQL}")
+def stream_late_rows(spark, sf_dir):
+    """T1 over five batches: the kept rows and the rows behind the watermark,
+    with the batch that they came in."""
+    root = _late_run(spark, sf_dir)
+    out = [spark.read.schema("event_id bigint, batch bigint").parquet(f"{root}/{name}")
+           .select("event_id", F.lit(name).alias("fate"), "batch") for name in ("kept", "late")]
+    return out[0].unionByName(out[1])
+
+
+@register("stream_late_accounts", oracle=f"{_late_sql()} {LATE_COUNTS_SQL}")
+def stream_late_accounts(spark, sf_dir):
+    """Per batch rows in = late + kept + duplicates."""
+    root = _late_run(spark, sf_dir)
+    return spark.read.schema("rows_in bigint, late bigint, kept bigint, duplicates bigint, batch bigint").parquet(
+        f"{root}/clock").select("batch", "rows_in", "late", "kept", "duplicates")

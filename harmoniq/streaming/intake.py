@@ -2,6 +2,8 @@
 
 * T1 overlapping pulls deduplicated by key inside an event-time watermark
   (state is bounded by the watermark, not by history);
+* T1 with accounts: rows behind the watermark go to an output of their own
+  instead of vanishing, so kept + late + duplicates = input;
 * T2 idempotent upsert per micro-batch through ``foreachBatch``: each batch
   merges into the newest complete version and writes the next free one; the
   merge is newer-wins, so a retried batch changes nothing;
@@ -98,6 +100,99 @@ def upsert_batches(spark: SparkSession, stream: DataFrame, table_root: str, chec
     q.awaitTermination()
 
 
+def snapshot_batches(spark: SparkSession, stream: DataFrame, table_root: str, checkpoint: str, keys: list[str],
+                     order: list[str], partition_by: list[str]) -> None:
+    """T2 for large tables: each micro-batch is one snapshot commit of the
+    partitions that it touches (``operators.snapshots``); readers meet the table
+    before or after a batch.  Newer rows win, so a retried batch changes nothing.
+    The partition columns must be functions of the key."""
+    from harmoniq.operators.snapshots import upsert_snapshot
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            upsert_snapshot(spark, table_root, batch, keys, partition_by, stream.schema, order=order, newer_wins=True)
+
+    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+# ---- T1 with an output for late rows -----------------------------------------------------
+def _folder(root: str, name: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/{name}/batch={batch_id}"
+
+
+def _earlier(spark: SparkSession, root: str, name: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """Rows of the batches before this one (a retried batch does not see its own)."""
+    wide = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    try:
+        return spark.read.schema(wide).parquet(f"{root.rstrip('/')}/{name}").filter(F.col("batch") < batch_id)
+    except Exception as e:  # noqa: BLE001  nothing has been written yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], wide)
+
+
+CLOCK = T.StructType([T.StructField("newest", T.TimestampNTZType()), T.StructField("rows_in", T.LongType()),
+                      T.StructField("late", T.LongType()), T.StructField("kept", T.LongType()),
+                      T.StructField("duplicates", T.LongType())])
+
+
+def dedupe_with_late(spark: SparkSession, stream: DataFrame, root: str, checkpoint: str, keys: list[str],
+                     event_time: str, tie: str, delay_days: int) -> None:
+    """First arrival per key, with every row accounted for.
+
+    The watermark of a batch is the newest event time of the batches before it
+    less ``delay_days``.  A row behind it goes to ``root/late``.  Of the others, a
+    row is a duplicate if its batch has an earlier one with its key (by event
+    time, then ``tie``) or a batch before kept one whose event time is not
+    ``delay_days`` behind the watermark; the rest goes to ``root/kept``, in folders
+    by day, of which only those inside that span are read again.  ``root/clock``
+    has one row per batch: newest event time and row counts.  Rows without an
+    event time are late.
+
+    Each batch writes folders named by its id, so a batch that is run again
+    after a failure replaces what it had written."""
+    day = F.to_date(event_time)
+    schema = stream.schema
+    kept_schema = T.StructType([*schema.fields, T.StructField("day", T.DateType())])
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        from pyspark.sql import Observation
+
+        from harmoniq.operators.steps import observed
+        newest = _earlier(spark, root, "clock", CLOCK, batch_id).agg(F.max("newest")).first()[0]
+        span = F.expr(f"interval {int(delay_days)} days")
+        mark = F.lit(newest).cast("timestamp_ntz") - span
+        behind = F.lit(False) if newest is None else F.col(event_time) < mark
+        late = F.coalesce(behind, F.lit(True)) | F.col(event_time).isNull()
+        seen = Observation()
+        rows = batch.withColumn("__late", late)
+        # one write for both outputs: the late rows and the first of each key
+        rows.filter("__late").drop("__late").observe(seen, F.count(F.lit(1)).alias("late")).write.mode("overwrite").parquet(
+            _folder(root, "late", batch_id))
+        first = rows.filter("not __late").groupBy(*[null_safe_key(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
+            F.min_by(F.struct(*schema.names), F.struct(event_time, tie)).alias("row"), F.count(F.lit(1)).alias("__n"))
+        before = _earlier(spark, root, "kept", kept_schema, batch_id)
+        if newest is not None:
+            before = before.filter((F.col("day") >= F.to_date(mark - span)) & (F.col(event_time) >= mark - span))
+        held = before.select(*[null_safe_key(k).alias(f"__h{i}") for i, k in enumerate(keys)])
+        same = [F.col(f"__k{i}") == F.col(f"__h{i}") for i in range(len(keys))]
+        fresh = first.join(held, same, "left_anti").select("row.*").withColumn("day", day)
+        count = Observation()
+        fresh.observe(count, F.count(F.lit(1)).alias("kept")).write.mode("overwrite").partitionBy("day").parquet(
+            _folder(root, "kept", batch_id))
+        n = batch.agg(F.count(F.lit(1)).alias("n"), F.max(event_time).alias("newest")).first()
+        tops = [t for t in (newest, n["newest"]) if t is not None]
+        n_late, n_kept = observed(seen).get("late") or 0, observed(count).get("kept") or 0
+        spark.createDataFrame([(max(tops, default=None), n["n"], n_late, n_kept, n["n"] - n_late - n_kept)], CLOCK) \
+            .coalesce(1).write.mode("overwrite").parquet(_folder(root, "clock", batch_id))
+
+    q = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 BINARY_FILE = T.StructType([
     T.StructField("path", T.StringType(), False), T.StructField("modificationTime", T.TimestampType(), False),
     T.StructField("length", T.LongType(), False), T.StructField("content", T.BinaryType(), True),
