@@ -64,10 +64,9 @@ def read_sections(spark: SparkSession, path: str,
     years = (t.select("file", "split", "id", year_fields.alias("years")).filter(F.size("years") > 0)
              .groupBy("file").agg(F.min(F.struct("split", "id", "years")).alias("found")))
     encoding = t.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    files = encoding.join(years, "file", "left").select("file", "utf8", "found.years", F.coalesce(
-        F.struct("found.split", "found.id"),
-        F.when(F.col("found").isNull(), F.raise_error(F.concat(F.lit("no year header in "), F.col("file"))))
-        .cast("struct<split:bigint,id:bigint>")).alias("after"))
+    missing = F.raise_error(F.concat(F.lit("no year header in "), F.col("file"))).cast("struct<split:bigint,id:bigint>")
+    files = encoding.join(years, "file", "left").select("file", "utf8", "found.years", F.when(
+        F.col("found").isNull(), missing).otherwise(F.struct("found.split", "found.id")).alias("after"))
     text = F.when(F.col("utf8"), F.col("value")).otherwise(
         single_byte_text(F.col("value").cast("binary"), fallback_encoding))
     line = F.col("line")
