@@ -61,6 +61,23 @@ def quarter_code(col) -> tuple[Column, Column]:
     return F.substring(c, 1, 4).try_cast("int"), F.substring(c, 6, 1).try_cast("int")
 
 
+def feed_instant(col) -> Column:
+    """a feed's date text -> ISO-8601 UTC text, NULL if it is no date.
+    Read are 'Mon, 01 Jan 2024 10:00:00 +0100' (week day and seconds may be
+    missing, zones GMT, UT, UTC and Z count as +0000) and ISO dates and date
+    times; without a zone they are UTC."""
+    c = F.trim(_c(col))
+    spelled = F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z]+,?\s+", ""), r"\s+(GMT|UTC|UT|Z)$", " +0000")
+    iso = F.regexp_replace(F.regexp_replace(c, r"^(\d{4}-\d{2}-\d{2}) ", "$1T"), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    iso = F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(c, F.lit("T00:00:00Z"))) \
+        .when(iso.rlike(r"(Z|[+-]\d{2}:\d{2})$") & iso.contains("T"), iso).otherwise(F.concat(iso, F.lit("Z")))
+    at = F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}"), iso.try_cast("timestamp")).otherwise(F.coalesce(
+        F.try_to_timestamp(spelled, F.lit("d MMM yyyy HH:mm:ss Z")), F.try_to_timestamp(spelled, F.lit("d MMM yyyy HH:mm Z"))))
+    # seconds since the epoch on a clock without zone: the session's zone does not matter
+    utc = F.timestamp_add("SECOND", F.unix_seconds(at), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def period_code_year(col) -> Column:
     """F8: '2024JJ00' -> 2024."""
     return F.substring(_c(col), 1, 4).try_cast("int")

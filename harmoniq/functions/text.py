@@ -58,8 +58,8 @@ def clean_header(col) -> Column:
 
 
 def strip_html(col, cap: int | None = None) -> Column:
-    """tags to spaces, trim, optional length cap on the result."""
-    out = F.trim(F.regexp_replace(_c(col), r"<[^>]+>", " "))
+    """tags to spaces, white space at both ends off, optional length cap."""
+    out = F.regexp_replace(F.regexp_replace(_c(col), r"<[^>]+>", " "), r"^\s+|\s+$", "")
     return F.left(out, F.lit(cap)) if cap else out
 
 

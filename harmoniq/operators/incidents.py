@@ -78,8 +78,7 @@ def merge_hard(df: DataFrame, key: str = "hard_key", ordinal: str = "ordinal") -
         elif c == "suspect_origin_as_reported":
             e = F.when(multi & ~(first.isNotNull() & (first != "")), F.coalesce(F.col("__orig"), first)).otherwise(first)
         elif c == "sources":
-            e = F.when(multi, F.coalesce(F.col("__sources"), F.array().cast(
-                T.ArrayType(SOURCE_STRUCT)))).otherwise(first)
+            e = F.when(multi, F.coalesce(F.col("__sources"), F.array().cast(df.schema["sources"].dataType))).otherwise(first)
         else:
             e = first
         out.append(e.alias(c))
@@ -148,6 +147,16 @@ def location_precision(given, city, geo_lat, geo_lon) -> Column:
             .otherwise(F.lit("region")))
 
 
+def sources_text(df: DataFrame) -> Column:
+    """the sources as JSON text, nulls kept.  Sources that were read with
+    their own JSON (``raw``) are written as they came, unknown keys included."""
+    kind = df.schema["sources"].dataType
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and "raw" in kind.elementType.names:
+        joined = F.array_join(F.transform("sources", lambda s: s["raw"]), ",")
+        return F.concat(F.lit("["), F.coalesce(joined, F.lit("")), F.lit("]"))
+    return F.coalesce(F.to_json("sources", {"ignoreNullFields": "false"}), F.lit("[]"))
+
+
 def finalize(records: DataFrame, cache: DataFrame, extracted_at, outlets=POLICE_PR_OUTLETS,
              extractor: str = DEFAULT_EXTRACTOR) -> DataFrame:
     """dedupe -> geocode -> precision -> confidence -> id -> defaults ->
@@ -179,7 +188,7 @@ def finalize(records: DataFrame, cache: DataFrame, extracted_at, outlets=POLICE_
         location_precision("location_precision", "city", "geo_lat", "geo_lon").alias("location_precision"),
         "weapon", "victim_count", "victim_fatal", "victim_sex_summary", "victim_age_summary",
         "suspect_count", "suspect_description_verbatim", "suspect_origin_as_reported",
-        F.to_json(F.coalesce(F.col("sources"), F.array())).alias("sources_json"),
+        sources_text(g).alias("sources_json"),
         confidence(distinct_domains(urls), outlets).alias("confidence"),
         F.coalesce(supplied["extracted_at"], F.lit(extracted_at).cast("string")).alias("extracted_at"),
         F.coalesce(supplied["extractor_version"], F.lit(extractor)).alias("extractor_version"),
@@ -230,8 +239,10 @@ def envelope_records(env: DataFrame) -> DataFrame:
         cols.append(F.try_variant_get("v", f"$.incident.{f}", "bigint").alias(f))
     for f in ("lat", "lon"):
         cols.append(F.try_variant_get("v", f"$.incident.{f}", "double").alias(f))
-    cols.append(F.try_variant_get("v", "$.incident.sources", f"array<{SOURCE_STRUCT.simpleString()}>")
-                .alias("sources"))
+    each = F.try_variant_get("v", "$.incident.sources", "array<variant>")
+    cols.append(F.transform(each, lambda s: F.struct(
+        *[F.try_variant_get(s, f"$.{f.name}", "string").alias(f.name) for f in SOURCE_STRUCT.fields],
+        F.to_json(s).alias("raw"))).alias("sources"))
     for f in _FLAGGED:
         cols.append(F.try_variant_get("v", f"$.incident.{f}", "variant").isNotNull().alias(f"{f}_present"))
     return e.select(*cols)

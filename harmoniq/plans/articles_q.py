@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from harmoniq.functions.urls import lang_key
 from harmoniq.operators.articles import (article_text, dedupe_by_url, keyword_filter,
                                          normalize_url)
+from harmoniq.functions.text import strip_html
 from harmoniq.plans import register
 from harmoniq.plans.common import table
 
@@ -94,9 +95,8 @@ SELECT page_id,
 FROM pages""")
 def html_strip_cap(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
-    full = F.regexp_replace(F.regexp_replace("html", r"<[^>]+>", " "), r"^\s+|\s+$", "")
-    return p.select("page_id", F.left(full, F.lit(1500)).alias("lead"),
-                    F.length(full).cast("bigint").alias("full_chars"))
+    return p.select("page_id", strip_html("html", 1500).alias("lead"),
+                    F.length(strip_html("html")).cast("bigint").alias("full_chars"))
 
 
 @register("dedupe_url_per_country", oracle="""

@@ -5,11 +5,13 @@ geocode cache with schema evolution, S19/S20 GeoJSON exports."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harmoniq.functions.ids import INCIDENT_NAMESPACE, content_hash, incident_id, py_text
 from harmoniq.operators.incidents import geocode_join, location_precision
 from harmoniq.plans import register
 from harmoniq.plans.common import SQL_REGION_DIM, nation_code, region_dim, table, with_ctes
+from harmoniq.plans.incidents_q import FINALIZED_SQL, finalized
 from harmoniq.plans.readers_q import write_region_geojson
 from harmoniq.session import scratch_path
 from harmoniq.sources import exports as X
@@ -81,50 +83,72 @@ TITLE_SQL = "regexp_extract(html, '<title>(.*?)</title>', 1)"
 
 
 @register("feed_records", oracle=f"""
-SELECT url, {HOST_SQL} AS outlet,
-       strftime(TIMESTAMP '2024-01-01 00:00:00' + page_id * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S+00:00') AS published_at,
-       lower(CASE {LANG_SQL} {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANG_NAMES.items())} END) AS language,
+SELECT url, CASE WHEN page_id % 7 < 2 THEN upper({LANG_SQL}) ELSE {HOST_SQL} END AS outlet,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + page_id * INTERVAL 1 HOUR, '%Y%m%dT%H%M%SZ') AS published_at,
+       CASE WHEN page_id % 5 <> 0 THEN lower(CASE {LANG_SQL} {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANG_NAMES.items())} END) END AS language,
        {TITLE_SQL} AS title, '' AS lead, 'gdelt' AS source, upper({LANG_SQL}) AS country
 FROM pages""")
 def feed_records(spark, sf_dir):
+    """Landed payloads hold as many articles as one request returns; some have
+    no domain (missing or empty), some no language."""
+    return X.gdelt_articles(landed_payloads(spark, sf_dir), F.col("country"))
+
+
+# fixed value: articles of one request
+REQUEST_CAP = 250
+
+
+def landed_payloads(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     lang = F.regexp_extract("url", r"^[^/]*//[^/]*/([a-z]+)/", 1)
     names = F.create_map(*[x for k, v in LANG_NAMES.items() for x in (F.lit(k), F.lit(v))])
     seen = F.timestamp_add("HOUR", F.col("page_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)", 1))
     art = F.struct(F.col("url"), F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
                    F.date_format(seen, "yyyyMMdd'T'HHmmss'Z'").alias("seendate"),
-                   F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)", 1)).alias("domain"),
-                   F.element_at(names, lang).alias("language"), F.upper(lang).alias("sourcecountry"))
-    docs = (p.groupBy(F.upper(lang).alias("country"), art["domain"].alias("host"))
-            .agg(F.collect_list(art).alias("articles")))
+                   F.when(F.col("page_id") % 7 == 0, F.lit(None)).when(F.col("page_id") % 7 == 1, "").otherwise(host).alias("domain"),
+                   F.when(F.col("page_id") % 5 == 0, "").otherwise(F.element_at(names, lang)).alias("language"),
+                   F.upper(lang).alias("sourcecountry"))
+    docs = (p.groupBy(F.upper(lang).alias("country"), F.floor(F.col("page_id") / REQUEST_CAP).alias("request"))
+            .agg(F.collect_list(art).alias("articles")).drop("request"))
     path = scratch_path(spark, "gdelt")
-    docs.write.partitionBy("country").json(path)
-    landed = spark.read.schema(X.GDELT_DOC).json(path)        # partition column 'country' is discovered
-    return X.gdelt_articles(landed, F.col("country"))
+    X.write_jsonl(docs.repartition("country"), path)             # S12: nulls and empty texts stay apart
+    country = T.StructType([*X.GDELT_DOC.fields, T.StructField("country", T.StringType())])
+    return spark.read.schema(country).json(path)
 
 
 @register("rss_records", oracle=f"""
 SELECT url, {HOST_SQL} AS outlet,
-       CASE WHEN position('#' IN url) > 0 THEN '2024-02-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')
-            ELSE '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') END AS published_at,
+       CASE page_id % 6
+         WHEN 0 THEN strftime(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER), '%Y-%m-%d') || 'T09:30:00+00:00'
+         WHEN 1 THEN strftime(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER), '%Y-%m-%d') || 'T10:30:00+00:00'
+         WHEN 2 THEN strftime(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER), '%Y-%m-%d') || 'T00:00:00+00:00'
+         WHEN 3 THEN strftime(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER), '%Y-%m-%d') || 'T08:30:00+00:00'
+         WHEN 4 THEN strftime(DATE '2024-02-01' + CAST(page_id % 28 AS INTEGER), '%Y-%m-%d') || 'T23:05:00+00:00' END AS published_at,
        'en' AS language, {TITLE_SQL} AS title,
        left(regexp_replace(regexp_replace(CASE WHEN starts_with(url, 'https://') THEN html ELSE '<p>' || url || '</p>' END,
-                                          '<[^>]+>', ' ', 'g'), '^ +| +$', '', 'g'), 1500) AS lead,
+                                          '<[^>]+>', ' ', 'g'), '^\\s+|\\s+$', '', 'g'), 1500) AS lead,
        'rss' AS source, upper({LANG_SQL}) AS country
 FROM pages WHERE position('spam-farm' IN url) = 0""")
 def rss_records(spark, sf_dir):
+    """Dates as feeds write them: with week day and offset, with a named zone,
+    a day alone, ISO with an offset, none but that of the update, junk."""
     p = table(spark, sf_dir, "pages")
-    day = F.lpad(((F.col("page_id") % 28) + 1).cast("string"), 2, "0")
+    k, shift = F.col("page_id") % 6, (F.col("page_id") % 28).cast("int")
+    day, later = F.date_add(F.lit("2024-01-01").cast("date"), shift), F.date_add(F.lit("2024-02-01").cast("date"), shift)
+    spelled = F.date_format(day, "EEE, dd MMM yyyy")
+    published = F.when(k == 0, F.concat(spelled, F.lit(" 10:30:00 +0100"))).when(k == 1, F.concat(spelled, F.lit(" 10:30 GMT"))) \
+        .when(k == 2, day.cast("string")).when(k == 3, F.concat(day.cast("string"), F.lit("T10:30:00+02:00"))) \
+        .when(k == 4, "yesterday")
     entries = p.select(
         F.when(~F.col("url").contains("spam-farm"), F.col("url")).alias("link"),
         F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
         F.when(F.col("url").startswith("https://"), F.col("html")).alias("summary"),
-        F.concat(F.lit("<p>"), F.col("url"), F.lit("</p>")).alias("description"),
-        F.when(~F.col("url").contains("#"), F.concat(F.lit("2024-01-"), day)).alias("published"),
-        F.concat(F.lit("2024-02-"), day).alias("updated"),
+        F.concat(F.lit("<p>"), F.col("url"), F.lit("</p>")).alias("description"), published.alias("published"),
+        F.when(k == 4, F.concat(later.cast("string"), F.lit(" 23:05:00"))).alias("updated"),
         F.upper(F.regexp_extract("url", r"^[^/]*//[^/]*/([a-z]+)/", 1)).alias("country"),
         F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)", 1)).alias("outlet"))
-    return X.rss_articles(entries, "en", 1500)
+    return X.rss_articles(entries, "EN", 1500)
 
 
 # ---- S15 F19: content hashes against a manifest ----------------------------------------------
@@ -211,6 +235,41 @@ def geojson_export(spark, sf_dir):
         "country", F.get_json_object("feature", "$.properties.code").substr(1, 2)), "country")
 
 
+# ---- S19: incidents as GeoJSON, parsed back -----------------------------------------------------
+INCIDENT_FEATURE = ("struct<type:string, properties:struct<incident_id:string, city:string, weapon:string, "
+                    "victim_count:bigint, suspect_origin_as_reported:string, date_incident:string, confidence:string, "
+                    "sources:string>, geometry:struct<type:string, coordinates:array<double>>>")
+
+
+def _incident_points(spark, sf_dir):
+    done = finalized(spark, sf_dir)
+    bad = F.when(F.col("weapon") == "firearm", "not json").when(F.col("weapon") == "other", "").otherwise(F.col("sources_json"))
+    return X.incident_features(done.withColumn("sources_json", bad))
+
+
+@register("incident_points", oracle=f"""
+WITH f AS (SELECT * FROM ({FINALIZED_SQL}) WHERE lat IS NOT NULL AND lon IS NOT NULL)
+SELECT incident_id, city, weapon, victim_count, CAST(NULL AS VARCHAR) AS suspect_origin_as_reported, date_incident, confidence,
+       CASE WHEN weapon = 'knife' THEN CAST(json_array_length(sources_json) AS BIGINT) ELSE 0 END AS n_sources,
+       CASE WHEN weapon = 'knife' THEN json_extract_string(sources_json, '$[0].url') END AS first_url,
+       weapon = 'knife' AS snippet_is_null, date_incident IS NULL AS has_null_date, lat, lon
+FROM f""")
+def incident_points(spark, sf_dir):
+    """Located incidents as Features: 15 properties with their nulls; some rows
+    hold bad or empty source texts, which become empty lists."""
+    f = _incident_points(spark, sf_dir).select("feature", F.from_json("feature", INCIDENT_FEATURE).alias("f"))
+    p = F.col("f.properties")
+    sources = F.parse_json(p["sources"])
+    return f.select(p["incident_id"].alias("incident_id"), p["city"].alias("city"), p["weapon"].alias("weapon"),
+                    p["victim_count"].alias("victim_count"), p["suspect_origin_as_reported"].alias("suspect_origin_as_reported"),
+                    p["date_incident"].alias("date_incident"), p["confidence"].alias("confidence"),
+                    F.size(F.variant_get(sources, "$", "array<variant>")).cast("bigint").alias("n_sources"),
+                    F.try_variant_get(sources, "$[0].url", "string").alias("first_url"),
+                    F.col("feature").contains('"quote_snippet":null').alias("snippet_is_null"),
+                    F.col("feature").contains('"date_incident":null').alias("has_null_date"),
+                    F.col("f.geometry.coordinates")[1].alias("lat"), F.col("f.geometry.coordinates")[0].alias("lon"))
+
+
 # ---- S19 / S20 checked by parsing the produced GeoJSON back ----------------------------------
 POINT_FEATURE = "struct<type:string, properties:struct<code:string, name_en:string, population_latest:bigint>, " \
                 "geometry:struct<type:string, coordinates:array<double>>>"
@@ -263,7 +322,8 @@ def _title_filter_sql():
 @register("feed_keyword_filter", oracle=f"""
 WITH a AS (
   SELECT url, {TITLE_SQL} AS title,
-         lower(CASE {LANG_SQL} {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANG_NAMES.items())} END) AS language
+         CASE WHEN page_id % 5 <> 0 THEN
+           lower(CASE {LANG_SQL} {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANG_NAMES.items())} END) END AS language
   FROM pages
 ),
 k AS (

@@ -173,14 +173,18 @@ def city_cache(spark, sf_dir):
                     (F.col("user_id") % 180).cast("double").alias("lon"), F.concat(country, F.lit("1")).alias("nuts_code"))
 
 
-@register("finalize_incidents", oracle=f"""WITH {SQL_RECORDS.strip()},
+def finalized(spark, sf_dir):
+    return finalize(supplied_records(spark, sf_dir), city_cache(spark, sf_dir), FINALIZED_AT, EVENT_OUTLETS, "import@1")
+
+
+FINALIZED_SQL = f"""WITH {SQL_RECORDS.strip()},
 ev AS (SELECT event_id AS ordinal, event_type, value, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events),
 grp AS (SELECT hard_key, min(ordinal) AS ordinal, COUNT(*) AS n, max(victim_count) AS vc,
                min(date_reported) AS dr FROM keyed GROUP BY hard_key),
 src AS (SELECT hard_key, url, min(ordinal) AS o FROM keyed GROUP BY 1, 2),
 doc AS (
   SELECT hard_key, COUNT(DISTINCT event_type) AS hosts, bool_or(event_type = 'purchase') AS listed,
-         '[' || string_agg('{{"url":"' || url || '","outlet":"' || event_type || '","published_at":"' || day || '"}}',
+         '[' || string_agg('{{"url":"' || url || '","outlet":"' || event_type || '","published_at":"' || day || '","quote_snippet":null}}',
                            ',' ORDER BY o) || ']' AS sources_json
   FROM src JOIN ev ON ev.ordinal = src.o GROUP BY hard_key),
 row1 AS (
@@ -203,11 +207,13 @@ SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) ||
        'import@1' AS extractor_version,
        CASE WHEN event_type = 'purchase' THEN '2025-07-01' END AS last_reviewed_at,
        CASE WHEN event_type = 'purchase' THEN 'reviewed' ELSE 'unreviewed' END AS review_status
-FROM row1""")
+FROM row1"""
+
+
+@register("finalize_incidents", oracle=FINALIZED_SQL)
 def finalize_incidents(spark, sf_dir):
     """F17 / J11 / J7 input: merged records with supplied fields, geocoded by state."""
-    done = finalize(supplied_records(spark, sf_dir), city_cache(spark, sf_dir), FINALIZED_AT, EVENT_OUTLETS, "import@1")
-    return done.drop("victim_sex_summary", "victim_age_summary", "suspect_count", "suspect_description_verbatim",
+    return finalized(spark, sf_dir).drop("victim_sex_summary", "victim_age_summary", "suspect_count", "suspect_description_verbatim",
                      "suspect_origin_as_reported")
 
 

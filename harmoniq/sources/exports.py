@@ -17,25 +17,47 @@ def _c(x) -> Column:
 
 # S12 ----------------------------------------------------------------------------------
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON object per line; non-ASCII kept as is (UTF-8)."""
-    df.write.mode(mode).json(path)
+    """One JSON object per line; non-ASCII kept as is (UTF-8), nulls written
+    as null, so an empty field and a missing one stay apart."""
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 # S19 -----------------------------------------------------------------------------------
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
+def parsed_sources(sources_json) -> Column:
+    """Any JSON text as VARIANT; empty, missing or bad JSON is an empty list."""
+    text = F.nullif(_c(sources_json), F.lit(""))
+    return F.coalesce(F.try_parse_json(text), F.parse_json(F.lit("[]")))
+
+
 def point_features(df: DataFrame, lon: str, lat: str, props: list[str],
                    sources_json: str | None = None) -> DataFrame:
     """GeoJSON Feature per located row (P23: rows without coordinates are
-    dropped); ``sources_json`` is parsed back to an array, bad JSON -> []."""
+    dropped); properties keep their nulls; ``sources_json`` is parsed back,
+    bad JSON -> []."""
     located = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     p = [F.col(c) for c in props]
     if sources_json:
-        parsed = F.from_json(sources_json, T.ArrayType(SOURCE_STRUCT), {"mode": "PERMISSIVE"})
-        p.append(F.coalesce(parsed, F.array().cast(T.ArrayType(SOURCE_STRUCT))).alias("sources"))
+        p.append(parsed_sources(sources_json).alias("sources"))
     feat = F.struct(F.lit("Feature").alias("type"), F.struct(*p).alias("properties"),
                     F.struct(F.lit("Point").alias("type"),
                              F.array(F.col(lon).cast("double"), F.col(lat).cast("double")).alias("coordinates"))
                     .alias("geometry"))
-    return located.select(F.to_json(feat).alias("feature"))
+    return located.select(F.to_json(feat, KEEP_NULLS).alias("feature"))
+
+
+# the published incident properties, in their order; the sources follow
+INCIDENT_PROPERTIES = ["incident_id", "country", "city", "lat", "lon", "location_precision", "weapon", "victim_count",
+                       "victim_fatal", "suspect_description_verbatim", "suspect_origin_as_reported", "confidence",
+                       "date_incident", "date_reported"]
+
+
+def incident_features(incidents: DataFrame) -> DataFrame:
+    """The incidents table -> one Feature per located incident."""
+    dated = incidents.withColumns({c: F.col(c).cast("string") for c in ("date_incident", "date_reported")})
+    return point_features(dated, "lon", "lat", INCIDENT_PROPERTIES, "sources_json")
 
 
 # S20 ------------------------------------------------------------------------------------
@@ -90,26 +112,35 @@ RSS_ENTRY = T.StructType([
 ])
 
 
-def gdelt_articles(docs: DataFrame, country) -> DataFrame:
-    """Landed article-list payloads -> article records: renamed fields,
-    'YYYYMMDDTHHMMSSZ' -> ISO-8601 UTC, language lower-cased, empty lead."""
+def gdelt_articles(docs: DataFrame, country, iso_dates: bool = False) -> DataFrame:
+    """Landed article-list payloads -> article records.  The outlet is the
+    domain, else the source country; the language is lower-cased, an empty one
+    is NULL; the date is passed through as the feed writes it, or with
+    ``iso_dates`` turned from 'YYYYMMDDTHHMMSSZ' into ISO-8601 UTC."""
     a = docs.select(F.explode("articles").alias("a"), _c(country).alias("country"))
-    ts = F.try_to_timestamp(F.col("a.seendate"), F.lit("yyyyMMdd'T'HHmmss'Z'"))
-    return a.select(F.col("a.url").alias("url"), F.col("a.domain").alias("outlet"),
-                    F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("published_at"),
-                    F.lower(F.col("a.language")).alias("language"),
+    seen = F.col("a.seendate")
+    if iso_dates:
+        at = F.try_to_timestamp(seen, F.lit("yyyyMMdd'T'HHmmss'Z'")).cast("timestamp_ntz")
+        seen = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    return a.select(F.col("a.url").alias("url"),
+                    F.coalesce(F.nullif(F.col("a.domain"), F.lit("")), F.col("a.sourcecountry")).alias("outlet"),
+                    seen.alias("published_at"),
+                    F.nullif(F.lower(F.col("a.language")), F.lit("")).alias("language"),
                     F.coalesce(F.col("a.title"), F.lit("")).alias("title"), F.lit("").alias("lead"),
                     F.lit("gdelt").alias("source"), "country")
 
 
-def rss_articles(entries: DataFrame, language: str = "en", lead_cap: int | None = None) -> DataFrame:
+def rss_articles(entries: DataFrame, language: str | None = "en", lead_cap: int | None = None) -> DataFrame:
     """Feed entries -> article records; entries without a link are
     skipped; lead = first non-empty of summary/description with tags
-    stripped and capped; published else updated."""
+    stripped and capped; the date is that of publication, else of the update,
+    as ISO-8601 UTC (NULL if neither is a date)."""
+    from harmoniq.functions.codes import feed_instant
     e = entries.filter(F.coalesce(F.col("link"), F.lit("")) != "")
     return e.select(F.col("link").alias("url"), F.col("outlet"),
-                    first_non_empty("published", "updated").alias("published_at"),
-                    F.lit(language).alias("language"), F.coalesce(F.col("title"), F.lit("")).alias("title"),
+                    F.coalesce(feed_instant("published"), feed_instant("updated")).alias("published_at"),
+                    F.lit((language or "").lower() or None).cast("string").alias("language"),
+                    F.coalesce(F.col("title"), F.lit("")).alias("title"),
                     F.coalesce(strip_html(first_non_empty("summary", "description"), lead_cap), F.lit(""))
                     .alias("lead"),
                     F.lit("rss").alias("source"), F.col("country"))
