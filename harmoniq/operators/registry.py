@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harmoniq.operators.harmonise import literal_table
-from harmoniq.operators.quality import InvalidRows, aggregate_rules, conform
+from harmoniq.operators.quality import InvalidRows, aggregate_rules, conform, incident_rules
 from harmoniq.operators.snapshots import upsert_snapshot
 from harmoniq.operators.steps import Source, Tally, harmonise_source, whole_plans
 from harmoniq.schema import AGGREGATE_KEY, CRIME_AGGREGATES
@@ -58,24 +58,43 @@ def run_registry(spark: SparkSession, sources: list[tuple[str, DataFrame, Source
     return literal_table(spark, records, RECORD)
 
 
+def _refuse(found: dict, rules: list) -> None:
+    broken = [f"{n}: {found[RULE + n]} rows" for n, _ in sorted(rules, key=lambda r: r[0]) if found.get(RULE + n)]
+    if found.get("repeated"):
+        broken.append(f"repeated keys: {found['repeated']}")
+    if broken:
+        raise InvalidRows("; ".join(broken))
+
+
+def _rule_sums(rules: list) -> dict:
+    return {RULE + n: F.sum(F.coalesce(c, F.lit(False)).cast("bigint")) for n, c in rules}
+
+
+def write_incidents(spark: SparkSession, root: str, incidents: DataFrame) -> int:
+    """J7 + Q5: finished incidents into the incidents table, last writer wins on
+    the id.  The rules are counted while the rows are written; a batch that
+    breaks one is refused whole, before the pointer.  Of rows that share an id
+    in the batch the one with more source text, then the later extraction,
+    stays.  The country is part of the id, so it can partition the table."""
+    rules = incident_rules()
+    seen = Tally()
+    ranked = incidents.withColumn("__text", F.length(F.coalesce(F.col("sources_json"), F.lit(""))))
+    return upsert_snapshot(
+        spark, root, ranked, ["incident_id"], ["country"], incidents.schema, order=["__text", "extracted_at", "sources_json"],
+        observe=lambda df: seen.observe(df, **_rule_sums(rules)).drop("__text"), carried=("__text",),
+        check=lambda: _refuse(seen.get(), rules))
+
+
 def _write(spark: SparkSession, root: str, rows: DataFrame, tally: Tally) -> None:
     rules = aggregate_rules()
     seen = Tally()
 
     def observe(df: DataFrame) -> DataFrame:
-        sums = {RULE + n: F.sum(F.coalesce(c, F.lit(False)).cast("bigint")) for n, c in rules}
         facts = {"n_rows": F.count(F.lit(1)), "min_period": F.min("period_start"), "max_period": F.max("period_end"),
                  "n_regions": F.size(F.collect_set("region_code")).cast("bigint"),
                  "repeated": F.sum(F.col("__same") - 1)}
-        return seen.observe(df, **sums, **facts).drop("__same")
-
-    def check() -> None:
-        found = seen.get()
-        broken = [f"{n}: {found[RULE + n]} rows" for n, _ in sorted(rules, key=lambda r: r[0]) if found.get(RULE + n)]
-        if found.get("repeated"):
-            broken.append(f"repeated keys: {found['repeated']}")
-        if broken:
-            raise InvalidRows("; ".join(broken))
+        return seen.observe(df, **_rule_sums(rules), **facts).drop("__same")
+
     upsert_snapshot(spark, root, rows, list(AGGREGATE_KEY), ["source_country"], CRIME_AGGREGATES, observe=observe,
-                    check=check, carried=("__same",))
+                    check=lambda: _refuse(seen.get(), rules), carried=("__same",))
     tally.add(seen)

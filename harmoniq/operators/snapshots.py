@@ -102,8 +102,9 @@ def _leaves(folder: _Folder, commit: str, depth: int) -> list[str]:
 
 
 def commit(spark: SparkSession, root: str, rows: DataFrame, partition_by: list[str],
-           check: Callable[[], None] | None = None, base: int | None = None) -> int:
-    """Write ``rows`` as the new content of the partitions that they lie in.
+           check: Callable[[], None] | None = None, base: int | None = None, replace: bool = False) -> int:
+    """Write ``rows`` as the new content of the partitions that they lie in
+    (with ``replace``: of the whole table).
     ``check`` runs after the write and before the pointer: if it raises, the
     table stays as it was.  ``base`` is the pointer that the rows were made
     from (default: the newest now)."""
@@ -115,6 +116,7 @@ def commit(spark: SparkSession, root: str, rows: DataFrame, partition_by: list[s
      .parquet(f"{root.rstrip('/')}/{name}"))
     if check is not None:
         check()
+    held = {} if replace else held
     held |= dict.fromkeys(_leaves(folder, name, len(partition_by)), name)
     folder.fs.mkdirs(folder._path(f"{folder.path}/{POINTERS}"))
     text = "".join(f"{c}/{p}\n" for p, c in sorted(held.items()))

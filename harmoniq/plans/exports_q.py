@@ -13,7 +13,7 @@ from harmoniq.plans import register
 from harmoniq.plans.common import SQL_REGION_DIM, nation_code, region_dim, table, with_ctes
 from harmoniq.plans.incidents_q import FINALIZED_SQL, finalized
 from harmoniq.plans.readers_q import write_region_geojson
-from harmoniq.session import scratch_path
+from harmoniq.session import materialize, scratch_path
 from harmoniq.sources import exports as X
 from harmoniq.sources import files as S
 
@@ -189,6 +189,42 @@ def geocode_misses_q(spark, sf_dir):
     return geocode_misses(recs, cache)
 
 
+@register("geocode_append", oracle="""
+WITH r AS (SELECT o.o_orderkey, c.c_custkey, c.c_nationkey, n.n_regionkey, c.c_acctbal, c.c_mktsegment
+           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey)
+SELECT o_orderkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN CASE WHEN c_custkey % 10 <> 0 THEN CAST(c_custkey % 90 AS DOUBLE) END
+                        ELSE c_acctbal / 100 END AS lat,
+       CASE WHEN c_mktsegment <> 'MACHINERY' THEN 'R' || CAST(n_regionkey AS VARCHAR) || chr(65 + c_nationkey)
+            WHEN c_custkey % 10 <> 0 THEN 'R' || CAST(n_regionkey AS VARCHAR) END AS region_code,
+       CAST(0 AS BIGINT) AS misses_left, CAST(4 AS BIGINT) AS entries
+FROM r""")
+def geocode_append(spark, sf_dir):
+    """The old cache files become the log's first entry; the misses are
+    resolved (some are not found, first with a wrong place, then again) and
+    appended; no miss is left, also after the log is compacted."""
+    from harmoniq.operators.geocode_cache import append_resolved, compact, read_cache
+    from harmoniq.operators.incidents import geocode_misses
+    from harmoniq.operators.snapshots import _partitions
+    old, recs = _geocode_inputs(spark, sf_dir)
+    root = scratch_path(spark, "geocode_log")
+    append_resolved(spark, root, old)
+    found = materialize(geocode_misses(recs, read_cache(spark, root)))
+    for wrong in (True, False):
+        key = F.regexp_extract("city", r"([0-9]+)$", 1).cast("bigint")
+        lost = key % 10 == 0
+        place = F.lit(0.0) if wrong else (key % 90).cast("double")
+        answers = found.select("country", "city", "region_hint", F.when(~lost, place).alias("lat"),
+                               F.when(~lost, F.lit(1.0)).alias("lon"), F.when(~lost, F.col("country")).alias("nuts_code"))
+        append_resolved(spark, root, answers)
+    left = geocode_misses(recs, read_cache(spark, root)).count()
+    entries = compact(spark, root)
+    if len(_partitions(spark, root, entries)) != 1:
+        raise RuntimeError("compaction leaves one entry")
+    g = geocode_join(recs, read_cache(spark, root))
+    return g.select("o_orderkey", F.col("geo_lat").alias("lat"), F.col("geo_nuts").alias("region_code"),
+                    F.lit(left).cast("bigint").alias("misses_left"), F.lit(entries).cast("bigint").alias("entries"))
+
+
 def _geocode_inputs(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")

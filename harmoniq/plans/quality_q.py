@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 from harmoniq.operators import quality as Q
 from harmoniq.operators.dims import with_hierarchy
 from harmoniq.plans import register
+from harmoniq.plans.incidents_q import FINALIZED_SQL
 from harmoniq.plans.common import SQL_FACTS, facts_table, nation_code, region_dim, table, with_ctes
 from harmoniq.schema import AGGREGATE_KEY
+from harmoniq.session import materialize, scratch_path
 
 # fixed values: rule set for the orders demo (name, SQL predicate that flags a violation)
 ORDER_RULES = [
@@ -181,3 +183,56 @@ def unknown_codes(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select(nation_code("n_regionkey", "n_nationkey").alias("code"))
     return Q.unknown_codes(_customer_codes(spark, sf_dir).unionByName(n), "code",
                            region_dim(spark, sf_dir))
+
+
+# ---- Q5: the incident rules, and the write that they guard --------------------------------
+def planted_incidents(spark, sf_dir):
+    """Finished incidents, some with faults."""
+    from harmoniq.plans.incidents_q import finalized
+    bad = F.pmod(F.ascii(F.substring("incident_id", 1, 1)) + F.ascii(F.substring("incident_id", 2, 1)), F.lit(7))
+    return finalized(spark, sf_dir).withColumns({
+        "confidence": F.when(bad == 1, "SURE").otherwise(F.col("confidence")),
+        "lat": F.when(bad == 2, 95.0).otherwise(F.col("lat")),
+        "victim_count": F.when(bad == 3, -1).otherwise(F.col("victim_count")).cast("bigint"),
+        "review_status": F.when(bad == 4, F.lit(None)).otherwise(F.col("review_status")),
+        "incident_id": F.when(bad == 5, F.concat(F.col("incident_id"), F.lit("x"))).otherwise(F.col("incident_id"))})
+
+
+SQL_PLANTED_INCIDENTS = f"""
+WITH f AS (SELECT *, (ascii(substr(incident_id, 1, 1)) + ascii(substr(incident_id, 2, 1))) % 7 AS bad FROM ({FINALIZED_SQL})),
+planted AS (SELECT * REPLACE (
+  CASE WHEN bad = 1 THEN 'SURE' ELSE confidence END AS confidence, CASE WHEN bad = 2 THEN 95.0 ELSE lat END AS lat,
+  CASE WHEN bad = 3 THEN -1 ELSE victim_count END AS victim_count,
+  CASE WHEN bad = 4 THEN NULL ELSE review_status END AS review_status,
+  CASE WHEN bad = 5 THEN incident_id || 'x' ELSE incident_id END AS incident_id) FROM f)"""
+
+
+@register("incident_rules", oracle=SQL_PLANTED_INCIDENTS + " UNION ALL ".join(
+    f"SELECT '{n}' AS rule, COUNT(*) FILTER (WHERE COALESCE({p.replace('regexp_like', 'regexp_matches')}, false)) "
+    "AS n_violations FROM planted" for n, p in Q.INCIDENT_RULES_SQL))
+def incident_rules(spark, sf_dir):
+    """Q5 on finished incidents with planted faults."""
+    return Q.rule_counts(planted_incidents(spark, sf_dir), Q.incident_rules())
+
+
+@register("incident_table", oracle=f"""
+WITH f AS ({FINALIZED_SQL})
+SELECT incident_id, max(country) AS country, max(CASE WHEN country IN ('CL', 'VI') THEN 'reviewed' ELSE review_status END) AS review_status,
+       CAST(1 AS BIGINT) AS refused FROM f GROUP BY incident_id""")
+def incident_table(spark, sf_dir):
+    """J7 + Q5: finished incidents are written; a batch with faults is refused
+    whole; a later batch marks two countries' rows as reviewed."""
+    from harmoniq.operators.registry import write_incidents
+    from harmoniq.operators.snapshots import read_snapshot
+    from harmoniq.plans.incidents_q import finalized
+    root = scratch_path(spark, "incidents")
+    done = materialize(finalized(spark, sf_dir))
+    write_incidents(spark, root, done)
+    refused = 0
+    try:
+        write_incidents(spark, root, planted_incidents(spark, sf_dir))
+    except Q.InvalidRows:
+        refused = 1
+    write_incidents(spark, root, done.filter(F.col("country").isin("CL", "VI")).withColumn("review_status", F.lit("reviewed")))
+    return read_snapshot(spark, root, done.schema).select("incident_id", "country", "review_status",
+                                                          F.lit(refused).cast("bigint").alias("refused"))

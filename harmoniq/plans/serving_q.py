@@ -96,6 +96,45 @@ def sql_top10(spark, sf_dir):
     return run_sql(spark, SQL_TOP10, cap=1000)
 
 
+# ---- O4: what the canonical tables are asked beyond the reference's own texts -------------------
+SQL_CUBE = """SELECT source_country, crime_category, CAST(year(period_end) AS INT) AS year,
+       CAST(grouping_id(source_country, crime_category, CAST(year(period_end) AS INT)) AS INT) AS level,
+       CAST(SUM(count) AS BIGINT) AS count, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM crime_aggregates WHERE suspect_dim = 'total'
+GROUP BY GROUPING SETS ((source_country, crime_category, CAST(year(period_end) AS INT)),
+                        (source_country, CAST(year(period_end) AS INT)), (crime_category), ())"""
+# regions that have both categories / the first but not the second, in some year
+SQL_BOTH = """SELECT region_code, period_start FROM crime_aggregates WHERE crime_category = 'homicide' AND rate_per_100k > 30000
+INTERSECT SELECT region_code, period_start FROM crime_aggregates WHERE crime_category = 'robbery_violent' AND rate_per_100k > 15000"""
+SQL_ONLY = SQL_BOTH.replace("INTERSECT", "EXCEPT").replace("15000", "30000")
+
+
+def _duck_facts(text: str) -> str:
+    return text.replace("crime_aggregates", "facts").replace("AS INT)", "AS INTEGER)")
+
+
+def _facts_sql_query(name, text, cap=None):
+    @register(name, oracle=with_ctes(SQL_FACTS, _duck_facts(text)))
+    def run(spark, sf_dir):
+        register_views({"crime_aggregates": facts_table(spark, sf_dir)})
+        return run_sql(spark, text, cap=cap)
+    return run
+
+
+sql_grouping_sets = _facts_sql_query("sql_grouping_sets", SQL_CUBE)
+sql_intersect = _facts_sql_query("sql_intersect", SQL_BOTH)
+sql_except = _facts_sql_query("sql_except", SQL_ONLY)
+
+SQL_CAPPED = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey;"
+
+
+@register("sql_cap_cuts", oracle=SQL_CAPPED.rstrip(";") + " LIMIT 1000")
+def sql_cap_cuts(spark, sf_dir):
+    """A statement with more rows than the cap is cut, in its own order."""
+    register_views({"orders": table(spark, sf_dir, "orders")})
+    return run_sql(spark, SQL_CAPPED, cap=1000)
+
+
 # ---- F11 / T3: overlapping 40-day run windows -------------------------------------------------------
 @register("month_window", oracle="""
 WITH m AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS run_month FROM orders),

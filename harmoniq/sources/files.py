@@ -125,8 +125,9 @@ def read_jsonl_variant(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
-    lines = t.filter(F.trim("line") != "")
-    return lines.select("file", "block", "line_no", F.parse_json("line").alias("v"))
+    # a blank line is no JSON text, in whatever order Spark evaluates filter and parser
+    parsed = F.parse_json(F.when(F.trim("line") != "", F.col("line")))
+    return t.filter(F.trim("line") != "").select("file", "block", "line_no", parsed.alias("v"))
 
 
 def variant_field(v, path: str, typ: str = "string"):

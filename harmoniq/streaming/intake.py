@@ -200,20 +200,38 @@ BINARY_FILE = T.StructType([
 MANIFEST = T.StructType([T.StructField("path", T.StringType()), T.StructField("sha256", T.StringType())])
 
 
-def manifest_batches(spark: SparkSession, stream: DataFrame, manifest_root: str, checkpoint: str) -> None:
+PREFIX = 2                 # hex digits of the hash that name a manifest partition
+
+
+def manifest_lookup(spark: SparkSession, manifest_root: str, hashed: DataFrame, prefix: int = PREFIX) -> DataFrame:
+    """Rows of ``hashed`` (path, sha256) whose content is not in the manifest.
+    Only the partitions that the batch's hashes fall into are read: their
+    names, at most ``16 ** prefix``, are a literal filter on the partition column."""
+    names = [r[0] for r in hashed.select(F.left("sha256", F.lit(prefix)).alias("p")).distinct().collect()]
+    wide = T.StructType([*MANIFEST.fields, T.StructField("prefix", T.StringType())])
+    try:
+        seen = spark.read.schema(wide).parquet(manifest_root)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return hashed
+    seen = seen.filter(F.col("prefix").isin(*names)).select("sha256")
+    return hashed.join(seen, "sha256", "left_anti")
+
+
+def manifest_batches(spark: SparkSession, stream: DataFrame, manifest_root: str, checkpoint: str,
+                     prefix: int = PREFIX) -> None:
     """T4: append (path, sha256) of files whose content hash is new; a file
-    whose bytes were already seen is a no-op."""
+    whose bytes were already seen is a no-op.  A batch's files are hashed once;
+    the manifest is partitioned by the first digits of the hash."""
+    from harmoniq.session import materialize
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        hashed = batch.select("path", F.sha2("content", 256).alias("sha256"))
-        try:
-            seen = spark.read.schema(MANIFEST).parquet(manifest_root).select("sha256")
-            fresh = hashed.join(seen, "sha256", "left_anti")
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            fresh = hashed
-        (fresh.groupBy("sha256").agg(F.min("path").alias("path")).select("path", "sha256")
-         .write.mode("append").parquet(manifest_root))
+        hashed = materialize(batch.select("path", F.sha2("content", 256).alias("sha256")))
+        fresh = manifest_lookup(spark, manifest_root, hashed, prefix)
+        (fresh.groupBy("sha256").agg(F.min("path").alias("path"))
+         .select("path", "sha256", F.left("sha256", F.lit(prefix)).alias("prefix"))
+         .repartition("prefix").write.mode("append").partitionBy("prefix").parquet(manifest_root))
 
     q = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

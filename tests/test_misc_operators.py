@@ -54,15 +54,67 @@ def test_point_features_and_bad_sources(spark):
 
 def test_feed_records(spark):
     entries = spark.createDataFrame([
-        ("https://n.example/1", "T1", "<p>Lead <b>one</b></p>", "desc", "2026-05-01", "2026-05-02", "UK", "n"),
-        ("https://n.example/2", "T2", None, "<i>only desc</i>", None, "2026-05-03", "UK", "n"),
+        ("https://n.example/1", "T1", "<p>Lead <b>one</b></p>\n", "desc", "2026-05-01", "2026-05-02", "UK", "n"),
+        ("https://n.example/2", "T2", None, "<i>only desc</i>", None, "Sun, 3 May 2026 23:30:00 -0200", "UK", "n"),
+        ("https://n.example/3", "T3", None, None, "soon", "4 May 2026 10:15 GMT", "UK", "n"),
+        ("https://n.example/4", "T4", None, None, "2026-05-04T10:15:00+02:00", None, "UK", "n"),
+        ("https://n.example/5", "T5", None, None, "2026-05-04 10:15:00", None, "UK", "n"),
+        ("https://n.example/6", "T6", None, None, None, "never", "UK", "n"),
         (None, "no link", "x", "y", "2026-05-01", None, "UK", "n")], X.RSS_ENTRY)
-    got = [(r["url"], r["lead"], r["published_at"]) for r in X.rss_articles(entries).orderBy("url").collect()]
-    assert got == [("https://n.example/1", "Lead  one", "2026-05-01"), ("https://n.example/2", "only desc", "2026-05-03")]
-    docs = spark.createDataFrame([([("https://g.example/a", "Title", "20260501T101500Z", "g.example", "English", "UK")],)],
-                                 X.GDELT_DOC)
-    a = X.gdelt_articles(docs, F.lit("UK")).first()
-    assert (a["published_at"], a["language"], a["source"]) == ("2026-05-01T10:15:00+00:00", "english", "gdelt")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for session_zone in (zone, "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", session_zone)
+        try:
+            got = [(r["url"][-1], r["lead"], r["published_at"]) for r in X.rss_articles(entries).orderBy("url").collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+        assert got == [("1", "Lead  one", "2026-05-01T00:00:00+00:00"), ("2", "only desc", "2026-05-04T01:30:00+00:00"),
+                       ("3", "", "2026-05-04T10:15:00+00:00"), ("4", "", "2026-05-04T08:15:00+00:00"),
+                       ("5", "", "2026-05-04T10:15:00+00:00"), ("6", "", None)]
+    docs = spark.createDataFrame([([("https://g.example/a", "Title", "20260501T101500Z", "g.example", "English", "UK"),
+                                    ("https://g.example/b", None, "20260501T101500Z", None, "", "Germany"),
+                                    ("https://g.example/c", "T", None, "", None, "France")],)], X.GDELT_DOC)
+    a, b, c = X.gdelt_articles(docs, F.lit("UK")).orderBy("url").collect()
+    assert (a["outlet"], a["published_at"], a["language"], a["source"]) == ("g.example", "20260501T101500Z", "english", "gdelt")
+    assert (b["outlet"], b["language"], b["title"], c["outlet"], c["published_at"]) == ("Germany", None, "", "France", None)
+    assert X.gdelt_articles(docs, F.lit("UK"), iso_dates=True).orderBy("url").first()["published_at"] == "2026-05-01T10:15:00+00:00"
+
+
+def test_incident_features_keep_nulls(spark):
+    from harmoniq.schema import INCIDENT_COLUMNS
+    row = {c: None for c in INCIDENT_COLUMNS} | {"incident_id": "i", "lat": 0.0, "lon": 9.5, "sources_json":
+                                                 '[{"url": "u", "outlet": null, "lang": "de"}]', "victim_count": 2}
+    kinds = {"lat": "double", "lon": "double", "victim_count": "long"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in INCIDENT_COLUMNS)
+    rows = [row, row | {"incident_id": "bad", "sources_json": "[{"}, row | {"incident_id": "none", "lat": None}]
+    got = [json.loads(r["feature"]) for r in X.incident_features(
+        spark.createDataFrame([tuple(r[c] for c in INCIDENT_COLUMNS) for r in rows], schema)).collect()]
+    assert [f["properties"]["incident_id"] for f in got] == ["i", "bad"]
+    p = got[0]["properties"]
+    assert len(p) == 15 and p["city"] is None and p["lat"] == 0.0 and "sources_json" not in p
+    assert p["sources"] == [{"url": "u", "outlet": None, "lang": "de"}] and got[1]["properties"]["sources"] == []
+
+
+def test_sources_keep_nulls_and_unknown_keys(spark, scratch):
+    from harmoniq.operators.incidents import envelope_records, finalize
+    from harmoniq.sources.files import read_jsonl_variant
+    path = scratch("env")
+    lines = [{"extracted": True, "incident": {"date_incident": "2026-01-02", "country": "DE", "city": c, "weapon": "knife", "victim_fatal": 0,
+                                              "sources": s}} for c, s in
+             (("A", [{"url": "https://x.example/1", "outlet": None, "lang": "de"}]), ("B", []), ("C", None),
+              ("D", [{"url": "https://x.example/1", "n": 1}, {"url": "https://y.example/2"}]),
+              ("D", [{"url": "https://x.example/1", "n": 2}, {"outlet": "no url"}, {"url": "https://z.example/3", "k": None}]))]
+    spark.createDataFrame([(json.dumps(x),) for x in lines], "value string").coalesce(1).write.text(path)
+    cache = spark.createDataFrame([], "country string, city string, region_hint string, lat double, lon double, nuts_code string")
+    done = {r["city"]: json.loads(r["sources_json"]) for r in finalize(envelope_records(read_jsonl_variant(spark, path)), cache, "t").collect()}
+    assert done == {"A": [{"url": "https://x.example/1", "outlet": None, "lang": "de"}], "B": [], "C": [],
+                    "D": [{"url": "https://x.example/1", "n": 1}, {"url": "https://y.example/2"}, {"url": "https://z.example/3", "k": None}]}
+
+
+def test_json_lines_keep_nulls(spark, scratch):
+    path = scratch("jsonl")
+    X.write_jsonl(spark.createDataFrame([("ä", None)], "a string, b string"), path)
+    assert [json.loads(r["value"]) for r in spark.read.text(path).collect()] == [{"a": "ä", "b": None}]
 
 
 def test_grid_clusters_counts_and_badges(spark):

@@ -34,7 +34,7 @@ def test_commits_and_readers(spark, scratch):
     held = P._partitions(spark, root, 2)
     assert held["country=DE"].startswith("commit=00000001") and held["country=FR"].startswith("commit=00000002")
     pruned = P.read_snapshot(spark, root, base.schema).filter("country = 'DE'")
-    assert "PartitionFilters: [isnotnull(country" in pruned._jdf.queryExecution().toString().replace("#", " #").replace(" #", "#")
+    assert "PartitionFilters: [isnotnull(country" in pruned._jdf.queryExecution().executedPlan().toString()
     assert rows_of(pruned) == [("DE", "a", 3)]
 
 
@@ -180,3 +180,38 @@ def test_sections_are_carried_across_splits(spark, scratch, split):
     want = [(n, *row) for n, t in texts.items() for row in plain_sections(t)]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert "binaryFile" not in df._jdf.queryExecution().toString()
+
+
+# ---- the geocode log and the manifest -----------------------------------------------------------
+def test_geocode_log_newest_answer_wins(spark, scratch):
+    from harmoniq.operators import geocode_cache as G
+    root = scratch("geo")
+    old = spark.createDataFrame([("de", " Köln ", "50.9", "6.9", "DEA"), ("FR", "Lyon", "", "", "")],
+                                "country string, city string, lat string, lon string, nuts_code string")
+    assert G.read_cache(spark, root).count() == 0
+    assert G.append_resolved(spark, root, old) == 1                  # no hint column: an older file
+    new = spark.createDataFrame([("FR", "LYON", None, 45.7, 4.8, "FRK"), ("DE", "köln", "NRW", 51.0, 7.0, "DEA2"),
+                                 ("DE", "köln", "NRW", None, None, None)],
+                                "country string, city string, region_hint string, lat double, lon double, nuts_code string")
+    assert G.append_resolved(spark, root, new) == 2
+
+    def rows():
+        return sorted(tuple(r) for r in G.read_cache(spark, root).collect())
+    want = [("DE", "köln", "", 50.9, 6.9, "DEA"), ("DE", "köln", "nrw", 51.0, 7.0, "DEA2"), ("FR", "lyon", "", 45.7, 4.8, "FRK")]
+    assert rows() == want
+    assert G.compact(spark, root) == 3 and rows() == want and len(P._partitions(spark, root, 3)) == 1
+    G.append_resolved(spark, root, new.filter("lat is null").withColumn("region_hint", F.lit(" nrw")))
+    assert rows()[1] == ("DE", "köln", "nrw", None, None, None)       # not found any more: the newest answer
+
+
+def test_manifest_reads_only_the_partitions_of_the_batch(spark, scratch):
+    root = scratch("manifest")
+    known = spark.range(400).select(F.concat(F.lit("f"), F.col("id")).alias("path"), F.sha2(F.col("id").cast("string"), 256).alias("sha256"))
+    known.withColumn("prefix", F.left("sha256", F.lit(2))).repartition("prefix").write.partitionBy("prefix").parquet(root)
+    batch = spark.createDataFrame([(399,), (1000,)], "id long").select(
+        F.concat(F.lit("f"), F.col("id")).alias("path"), F.sha2(F.col("id").cast("string"), 256).alias("sha256"))
+    fresh = I.manifest_lookup(spark, root, batch)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [prefix" in plan and "InMemoryFileIndex" in plan
+    assert [r["path"] for r in fresh.collect()] == ["f1000"]
+    assert I.manifest_lookup(spark, scratch("none"), batch).count() == 2
