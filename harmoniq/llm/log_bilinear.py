@@ -18,9 +18,17 @@ exactly.  Two words outside the core thus meet through one's class; counts of
 pairs of such words are not gathered.
 
 The corpus is stored once as blocks (a bounded run of documents with its own
-vocabulary).  Words return to their blocks with count and vectors, rounded to 8
-bits before they are normalised, so no vocabulary is ever broadcast; the driver
-sees only the core, its pair counts and one normaliser per class and symbol.
+vocabulary; words are numbered by frequency and the token numbers compressed).
+A word's counts are summed over blocks (over groups of them first, if they are
+many), its vectors are fitted once and stored once, with the list of its blocks.
+A word that was seen once has the vectors of its class and its two neighbours:
+they are computed beforehand for every class and symbol, and only the
+neighbours are kept.  The KNOWN most frequent words are broadcast with their
+vectors (a bounded table); the others return to their blocks, rounded to 8 bits
+before they are normalised, so no vocabulary is ever broadcast.  Which words are
+frequent is decided from each block's NAMED most frequent ones; all counts that
+enter a score are exact.  The driver sees the core, its pair counts, the known
+words and one normaliser per class and symbol.
 
 Results: null and empty texts have one token, the end; words are separated by ASCII
 white space, A-Z lower-cased; words of equal frequency are ranked by hash;
@@ -44,15 +52,18 @@ from harmoniq.llm.common import as_bytes, bounded, by_group, group_starts, recor
 SYMBOLS, CLASSES = 512, 64
 TOP = SYMBOLS - CLASSES - 1
 END = SYMBOLS - 1                       # the end of a text, and what stands before its first word
-DIM = 32
+DIM = 24
 NOISE_RATIO = 25.0
 STEPS, RATE = 100, 0.05
 PRIOR = 100.0
-WORD_PRIOR = 20.0
-FIT_ROUNDS, FIT_SCALES = 2, (1.0, 0.3)
+WORD_PRIOR = 5.0
+FIT_ROUNDS, FIT_SCALES = 1, (0.6, 0.25)
 FIT_WORDS = 4096
 SCORE_TOKENS = 1 << 16
-BLOCK_BYTES = 8 << 20
+RUN_TOKENS = 1 << 20                    # tokens that are scored at a time
+BLOCK_BYTES, PIECE_BYTES = 32 << 20, 1 << 20
+NAMED, KNOWN = 1 << 17, 1 << 16         # frequent words that a block names; those whose vectors are broadcast
+GROUP = 512                             # blocks whose counts of a word are summed in one group
 BLOCK = ("block bigint, ids array<bigint>, held array<boolean>, sizes binary, tokens binary, words binary, "
          "classes binary, train binary")
 
@@ -60,16 +71,23 @@ BLOCK = ("block bigint, ids array<bigint>, held array<boolean>, sizes binary, to
 # ---- blocks ------------------------------------------------------------------------------
 def encode(texts: list[bytes], held: list[bool]) -> tuple[np.ndarray, ...]:
     """sizes, tokens (local word numbers), word hashes, classes, training counts;
-    words are numbered in hash order."""
+    words are numbered by falling frequency, then by hash."""
     import xxhash
     ids: dict[bytes, int] = {}
     put = ids.setdefault
-    lists = [t.lower().split() for t in texts]
-    sizes = np.array([len(x) for x in lists], np.int32)
-    tokens = np.fromiter((put(w, len(ids)) for x in lists for w in x), np.int32, int(sizes.sum()))
+    sizes, pieces, piece, size = np.zeros(len(texts), np.int32), [], [], 0
+    for k, t in enumerate(texts):
+        words = t.lower().split()
+        sizes[k] = len(words)
+        piece += words
+        size += len(t)
+        if size >= PIECE_BYTES or k + 1 == len(texts):
+            pieces.append(np.fromiter((put(w, len(ids)) for w in piece), np.int32, len(piece)))
+            piece, size = [], 0
+    tokens = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
     words = np.fromiter(map(xxhash.xxh3_64_intdigest, ids), np.uint64, len(ids)).view(np.int64)
     classes = np.fromiter((zlib.crc32(w[-2:]) % CLASSES for w in ids), np.uint8, len(ids))
-    order = np.argsort(words, kind="stable")
+    order = np.lexsort((words, -np.bincount(tokens, minlength=len(ids))))
     place = np.empty(len(ids), np.int32)
     place[order] = np.arange(len(ids), dtype=np.int32)
     tokens = place[tokens] if len(ids) else tokens
@@ -78,6 +96,15 @@ def encode(texts: list[bytes], held: list[bool]) -> tuple[np.ndarray, ...]:
     return sizes, tokens, words[order], classes[order], train
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    return pa.Codec("zstd").compress(tokens.tobytes(), asbytes=True)
+
+
+def unpacked(r: dict) -> np.ndarray:
+    n = int(np.frombuffer(r["sizes"], np.int32).sum(dtype=np.int64))
+    return np.frombuffer(pa.Codec("zstd").decompress(r["tokens"], n * 4, asbytes=True), np.int32) if n else np.zeros(0, np.int32)
+
+
 def build_blocks(docs: DataFrame, held_out: Column, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         import xxhash
@@ -88,23 +115,24 @@ def build_blocks(docs: DataFrame, held_out: Column, id_col: str, text_col: str,
             name = np.array([xxhash.xxh3_64_intdigest(parts[1].tobytes() + repr(ids).encode())], np.uint64).view(np.int64)
             yield record_batch([c.split()[0] for c in BLOCK.split(", ")], [
                 name, pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_()))]
-                + [pa.array([x.tobytes()], pa.binary()) for x in parts])
+                + [pa.array([packed(x) if k == 1 else x.tobytes()], pa.binary()) for k, x in enumerate(parts)])
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"),
                       F.col(text_col).cast("string").alias("text"))
     return store(src.mapInArrow(run, BLOCK), "lm-blocks")
 
 
-def block_words(blocks: DataFrame) -> DataFrame:
-    """(word, class, block, n): each block's vocabulary with its training counts."""
+def frequent_words(blocks: DataFrame) -> np.ndarray:
+    """Hashes of the most frequent training words, KNOWN at most, by rank."""
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                words = np.frombuffer(r["words"], np.int64)
-                yield record_batch(["word", "class", "block", "n"], [
-                    words, np.frombuffer(r["classes"], np.uint8).astype(np.int32), np.full(len(words), r["block"]),
-                    np.frombuffer(r["train"], np.int32)])
-    return blocks.select("block", "words", "classes", "train").mapInArrow(
-        run, "word bigint, class int, block bigint, n int")
+                words, n = np.frombuffer(r["words"], np.int64), np.frombuffer(r["train"], np.int32)
+                some = np.lexsort((words, -n))[:NAMED]
+                some = some[n[some] > 0]
+                yield record_batch(["word", "n"], [words[some], n[some]])
+    named = blocks.select("words", "train").mapInArrow(run, "word bigint, n int")
+    ranked = named.groupBy("word").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "word").limit(KNOWN)
+    return np.array([r["word"] for r in ranked.collect()], np.int64)
 
 
 # ---- symbols and pairs --------------------------------------------------------------------------
@@ -144,7 +172,7 @@ def pair_counts(blocks: DataFrame, top: np.ndarray) -> np.ndarray:
             for r in b.to_pylist():
                 sizes, held = np.frombuffer(r["sizes"], np.int32).astype(np.int64), np.array(r["held"], bool)
                 sym = symbols_of(np.frombuffer(r["words"], np.int64), np.frombuffer(r["classes"], np.uint8), shared.value)
-                tokens = np.frombuffer(r["tokens"], np.int32)
+                tokens = unpacked(r)
                 prev, cur = with_ends(sizes, sym[tokens] if len(sym) else np.zeros(0, np.int64))
                 learn = np.repeat(~held, sizes + 1)
                 total += np.bincount(prev[learn] * SYMBOLS + cur[learn], minlength=SYMBOLS * SYMBOLS)
@@ -220,33 +248,43 @@ def from_binary(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.nda
     return data.view(kind), np.diff(off) // np.dtype(kind).itemsize
 
 
-def word_contexts(blocks: DataFrame, top: np.ndarray) -> DataFrame:
+CONTEXT = "word bigint, class int, block bigint, place int, n int, slots binary, counts binary"
+
+
+def word_contexts(blocks: DataFrame, known: np.ndarray) -> DataFrame:
     """Sparse counts of each word outside the core in each block: slot s for
-    symbol s before it, slot SYMBOLS + s for symbol s after it."""
-    shared = blocks.sparkSession.sparkContext.broadcast(top)
+    symbol s before it, slot SYMBOLS + s for symbol s after it.  ``place`` is its
+    number in the block, -1 for the known words, which need not come back."""
+    shared = blocks.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
+        top, common = shared.value[:TOP], np.sort(shared.value)
         for b in batches:
             for r in b.to_pylist():
                 sizes, held = np.frombuffer(r["sizes"], np.int32).astype(np.int64), np.array(r["held"], bool)
                 own, classes = np.frombuffer(r["words"], np.int64), np.frombuffer(r["classes"], np.uint8)
-                tokens = np.frombuffer(r["tokens"], np.int32)
-                sym = symbols_of(own, classes, shared.value)
-                prev, cur = with_ends(sizes, sym[tokens])
-                place = np.full(len(cur), -1, np.int64)
+                if not len(own):
+                    continue
+                tokens = unpacked(r)
+                sym = symbols_of(own, classes, top)
+                prev, cur = (x.astype(np.int16) for x in with_ends(sizes, sym[tokens]))
                 body = np.ones(len(cur), bool)
                 body[np.cumsum(sizes + 1) - 1] = False
+                place = np.full(len(cur), -1, np.int32)
                 place[body] = tokens
                 at = np.flatnonzero(np.repeat(~held, sizes + 1) & body & (cur >= TOP))
-                key, n = np.unique(np.concatenate([place[at] * 2 * SYMBOLS + prev[at],
-                                                   (place[at] * 2 + 1) * SYMBOLS + cur[at + 1]]), return_counts=True)
-                rare = np.flatnonzero(sym >= TOP)
+                key, n = np.unique(np.concatenate([place[at].astype(np.int64) * 2 * SYMBOLS + prev[at],
+                                                   (place[at].astype(np.int64) * 2 + 1) * SYMBOLS + cur[at + 1]]),
+                                   return_counts=True)
+                train = np.frombuffer(r["train"], np.int32)
+                back = ~np.isin(own, common)
+                rare = np.flatnonzero((sym >= TOP) & (back | (train > 0)))
                 bounds = np.append(np.searchsorted(key, rare * 2 * SYMBOLS), len(key))
-                yield record_batch(["word", "class", "block", "n", "slots", "counts"], [
+                yield record_batch([c.split()[0] for c in CONTEXT.split(", ")], [
                     own[rare], classes[rare].astype(np.int32), np.full(len(rare), r["block"]),
-                    np.frombuffer(r["train"], np.int32)[rare],
+                    np.where(back[rare], rare, -1).astype(np.int32), train[rare],
                     binary_rows((key % (2 * SYMBOLS)).astype(np.uint16), bounds), binary_rows(n.astype(np.int32), bounds)])
-    return blocks.mapInArrow(run, "word bigint, class int, block bigint, n int, slots binary, counts binary")
+    return blocks.mapInArrow(run, CONTEXT)
 
 
 def side(basis: np.ndarray, offset: np.ndarray, noise: np.ndarray, start: np.ndarray) -> dict:
@@ -334,41 +372,116 @@ def hidden_of(v: np.ndarray, classes: np.ndarray, core: dict) -> np.ndarray:
     return core["hidden"][TOP + classes] + v["context"] * v["context_scale"][:, None]
 
 
-def word_vectors(contexts: DataFrame, core: dict) -> DataFrame:
-    """(word, class, block, c, lead, vectors): count and vectors of each training
-    word for each of its blocks; ``lead`` marks one row a word.  A word's group
-    has a row per block."""
+def lists_of(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values, kind))
+
+
+class Words:
+    """The word groups of a sorted table: counts in ``n`` at ``slot`` of word
+    ``of``; the blocks that want it back and its places there."""
+
+    def __init__(self, table: pa.Table, key: tuple | list = ("word",)):
+        self.starts = group_starts(table, key)
+        rows = np.diff(np.append(self.starts, table.num_rows))
+        group = np.repeat(np.arange(len(self.starts)), rows)
+        self.word = table["word"].to_numpy()[self.starts]
+        self.classes = table["class"].to_numpy()[self.starts].astype(np.int64)
+        self.c = np.add.reduceat(table["n"].to_numpy().astype(np.int64), self.starts)
+        self.slot, size = from_binary(table["slots"], np.uint16)
+        self.n, _ = from_binary(table["counts"], np.int32)
+        self.of = np.repeat(group, size)
+        if "blocks" in table.column_names:
+            blocks, places = (table[k].combine_chunks() for k in ("blocks", "places"))
+            sizes = np.diff(blocks.offsets.to_numpy())
+            self.blocks, self.places = blocks.flatten().to_numpy(), places.flatten().to_numpy()
+            of = np.repeat(group, sizes)
+        else:
+            back = table["place"].to_numpy() >= 0
+            self.blocks, self.places, of = table["block"].to_numpy()[back], table["place"].to_numpy()[back], group[back]
+        self.wanted = np.bincount(of, minlength=len(self.starts))
+
+
+SUMMED = "word bigint, class int, n bigint, slots binary, counts binary, blocks array<bigint>, places array<int>"
+
+
+def summed(contexts: DataFrame, groups: int) -> DataFrame:
+    """One row per (word, group of blocks)."""
+    def run(table: pa.Table):
+        w = Words(table, ["word", "salt"])
+        key, at = np.unique(w.of * 2 * SYMBOLS + w.slot, return_inverse=True)
+        n = np.bincount(at, w.n, len(key)).astype(np.int32)
+        bounds = np.searchsorted(key, np.arange(len(w.starts) + 1) * 2 * SYMBOLS)
+        yield record_batch([c.split()[0] for c in SUMMED.split(", ")], [
+            w.word, w.classes.astype(np.int32), w.c, binary_rows((key % (2 * SYMBOLS)).astype(np.uint16), bounds),
+            binary_rows(n, bounds), lists_of(w.blocks, w.wanted, pa.int64()), lists_of(w.places, w.wanted, pa.int32())])
+    salted = contexts.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(groups)))
+    return by_group(salted, ["word", "salt"], [], run, SUMMED, 8000)
+
+
+FITTED = ("word bigint, class int, c bigint, code int, vectors binary, blocks array<bigint>, places array<int>")
+
+
+def word_vectors(contexts: DataFrame, core: dict, n_blocks: int) -> DataFrame:
+    """One stored row per training word outside the core: its count and its
+    vectors, or for a word seen once the code of its neighbours (before *
+    SYMBOLS + after), and where it is wanted.  A word's group has a row per
+    block, or per GROUP blocks if there are more of them."""
     shared = contexts.sparkSession.sparkContext.broadcast(core)
-    names = ["word", "class", "block", "c", "lead", "vectors"]
+    if n_blocks > GROUP:
+        contexts = summed(contexts, -(-n_blocks // GROUP))
 
     def run(table: pa.Table):
-        starts = group_starts(table, ["word"])
-        n_rows = np.diff(np.append(starts, table.num_rows))
-        c = np.add.reduceat(table["n"].to_numpy().astype(np.int64), starts)
-        classes = table["class"].to_numpy()[starts].astype(np.int64)
-        slot, size = from_binary(table["slots"], np.uint16)
-        n, _ = from_binary(table["counts"], np.int32)
-        of = np.repeat(np.repeat(np.arange(len(starts)), n_rows), size)
-        edge = np.searchsorted(of, np.arange(0, len(starts) + FIT_WORDS, FIT_WORDS))
-        made = np.zeros(len(starts), VECTORS)
-        for k, at in enumerate(range(0, len(starts), FIT_WORDS)):
-            to, some = min(at + FIT_WORDS, len(starts)), slice(edge[k], edge[k + 1])
-            counts = np.bincount((of[some] - at) * 2 * SYMBOLS + slot[some], n[some], (to - at) * 2 * SYMBOLS)
-            learned = c[at:to] > 0
-            made[at:to][learned] = own_vectors(counts.reshape(to - at, -1)[learned], classes[at:to][learned], shared.value)
-        group = np.repeat(np.arange(len(starts)), n_rows)
-        rows = np.flatnonzero(c[group] > 0)
-        lead = np.zeros(table.num_rows, bool)
-        lead[starts] = True
-        group = group[rows]
-        yield record_batch(names, [table["word"].to_numpy()[rows], classes[group].astype(np.int32),
-                                   table["block"].to_numpy()[rows], c[group], lead[rows],
-                                   binary_rows(made[group], np.arange(len(rows) + 1))])
-    return store(by_group(contexts, ["word"], [], run, "word bigint, class int, block bigint, c bigint, lead boolean, "
-                          "vectors binary", 8000), "lm-vectors")
-
-
-def normalisers(vectors: DataFrame, core: dict, class_size: np.ndarray) -> np.ndarray:
+        w = Words(table)
+        made = np.zeros(len(w.starts), VECTORS)
+        fitted = np.flatnonzero(w.c > 1)
+        local = np.full(len(w.starts), -1)
+        local[fitted] = np.arange(len(fitted))
+        of = local[w.of]
+        code = np.zeros(len(w.starts), np.int32)
+        once = w.c[w.of] == 1
+        before = once & (w.slot < SYMBOLS)
+        after = once & ~before
+        code[w.of[before]] += w.slot[before].astype(np.int32) * SYMBOLS
+        code[w.of[after]] += w.slot[after].astype(np.int32) - SYMBOLS
+        order = np.argsort(of, kind="stable")
+        edge = np.searchsorted(of[order], np.arange(0, len(fitted) + FIT_WORDS, FIT_WORDS))
+        for k, at in enumerate(range(0, len(fitted), FIT_WORDS)):
+            to, some = min(at + FIT_WORDS, len(fitted)), order[edge[k]:edge[k + 1]]
+            counts = np.bincount((of[some] - at) * 2 * SYMBOLS + w.slot[some], w.n[some], (to - at) * 2 * SYMBOLS)
+            made[fitted[at:to]] = own_vectors(counts.reshape(to - at, -1), w.classes[fitted[at:to]], shared.value)
+        rows = np.flatnonzero(w.c > 0)
+        stays = np.repeat(w.c > 0, w.wanted)
+        bounds = np.append(0, np.cumsum(w.c[rows] > 1))
+        yield record_batch([c.split()[0] for c in FITTED.split(", ")], [
+            w.word[rows], w.classes[rows].astype(np.int32), w.c[rows], code[rows],
+            binary_rows(made[rows][w.c[rows] > 1], bounds), lists_of(w.blocks[stays], w.wanted[rows], pa.int64()),
+            lists_of(w.places[stays], w.wanted[rows], pa.int32())])
+    return store(by_group(contexts, ["word"], [], run, FITTED, 8000), "lm-vectors")
+
+
+def single_vectors(core: dict) -> np.ndarray:
+    """VECTORS of a word seen once, by class * SYMBOLS + symbol: the output part
+    for that symbol before it, the context part for that symbol after it."""
+    out = []
+    for at in range(0, CLASSES * SYMBOLS, FIT_WORDS):
+        row = np.arange(at, at + FIT_WORDS)
+        counts = np.zeros((FIT_WORDS, 2 * SYMBOLS))
+        counts[np.arange(FIT_WORDS), row % SYMBOLS] = 1
+        counts[np.arange(FIT_WORDS), SYMBOLS + row % SYMBOLS] = 1
+        out.append(own_vectors(counts, row // SYMBOLS, core))
+    return np.concatenate(out)
+
+
+def seen_once(singles: np.ndarray, classes: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """VECTORS from the codes of words seen once."""
+    out = singles[classes * SYMBOLS + code // SYMBOLS].copy()
+    after = singles[classes * SYMBOLS + code % SYMBOLS]
+    for k in ("context", "context_scale", "log_z"):
+        out[k] = after[k]
+    return out
+
+
+def normalisers(vectors: DataFrame, core: dict, class_size: np.ndarray, singles: np.ndarray) -> np.ndarray:
     """ln Z (CLASSES x SYMBOLS): a class's words and one unseen word, by the
     symbol before them."""
     shared = vectors.sparkSession.sparkContext.broadcast((core["before"], class_size))
@@ -401,9 +514,16 @@ def normalisers(vectors: DataFrame, core: dict, class_size: np.ndarray) -> np.nd
                 total[k] = total.get(k, 0) + np.frombuffer(x)
         yield from sums(total)
     z = np.repeat(1 / class_size[:, None], SYMBOLS, axis=1)
-    parts = vectors.filter("lead").select("class", "c", "vectors").mapInArrow(run, "class int, z binary")
+    parts = vectors.filter("c > 1").select("class", "c", "vectors").mapInArrow(run, "class int, z binary")
     for r in parts.repartition("class").mapInArrow(add, "class int, z binary").collect():
         z[r["class"]] += np.frombuffer(r["z"])
+    # words seen once: one count per class and symbol before them
+    once = np.zeros((CLASSES, SYMBOLS))
+    for r in vectors.filter("c = 1").groupBy("class", F.floor(F.col("code") / SYMBOLS).alias("s")).count().collect():
+        once[r["class"], r["s"]] = r["count"]
+    out = (singles["out"] * singles["out_scale"][:, None]).reshape(CLASSES, SYMBOLS, DIM + 1)
+    for k in range(CLASSES):
+        z[k] += (2 / class_size[k]) * (once[k] @ np.exp(out[k] @ core["before"].T))
     return np.log(z)
 
 
@@ -412,49 +532,55 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row."""
     blocks = build_blocks(docs, held_out, id_col, text_col, block_bytes)
-    vocabulary = block_words(blocks)
-    counts = store(vocabulary.groupBy("word").agg(F.sum("n").alias("c"), F.min("class").alias("class")).filter("c > 0"),
-                   "lm-counts")
-    by_class = {r["class"]: r for r in counts.groupBy("class").agg(
-        F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()}
-    frequent = counts.orderBy(F.desc("c"), "word").limit(TOP).collect()
-    texts = blocks.select(F.sum(F.size(F.filter("held", lambda h: ~h))).alias("n")).first()["n"] or 0
-    n_tokens = sum(r["c"] for r in by_class.values()) + texts
-    n_words = sum(r["v"] for r in by_class.values()) + (texts > 0)
-    top = np.array([r["word"] for r in frequent], np.int64)
-    rest_c, rest_v = np.zeros(CLASSES), np.zeros(CLASSES)
-    for k, r in by_class.items():
-        rest_c[k], rest_v[k] = r["c"], r["v"]
-    for r in frequent:
-        rest_c[r["class"]] -= r["c"]
-        rest_v[r["class"]] -= 1
-    pairs = pair_counts(blocks, top)
+    known = frequent_words(blocks)
+    stats = blocks.agg(F.count(F.lit(1)).alias("blocks"),
+                       F.sum(F.size(F.filter("held", lambda h: ~h))).alias("texts")).first()
+    texts = stats["texts"] or 0
+    pairs = pair_counts(blocks, known[:TOP])
     par = train(pairs)
     core = {"hidden": par["r"] @ par["m"], "q": par["q"], "b": par["b"]}
     core = {k: v.astype(np.float32) for k, v in core.items()} | sides(par, pairs)
     core["before"] = core["out"]["basis"]
-    vectors = word_vectors(word_contexts(blocks, top), core)
-    model = {"top": top, "top_c": np.array([r["c"] for r in frequent], np.int64), "core": core, "table": log_table(par),
-             "class_log": np.log10(rest_c + rest_v + 1), "log_z": normalisers(vectors, core, rest_c + rest_v + 1),
-             "texts": int(texts), "n": int(n_tokens), "base_log": float(np.log10(n_tokens + n_words + 1))}
+    vectors = word_vectors(word_contexts(blocks, known), core, stats["blocks"])
+    rest_c, rest_v = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in vectors.groupBy("class").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
+        rest_c[r["class"]], rest_v[r["class"]] = r["c"], r["v"]
+    top_c = pairs.sum(axis=0)[:len(known[:TOP])].astype(np.int64)       # a core word is a symbol of its own
+    n_tokens = int(rest_c.sum() + top_c.sum() + texts)
+    n_words = int(rest_v.sum()) + len(top_c) + (texts > 0)
+    singles = single_vectors(core)
+    common = vectors.sparkSession.createDataFrame(pa.table({"word": known[TOP:]})) if len(known) > TOP else None
+    rows = vectors.join(F.broadcast(common), "word").select("word", "c", "code", "class", "vectors").collect() if common else []
+    model = {"top": known[:TOP], "top_c": top_c, "core": core, "table": log_table(par), "singles": singles,
+             "class_log": np.log10(rest_c + rest_v + 1), "common": known_words(rows, singles),
+             "log_z": normalisers(vectors, core, rest_c + rest_v + 1, singles),
+             "texts": int(texts), "n": n_tokens, "base_log": float(np.log10(n_tokens + n_words + 1))}
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    known = vectors.select("block", "word", "c", "vectors")
+    back = vectors.select("c", "code", "vectors", F.explode(F.arrays_zip("blocks", "places")).alias("at")).select(
+        F.col("at.blocks").alias("block"), F.col("at.places").alias("place"), "c", "code", "vectors")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        m = shared.value
-        word, c = right["word"].to_numpy(), right["c"].to_numpy()
-        own = from_binary(right["vectors"], VECTORS)[0] if right.num_rows else np.zeros(0, VECTORS)
-        order = np.argsort(word, kind="stable")
-        word, c, own = word[order], c[order], own[order]
-        out = []
-        for r in left.to_pylist():
-            out.append(score_block(r, word, c, own, m))
-        return pa.Table.from_batches(out)
-    return (blocks.drop("train").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+        out = [score_block(r, right, shared.value) for r in left.to_pylist()]
+        return pa.Table.from_batches(out, RESULT)
+    return (blocks.drop("train").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         run, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
              "base_score double, score double"))
 
 
+RESULT = pa.schema([("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                    ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+
+def known_words(rows: list, singles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, counts, VECTORS) of the known words outside the core, by hash."""
+    rows = sorted(rows, key=lambda r: r["word"])
+    v = np.zeros(len(rows), VECTORS)
+    for k, r in enumerate(rows):
+        v[k] = np.frombuffer(r["vectors"], VECTORS)[0] if r["c"] > 1 else \
+            seen_once(singles, np.array([r["class"]]), np.array([r["code"]]))[0]
+    return np.array([r["word"] for r in rows], np.int64), np.array([r["c"] for r in rows], np.int64), v
+
+
 def own_terms(model: np.ndarray, prev: np.ndarray, cur: np.ndarray, place: np.ndarray, learned: np.ndarray,
               v: np.ndarray, classes: np.ndarray, m: dict) -> None:
     """Put what the words' own vectors say into the tokens' log10 probabilities;
@@ -475,21 +601,43 @@ def own_terms(model: np.ndarray, prev: np.ndarray, cur: np.ndarray, place: np.nd
         model[t] += (u - v["log_z"][c]) / np.log(10) - m["table"][prev[t], cur[t]]
 
 
-def score_block(r: dict, word: np.ndarray, c: np.ndarray, vectors: np.ndarray, m: dict) -> pa.RecordBatch:
+def score_block(r: dict, back: pa.Table, m: dict) -> pa.RecordBatch:
     sizes = np.frombuffer(r["sizes"], np.int32).astype(np.int64)
     own = np.frombuffer(r["words"], np.int64)
-    classes = np.frombuffer(r["classes"], np.uint8)
+    classes = np.frombuffer(r["classes"], np.uint8).astype(np.int64)
     seen, v = np.zeros(len(own), np.int64), np.zeros(len(own), VECTORS)
     sym = symbols_of(own, classes, m["top"])
     seen[sym < TOP] = m["top_c"][sym[sym < TOP]]
-    learned = np.zeros(len(own), bool)
+    word, c, vectors = m["common"]
     if len(word) and len(own):
         at = np.minimum(np.searchsorted(word, own), len(word) - 1)
-        learned = (word[at] == own) & (sym >= TOP)
-        seen[learned], v[learned] = c[at[learned]], vectors[at[learned]]
+        hit = (word[at] == own) & (sym >= TOP)
+        seen[hit], v[hit] = c[at[hit]], vectors[at[hit]]
+    if back.num_rows:
+        place, c, code = (back[k].to_numpy() for k in ("place", "c", "code"))
+        seen[place] = c
+        fitted, once = place[c > 1], place[c == 1]
+        v[fitted] = from_binary(back["vectors"], VECTORS)[0]
+        v[once] = seen_once(m["singles"], classes[once], code[c == 1])
+    learned = (sym >= TOP) & (seen > 0)
     log_c = np.log10(seen + 1.0)
     rare = np.where(sym < TOP, 0.0, log_c - m["class_log"][classes]) if len(own) else np.zeros(0)
-    tokens = np.frombuffer(r["tokens"], np.int32)
+    tokens, first = unpacked(r), np.append(0, np.cumsum(sizes))
+    kept = []
+    edges = [0]                                          # runs of whole texts; a longer text is a run of its own
+    while edges[-1] < len(sizes):
+        edges.append(max(edges[-1] + 1, int(np.searchsorted(first, first[edges[-1]] + RUN_TOKENS, "right")) - 1))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        kept.append(score_run(sizes[a:b], tokens[first[a]:first[b]], sym, seen, learned, v, classes, log_c, rare, m))
+    known, base, model = (np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (np.zeros(0),) * 3
+    n = sizes + 1
+    return pa.RecordBatch.from_arrays([
+        pa.array(x, f.type) for x, f in zip((r["ids"], r["held"], n, known.astype(np.int64), np.full(len(n), m["n"]),
+                                             base - n * m["base_log"], model), RESULT, strict=True)], schema=RESULT)
+
+
+def score_run(sizes, tokens, sym, seen, learned, v, classes, log_c, rare, m) -> tuple[np.ndarray, ...]:
+    """(known tokens, base sum, log10 probability) of each text."""
     prev, cur = with_ends(sizes, sym[tokens])
     ends = np.cumsum(sizes + 1) - 1
     body = np.ones(len(cur), bool)
@@ -500,12 +648,8 @@ def score_block(r: dict, word: np.ndarray, c: np.ndarray, vectors: np.ndarray, m
     model[body] += rare[tokens]
     place = np.full(len(cur), -1, np.int64)
     place[body] = tokens
-    own_terms(model, prev, cur, place, learned, v, classes.astype(np.int64), m)
+    own_terms(model, prev, cur, place, learned, v, classes, m)
     known = np.full(len(cur), int(m["texts"] > 0), np.int64)
     known[body] = seen[tokens] > 0
     starts = ends - sizes
-    add = lambda x: np.add.reduceat(x, starts)             # noqa: E731
-    n = sizes + 1
-    return record_batch(["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], [
-        pa.array(r["ids"], pa.int64()), pa.array(r["held"], pa.bool_()), n, add(known), np.full(len(n), m["n"]),
-        add(base) - n * m["base_log"], add(model)])
+    return tuple(np.add.reduceat(x, starts) for x in (known, base, model))

@@ -370,6 +370,21 @@ def test_words_outside_the_core_learn(spark):
     assert a > b + 0.1 and c > d + 0.1
 
 
+def test_blocks_and_groups_of_blocks_do_not_change_the_scores(spark, monkeypatch):
+    """Many small blocks, summed by groups, with few known words: as one block."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("doc_id % 2 = 0")
+    held = F.col("doc_id") % 14 == 0
+    def scores(**k):
+        return {r["id"]: (r["score"], r["base_score"], r["n_known"]) for r in log_bilinear.score(docs, held, **k).collect()}
+    one = scores()
+    monkeypatch.setattr(log_bilinear, "GROUP", 3)
+    monkeypatch.setattr(log_bilinear, "KNOWN", log_bilinear.TOP + 50)
+    many = scores(block_bytes=20_000)
+    assert one.keys() == many.keys()
+    for i, x in one.items():
+        assert x[1:] == pytest.approx(many[i][1:], rel=1e-9) and x[0] == pytest.approx(many[i][0], rel=2e-3)
+
+
 def test_classes_and_contexts_are_normalised(spark):
     rng = np.random.default_rng(1)
     pairs = rng.integers(0, 5, (512, 512)).astype(float)
@@ -378,12 +393,19 @@ def test_classes_and_contexts_are_normalised(spark):
     core |= log_bilinear.sides(par, pairs)
     core["before"] = core["out"]["basis"]
     counts = rng.poisson(0.05, (300, 1024))
+    counts[:40] = 0
+    counts[np.arange(40), 7 * np.arange(40)] = 1
     counts[:, 512:] = counts[:, :512]
     cls, c = np.arange(300) % 64, counts[:, :512].sum(axis=1)
+    assert (c == 1).any()
     v = log_bilinear.own_vectors(counts, cls, core)
     size = np.bincount(cls, c + 1.0, 64) + 1
-    rows = [(int(k), int(n), True, bytearray(x.tobytes())) for k, n, x in zip(cls, c, v)]
-    z = log_bilinear.normalisers(spark.createDataFrame(rows, "class int, c bigint, lead boolean, vectors binary"), core, size)
+    singles = log_bilinear.single_vectors(core)
+    code = counts[:, :512].argmax(axis=1) * 513                        # the same symbol before and after
+    once = log_bilinear.seen_once(singles, cls[c == 1], code[c == 1])
+    assert once.tobytes() == v[c == 1].tobytes()
+    rows = [(int(k), int(n), int(s), bytearray(x.tobytes() if n > 1 else b"")) for k, n, s, x in zip(cls, c, code, v)]
+    z = log_bilinear.normalisers(spark.createDataFrame(rows, "class int, c bigint, code int, vectors binary"), core, size, singles)
     u = (v["out"] * v["out_scale"][:, None]) @ core["before"].T - z[cls]
     p = np.exp(u) * ((c + 1) / size[cls])[:, None]
     total = np.exp(-z) / size[:, None]                   # the unseen word
