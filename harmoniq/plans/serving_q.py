@@ -103,10 +103,10 @@ SQL_CUBE = """SELECT source_country, crime_category, CAST(year(period_end) AS IN
 FROM crime_aggregates WHERE suspect_dim = 'total'
 GROUP BY GROUPING SETS ((source_country, crime_category, CAST(year(period_end) AS INT)),
                         (source_country, CAST(year(period_end) AS INT)), (crime_category), ())"""
-# regions that have both categories / the first but not the second, in some year
-SQL_BOTH = """SELECT region_code, period_start FROM crime_aggregates WHERE crime_category = 'homicide' AND rate_per_100k > 30000
-INTERSECT SELECT region_code, period_start FROM crime_aggregates WHERE crime_category = 'robbery_violent' AND rate_per_100k > 15000"""
-SQL_ONLY = SQL_BOTH.replace("INTERSECT", "EXCEPT").replace("15000", "30000")
+# (region, year) with an even count of both categories / of the first but not of the second
+SQL_BOTH = """SELECT region_code, period_start FROM crime_aggregates WHERE crime_category = 'homicide' AND count % 2 = 0
+INTERSECT SELECT region_code, period_start FROM crime_aggregates WHERE crime_category = 'robbery_violent' AND count % 2 = 0"""
+SQL_ONLY = SQL_BOTH.replace("INTERSECT", "EXCEPT")
 
 
 def _duck_facts(text: str) -> str:
