@@ -58,7 +58,7 @@ STEPS, RATE = 100, 0.05
 PRIOR = 100.0
 WORD_PRIOR = 5.0
 FIT_ROUNDS, FIT_SCALES = 1, (0.6, 0.25)
-FIT_WORDS = 4096
+FIT_WORDS = 2048
 SCORE_TOKENS = 1 << 16
 RUN_TOKENS = 1 << 20                    # tokens that are scored at a time
 BLOCK_BYTES, PIECE_BYTES = 32 << 20, 1 << 20
@@ -85,6 +85,7 @@ def encode(texts: list[bytes], held: list[bool]) -> tuple[np.ndarray, ...]:
             pieces.append(np.fromiter((put(w, len(ids)) for w in piece), np.int32, len(piece)))
             piece, size = [], 0
     tokens = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
+    del pieces
     words = np.fromiter(map(xxhash.xxh3_64_intdigest, ids), np.uint64, len(ids)).view(np.int64)
     classes = np.fromiter((zlib.crc32(w[-2:]) % CLASSES for w in ids), np.uint8, len(ids))
     order = np.lexsort((words, -np.bincount(tokens, minlength=len(ids))))
@@ -151,7 +152,7 @@ def symbols_of(words: np.ndarray, classes: np.ndarray, top: np.ndarray) -> np.nd
 def with_ends(sizes: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(context, symbol) of every token, the end of each text included."""
     ends = np.cumsum(sizes + 1) - 1
-    cur = np.full(int((sizes + 1).sum()), END, np.int64)
+    cur = np.full(int((sizes + 1).sum()), END, symbols.dtype)
     body = np.ones(len(cur), bool)
     body[ends] = False
     cur[body] = symbols
@@ -161,6 +162,16 @@ def with_ends(sizes: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.nd
     return prev, cur
 
 
+def runs_of(sizes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(first text, end, first token, end) of runs of whole texts of about
+    RUN_TOKENS tokens; a longer text is a run of its own."""
+    first, a = np.append(0, np.cumsum(sizes)), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(first, first[a] + RUN_TOKENS, "right")) - 1)
+        yield a, b, int(first[a]), int(first[b])
+        a = b
+
+
 def pair_counts(blocks: DataFrame, top: np.ndarray) -> np.ndarray:
     """SYMBOLS x SYMBOLS counts of (context, symbol) over all training
     documents: a sum per task, then per context."""
@@ -168,14 +179,15 @@ def pair_counts(blocks: DataFrame, top: np.ndarray) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(SYMBOLS * SYMBOLS, np.int64)
-        for b in batches:
-            for r in b.to_pylist():
+        for batch in batches:
+            for r in batch.to_pylist():
                 sizes, held = np.frombuffer(r["sizes"], np.int32).astype(np.int64), np.array(r["held"], bool)
                 sym = symbols_of(np.frombuffer(r["words"], np.int64), np.frombuffer(r["classes"], np.uint8), shared.value)
                 tokens = unpacked(r)
-                prev, cur = with_ends(sizes, sym[tokens] if len(sym) else np.zeros(0, np.int64))
-                learn = np.repeat(~held, sizes + 1)
-                total += np.bincount(prev[learn] * SYMBOLS + cur[learn], minlength=SYMBOLS * SYMBOLS)
+                for a, b, start, end in runs_of(sizes):
+                    prev, cur = with_ends(sizes[a:b], sym[tokens[start:end]] if len(sym) else np.zeros(0, np.int64))
+                    learn = np.repeat(~held[a:b], sizes[a:b] + 1)
+                    total += np.bincount(prev[learn] * SYMBOLS + cur[learn], minlength=SYMBOLS * SYMBOLS)
         rows = total.reshape(SYMBOLS, SYMBOLS)
         some = np.flatnonzero(rows.any(axis=1))
         yield record_batch(["context", "counts"], [some.astype(np.int32), pa.array([rows[c].tobytes() for c in some], pa.binary())])
@@ -267,19 +279,22 @@ def word_contexts(blocks: DataFrame, known: np.ndarray) -> DataFrame:
                     continue
                 tokens = unpacked(r)
                 sym = symbols_of(own, classes, top)
-                prev, cur = (x.astype(np.int16) for x in with_ends(sizes, sym[tokens]))
+                prev, cur = with_ends(sizes, sym.astype(np.int16)[tokens])
                 body = np.ones(len(cur), bool)
                 body[np.cumsum(sizes + 1) - 1] = False
                 place = np.full(len(cur), -1, np.int32)
                 place[body] = tokens
                 at = np.flatnonzero(np.repeat(~held, sizes + 1) & body & (cur >= TOP))
-                key, n = np.unique(np.concatenate([place[at].astype(np.int64) * 2 * SYMBOLS + prev[at],
-                                                   (place[at].astype(np.int64) * 2 + 1) * SYMBOLS + cur[at + 1]]),
-                                   return_counts=True)
+                place = place[at].astype(np.int32 if len(own) < 2 ** 31 // (2 * SYMBOLS) else np.int64)
+                key = np.concatenate([place * (2 * SYMBOLS) + prev[at], place * (2 * SYMBOLS) + SYMBOLS + cur[at + 1]])
+                del prev, cur, body, at, place
+                key.sort()
+                n = np.flatnonzero(np.append(key[1:] != key[:-1], True)) if len(key) else np.zeros(0, np.int64)
+                key, n = key[n], np.diff(np.append(-1, n))
                 train = np.frombuffer(r["train"], np.int32)
                 back = ~np.isin(own, common)
                 rare = np.flatnonzero((sym >= TOP) & (back | (train > 0)))
-                bounds = np.append(np.searchsorted(key, rare * 2 * SYMBOLS), len(key))
+                bounds = np.append(np.searchsorted(key, (rare * 2 * SYMBOLS).astype(key.dtype)), len(key))
                 yield record_batch([c.split()[0] for c in CONTEXT.split(", ")], [
                     own[rare], classes[rare].astype(np.int32), np.full(len(rare), r["block"]),
                     np.where(back[rare], rare, -1).astype(np.int32), train[rare],
@@ -622,13 +637,9 @@ def score_block(r: dict, back: pa.Table, m: dict) -> pa.RecordBatch:
     learned = (sym >= TOP) & (seen > 0)
     log_c = np.log10(seen + 1.0)
     rare = np.where(sym < TOP, 0.0, log_c - m["class_log"][classes]) if len(own) else np.zeros(0)
-    tokens, first = unpacked(r), np.append(0, np.cumsum(sizes))
-    kept = []
-    edges = [0]                                          # runs of whole texts; a longer text is a run of its own
-    while edges[-1] < len(sizes):
-        edges.append(max(edges[-1] + 1, int(np.searchsorted(first, first[edges[-1]] + RUN_TOKENS, "right")) - 1))
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        kept.append(score_run(sizes[a:b], tokens[first[a]:first[b]], sym, seen, learned, v, classes, log_c, rare, m))
+    tokens = unpacked(r)
+    kept = [score_run(sizes[a:b], tokens[start:end], sym, seen, learned, v, classes, log_c, rare, m)
+            for a, b, start, end in runs_of(sizes)]
     known, base, model = (np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (np.zeros(0),) * 3
     n = sizes + 1
     return pa.RecordBatch.from_arrays([
