@@ -65,15 +65,21 @@ def assign_shards(df: DataFrame, weights: Sequence[float], id_col: str = "doc_id
 
 def with_slots(df: DataFrame, order: Sequence[str], buckets: int = SLOT_BUCKETS) -> DataFrame:
     """Gapless ``slot`` numbers from 0 within each shard.  A shard is never
-    one task: rows are numbered inside (shard, hash bucket) groups and each
-    bucket starts where the earlier ones end.  Pass narrow rows."""
+    one task: different rows are numbered inside (shard, hash bucket) groups and
+    each bucket starts where the earlier ones end.  Equal rows are counted first
+    and get their run of slots from the count, so a row that makes up a third of
+    the table is one row here.  Pass narrow rows of types that can be grouped."""
     from harmoniq.llm.common import without
-    b = without(df, "slot", "__b", "__start", "__i").withColumn(
-        "__b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    sizes = b.groupBy("shard", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    rows = without(df, "slot", "__b", "__start", "__i", "__n", "__k")
+    names = [f"`{c}`" for c in rows.columns]
+    rest = [c for c in rows.columns if c not in order]
+    b = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).withColumn(
+        "__b", F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
+    sizes = b.groupBy("shard", "__b").agg(F.sum("__n").alias("__n"))
     upto = Window.partitionBy("shard").orderBy("__b")
     starts = sizes.select("shard", "__b", (F.sum("__n").over(upto) - F.col("__n")).alias("__start"))
-    numbered = b.withColumn("__i", F.row_number().over(Window.partitionBy("shard", "__b").orderBy(*order)) - 1)
-    out = numbered.join(starts, ["shard", "__b"])
-    return out.select(*[c for c in df.columns if c.lower() != "slot"],
-                      (F.col("__start") + F.col("__i")).cast("bigint").alias("slot"))
+    before = Window.partitionBy("shard", "__b").orderBy(*order, *[f"`{c}`" for c in rest])
+    numbered = b.withColumn("__i", F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n"))
+    out = numbered.join(starts, ["shard", "__b"]).withColumn(
+        "__k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)))
+    return out.select(*names, (F.col("__start") + F.col("__i") + F.col("__k")).cast("bigint").alias("slot"))
