@@ -28,8 +28,11 @@ from harmoniq.llm.common import store, without
 # fixed values: the curated rules (host, path, verdict)
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-# fixed values: suffixes of two labels under which names are registered
-TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "org.uk")
+# fixed values: labels that registries of countries put before their own for
+# names of one kind (com.mx, co.in, gov.uk); with a last label of two letters
+# they make a suffix of two labels
+SECOND_LEVEL = ("ac", "asso", "co", "com", "edu", "firm", "gen", "go", "gob", "gouv", "gov", "gub", "id", "ind", "info",
+                "ltd", "me", "mil", "ne", "net", "nhs", "nom", "or", "org", "plc", "police", "sch", "web")
 MAX_RULES = 1000
 THRESHOLD = 0.5
 Z = 1.0
@@ -50,14 +53,21 @@ def path_of(url: str) -> Column:
     return F.regexp_extract(after_scheme(url), r"^[^/?#]*([^?#]*)", 1)
 
 
-def suffix_of(host: Column) -> Column:
+def two_label_suffix(host: Column) -> Column:
+    """Whether names are registered under the host's last two labels."""
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return (F.length(F.substring_index(host, ".", -1)) == 2) & F.contains(host, F.lit(".")) \
+        & F.substring_index(two, ".", 1).isin(*SECOND_LEVEL)
+
+
+def suffix_of(host: Column) -> Column:
+    """The last two labels where SECOND_LEVEL says so, else the last; names
+    under a private suffix of two labels count as one domain."""
+    return F.when(two_label_suffix(host), F.substring_index(host, ".", -2)).otherwise(F.substring_index(host, ".", -1))
 
 
 def domain_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    return F.when(two_label_suffix(host), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
 def match_rule(host: str, path: str, rules: Sequence[tuple[str, str, str]]) -> Column:
@@ -136,7 +146,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
 
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
-_SUFFIXES = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
+_SECOND = ", ".join(f"'{s}'" for s in SECOND_LEVEL)
+_TWO = f"len(string_split(host, '.')) >= 2 AND length(string_split(host, '.')[-1]) = 2 AND string_split(host, '.')[-2] IN ({_SECOND})"
 
 
 def _strength_sql(name: str, children: str, parents: str, key: str) -> str:
@@ -163,10 +174,10 @@ fit AS (
                    WHERE (host = rhost OR host LIKE '%.' || rhost) AND starts_with(path, rpath)) AS f FROM parts),
 hosts AS (
   SELECT host, count(f.verdict)::DOUBLE AS n, coalesce(sum((f.verdict = 'allow')::INT), 0)::DOUBLE AS k,
-         CASE WHEN list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') IN ({_SUFFIXES})
+         CASE WHEN {_TWO}
               THEN list_aggregate(list_slice(string_split(host, '.'), -3, -1), 'string_agg', '.')
               ELSE list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') END AS domain,
-         CASE WHEN list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') IN ({_SUFFIXES})
+         CASE WHEN {_TWO}
               THEN list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.')
               ELSE string_split(host, '.')[-1] END AS suffix
   FROM fit GROUP BY host),
