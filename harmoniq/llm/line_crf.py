@@ -5,9 +5,10 @@ symbol, digit and capital shares, sentence end, separators, repetition) feed
 a two-label chain; Viterbi decoding labels a text's lines and the content
 share of its words decides whether it is kept.
 
-The chain is trained here, on a bounded sample of documents (``max_docs``, a
-documented parameter, chosen by text hash, equal texts once), by gradient ascent on the
-conditional likelihood.  Its training labels are weak: a line is
+The chain is trained here, on a bounded sample of line runs (``max_runs``, a
+documented parameter; a run is up to ``run_lines`` lines, so any stretch of a
+long text may be drawn, its first and last lines like the others; chosen by hash,
+equal texts once), by gradient ascent on the conditional likelihood.  Its training labels are weak: a line is
 boilerplate where symbols, separators, capitals, repetition or non-words
 dominate it, and takes part in runs.  Every document is then decoded whole.
 
@@ -32,7 +33,7 @@ from harmoniq.llm.common import as_bytes, bounded, record_batch, text_hash, with
 # fixed values: symbol characters; the base rule's limits
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
-MAX_DOCS = 1500
+MAX_RUNS, RUN_LINES = 1500, 400
 MIN_CONTENT = 0.5
 BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean"
 N_FEATURES = 10
@@ -176,22 +177,32 @@ def content_share(text: bytes, model: dict) -> float:
 
 
 # ---- operators -------------------------------------------------------------------------------------
-def fit(docs: DataFrame, text_col: str = "text", max_docs: int = MAX_DOCS, max_lines: int = 400) -> dict:
-    """Train the chain on at most ``max_docs`` different texts, of longer ones on
-    the ``max_lines`` lines in their middle; lines become feature rows in the
-    tasks.  The sample is drawn on hashes of texts, copies being one, so a
-    large group of copies cannot fill it; only drawn texts are shuffled."""
+def fit(docs: DataFrame, text_col: str = "text", max_runs: int = MAX_RUNS, run_lines: int = RUN_LINES) -> dict:
+    """Train the chain on at most ``max_runs`` runs of lines of different texts;
+    lines become feature rows in the tasks, with the features that they have in
+    their whole text.  The runs are drawn on hashes of text and place, copies
+    being one, so a large group of copies cannot fill the sample; only drawn
+    texts are shuffled."""
+    text = F.col("text")
     rows = docs.select(F.col(text_col).cast("string").alias("text")).filter("text is not null") \
         .withColumn("h", text_hash("text"))
-    drawn = F.broadcast(rows.select("h").distinct().orderBy("h").limit(max_docs))     # max_docs numbers at most
-    sample = rows.join(drawn, "h").groupBy("h").agg(F.any_value("text").alias("text")).select("text")
+    lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
+    runs = rows.select("h", F.ceil(lines / run_lines).cast("int").alias("n")).distinct() \
+        .select("h", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("run"))
+    chosen = runs.orderBy(F.xxhash64("h", "run"), "h", "run").limit(max_runs)
+    drawn = F.broadcast(chosen.groupBy("h").agg(F.collect_set("run").alias("runs")))   # max_runs numbers at most
+    sample = rows.join(drawn, "h").groupBy("h").agg(F.any_value("text").alias("text"), F.any_value("runs").alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in bounded(batches, "text", 4 << 20):
-            rows = [line_features(t.split(b"\n"))[0] for t in as_bytes(b.column("text"))]
-            rows = [r[max(0, (len(r) - max_lines) // 2):][:max_lines] for r in rows]
-            yield record_batch(["x"], [pa.array([r.astype(np.float32).tobytes() for r in rows], pa.binary())])
-    got = sample.mapInArrow(run, "x binary").collect()
+            out = []
+            for t, runs in zip(as_bytes(b.column("text")), b.column("runs").to_pylist(), strict=True):
+                split = t.split(b"\n")
+                place = np.flatnonzero([bool(line.strip(_SPACES)) for line in split]) // run_lines
+                x = line_features(split)[0].astype(np.float32)
+                out += [x[place == k].tobytes() for k in sorted(runs)]
+            yield record_batch(["x"], [pa.array(out, pa.binary())])
+    got = sample.select("text", "runs").mapInArrow(run, "x binary").collect()
     texts = []
     for r in sorted(bytes(r["x"]) for r in got):
         x = np.frombuffer(r, np.float32).reshape(-1, N_FEATURES).astype(np.float64)

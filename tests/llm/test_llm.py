@@ -250,7 +250,7 @@ def test_copies_do_not_fill_the_training_sample(spark):
     once = spark.createDataFrame([(t,) for t in texts], "text string")
     many = once.unionByName(once.filter(F.xxhash64("text") == once.select(F.min(F.xxhash64("text"))).first()[0])
                             .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("k"))
-    a, b = line_crf.fit(once, max_docs=20), line_crf.fit(many, max_docs=20)
+    a, b = line_crf.fit(once, max_runs=20), line_crf.fit(many, max_runs=20)
     assert np.array_equal(a["w"], b["w"]) and np.array_equal(a["trans"], b["trans"]) and a["w"].any()
 
 
@@ -513,3 +513,65 @@ def test_odd_rows_of_map_operators(spark, odd):
     assert {r["score"] for r in knn_quality.score(odd, empty).collect()} == {0.5}
     none = line_crf.judge(odd.limit(0), line_crf.fit(odd.limit(0)))
     assert none.count() == 0
+
+
+# ---- repairs of round 3 ------------------------------------------------------------------
+def test_slots_of_repeated_rows_null_keys_and_nothing(spark):
+    """A row that makes up a third of the table is counted, not sorted."""
+    rows = [(1, 5, 9, "x")] * 400 + [(None, 5, 9, None)] * 7 + [(i, i % 3, 9, "y") for i in range(800)] + [(1, 5, 9, None)] * 3
+    d = spark.createDataFrame(rows, "doc_id long, size long, text_crc32 long, slot string")
+    placed = sharding.assign_shards(d, [1.0] * 4)
+    out = sharding.with_slots(placed, ["doc_id", "text_crc32", "size"], buckets=8)
+    got = defaultdict(list)
+    for r in out.collect():
+        got[r["shard"]].append(r["slot"])
+    assert sum(map(len, got.values())) == len(rows)
+    assert all(sorted(v) == list(range(len(v))) for v in got.values())
+    again = sharding.with_slots(placed, ["doc_id", "text_crc32", "size"], buckets=8)
+    assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
+    assert sharding.with_slots(placed.limit(0), ["doc_id"]).count() == 0
+
+
+def test_second_hash_race(spark):
+    """The winner of a shard race, computed a second time outside Spark."""
+    import struct
+
+    import xxhash
+
+    def spark_xx(key, shard, seed):                  # Spark chains its 64-bit hash over the columns from seed 42
+        h = xxhash.xxh64_intdigest(key.encode(), 42)
+        for v in (shard, seed):
+            h = xxhash.xxh64_intdigest(struct.pack("<i", v), h)
+        return h
+    ids = list(range(60)) + [-4, 10 ** 12]
+    weights = [1.0, 2.5, 0.5]
+    d = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    got = {r["doc_id"]: r["shard"] for r in sharding.assign_shards(d, weights).collect()}
+    for i in ids:
+        race = [(-math.log(((spark_xx(str(i), k, 0) >> 11) + 0.5) * 2.0 ** -53) / w, k) for k, w in enumerate(weights)]
+        assert got[i] == min(race)[1]
+
+
+def test_registered_domains(spark):
+    names = {"shop.com.mx": ("shop.com.mx", "com.mx"), "a.shop.com.mx": ("shop.com.mx", "com.mx"), "x.co.in": ("x.co.in", "co.in"),
+             "y.gov.uk": ("y.gov.uk", "gov.uk"), "a.b.example.org": ("example.org", "org"), "co.uk": ("co.uk", "co.uk"),
+             "com": ("com", "com"), "co": ("co", "co"), "www.co.com": ("co.com", "com"), "": ("", ""), "a.de": ("a.de", "de")}
+    d = spark.createDataFrame([(n,) for n in names], "host string")
+    got = {r["host"]: (r["d"], r["s"]) for r in d.select("host", hosts.domain_of(F.col("host")).alias("d"),
+                                                         hosts.suffix_of(F.col("host")).alias("s")).collect()}
+    assert got == names
+
+
+def test_both_ends_of_long_texts_are_drawn(spark, monkeypatch):
+    """Every line of a text longer than a run can be drawn."""
+    head, foot = "\n".join(f"MENU | ITEM {i} | MORE" for i in range(30)), "\n".join(f"# {i} # {i} #" for i in range(30))
+    body = "\n".join(f"The {i} plain sentence of this text ends here." for i in range(300))
+    seen = []
+    monkeypatch.setattr(line_crf, "train_chain", lambda texts: seen.append(texts) or {})
+    d = spark.createDataFrame([(f"{head}\n\n{body}\n{foot}",), (None,), ("",)], "text string")
+    line_crf.fit(d, run_lines=50)
+    whole = line_crf.line_features(f"{head}\n\n{body}\n{foot}".encode().split(b"\n"))[0]
+    assert sum(len(x) for x, _ in seen[0]) == len(whole) == 360
+    assert sorted(map(bytes, np.concatenate([x for x, _ in seen[0]]).astype("f4"))) == sorted(map(bytes, whole.astype("f4")))
+    line_crf.fit(d, run_lines=50, max_runs=3)
+    assert 2 <= len(seen[1]) <= 3 and all(len(x) <= 50 for x, _ in seen[1])
