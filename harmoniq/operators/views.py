@@ -60,16 +60,16 @@ def latest_summary(facts: DataFrame, regions: DataFrame,
     count/rate per category, population and period, region name attached,
     ordered by homicide rate descending, NULLs last."""
     base = facts.filter(F.col("suspect_dim") == "total")
-    cur = latest_per_group(base, ["source_country"], "period_end", "__pe", method="window")
     aggs = []
     for cat, name in categories:
         aggs.append(F.max(F.when(F.col("crime_category") == cat, F.col("count"))).alias(f"{name}_count"))
         aggs.append(F.max(F.when(F.col("crime_category") == cat, F.col("rate_per_100k"))).alias(f"{name}_rate"))
     aggs += [F.max("denominator_population").alias("population"),
              F.max("period_start").alias("period_start"),
-             F.max("period_end").alias("period_end"),
              F.max("source_url").alias("source_url")]
-    wide = cur.groupBy("source_country", "region_code", "region_level").agg(*aggs)
+    # one row per region and period first: the window over a country sees no fact rows
+    wide = base.groupBy("source_country", "region_code", "region_level", "period_end").agg(*aggs)
+    wide = latest_per_group(wide, ["source_country"], "period_end", "__pe", method="window").drop("__pe")
     names = regions.select(F.col("code").alias("__code"), F.col("name_en").alias("region_name"))
     out = wide.join(names, wide.region_code == names.__code, "left").drop("__code")
     return out.orderBy(F.desc_nulls_last("homicide_rate"), "region_code")
@@ -80,11 +80,11 @@ def dimension_split(facts: DataFrame, dims=("total", "national", "foreign")) ->
     """Per country's latest period: total/national/foreign counts side by
     side, only where a foreign count exists (HAVING), with the foreign share."""
     base = facts.filter(F.col("suspect_dim").isin(*dims))
-    cur = latest_per_group(base, ["source_country"], "period_end", "__pe", method="window")
-    wide = (cur.groupBy("source_country", "region_code", "crime_category")
-            .agg(*[F.max(F.when(F.col("suspect_dim") == d, F.col("count"))).alias(d) for d in dims],
-                 F.max("period_end").alias("period_end"))
-            .filter(F.col("foreign").isNotNull()))
+    wide = (base.groupBy("source_country", "region_code", "crime_category", "period_end")
+            .agg(*[F.max(F.when(F.col("suspect_dim") == d, F.col("count"))).alias(d) for d in dims]))
+    wide = (latest_per_group(wide, ["source_country"], "period_end", "__pe", method="window")
+            .filter(F.col("foreign").isNotNull())
+            .select("source_country", "region_code", "crime_category", *dims, "period_end"))
     return (wide.withColumnRenamed("source_country", "country")
             .withColumn("foreign_share_pct", share_pct("foreign", "total")))
 

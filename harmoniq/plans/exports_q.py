@@ -267,8 +267,9 @@ def geojson_export(spark, sf_dir):
     f = S.read_geojson(spark, f"{path}/*")
     slim = f.select(F.col("properties")["NUTS_ID"].alias("code"),
                     F.col("properties")["CNTR_CODE"].alias("country"), "geometry")
-    return X.feature_collections(X.polygon_features(slim, "geometry", ["code"]).withColumn(
-        "country", F.get_json_object("feature", "$.properties.code").substr(1, 2)), "country")
+    features = X.polygon_features(slim, "geometry", ["code"]).withColumn(
+        "code", F.get_json_object("feature", "$.properties.code"))
+    return X.document_parts(features.withColumn("country", F.substring("code", 1, 2)), "country", ["code"], "feature")
 
 
 # ---- S19: incidents as GeoJSON, parsed back -----------------------------------------------------
@@ -323,7 +324,7 @@ def points_export_parsed(spark, sf_dir):
                     F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.geometry.coordinates")[1].alias("lat"))
 
 
-COLLECTION = "struct<type:string, features:array<struct<type:string, properties:struct<code:string>, geometry:string>>>"
+FEATURE = "struct<type:string, properties:struct<code:string>, geometry:string>"
 
 
 @register("geojson_export_parsed", oracle="""
@@ -332,10 +333,9 @@ SELECT 'R' || CAST(n_regionkey AS VARCHAR) AS country,
        CASE WHEN n_regionkey IN (1, 3) THEN 'MultiPolygon' ELSE 'Polygon' END AS geometry_type
 FROM nation""")
 def geojson_export_parsed(spark, sf_dir):
-    docs = geojson_export(spark, sf_dir).select("country", F.from_json("document", COLLECTION).alias("d"))
-    f = docs.select("country", F.explode("d.features").alias("f"))
-    return f.select("country", F.col("f.properties.code").alias("code"),
-                    F.get_json_object("f.geometry", "$.type").alias("geometry_type"))
+    f = X.part_elements(geojson_export(spark, sf_dir), FEATURE)
+    return f.select("country", F.col("element.properties.code").alias("code"),
+                    F.get_json_object("element.geometry", "$.type").alias("geometry_type"))
 
 
 # ---- P19 + P20 with the language-name map on feed records -------------------------------------

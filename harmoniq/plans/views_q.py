@@ -296,13 +296,37 @@ def latest_per_group(spark, sf_dir):
 @register("summary_documents", oracle=with_ctes(_summary_cte(), """
 SELECT source_country, region_code, region_level, homicide_count, homicide_rate, population FROM summary"""))
 def summary_documents(spark, sf_dir):
-    """Summary rows -> one ordered JSON array per country (what the site
-    build writes) -> flattened back to one row per region."""
-    from harmoniq.sources.exports import flatten_documents, group_documents
+    """Summary rows -> ordered JSON parts per country with an index (what the
+    site build writes) -> read back to one row per region."""
+    from harmoniq.sources import exports as X
+    path, kind = _summary_parts(spark, sf_dir)
+    return X.part_elements(X.read_documents(spark, path, "country"), kind).select("element.*")
+
+
+@register("summary_index", oracle=with_ctes(_summary_cte(), """
+SELECT source_country AS country, COUNT(*) AS elements, min(region_code) AS first_code, max(region_code) AS last_code
+FROM summary GROUP BY 1"""))
+def summary_index(spark, sf_dir):
+    """The index of the written documents, and their first and last element."""
+    from harmoniq.sources import exports as X
+    path, kind = _summary_parts(spark, sf_dir)
+    parts = X.part_elements(X.read_documents(spark, path, "country"), kind)
+    ends = parts.groupBy("country").agg(F.min_by("element.region_code", F.struct("part", "element.region_code")).alias("first_code"),
+                                        F.max_by("element.region_code", F.struct("part", "element.region_code")).alias("last_code"))
+    told = spark.read.schema("country string, parts bigint, elements bigint").json(f"{path}/index")
+    return told.join(ends, "country").select("country", "elements", "first_code", "last_code")
+
+
+def _summary_parts(spark, sf_dir):
+    from harmoniq.session import scratch_path
+    from harmoniq.sources import exports as X
     s = summary(spark, sf_dir).select("source_country", "region_code", "region_level", "homicide_count",
                                       "homicide_rate", "population")
-    docs = group_documents(s, "source_country", ["region_code"])
-    return flatten_documents(docs, s.schema)
+    rows = s.select(F.col("source_country").alias("country"), "region_code",
+                    F.to_json(F.struct(*s.columns), X.KEEP_NULLS).alias("element"))
+    path = scratch_path(spark, "summary_documents")
+    X.write_documents(spark, X.document_parts(rows, "country", ["region_code"], "element", part_bytes=512), "country", path)
+    return path, s.schema
 
 
 @register("history_map_parsed", oracle=with_ctes(SQL_HISTORY, """

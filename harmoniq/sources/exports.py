@@ -69,9 +69,76 @@ def polygon_features(df: DataFrame, geometry: str, props: list[str]) -> DataFram
                               F.lit(',"geometry":'), F.col(geometry), F.lit("}")).alias("feature"))
 
 
+PART_BYTES = 8 << 20
+
+
+def document_parts(elements: DataFrame, group: str, order: list[str], element: str,
+                   part_bytes: int = PART_BYTES) -> DataFrame:
+    """The ordered JSON elements of each group as parts of
+    bounded size: (group, part, n, text), ``text`` holding elements joined by
+    commas.  The parts of a group in order, joined by commas, are its document;
+    no group is ever one row or one task: rows are dealt out by ranges of (group,
+    order) and cut where a part is full (a longer element is a part of its own)."""
+    from pyspark.sql import Window
+
+    from harmoniq.session import materialize
+    rows = elements.select(F.col(group).alias("g"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(order)],
+                           F.col(element).alias("e"))
+    by = ["g", *[f"o{k}" for k in range(len(order))], "e"]
+    placed = materialize(rows.repartitionByRange(*by).sortWithinPartitions(*by)
+                         .select("g", "e", F.monotonically_increasing_id().alias("at")))
+    placed = placed.withColumn("range", F.shiftright("at", 33))
+    upto = Window.partitionBy("range", "g").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.octet_length("e") + 1
+    cut = placed.withColumn("sub", F.floor((F.sum(size).over(upto) - size) / part_bytes))
+    parts = cut.groupBy("g", "range", "sub").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "e"))), lambda r: r["e"]), ",").alias("text"),
+        F.count(F.lit(1)).alias("n"))
+    parts = materialize(parts)
+    # parts are numbered by rows without their texts
+    number = F.row_number().over(Window.partitionBy("g").orderBy("range", "sub"))
+    numbers = parts.select(F.col("g").alias("__g"), F.col("range").alias("__r"), F.col("sub").alias("__s"), number.alias("part"))
+    same = F.col("g").eqNullSafe(F.col("__g")) & (F.col("range") == F.col("__r")) & (F.col("sub") == F.col("__s"))
+    return parts.join(numbers, same).select(F.col("g").alias(group), "part", "n", "text")
+
+
+def document_index(parts: DataFrame, group: str) -> DataFrame:
+    """What a reader needs to put documents together: parts and elements of each group."""
+    return parts.groupBy(group).agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("elements"))
+
+
+def write_documents(spark: SparkSession, parts: DataFrame, group: str, path: str) -> None:
+    """One text line per part, in a folder per group, and the index as JSON
+    Lines beside them."""
+    parts.select(group, F.to_json(F.struct("part", "n", "text")).alias("value")).write.partitionBy(group).text(f"{path}/parts")
+    write_jsonl(document_index(parts, group), f"{path}/index")
+
+
+def read_documents(spark: SparkSession, path: str, group: str) -> DataFrame:
+    """The written parts: (group, part, n, text); a part that the index counts
+    and the folder lacks is an error."""
+    kind = T.StructType([T.StructField("value", T.StringType()), T.StructField(group, T.StringType())])
+    part = F.from_json("value", "struct<part:int, n:bigint, text:string>")
+    parts = spark.read.schema(kind).text(f"{path}/parts").select(group, part.alias("p")).select(group, "p.*")
+    told = spark.read.schema(f"`{group}` string, parts bigint, elements bigint").json(f"{path}/index")
+    found = document_index(parts, group).select(F.col(group).alias("__g"), F.col("parts").alias("__p"), F.col("elements").alias("__e"))
+    lost = told.join(found, F.col(group).eqNullSafe(F.col("__g")), "left").filter(
+        ~(F.col("parts").eqNullSafe(F.col("__p")) & F.col("elements").eqNullSafe(F.col("__e"))))
+    if not lost.isEmpty():
+        raise ValueError(f"{path}: parts are missing")
+    return parts
+
+
+def part_elements(parts: DataFrame, kind: str | T.DataType) -> DataFrame:
+    """A10: one row per element again, with its group and part."""
+    kind = kind.simpleString() if isinstance(kind, T.DataType) else kind
+    array = F.from_json(F.concat(F.lit("["), F.col("text"), F.lit("]")), f"array<{kind}>")
+    return parts.withColumn("element", F.explode(array)).drop("text")
+
+
 def feature_collections(features: DataFrame, group: str) -> DataFrame:
-    """One FeatureCollection document per group (e.g. per country); a
-    document holds one group's features, not the whole table."""
+    """One FeatureCollection document per group, for groups that are known to
+    be small (a part of ``document_parts`` otherwise)."""
     return features.groupBy(group).agg(F.concat(
         F.lit('{"type":"FeatureCollection","features":['),
         F.array_join(F.array_sort(F.collect_list("feature")), ","), F.lit("]}")).alias("document"))
@@ -79,7 +146,7 @@ def feature_collections(features: DataFrame, group: str) -> DataFrame:
 
 def group_documents(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     """One JSON array document per group (e.g. the regions of one
-    country, ordered); a document holds one group's rows only."""
+    country, ordered), for groups that are known to be small."""
     rows = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order],
                                                  F.struct(*[F.col(c) for c in df.columns]).alias("__row"))))
     return df.groupBy(group).agg(F.to_json(F.transform(rows, lambda r: r["__row"])).alias("document"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from harmoniq.operators import quality as Q
@@ -141,3 +143,29 @@ def test_group_documents_round_trip(spark):
     back = X.flatten_documents(docs, df.schema)
     assert sorted(tuple(r) for r in back.select("country", "region_code", "rate").collect()) == \
         sorted(tuple(r) for r in df.collect())
+
+
+def test_documents_from_parts(spark, scratch):
+    """A group that holds most rows becomes many parts of bounded size, in order."""
+    rows = [("big", i, json.dumps({"i": i, "t": "x" * (i % 50)})) for i in range(3000)] + [("small", 1, '{"i":1}'), (None, 2, '{"i":2}')]
+    rows += [("big", 7, '{"i":7,"t":"' + "y" * 5000 + '"}')]                       # longer than a part
+    parts = X.document_parts(spark.createDataFrame(rows, "g string, o int, e string"), "g", ["o"], "e", part_bytes=2000)
+    got = {}
+    for r in parts.orderBy("g", "part").collect():
+        assert len(r["text"]) <= 2000 + 100 or r["n"] <= 40 and "yyy" in r["text"]
+        got.setdefault(r["g"], []).append(r)
+    assert all([r["part"] for r in p] == list(range(1, len(p) + 1)) for p in got.values()) and len(got["big"]) > 30
+    whole = json.loads("[" + ",".join(r["text"] for r in got["big"]) + "]")
+    assert [x["i"] for x in whole] == sorted([r[1] for r in rows if r[0] == "big"])
+    assert [json.loads(f"[{got[g][0]['text']}]") for g in ("small", None)] == [[{"i": 1}], [{"i": 2}]]
+    path = scratch("docs")
+    X.write_documents(spark, parts.filter("g is not null"), "g", path)
+    back = X.part_elements(X.read_documents(spark, path, "g"), "struct<i:int, t:string>")
+    assert back.groupBy("g").count().collect() and back.count() == 3002
+    import glob
+    import os
+
+    from harmoniq.session import to_local_path
+    os.remove(sorted(glob.glob(to_local_path(path) + "/parts/g=big/*.txt"))[0])
+    with pytest.raises(ValueError, match="missing"):
+        X.read_documents(spark, path, "g")
