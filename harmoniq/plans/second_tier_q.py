@@ -192,6 +192,25 @@ def point_in_polygon(spark, sf_dir):
     in the gap between squares) are assigned back to a region by
     geometry alone."""
     from harmoniq.operators.spatial import assign_regions
+    return assign_regions(*_points_and_regions(spark, sf_dir), "c_custkey", "lon", "lat")
+
+
+@register("point_candidates", oracle=f"""
+SELECT c_custkey, c_mktsegment <> 'MACHINERY' AS found, true AS few_candidates,
+       true AS tested_in_border_cells_only
+FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def point_candidates(spark, sf_dir):
+    """What the covering costs a point: it meets at most one cell per size
+    and polygon (the squares do not overlap), and a point that a whole cell
+    decides takes no exact test."""
+    from harmoniq.operators.spatial import LEVELS, assign_regions
+    got = assign_regions(*_points_and_regions(spark, sf_dir), "c_custkey", "lon", "lat", report=True)
+    return got.select("c_custkey", F.col("region_code").isNotNull().alias("found"),
+                      (F.col("candidates") <= LEVELS).alias("few_candidates"),
+                      (F.col("tests") <= F.col("candidates")).alias("tested_in_border_cells_only"))
+
+
+def _points_and_regions(spark, sf_dir):
     from harmoniq.plans.readers_q import write_region_geojson
     from harmoniq.sources.files import read_geojson
     c = table(spark, sf_dir, "customer")
@@ -199,5 +218,4 @@ def point_in_polygon(spark, sf_dir):
     pts = c.join(n, c.c_nationkey == n.n_nationkey).select(
         "c_custkey", F.expr(PIP_LON_SQL).alias("lon"), F.expr(PIP_LAT_SQL).alias("lat"))
     g = read_geojson(spark, f"{write_region_geojson(spark, sf_dir)}/*")
-    regions = g.select(F.col("properties")["NUTS_ID"].alias("code"), "geometry")
-    return assign_regions(pts, regions, "c_custkey", "lon", "lat")
+    return pts, g.select(F.col("properties")["NUTS_ID"].alias("code"), "geometry")

@@ -130,3 +130,44 @@ def test_soft_dedupe_query_has_links_and_strangers(spark):
     got = QUERIES["soft_dedupe"](spark, SF_SMALL).agg(
         F.count("id"), F.countDistinct("class_id"), F.max("n_links")).first()
     assert got[0] == 4 * spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").count() and got[1] < got[0] and got[2] >= 2
+
+
+# ---- N6: cells of several sizes ---------------------------------------------------------------
+def inside(polys, x, y):
+    odd = False
+    for poly in polys:
+        for ring in poly:
+            for k, (ax, ay) in enumerate(ring):
+                bx, by = ring[(k + 1) % len(ring)]
+                if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                    odd = not odd
+    return odd
+
+
+def star(rnd, cx, cy, r, n):
+    return [[cx + r * rnd.uniform(0.4, 1) * math.cos(2 * math.pi * k / n), cy + r * rnd.uniform(0.4, 1) * math.sin(2 * math.pi * k / n)]
+            for k in range(n)]
+
+
+def test_cells_agree_with_the_exact_test_on_skewed_points(spark):
+    import json
+
+    from harmoniq.operators.spatial import LEVELS, assign_regions, cell_cover
+    rnd = random.Random(6)
+    shapes = {"A": [[star(rnd, 0, 0, 5, 40), star(rnd, 0.2, 0.1, 0.9, 7)]], "B": [[star(rnd, 4, 3, 4, 9)], [star(rnd, -8.3, 2, 0.02, 5)]],
+              "C": [[[[10, 10], [12, 10], [12, 12], [10, 12], [10, 10]]]], "D": [[]]}
+    regions = spark.createDataFrame([(c, json.dumps({"type": "MultiPolygon", "coordinates": p})) for c, p in shapes.items()],
+                                    "code string, geometry string")
+    pts = [(i, rnd.uniform(-9, 13), rnd.uniform(-6, 13)) for i in range(2500)]
+    pts += [(5000 + i, 1.0 + rnd.random() / 50, -1.5 + rnd.random() / 50) for i in range(1500)]      # one hot cell
+    pts += [(9000, 10.5, 11.0), (9001, -8.3, 2.0), (9002, None, 1.0)]
+    got = {r["id"]: r for r in assign_regions(spark.createDataFrame(pts, "id long, lon double, lat double"), regions, "id",
+                                              cell=2.0, report=True).collect()}
+    for i, x, y in pts:
+        want = next((c for c in "ABC" if x is not None and inside(shapes[c], x, y)), None)
+        assert got[i]["region_code"] == want, (i, x, y)
+        assert got[i]["tests"] <= got[i]["candidates"] <= 3 * LEVELS
+    decided = sum(r["tests"] == 0 for r in got.values() if r["region_code"])
+    assert decided > 0.7 * sum(r["region_code"] is not None for r in got.values())       # most points take no exact test
+    coarse = cell_cover(regions, cell=2.0)
+    assert coarse.filter("inner and level = 0").count() > 0 and coarse.filter("not inner and level < 3").count() == 0
