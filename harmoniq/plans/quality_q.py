@@ -140,6 +140,43 @@ def schema_check(spark, sf_dir):
     return Q.conform(table(spark, sf_dir, "orders"), ORDERS_DECLARED)
 
 
+@register("schema_refusals", oracle="""
+SELECT 'declared' AS given, false AS refused, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE o_totalprice IS NULL) AS n_null FROM orders
+UNION ALL SELECT 'column missing', true, 0, 0 UNION ALL SELECT 'column more', true, 0, 0
+UNION ALL SELECT 'junk values', false, COUNT(*), COUNT(*) FILTER (WHERE o_orderkey % 2 = 0) FROM orders""")
+def schema_refusals(spark, sf_dir):
+    """Q1: a missing or an additional column refuses the frame; values that are
+    none of the declared type become NULL, which the non-null rules report."""
+    o = table(spark, sf_dir, "orders")
+    junk = o.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 2 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")))
+    out = []
+    for given, df in (("declared", o), ("column missing", o.drop("o_custkey")), ("column more", o.withColumn("x", F.lit(1))),
+                      ("junk values", junk)):
+        try:
+            kept, refused = Q.conform(df, ORDERS_DECLARED), False
+        except Q.SchemaMismatch:
+            kept, refused = Q.conform(o.limit(0), ORDERS_DECLARED), True
+        out.append(kept.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("o_totalprice").isNull(), 1)).alias("n_null"))
+                   .select(F.lit(given).alias("given"), F.lit(refused).alias("refused"), "n_rows", "n_null"))
+    rows = out[0]
+    for x in out[1:]:
+        rows = rows.unionByName(x)
+    return rows
+
+
+@register("missing_input", oracle="""
+SELECT r_regionkey, r_name, true AS landed FROM region""")
+def missing_input(spark, sf_dir):
+    """An input that has not landed is a typed empty frame; together with
+    the one that has it gives that one's rows."""
+    from harmoniq.sources.files import read_or_empty
+    r = table(spark, sf_dir, "region")
+    path = scratch_path(spark, "landed")
+    r.write.parquet(f"{path}/here")
+    both = read_or_empty(spark, f"{path}/here", r.schema).withColumn("landed", F.lit(True))
+    return both.unionByName(read_or_empty(spark, f"{path}/not_here", r.schema).withColumn("landed", F.lit(False)))
+
+
 # ---- F3 / F4 / J15 -----------------------------------------------------------------------
 def _customer_codes(spark, sf_dir):
     """Level-2 codes: nation code + first letter of the market segment."""
