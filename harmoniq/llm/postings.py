@@ -52,7 +52,8 @@ def words_of(text: bytes) -> list[bytes]:
 
 # ---- the benchmark side ----------------------------------------------------------------
 def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, n: int, block_words: int) -> Iterator[tuple]:
-    """(phrases, items): lists of word tuples and of item ids, block by block."""
+    """(phrases, items): lists of word tuples and of item ids, block by block.
+    A block ends within an item if need be, so no item makes a larger one."""
     phrases, items, held, any_block = [], [], 0, False
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
     for r in rows.filter("text is not null").toLocalIterator():
@@ -60,12 +61,12 @@ def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, n: int, bl
         if not w:
             continue
         for i in range(max(1, len(w) - n + 1)):
+            held += 1 if i and phrases else len(w[i:i + n])      # a further phrase of an item adds one word
             phrases.append(tuple(w[i:i + n]))
             items.append(r["item"])
-        held += len(w)
-        if held >= block_words:
-            yield phrases, items
-            phrases, items, held, any_block = [], [], 0, True
+            if held >= block_words:
+                yield phrases, items
+                phrases, items, held, any_block = [], [], 0, True
     if phrases or not any_block:
         yield phrases, items
 

@@ -575,3 +575,18 @@ def test_both_ends_of_long_texts_are_drawn(spark, monkeypatch):
     assert sorted(map(bytes, np.concatenate([x for x, _ in seen[0]]).astype("f4"))) == sorted(map(bytes, whole.astype("f4")))
     line_crf.fit(d, run_lines=50, max_runs=3)
     assert 2 <= len(seen[1]) <= 3 and all(len(x) <= 50 for x, _ in seen[1])
+
+
+def test_a_long_item_is_cut_into_blocks(spark):
+    """No block of phrases holds more words than the bound, and cutting changes nothing."""
+    words = [f"w{i}" for i in range(40)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "w3 w4"), (None, "w39 w0")], "item_id long, text string")
+    blocks = list(postings.phrase_blocks(bench, "item_id", "text", 10, 14))
+    assert len(blocks) > 5 and all(len({w for p in ph for w in p}) <= 14 for ph, _ in blocks)
+    assert sum(len(ph) for ph, _ in blocks) == 31 + 2
+    docs = spark.createDataFrame([(1, " ".join(words[5:30])), (2, "x w3 w4 " + " ".join(words[20:33])), (3, "w39 w0 y"), (3, "w39 w0 y")],
+                                 "doc_id long, text string")
+    key = lambda r: (r["id"], str(r["spans"]), r["items"])                       # noqa: E731
+    one = sorted(map(key, postings.find_contamination(docs, bench).collect()))
+    many = sorted(map(key, postings.find_contamination(docs, bench, block_words=14).collect()))
+    assert one == many and len(one) == 4
