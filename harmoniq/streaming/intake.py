@@ -158,6 +158,13 @@ def dedupe_with_late(spark: SparkSession, stream: DataFrame, root: str, checkpoi
     kept_schema = T.StructType([*schema.fields, T.StructField("day", T.DateType())])
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()                          # read by both outputs and the counts
+        try:
+            divide(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def divide(batch: DataFrame, batch_id: int) -> None:
         from pyspark.sql import Observation
 
         from harmoniq.operators.steps import observed
@@ -168,7 +175,6 @@ def dedupe_with_late(spark: SparkSession, stream: DataFrame, root: str, checkpoi
         late = F.coalesce(behind, F.lit(True)) | F.col(event_time).isNull()
         seen = Observation()
         rows = batch.withColumn("__late", late)
-        # one write for both outputs: the late rows and the first of each key
         rows.filter("__late").drop("__late").observe(seen, F.count(F.lit(1)).alias("late")).write.mode("overwrite").parquet(
             _folder(root, "late", batch_id))
         first = rows.filter("not __late").groupBy(*[null_safe_key(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
