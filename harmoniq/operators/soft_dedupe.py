@@ -81,8 +81,8 @@ def _compare(threshold: float, dims: int):
     key = ["band", "block", "mark", "low", "high"]
 
     def links(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        codes = [table.column(k).combine_chunks().dictionary_encode().indices.to_numpy() for k in ("block",)]
-        cols = codes + [table.column(k).to_numpy() for k in ("band", "mark", "low", "high")]
+        block = table.column("block").combine_chunks().dictionary_encode().indices.to_numpy()
+        cols = [block, *[table.column(k).to_numpy() for k in ("band", "mark", "low", "high")]]
         new = np.ones(table.num_rows, bool)
         new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
         starts = np.flatnonzero(new)
