@@ -22,7 +22,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -114,7 +113,6 @@ def fit(vectors: DataFrame, k: int, vector: str = "x", rows_per_block: int = ROW
         rows.select(F.col("pos").alias("index"), array_to_vector(centred).alias("vector")), "vector")
     a = IndexedRowMatrix(indexed.repartition(lanes * lanes), n, d).toBlockMatrix(per_block, d)
 
-    a.persist(StorageLevel.MEMORY_AND_DISK)         # read by three products; lost blocks are built again
     v = _covariance(a, n, lanes)
     e, u = np.linalg.eigh(v)
     e, u = e[::-1], u[:, ::-1]
@@ -129,7 +127,6 @@ def fit(vectors: DataFrame, k: int, vector: str = "x", rows_per_block: int = ROW
     back = callMLlibFunc("getIndexedRows", c.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
     back = back.toDF("pos", "vector").select("pos", vector_to_array("vector").alias("whitened"))
     projected = store(rows.join(back, "pos").select("x", "whitened"), "white-projected")
-    a._java_matrix_wrapper.call("blocks").unpersist(False)
     return Whitening(n, sums, e[:kept], e[:kept] / np.trace(v), u[:, :kept], error, projected)
 
 
