@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harmoniq.operators.harmonise import literal_table
 from harmoniq.operators.quality import InvalidRows, aggregate_rules, conform, incident_rules
 from harmoniq.operators.snapshots import upsert_snapshot
 from harmoniq.operators.steps import Source, Tally, harmonise_source, whole_plans
@@ -55,7 +54,7 @@ def run_registry(spark: SparkSession, sources: list[tuple[str, DataFrame, Source
                             found.get("min_period"), found.get("max_period"), found.get("n_regions") or 0, None))
         except Exception as e:  # noqa: BLE001  isolate one source's failure
             records.append((name, "failed", *[None] * (len(DROPS) + 4), None, None, None, str(e)))
-    return literal_table(spark, records, RECORD)
+    return spark.createDataFrame(records, RECORD)
 
 
 def _refuse(found: dict, rules: list) -> None:
