@@ -8,11 +8,16 @@ probability (1 - p) ** bands; ``plan`` takes as many bands as bring that below
 ``miss``, and as many bits as make chance meetings rare in the largest block.
 Closer pairs are missed less often still, and every kept link is exact.
 
-Pairs never leave a task: a group emits, per row, its number of links and the
-least row that it is linked with there.  A pair that meets in several bands
-counts in the first one only.  Equal vectors of a block are one row with a count
-before anything is compared.  Groups above ``limit`` rows are split into chunks and
-compared chunk against chunk, each pair of chunks in a task of its own.
+Vectors are dealt by pairs of chunks of a block, so that a row is shuffled once
+per chunk of its block (``CHUNK`` rows), not once per band: the bands are formed
+within the task.  Only if the largest block has more chunks than the plan has
+bands are rows dealt by band; groups above ``limit`` rows are then split into
+chunks and compared chunk against chunk, each pair of chunks in a task of its own.
+
+Pairs never leave a task: it emits, per row, its number of links and the least
+row that it is linked with there.  A pair that meets in several bands counts in
+the first one only.  Equal vectors of a block are one row with a count before
+anything is compared; beside that, rows know their vector by a digest of 128 bits.
 
 Results: rows whose vector is null, empty, zero or holds a null or non-finite
 entry, or has another length than ``dims``, stay alone (class of their own, no
@@ -21,12 +26,14 @@ links); a null block is a block of its own; repeated ids are refused.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +41,9 @@ from harmoniq.operators.classes import connected_classes
 from harmoniq.session import materialize
 
 LIMIT = 512
+CHUNK = 1 << 16                        # rows of a chunk of a block: with 64 entries 32 MB
+TILE = 1 << 22                         # cosines held at once
+DENSE = 4                              # what a pair by bands costs, in pairs of a whole product
 MAX_BITS = 24
 
 
@@ -58,17 +68,35 @@ def plan(rows: int, threshold: float, miss: float = 1e-5, bits: int | None = Non
     return Bands(bits, bands, (1 - p) ** bands)
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, block, vector) -> (id, block, digest of the vector); -0.0 is 0.0."""
+    for b in batches:
+        vector = b.column("vector")
+        ends = np.asarray(vector.offsets).astype(np.int64) * 8
+        data = (np.asarray(vector.values, np.float64) + 0.0).tobytes()
+        marks = [hashlib.blake2b(data[a:z], digest_size=16).digest() for a, z in zip(ends, ends[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("block"), pa.array(marks, pa.binary())],
+                                         names=["id", "block", "digest"])
+
+
+def _marks(v: np.ndarray, planes: np.ndarray, plan_: Bands) -> np.ndarray:
+    """The sign pattern of every band, a row of numbers per vector."""
+    weights = (1 << np.arange(plan_.bits)).astype(np.int64)
+    out = np.empty((len(v), plan_.bands), np.int32)
+    for at in range(0, len(v), 2048):
+        signs = (v[at:at + 2048] @ planes >= 0).reshape(-1, plan_.bands, plan_.bits)
+        out[at:at + 2048] = signs @ weights
+    return out
+
+
 def _signatures(plan_: Bands, dims: int):
     """Unit vectors and the sign pattern of every band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = plan_.planes(dims)
-        weights = (1 << np.arange(plan_.bits)).astype(np.int64)
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 part = b.slice(at, 2048)
-                v = np.asarray(part.column("vector").flatten(), np.float64).reshape(part.num_rows, dims)
-                signs = (v @ planes >= 0).reshape(part.num_rows, plan_.bands, plan_.bits)
-                marks = (signs @ weights).astype(np.int32)
+                marks = _marks(np.asarray(part.column("vector").flatten(), np.float64).reshape(part.num_rows, dims), planes, plan_)
                 flat = pa.ListArray.from_arrays(np.arange(0, marks.size + 1, plan_.bands, dtype=np.int32),
                                                 pa.array(marks.ravel()))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("rep", "block", "copies", "vector")], flat],
@@ -125,6 +153,133 @@ def _compare(threshold: float, dims: int):
     return run
 
 
+class _Links:
+    """Links and least linked rows of the rows of one task, fed by batches of pairs."""
+
+    def __init__(self, copies: np.ndarray):
+        self.copies, self.n = copies, np.zeros(len(copies), np.int64)
+        self.root = np.arange(len(copies))           # leads straight to the least row of the class so far
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        np.add.at(self.n, i, self.copies[j])
+        np.add.at(self.n, j, self.copies[i])
+        self._join(i, j)
+
+    def add_all(self, v: np.ndarray, one: np.ndarray, two: np.ndarray, within: bool, threshold: float) -> None:
+        """Links of all rows of ``one`` with all of ``two`` (``within``: the same rows)."""
+        across, weights = v[two].T, self.copies[two].astype(np.float64)
+        step = max(1, TILE // max(len(two), 1))
+        for at in range(0, len(one), step):
+            i = one[at:at + step]
+            near = v[i] @ across >= threshold
+            if within:
+                near[np.arange(len(i)), np.arange(at, at + len(i))] = False
+            self.n[i] += (near @ weights).astype(np.int64)
+            if not within:
+                self.n[two] += (self.copies[i].astype(np.float64) @ near).astype(np.int64)
+            near &= self.root[i][:, None] != self.root[two]
+            a, b = np.nonzero(near)
+            self._join(i[a], two[b])
+
+    def _join(self, i: np.ndarray, j: np.ndarray) -> None:
+        while True:
+            a, b = self.root[i], self.root[j]
+            apart = a != b
+            if not apart.any():
+                return
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
+            while not np.array_equal(self.root, up := self.root[self.root]):
+                self.root = up
+
+
+def _met_pairs(key: np.ndarray, low: np.ndarray, high: np.ndarray, small: int = 64) -> Iterator[tuple]:
+    """Pairs of rows with equal ``key``, as (rows, other rows, paired): ``paired``
+    rows lie side by side, otherwise every one is to meet every other.  A row is
+    on the low side, on the high side or on both; a pair takes one from each."""
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    sizes = np.diff(np.append(starts, len(k)))
+    for a, n in zip(starts[sizes > small], sizes[sizes > small], strict=True):
+        x = order[a:a + n]
+        one, two = x[low[x]], x[high[x]]
+        step = max(1, TILE // max(len(two), 1))
+        for at in range(0, len(one), step):
+            yield one[at:at + step], two, False
+    left = np.repeat(sizes <= small, sizes)
+    at, far = np.flatnonzero(left), 1
+    while len(at := at[at + far < len(k)]) and len(at := at[k[at] == k[at + far]]):
+        i, j = order[at], order[at + far]
+        meet = (low[i] & high[j]) | (low[j] & high[i])
+        yield i[meet], j[meet], True
+        far += 1
+
+
+def _dense_groups(marks: np.ndarray, group: np.ndarray, plan_: Bands, look: int = 8) -> np.ndarray:
+    """Groups of rows so alike that their bands (by the first ones) would compare
+    more pairs than there are."""
+    n = np.bincount(group).astype(np.float64)
+    met, seen = np.zeros(len(n)), min(look, plan_.bands)
+    for band in range(seen):
+        keys, sizes = np.unique((group << plan_.bits) | marks[:, band], return_counts=True)
+        met += np.bincount(keys >> plan_.bits, sizes * (sizes - 1.0) / 2, len(n))
+    return np.flatnonzero((n > 16) & (met / seen * plan_.bands * DENSE > n * (n - 1) / 2))
+
+
+def _compare_chunks(plan_: Bands, threshold: float, dims: int):
+    """Exact cosines of the rows of a (block, chunk pair) that share a band; of
+    all its rows where that takes less."""
+    key = ["block", "low", "high"]
+
+    def links(v, marks, group, low, high, found: _Links) -> None:
+        two = across = None
+        for band in range(plan_.bands):
+            for i, j, paired in _met_pairs((group << plan_.bits) | marks[:, band], low, high):
+                if paired:
+                    near = [np.einsum("nd,nd->n", v[i[p:p + 65536]], v[j[p:p + 65536]]) >= threshold
+                            for p in range(0, len(i), 65536)]
+                    near = np.concatenate([*near, np.zeros(0, bool)])
+                    i, j = i[near], j[near]
+                else:
+                    if two is not j:
+                        two, across = j, v[j].T
+                    a, b = np.nonzero(v[i] @ across >= threshold)
+                    i, j = i[a], j[b]
+                    once = ~(low[i] & high[i]) | (i < j)          # within one chunk both orders come up
+                    i, j = i[once], j[once]
+                for p in range(0, len(i), 65536):
+                    x, y = i[p:p + 65536], j[p:p + 65536]
+                    if band:                     # met before in an earlier band: counted there
+                        first = ~np.any(marks[x, :band] == marks[y, :band], axis=1)
+                        x, y = x[first], y[first]
+                    found.add(x, y)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = plan_.planes(dims)
+        for table in _whole_groups(batches, key):
+            table = table.sort_by("rep")             # the least row is the first
+            block = table.column("block").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+            chunk, lower, upper = (table.column(c).to_numpy() for c in ("chunk", "low", "high"))
+            _, group = np.unique(np.stack([block, lower, upper]), axis=1, return_inverse=True)
+            v = np.asarray(table.column("vector").combine_chunks().flatten(), np.float64).reshape(-1, dims)
+            found = _Links(table.column("copies").to_numpy())
+            group, low, high, marks = group.ravel(), chunk == lower, chunk == upper, _marks(v, planes, plan_)
+            dense = _dense_groups(marks, group, plan_)
+            for g in dense:
+                x = np.flatnonzero(group == g)
+                found.add_all(v, x[low[x]], x[high[x]], bool(lower[x[0]] == upper[x[0]]), threshold)
+            rest = ~np.isin(group, dense)
+            # rows of dense groups take neither side: they meet nobody by their bands
+            links(v, marks, group, low & rest, high & rest, found)
+            rep, linked = table.column("rep").to_numpy(), found.n > 0
+            if linked.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (rep[linked], found.n[linked], rep[found.root[linked]])],
+                    names=["rep", "links", "least"])
+    return run
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch], key: list[str], rows: int = 8192) -> Iterator[pa.Table]:
     """Runs of whole key groups of a sorted partition."""
     held, n = [], 0
@@ -134,10 +289,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], key: list[str], rows: int =
         if n < rows:
             continue
         t = pa.Table.from_batches(held)
-        last = t.slice(n - 1).select(key).to_pylist()[0]
-        cut = n
-        while cut and t.slice(cut - 1, 1).select(key).to_pylist()[0] == last:
-            cut -= 1
+        other = np.logical_or.reduce([pc.not_equal(t.column(k), t.column(k)[n - 1]).to_numpy() for k in key])
+        cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
         if cut:
             yield t.slice(0, cut)
         held, n = t.slice(cut).to_batches(), n - cut
@@ -160,8 +313,20 @@ def candidates(rows: DataFrame, plan_: Bands, dims: int, limit: int = LIMIT) ->
     return met.join(rows, "rep")
 
 
+def chunk_pairs(rows: DataFrame, sizes: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Rows (rep, block, copies, vector) -> one row per chunk of its block, the
+    own one included: (..., low, high, chunk).  ``sizes``: (block, count) of the
+    blocks above ``chunk`` rows, of which there is one per ``chunk`` rows at most."""
+    chunks = F.coalesce(F.ceil(F.col("count") / chunk).cast("int"), F.lit(1))
+    dealt = rows.join(F.broadcast(sizes), "block", "left").select(
+        "rep", "block", "copies", "vector", F.pmod(F.xxhash64("rep"), chunks).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
+    return dealt.select("rep", "block", "copies", "vector", F.least("chunk", "other").alias("low"),
+                        F.greatest("chunk", "other").alias("high"), "chunk")
+
+
 def soft_classes(df: DataFrame, id_col: str, vector: str, block: list[str], threshold: float, dims: int,
-                 miss: float = 1e-5, bits: int | None = None, limit: int = LIMIT) -> DataFrame:
+                 miss: float = 1e-5, bits: int | None = None, limit: int = LIMIT, chunk: int = CHUNK) -> DataFrame:
     """(id, class_id, n_links): class_id is the least id of the class, n_links
     the number of other rows of the block within the threshold."""
     x = F.col(vector)
@@ -172,22 +337,30 @@ def soft_classes(df: DataFrame, id_col: str, vector: str, block: list[str], thre
     place = F.to_json(F.struct(*[F.col(c) for c in block])) if block else F.lit("")
     unit = F.transform(entries, lambda c: c / norm)
     own = kept.select(F.col(id_col).alias("id"), place.alias("block"), unit.alias("vector"))
-    groups = materialize(own.groupBy("block", "vector").agg(F.min("id").alias("rep"),
-                                                            F.count(F.lit(1)).alias("copies")))
-    largest = groups.groupBy("block").count().agg(F.max("count")).first()[0] or 0
+    named = materialize(own.mapInArrow(_digests, "id bigint, block string, digest binary"))
+    groups = materialize(named.groupBy("block", "digest").agg(F.min("id").alias("rep"),
+                                                              F.count(F.lit(1)).alias("copies")))
+    sizes = groups.groupBy("block").count()
+    largest = sizes.agg(F.max("count")).first()[0] or 0
     plan_ = plan(largest, threshold, miss, bits)
-    signed = materialize(groups.select("rep", "block", "copies", "vector").mapInArrow(
-        _signatures(plan_, dims), "rep bigint, block string, copies bigint, vector array<double>, marks array<int>"))
-    key = ["band", "block", "mark", "low", "high"]
-    dealt = candidates(signed, plan_, dims, limit).repartition(*key).sortWithinPartitions(*key)
-    found = materialize(dealt.mapInArrow(_compare(threshold, dims), "rep bigint, links bigint, least bigint"))
+    rows = own.groupBy("block", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    rows = rows.filter("rep is not null").select("rep", "block", "copies", "vector")
+    if math.ceil(largest / chunk) <= plan_.bands:
+        key = ["block", "low", "high"]
+        dealt, compare = chunk_pairs(rows, sizes.filter(F.col("count") > chunk), chunk), _compare_chunks(plan_, threshold, dims)
+    else:
+        key = ["band", "block", "mark", "low", "high"]
+        signed = materialize(rows.mapInArrow(
+            _signatures(plan_, dims), "rep bigint, block string, copies bigint, vector array<double>, marks array<int>"))
+        dealt, compare = candidates(signed, plan_, dims, limit), _compare(threshold, dims)
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key)
+    found = materialize(dealt.mapInArrow(compare, "rep bigint, links bigint, least bigint"))
     classes = connected_classes(found, "rep", "least")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    of_rep = (groups.select("rep", "block", "vector", "copies").join(links, "rep", "left")
-              .join(classes, F.col("rep") == F.col("member"), "left")
-              .select("block", "vector", F.coalesce("class", "rep").alias("class_id"),
+    of_rep = (groups.join(links, "rep", "left").join(classes, F.col("rep") == F.col("member"), "left")
+              .select("block", "digest", F.coalesce("class", "rep").alias("class_id"),
                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    told = own.join(of_rep, ["block", "vector"]).select("id", "class_id", "n_links")
+    told = named.join(of_rep, ["block", "digest"]).select("id", "class_id", "n_links")
     return (df.select(F.col(id_col).alias("id")).join(told, "id", "left")
             .select("id", F.coalesce("class_id", "id").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")))
