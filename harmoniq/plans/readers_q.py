@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harmoniq.functions.codes import label_by_rules, period_code_year, release_from_name, rolling_12m
+from harmoniq.functions.codes import label_by_rules, period_code_year, rolling_12m
 from harmoniq.functions.metrics import bbox_centre
 from harmoniq.functions.text import first_non_empty
 from harmoniq.operators.harmonise import keep_latest, literal_table
@@ -327,8 +327,7 @@ def release_pick(spark, sf_dir):
     o.withColumn("release", name).write.partitionBy("release").parquet(path)
     landed = spark.read.parquet(path).withColumn("name", F.col("_metadata.file_path"))
     picked = H.pick_release(landed, AS_OF, 6)
-    month, year = release_from_name(F.col("name"))
-    start, end = rolling_12m(month, year)              # P15: the release covers 12 months to its month
+    start, end = rolling_12m(F.month("release_end"), F.year("release_end"))              # P15: the release covers 12 months to its month
     return picked.select("o_orderkey", "o_orderdate", start.alias("period_start"), end.alias("period_end"))
 
 

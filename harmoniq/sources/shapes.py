@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from harmoniq.functions.codes import release_from_name
 from harmoniq.functions.text import clean_header, collapse_ws, digits_only_long
+from harmoniq.session import materialize
 
 
 # S6 ------------------------------------------------------------------------------------
@@ -146,16 +147,20 @@ def release_candidates(as_of, n: int = 6) -> Column:
 def pick_release(landed: DataFrame, as_of, n: int = 6, name_col: str = "name") -> DataFrame:
     """Landed files whose name encodes the newest candidate release.  Releases
     that have landed but are none of the ``n`` candidates are an error that
-    lists their dates; nothing landed gives no rows."""
-    month, year = release_from_name(F.col(name_col))
-    files = landed.select("*", F.last_day(F.make_date(year, month, F.lit(1))).alias("release_end"))
+    lists their dates; nothing landed gives no rows.  Names are read once per
+    file, not per row: the rows of the picked files are found by their name."""
+    month, year = release_from_name(F.col("__name"))
+    files = landed.select(F.col(name_col).alias("__name")).distinct()
+    # stored: else Spark moves the parsing below the distinct and the join, to the rows
+    files = materialize(files.select("__name", F.last_day(F.make_date(year, month, F.lit(1))).alias("release_end")))
     known = files.filter("release_end is not null")
     hit = F.array_contains(release_candidates(as_of, n), F.col("release_end"))
     newest = known.select(F.max(F.when(hit, F.col("release_end")))).scalar()
     landed_ends = known.select(F.array_join(F.transform(F.array_sort(F.collect_set("release_end")),
                                                         lambda d: d.cast("string")), ", ")).scalar()
     wanted = F.coalesce(newest, F.raise_error(F.concat(F.lit(f"none of the last {n} releases has landed, only: "), landed_ends)).cast("date"))
-    return known.filter(F.col("release_end") == wanted)
+    picked = known.filter(F.col("release_end") == wanted)          # a row per file name
+    return landed.join(F.broadcast(picked), F.col(name_col) == F.col("__name")).drop("__name")
 
 
 # P9 / P10 ------------------------------------------------------------------------------------
