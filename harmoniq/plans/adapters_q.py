@@ -15,7 +15,7 @@ from harmoniq.operators.steps import harmonise_source
 from harmoniq.plans import register
 from harmoniq.plans.common import AS_OF, CATEGORY_PAIRS, nation_code, region_dim, table
 from harmoniq.schema import CRIME_AGGREGATES
-from harmoniq.session import scratch_path
+from harmoniq.session import materialize, scratch_path
 
 PAIRS = tuple(CATEGORY_PAIRS)
 RELEASE = "pfatables-yearending-september-2025.xlsx"
@@ -65,8 +65,8 @@ def _region_map(spark, sf_dir):
                     F.lit("").alias("notes"))
 
 
-def uk_rows(spark, sf_dir):
-    x = _lines(spark, sf_dir).groupBy("nk", "n_name", "native").agg(F.sum("qty").alias("qty"))
+def uk_rows(spark, sf_dir, lines=None):
+    x = (_lines(spark, sf_dir) if lines is None else lines).groupBy("nk", "n_name", "native").agg(F.sum("qty").alias("qty"))
     prefix = F.when(F.col("nk") % 5 == 4, "E12").when(F.col("nk") % 2 == 1, "E23").otherwise("W15")
     hidden = (F.col("nk") % 7 == 3) & F.col("native").startswith("R")
     return x.select(F.concat(prefix, F.lpad(F.col("nk").cast("string"), 6, "0")).alias("area_code"),
@@ -76,8 +76,8 @@ def uk_rows(spark, sf_dir):
                     F.lit(RELEASE).alias("file"))
 
 
-def fr_rows(spark, sf_dir):
-    x = _lines(spark, sf_dir).groupBy("nk", "native", (F.col("y") * 2 - 1990).alias("y")).agg(F.sum("qty").alias("qty"))
+def fr_rows(spark, sf_dir, lines=None):
+    x = (_lines(spark, sf_dir) if lines is None else lines).groupBy("nk", "native", (F.col("y") * 2 - 1990).alias("y")).agg(F.sum("qty").alias("qty"))
     units = F.when(F.col("native").startswith("A"), F.array(F.lit("Victime"), F.lit("Infraction"), F.lit("Mis en cause"))) \
         .otherwise(F.array(F.lit("Infraction"), F.lit("Mis en cause")))
     x = x.withColumn("unit", F.explode(units))
@@ -89,8 +89,8 @@ def fr_rows(spark, sf_dir):
                     (F.col("nk") * 1000 + F.col("y")).cast("string").alias("insee_pop"))
 
 
-def dk_rows(spark, sf_dir):
-    x = _lines(spark, sf_dir)
+def dk_rows(spark, sf_dir, lines=None):
+    x = _lines(spark, sf_dir) if lines is None else lines
     return x.select(F.concat(F.lit("K"), F.col("nk").cast("string")).alias("OMRÅDE"), F.col("native").alias("OVERTRÆD"),
                     F.concat(F.col("y").cast("string"), F.lit("K"), F.col("q").cast("string")).alias("TID"),
                     F.when(F.col("qty") % 10 == 0, "..").otherwise(F.col("qty").cast("string")).alias("INDHOLD"))
@@ -212,11 +212,12 @@ ACCOUNTS_SQL = " UNION ALL ".join([
 
 def _run(spark, sf_dir, root):
     maps = _region_map(spark, sf_dir)
-    dk = dk_rows(spark, sf_dir)
+    lines = materialize(_lines(spark, sf_dir))          # grouped once for all sources: the joins run once
+    dk = dk_rows(spark, sf_dir, lines)
     national = dk.select(F.lit("AT").alias("geo"), F.lit("ICCS0101").alias("iccs"), F.lit("NR").alias("unit"),
                          F.substring("TID", 1, 4).alias("TIME_PERIOD"), F.col("INDHOLD").alias("OBS_VALUE"))
-    sources = [("uk", uk_rows(spark, sf_dir), catalogue.uk(maps, "u", PAIRS)),
-               ("fr", fr_rows(spark, sf_dir), catalogue.fr(maps, "u", PAIRS)),
+    sources = [("uk", uk_rows(spark, sf_dir, lines), catalogue.uk(maps, "u", PAIRS)),
+               ("fr", fr_rows(spark, sf_dir, lines), catalogue.fr(maps, "u", PAIRS)),
                ("twice", national, catalogue.eurostat("AT")),      # many rows per key: refused whole
                ("dk", dk, catalogue.dk(maps, "u", PAIRS))]
     return run_registry(spark, sources, _some_regions(spark, sf_dir), root, as_of=AS_OF)
